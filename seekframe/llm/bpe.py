@@ -18,7 +18,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: The same split for texts of ASCII characters alone, which the plainer engine does faster.
 ASCII_PATTERN = PATTERN.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9").replace(" ?a-zA-Z+", " ?[a-zA-Z]+").replace(" ?0-9+", " ?[0-9]+")
 #: Pre-tokens whose ids a Python worker remembers at most, and bytes up to which one is remembered.
-CACHE, CACHE_BYTES = 500_000, 64
+CACHE, CACHE_BYTES = 100_000, 64
 NONE, INT_NONE = np.int64(1) << 62, (1 << 31) - 1
 
 
@@ -243,7 +243,7 @@ def tokenizer(path: str) -> ByteBPE:
     return _loaded[path]
 
 
-def slices(column: pa.Array, most_bytes: int = 4 << 20) -> Iterator[list]:
+def slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[list]:
     """The values of a text column in runs of bounded size, so that what is split at once is bounded."""
     part, held = [], 0
     for value in column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seekframe.llm import bpe, fingerprints, language_id, licenses, mixing, simhash, token_counts
+from seekframe.llm import bpe, embedding_dedup, fingerprints, language_id, licenses, mixing, simhash, token_counts, url_filters, warc
 from seekframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(licenses.oracle())
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query(url_filters.oracle())
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocked = spark.createDataFrame([(h,) for h in url_filters.BLOCKED_HOSTS], "key string")
+    return url_filters.judge(table(spark, sf_dir, "pages"), list(url_filters.RULES), blocked)
+
+
+@query()
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"))

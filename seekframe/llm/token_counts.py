@@ -17,7 +17,7 @@ from seekframe.llm.bpe import slices
 SPACE = "▁"
 #: Piece types of the model format that a merge may make: normal, user defined, unused.
 MERGEABLE = (1, 4, 5)
-CACHE = 500_000
+CACHE = 100_000
 #: Pre-tokens up to this length are merged in one batch; symbols of a batch.
 BATCH_SYMBOLS = 1 << 18
 NONE = np.int64(1) << 40
