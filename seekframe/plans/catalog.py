@@ -20,3 +20,8 @@ def query(sql: str | None = None) -> Callable:
         return f
 
     return register
+
+
+def load() -> None:
+    """Import the modules that register the queries."""
+    from seekframe.plans import catalog_filters  # noqa: F401
