@@ -19,12 +19,13 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def _phrase(toks: Column, words: tuple[str, ...]) -> Column:
-    n = len(words)
-    starts = F.sequence(F.lit(0), F.size(toks) - n)
-    hit = lambda i: reduce(lambda a, b: a & b, [F.get(toks, i + k) == w for k, w in enumerate(words)])
-    # a cheap test for the first word keeps most rows from the positions
-    return F.array_contains(toks, words[0]) & (F.size(toks) >= n) & F.when(F.size(toks) >= n, F.exists(starts, hit)).otherwise(False)
+def _spaced(words: tuple[str, ...]) -> str:
+    return "".join(f" {w} " for w in words)
+
+
+def _joined(toks: Column) -> Column:
+    """Tokens as one string in which each has a space of its own on either side, so that phrases are substrings."""
+    return F.concat(F.lit(" "), F.array_join(toks, "  "), F.lit(" "))
 
 
 def matches(toks: Column, node: K.Node) -> Column:
@@ -34,7 +35,7 @@ def matches(toks: Column, node: K.Node) -> Column:
     if isinstance(node, K.Prefix):
         return F.exists(toks, lambda t: t.startswith(node.token))
     if isinstance(node, K.Phrase):
-        return _phrase(toks, node.tokens)
+        return _joined(toks).contains(_spaced(node.tokens))
     if isinstance(node, K.Or) and all(isinstance(m, K.Term) for m in node.members):
         return F.arrays_overlap(toks, F.array(*(F.lit(m.token) for m in node.members)))
     join = (lambda a, b: a & b) if isinstance(node, K.And) else (lambda a, b: a | b)
@@ -42,14 +43,14 @@ def matches(toks: Column, node: K.Node) -> Column:
 
 
 def frequency(toks: Column, leaf: K.Node) -> Column:
-    """How often a term, prefix or phrase occurs."""
+    """How often a term, prefix or phrase occurs (phrases without overlap)."""
     if isinstance(leaf, K.Term):
         return F.size(F.filter(toks, lambda t: t == leaf.token))
     if isinstance(leaf, K.Prefix):
         return F.size(F.filter(toks, lambda t: t.startswith(leaf.token)))
-    n = len(leaf.tokens)
-    hit = lambda i: reduce(lambda a, b: a & b, [F.get(toks, i + k) == w for k, w in enumerate(leaf.tokens)])
-    return F.when(F.size(toks) >= n, F.size(F.filter(F.sequence(F.lit(0), F.size(toks) - n), hit))).otherwise(0)
+    phrase = _spaced(leaf.tokens)
+    text = _joined(toks)
+    return ((F.char_length(text) - F.char_length(F.replace(text, F.lit(phrase), F.lit("")))) / len(phrase)).cast("int")
 
 
 def rank(fields: list[tuple[Column, float]], node: K.Node) -> Column:
@@ -80,7 +81,7 @@ def highlight(text: Column, node: K.Node, open_: str = "<strong>", close: str =
     wanted = [(t, isinstance(leaf, K.Prefix)) for leaf in K.leaves(node) for t in (leaf.tokens if isinstance(leaf, K.Phrase) else (leaf.token,))]
     bare = lambda w: F.regexp_replace(F.lower(w), r"[^\p{L}\p{N}]", "")
     hit = lambda w: reduce(lambda a, b: a | b, [bare(w).startswith(t) if p else bare(w) == t for t, p in wanted])
-    first = F.get(F.filter(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))), lambda i: F.coalesce(hit(F.get(words, i - 1)), F.lit(False))), F.lit(0))
+    first = F.array_min(F.transform(words, lambda w, i: F.when(hit(w), i + 1)))
     window = F.slice(words, F.greatest(first - before, F.lit(1)), F.lit(most))
     return F.when(first.isNotNull(), F.array_join(F.transform(window, lambda w: F.when(hit(w), F.concat(F.lit(open_), w, F.lit(close))).otherwise(w)), " "))
 
@@ -110,8 +111,10 @@ def keep_word_lengths(text: Column, least: int = 3, most: int = 40) -> Column:
 
 def trigrams(text: Column) -> Column:
     """Distinct three-character windows of the lower-case text, padded as in trigram indexes."""
-    padded = F.concat(F.lit("  "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3))))
+    one = F.split(F.concat(F.lit("  "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")), "")
+    two = F.zip_with(one, F.slice(one, F.lit(2), F.size(one)), lambda a, b: F.concat(a, b))
+    three = F.zip_with(two, F.slice(one, F.lit(3), F.size(one)), lambda a, b: F.concat(a, b))
+    return F.array_distinct(F.array_compact(three))
 
 
 def trigram_similarity(a: Column, b: Column) -> Column:
