@@ -24,4 +24,4 @@ def query(sql: str | None = None) -> Callable:
 
 def load() -> None:
     """Import the modules that register the queries."""
-    from seekframe.plans import catalog_analytics, catalog_facets, catalog_filters, catalog_search  # noqa: F401
+    from seekframe.plans import catalog_analytics, catalog_facets, catalog_filters, catalog_indexing, catalog_search  # noqa: F401
