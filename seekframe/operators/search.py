@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seekframe.functions import text as X
 from seekframe.functions import vectors as V
+from seekframe.functions.stem import porter, stems
 from seekframe.operators import facets as FC
 from seekframe.operators.predicates import compile_group, mentions
 from seekframe.plans import keys as K
@@ -33,7 +34,7 @@ def order(sorts: tuple[Sort, ...], index: IndexSpec, relevance: str = SCORE) ->
     """Sort columns with explicit null order; the id comes last, so that pages are the same each time."""
     out = []
     for s in sorts:
-        if s.field in ("relevance", "search_api_relevance"):
+        if s.field == "relevance":
             name = relevance
         elif s.field in ("id", index.id_col):
             name = index.id_col
@@ -62,6 +63,8 @@ def hybrid_score(text: Column, vector: Column, has_vector: Column, has_text: Col
 def _scored(items: DataFrame, index: IndexSpec, query: Query) -> tuple[DataFrame, Column | None, dict | None]:
     """items with scores, the condition of the keys and vector, and why the mode was lowered, if it was."""
     node = K.parse(query.keys)
+    if query.config == "english" and node is not None:
+        node = K.mapped(node, porter)
     vector, mode, lowered = query.vector, query.mode, None
     if mode == "vector_only" and vector is None:
         lowered = {"degraded": True, "reason": "no query vector", "strategy": "text_only", "message": "searched by text alone"}
@@ -76,7 +79,7 @@ def _scored(items: DataFrame, index: IndexSpec, query: Query) -> tuple[DataFrame
             raise SpecError(f"{index.name} has no searchable field")
         for n in names:
             c = F.array_join(F.col(n), " ") if index.field(n).multi_value else F.col(n)
-            items = items.withColumn(f"_tokens_{n}", X.tokens(c))
+            items = items.withColumn(f"_tokens_{n}", stems(X.tokens(c)) if query.config == "english" else X.tokens(c))
         each = [(F.col(f"_tokens_{n}"), X.WEIGHTS[index.field(n).weight]) for n in names]
         match = X.matches(F.flatten(F.array(*(c for c, _ in each))) if len(each) > 1 else each[0][0], node)
         text_score = F.lit(1.0) if query.rank == "constant" else X.rank(each, node)

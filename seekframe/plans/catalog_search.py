@@ -70,6 +70,12 @@ def fts_prefix(spark: SparkSession, d: str) -> DataFrame:
     return T.table(spark, d, "documents").where(X.matches(X.tokens(F.col("text")), node)).select("doc_id")
 
 
+@query()
+def fts_stem(spark: SparkSession, d: str) -> DataFrame:
+    """English stems on both sides: forms of a word match each other. Stems have no SQL; tests hold them to known ones."""
+    return _docs(spark, d, Query(keys="licensing works", config="english")).select("doc_id")
+
+
 @query(f"SELECT p_partkey FROM part WHERE list_contains({P_TOK}, 'red') OR list_contains({TOK.format('p_type')}, 'economy')")
 def fts_multi_field(spark: SparkSession, d: str) -> DataFrame:
     """A row matches if any text field does by itself."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -87,6 +88,13 @@ def parse(keys: Any, prefixes: bool = False) -> Node | None:
     return parse_text(str(keys), prefixes)
 
 
+def mapped(node: Node, change: Callable[[str], str]) -> Node:
+    """The tree with each token changed."""
+    if isinstance(node, (And, Or)):
+        return type(node)(tuple(mapped(m, change) for m in node.members))
+    return Phrase(tuple(map(change, node.tokens))) if isinstance(node, Phrase) else type(node)(change(node.token))
+
+
 def leaves(node: Node | None) -> list[Node]:
     """Terms, prefixes and phrases of a tree, in order."""
     if node is None:

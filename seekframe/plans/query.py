@@ -85,9 +85,12 @@ class Query:
     vector: VectorQuery | None = None
     skip_count: bool = False
     rank: str = "tf"
+    config: str = "simple"
 
     def __post_init__(self) -> None:
         if self.mode not in ("text_only", "vector_only", "hybrid"):
             raise SpecError(f"unknown search mode {self.mode!r}")
+        if self.config not in ("simple", "english"):
+            raise SpecError(f"unknown text configuration {self.config!r}")
         if self.limit is not None and self.limit < 0 or self.offset < 0:
             raise SpecError("limit and offset can't be negative")

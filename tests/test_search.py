@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from seekframe.functions import prepare as P
 from seekframe.functions import text as X
 from seekframe.functions import vectors as V
+from seekframe.functions.stem import porter
 from seekframe.operators import facets as FC
 from seekframe.operators import indexing as I
 from seekframe.operators.predicates import compile_group
@@ -46,6 +47,14 @@ def test_keywords_and_rank(items):
         assert search(items, INDEX, Query(keys=odd)).rows.count() in (0, 5)
 
 
+def test_stems(items):
+    # known stems of the published algorithm
+    known = {"caresses": "caress", "ponies": "poni", "cats": "cat", "agreed": "agre", "plastered": "plaster", "motoring": "motor", "sing": "sing", "conflated": "conflat", "hopping": "hop", "falling": "fall", "filing": "file", "happy": "happi", "sky": "sky", "relational": "relat", "conditional": "condit", "vietnamization": "vietnam", "triplicate": "triplic", "formative": "form", "electrical": "electr", "revival": "reviv", "adjustment": "adjust", "adoption": "adopt", "probate": "probat", "rate": "rate", "controll": "control", "roll": "roll", "as": "as", "größe": "größe"}
+    assert {w: porter(w) for w in known} == known
+    assert ids(search(items, INDEX, Query(keys="learn machines", config="english"))) == ["1", "4"]
+    assert ids(search(items, INDEX, Query(keys="learn machines"))) == []
+
+
 def test_count_equals_rows_and_pages_join_up(items):
     q = dict(where=Group((Cond("size", op="IS NOT NULL"),)), sorts=(Sort("size"),))
     whole = ids(search(items, INDEX, Query(**q)))
