@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from itertools import combinations
 
 import numpy as np
@@ -17,6 +17,8 @@ from seekframe.llm.components import Forest, components
 
 SEED = 42
 BYTES = 8
+#: For near copies with four fifths of their five-word shingles in common: 256 bits, of which about 39 (+-6) differ.
+NEAR = {"width": 5, "lanes": 4, "max_distance": 48, "repeats": False}
 #: Rows of one posting list that one tile holds; longer lists are cut into blocks of this size.
 TILE = 1024
 
@@ -24,120 +26,140 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 
-def fingerprint(text: str | None, width: int = 3) -> int:
-    """64-bit SimHash of the word shingles of one text, as an unsigned number.
+def _lanes(hashes: np.ndarray, lanes: int) -> Iterator[np.ndarray]:
+    """The hashes, and as many more hash values of each as asked for, by a 64-bit mixer."""
+    yield hashes
+    for k in range(1, lanes):
+        x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        yield x ^ (x >> np.uint64(31))
 
-    A-Z are lower-cased, words are runs of anything but ASCII white space, repeated shingles count each time. Fewer
-    words than ``width``: the whole sequence is the one shingle. No words, or null: 0.
+
+def fingerprint(text: str | None, width: int = 3, lanes: int = 1, repeats: bool = True) -> int:
+    """SimHash of 64 bits a lane of the word shingles of one text, as an unsigned number (the first lane leads).
+
+    A-Z are lower-cased, words are runs of anything but ASCII white space, repeated shingles count each time (or once,
+    if not ``repeats``). Fewer words than ``width``: the whole sequence is the one shingle. No words, or null: 0.
     """
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return 0
     if len(words) <= width:
-        return _hash(b" ".join(words))
-    hashes = np.fromiter(map(_hash, map(b" ".join, zip(*(words[i:] for i in range(width))))), np.uint64, len(words) - width + 1)
-    bits = np.zeros(64, np.int64)
+        hashes = np.array([_hash(b" ".join(words))], np.uint64)
+    else:
+        hashes = np.fromiter(map(_hash, map(b" ".join, zip(*(words[i:] for i in range(width))))), np.uint64, len(words) - width + 1)
+    if not repeats:
+        hashes = np.unique(hashes)
+    bits = np.zeros((lanes, 64), np.int64)
     for i in range(0, len(hashes), 1 << 16):  # whole texts, in slices of bounded memory
-        bits += np.unpackbits(hashes[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(bits * 2 > len(hashes)).tobytes(), "big")
+        for k, lane in enumerate(_lanes(hashes[i : i + (1 << 16)], lanes)):
+            bits[k] += np.unpackbits(lane.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(bits.ravel() * 2 > len(hashes)).tobytes(), "big")
+
+
+def _names(lanes: int) -> list[str]:
+    return ["fp", *(f"fp{k}" for k in range(1, lanes))]
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def _split(print_: int, lanes: int) -> list[int]:
+    """A fingerprint as signed longs, one for each lane."""
+    parts = [print_ >> 64 * (lanes - 1 - k) & ((1 << 64) - 1) for k in range(lanes)]
+    return [x - (1 << 64) if x >> 63 else x for x in parts]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row, as a signed long; row by row, without a shuffle."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, lanes: int = 1, repeats: bool = True) -> DataFrame:
+    """(doc_id, fp, ...): the fingerprint of every row, a signed long for each lane; row by row, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [_signed(fingerprint(t.as_py(), width)) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            parts = [_split(fingerprint(t.as_py(), width, lanes, repeats), lanes) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([p[k] for p in parts], pa.int64()) for k in range(lanes))], ["doc_id", *_names(lanes)])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    kind = ", ".join(f"{n} long" for n in ["doc_id", *_names(lanes)])
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, kind)
 
 
-def _plan(max_distance: int) -> tuple[int, int, list[tuple[int, ...]]]:
-    """(guaranteed matches, positions looked at, posting keys).
+def _plan(max_distance: int, lanes: int = 1) -> tuple[int, list[tuple[int, ...]]]:
+    """(matches that a pair must have, posting keys as positions of bytes).
 
-    Fingerprints that differ in d bits differ in d bytes at most, so 8 - d positional bytes match. Of the first
-    ``seen`` positions at least ``seen - d`` match; each choice of so many positions is one posting key. As many
-    positions are seen as leave keys of three bytes, which keeps the lists short.
+    One lane: fingerprints that differ in d bits differ in d bytes at most, so 8 - d positional bytes are guaranteed
+    to match. Of the first d + 3 positions at least three match; each choice of so many is one posting key. This
+    finds every pair. Several lanes are for distances that guarantee no byte: two bytes that match within four
+    neighbouring positions are a key. A pair of texts with four fifths of their shingles in common has each byte of
+    four lanes in common with probability 0.27, and is met with 0.93; closer pairs nearly always.
     """
-    seen = min(BYTES, max_distance + 3)
-    return BYTES - max_distance, seen, list(combinations(range(seen), seen - max_distance))
-
-
-def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE) -> DataFrame:
-    """(u, v): links that connect the same fingerprints as all pairs within max_distance differing bits do.
-
-    reps(fp, rep): one row for each distinct fingerprint. The index maps (positions, their bytes) to postings. Pairs
-    in a list tally the positional bytes they share, those below the guaranteed minimum are dropped, the rest are
-    verified by counting differing bits. A pair that meets in several lists is tallied only in the first. A list
-    longer than ``tile`` is cut into blocks that meet two by two, in tasks of bounded size, so no key, however
-    common, falls to one task; and each tile returns a spanning forest, never all its pairs.
+    if lanes == 1:
+        if not 0 <= max_distance < BYTES:
+            raise ValueError("max_distance must be 0 to 7 for an index on 8 positional bytes")
+        seen = min(BYTES, max_distance + 3)
+        return BYTES - max_distance, list(combinations(range(seen), seen - max_distance))
+    return 2, [(at + a, at + b) for at in range(0, BYTES * lanes, 4) for a, b in combinations(range(4), 2)]
+
+
+def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE, lanes: int = 1) -> DataFrame:
+    """(u, v): links that connect the same fingerprints as the pairs found within max_distance differing bits do.
+
+    reps(fp, ..., rep): one row for each distinct fingerprint. The index maps (positions, their bytes) to postings.
+    Pairs in a list tally the positional bytes they share, those below the minimum are dropped, the rest are verified
+    by counting differing bits. A pair that meets in several lists counts only in the first. A list longer than
+    ``tile`` is cut into blocks that meet two by two, in tasks of bounded size, so no key, however common, falls to
+    one task; and each task returns a spanning forest, never all its pairs.
     """
-    if not 0 <= max_distance < BYTES:
-        raise ValueError("max_distance must be 0 to 7 for an index on 8 positional bytes")
-    need, seen, keys = _plan(max_distance)
-    byte = lambda p: F.shiftrightunsigned("fp", 8 * (BYTES - 1 - p)).bitwiseAND(F.lit(255))
+    need, keys = _plan(max_distance, lanes)
+    names = _names(lanes)
+    byte = lambda p: F.shiftrightunsigned(names[p // BYTES], 8 * (BYTES - 1 - p % BYTES)).bitwiseAND(F.lit(255))
     code = lambda k, ps: sum((F.shiftleft(byte(p), 8 * i) for i, p in enumerate(ps)), F.lit(k).cast("long") * F.lit(1 << 8 * len(ps)))
-    posts = reps.select("fp", "rep", F.explode(F.array(*(code(k, ps) for k, ps in enumerate(keys)))).alias("key"))
+    posts = reps.select(*names, "rep", F.explode(F.array(*(code(k, ps) for k, ps in enumerate(keys)))).alias("key"))
     long_lists = small(posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile), "simhash-long-lists")
     blocks = F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)).cast("int")
     dealt = posts.join(long_lists.select(fresh("key").alias("k"), "n"), F.col("key") == F.col("k"), "left").withColumn("blocks", blocks)
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    dealt = dealt.select("fp", "rep", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "fp", "rep")
-
-    first = np.full(1 << seen, -1, np.int64)
-    for k in range(len(keys) - 1, -1, -1):
-        for m in range(1 << seen):
-            if all(m >> p & 1 for p in keys[k]):
-                first[m] = k
-    shift = 8 * len(keys[0])
-
-    def tally(key: np.ndarray, tiles: np.ndarray, own: np.ndarray, fp: np.ndarray, rep: np.ndarray, forest: Forest) -> None:
+    own = F.pmod(F.xxhash64(*names), F.col("blocks")).cast("int")
+    dealt = dealt.select(*names, "rep", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", *names)
+    positions, shift = np.array(keys), 8 * len(keys[0])
+
+    def tally(key: np.ndarray, i: np.ndarray, j: np.ndarray, own: np.ndarray, rep: np.ndarray, prints: np.ndarray, forest: Forest) -> None:
         """Every pair of rows in the same tile, at distance 1, 2, 3 ... in the sorted rows, until no tile is as long."""
-        left = np.arange(len(fp) - 1)
-        step = 1
-        crossed = tiles[:, 0] != tiles[:, 1]
+        begins = np.ones(len(key), bool)
+        begins[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        tile_of, crossed = np.cumsum(begins), i != j
+        left, step = np.arange(len(key)), 1
         while len(left):
-            left = left[(left + step < len(fp))]
-            right = left + step
-            same = (key[left] == key[right]) & (tiles[left] == tiles[right]).all(axis=1)
-            left, right = left[same], right[same]
-            ask = ~crossed[left] | (own[left] != own[right])
-            a, b = left[ask], right[ask]
-            if len(a):
-                differ = fp[a] ^ fp[b]
-                shared = differ.astype(">u8").view(np.uint8).reshape(-1, BYTES) == 0
-                enough = shared.sum(axis=1) >= need
-                a, b, differ, shared = a[enough], b[enough], differ[enough], shared[enough]
-                mask = (shared[:, :seen].astype(np.int64) << np.arange(seen)).sum(axis=1)
-                true = (np.bitwise_count(differ) <= max_distance) & (first[mask] == key[a] >> shift)
-                for x, y in zip(rep[a[true]].tolist(), rep[b[true]].tolist()):
-                    forest.union(x, y)
+            left = left[left + step < len(key)]
+            left = left[tile_of[left] == tile_of[left + step]]
+            a = left[~crossed[left] | (own[left] != own[left + step])]
+            for at in range(0, len(a), 1 << 16):
+                x = a[at : at + (1 << 16)]
+                differ = prints[x] ^ prints[x + step]
+                shared = differ.view(np.uint8) == 0
+                enough = np.nonzero((shared.sum(axis=1) >= need) & (np.bitwise_count(differ).sum(axis=1) <= max_distance))[0]
+                if len(enough):
+                    first = shared[enough][:, positions].all(axis=2).argmax(axis=1)
+                    x = x[enough[first == key[x[enough]] >> shift]]
+                    for u, v in zip(rep[x].tolist(), rep[x + step].tolist()):
+                        forest.union(u, v)
             step += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, held = Forest(), None
         for b in batches:
-            now = [b.column(i).to_numpy() for i in range(6)]
+            now = [b.column(n).to_numpy() for n in range(5)]
+            # bytes in the order of positions, so that a byte's place in memory is its position
+            now.append(np.stack([b.column(5 + n).to_numpy().astype(">i8").view(np.uint64) for n in range(lanes)], axis=1))
             if held is not None:
                 now = [np.concatenate([x, y]) for x, y in zip(held, now)]
             key, i, j = now[:3]
             # the last tile may go on in the next batch; a tile has about 2 * TILE rows, so what is held is bounded
-            last = (key == key[-1]) & (i == i[-1]) & (j == j[-1])
+            last = (key == key[-1]) & (i == i[-1]) & (j == j[-1]) if len(key) else np.zeros(0, bool)
             cut = int(np.argmax(last)) if len(key) else 0
-            tally(key[:cut], np.stack([i[:cut], j[:cut]], 1), now[3][:cut], now[4][:cut].view(np.uint64), now[5][:cut], forest)
+            tally(*(x[:cut] for x in now), forest)
             held = [x[cut:] for x in now]
             if len(forest.parent) > 200_000:
                 yield from emit(forest)
                 forest = Forest()
         if held is not None:
-            key, i, j = held[:3]
-            tally(key, np.stack([i, j], 1), held[3], held[4].view(np.uint64), held[5], forest)
+            tally(*held, forest)
         yield from emit(forest)
 
     def emit(forest: Forest) -> Iterator[pa.RecordBatch]:
@@ -145,37 +167,45 @@ def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE) -> DataFrame
         for at in range(0, len(nodes), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(nodes[at : at + 50_000], pa.int64()), pa.array(roots[at : at + 50_000], pa.int64())], ["u", "v"])
 
-    sorted_tiles = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_tiles.select("key", "i", "j", "own", "fp", "rep").mapInArrow(run, "u long, v long")
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_distance: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_distance: int = 3, lanes: int = 1, repeats: bool = True) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs, other columns are ignored.
 
-    fingerprint: 16 lower-case hex digits. Rows link if their fingerprints differ in at most max_distance bits;
-    component_id is the smallest id reachable, itself included. Null and empty texts have fingerprint zero and link
-    like any other. Repeated rows stay repeated and share their component; a row with a null id keeps its fingerprint
-    and takes the component of its fingerprint (null if no other row has an id there). Empty table: no rows.
+    fingerprint: 16 lower-case hex digits a lane. Rows link if their fingerprints differ in at most max_distance bits
+    (with several lanes, nearly all such rows: see _plan); component_id is the smallest id reachable, itself included.
+    Null and empty texts have fingerprint zero and link like any other. Repeated rows stay repeated and share their
+    component; a row with a null id keeps its fingerprint and takes the component of its fingerprint (null if no other
+    row has an id there). Empty table: no rows.
     """
-    prints, _ = settle(fingerprints(docs, id_col, text_col, width), "simhash-prints")
-    reps, _ = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-reps")
-    found = components(links(reps.where("rep is not null"), max_distance), "simhash-components")
+    names = _names(lanes)
+    prints, _ = settle(fingerprints(docs, id_col, text_col, width, lanes, repeats), "simhash-prints")
+    reps, _ = settle(prints.groupBy(*names).agg(F.min("doc_id").alias("rep")), "simhash-reps")
+    found = components(links(reps.where("rep is not null"), max_distance, lanes=lanes), "simhash-components")
     classes = reps.join(found.select(fresh("node").alias("node"), "component"), F.col("rep") == F.col("node"), "left")
-    classes = classes.select(fresh("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(classes, F.col("fp") == F.col("class_fp"), "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = classes.select(*(fresh(n).alias(f"class_{n}") for n in names), F.coalesce("component", "rep").alias("component_id"))
+    same = reduce(lambda a, b: a & b, [F.col(n) == F.col(f"class_{n}") for n in names])
+    digits = F.concat(*(F.lower(F.lpad(F.hex(n), 16, "0")) for n in names))
+    return prints.join(classes, same, "left").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """docs without near-duplicates: of each group the row with the smallest id stays, with all its columns.
 
-    Rows that share that id (repeated rows) are reduced to the first by text; rows whose id is null stay only if
-    nothing else has their fingerprint.
+    Of rows that share such an id (repeated rows) the first by text and the other columns stays. Rows with a null id
+    go, as nothing can name them. Whole rows are not shuffled while the ids to drop are few enough to broadcast.
     """
-    found = near_duplicates(docs, id_col, text_col, **how)
-    keep = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    keep, _ = settle(keep, "simhash-keep")
-    mine = keep.select(fresh("doc_id").alias("_kept_id"), F.col("copies").alias("_copies"))
-    rows = docs.join(mine, F.col(id_col).cast("long") == F.col("_kept_id"))
-    once = rows.where("_copies = 1").drop("_kept_id", "_copies")
-    again = rows.where("_copies > 1").drop("_kept_id", "_copies")
-    return once.unionByName(again.dropDuplicates([id_col]))
+    found = near_duplicates(docs, id_col, text_col, **how).where("doc_id is not null")
+    each = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count(F.lit(1)).alias("rows"))
+    each, _ = settle(each, "simhash-ids")
+    dropped = small(each.where("not kept").select(fresh("doc_id").alias("_gone")), "simhash-dropped")
+    repeated = small(each.where("kept and rows > 1").select(fresh("doc_id").alias("_again")), "simhash-repeated")
+    own = F.col(id_col).cast("long")
+    once = docs.where(own.isNotNull()).join(dropped, own == F.col("_gone"), "left_anti")
+    if repeated.isEmpty():
+        return once
+    others = [c for c in docs.columns if c != text_col]
+    again = docs.join(repeated, own == F.col("_again"), "left_semi")
+    first = again.groupBy(own.alias("_id")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in (text_col, *others)))).alias("_row"))
+    return once.join(repeated, own == F.col("_again"), "left_anti").unionByName(first.select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns)))

@@ -59,7 +59,6 @@ class PieceCounter:
         self.together = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
         self.apart = "".join(c for c in "\n\t\r0123456789" if not any(c in x for x in self.together))
         self.pieces = pieces
-        self.cost: dict[str, int] = {}  # of a symbol that stays alone
         self.runs = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.cache: dict[str, int] = {}
 

@@ -71,6 +71,25 @@ def test_links_connect_what_all_pairs_do(spark, distance, tile):
     assert brute_components(nodes, got) == brute_components(nodes, want)
 
 
+def test_wide_fingerprints_meet_near_copies(spark):
+    """Edited copies of long texts: nearly all pairs with 0.8 of their shingles in common share a group, no others do."""
+    rng = random.Random(8)
+    rows, base = [], []
+    for n in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        rows.append((10 * n, " ".join(words)))
+        for k in range(3):
+            copy = list(words)
+            for at in rng.sample(range(200), 1 + 2 * k):
+                copy[at] = "changed"
+            rows.append((10 * n + 1 + k, " ".join(copy)))
+    found = S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **S.NEAR).collect()
+    assert all(len(r.fingerprint) == 64 and r.component_id // 10 == r.doc_id // 10 for r in found)
+    assert sum(r.component_id % 10 == 0 for r in found) >= 0.97 * len(rows)
+    assert S.fingerprint("a b c d", 3, 4) >> 192 == S.fingerprint("a b c d", 3)
+    assert S.fingerprint("x " * 50 + "a b c d e f g", 5, 1, False) != S.fingerprint("x " * 50 + "a b c d e f g", 5)
+
+
 def test_near_duplicates_table(spark):
     text = " ".join(f"word{i * i % 97}" for i in range(200))
     rows = [(5, text, "a"), (3, text + " end", "b"), (9, None, "c"), (8, "", "d"), (7, " ", None), (1, "else entirely here now", "e"), (1, "else entirely here now", "e"), (None, text, "f")]

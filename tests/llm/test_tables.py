@@ -211,7 +211,8 @@ def test_pipeline_agrees_with_brute_force(spark, tmp_path):
     df.write.parquet(str(tmp_path / "documents.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     kept = [r for r in rows if r[1] is not None and any(c.isalpha() for c in r[1])]
-    prints = [(S.fingerprint(r[1]), r) for r in kept]
+    near = {k: v for k, v in S.NEAR.items() if k != "max_distance"}
+    prints = [(S.fingerprint(r[1], **near), r) for r in kept]
     stays, parent = [], {r[0]: r[0] for r in kept}
 
     def find(x):
@@ -219,7 +220,7 @@ def test_pipeline_agrees_with_brute_force(spark, tmp_path):
 
     for k, (p, r) in enumerate(prints):
         for q, s in prints[:k]:
-            if (p ^ q).bit_count() <= 3:
+            if (p ^ q).bit_count() <= S.NEAR["max_distance"]:
                 x, y = find(r[0]), find(s[0])
                 parent[max(x, y)] = min(x, y)
     stays = [r for r in kept if find(r[0]) == r[0]]
