@@ -100,7 +100,7 @@ class Writer:
     def __init__(self, path: str, dictionary: bytes):
         store, where = open_store(path)
         self.path, self.records, self.bytes = path, 0, 0
-        self.out = store.open_output_stream(where)
+        self.out = store.open_output_stream(where, compression=None)  # the name would choose a second compression
         self.dictionary = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         self.packer = zstandard.ZstdCompressor(level=3, dict_data=self.dictionary, write_content_size=True, write_checksum=True)
         if dictionary:
@@ -148,8 +148,12 @@ def read(stream: io.RawIOBase, chunk: int = 1 << 20) -> Iterator[bytes]:
 def train(pages: DataFrame, html_col: str) -> bytes:
     """A dictionary from a bounded sample of pages, drawn by a hash of their content; empty if there is too little."""
     html = F.col(html_col).cast("string")
-    sample = pages.where(html.isNotNull() & (F.octet_length(html) <= DICTIONARY_PAGE_BYTES)).select(html.alias("html"))
-    texts = [r.html.encode() for r in sample.orderBy(F.xxhash64("html"), "html").limit(DICTIONARY_PAGES).collect()]
+    usable = pages.where(html.isNotNull() & (F.octet_length(html) <= DICTIONARY_PAGE_BYTES)).select(html.alias("html"), F.xxhash64(html).alias("h"))
+    # hashes alone find the bound; only the pages below it, each once, come to the driver
+    bound = usable.select("h").distinct().orderBy("h").limit(DICTIONARY_PAGES).agg(F.max("h").alias("h")).first().h
+    if bound is None:
+        return b""
+    texts = [r.html.encode() for r in usable.where(F.col("h") <= bound).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect()]
     if sum(map(len, texts)) < 8 * DICTIONARY_BYTES:
         return b""
     try:
@@ -218,7 +222,7 @@ def read_archives(paths: DataFrame) -> DataFrame:
             for path in b.column(0).to_pylist():
                 store, where = open_store(path)
                 out, held = [], 0
-                with store.open_input_stream(where) as stream:
+                with store.open_input_stream(where, compression=None) as stream:
                     for n, raw in enumerate(read(stream)):
                         try:
                             got = parse(raw)
