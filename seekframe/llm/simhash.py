@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial, reduce
 from itertools import combinations
 
@@ -36,19 +36,25 @@ def _lanes(hashes: np.ndarray, lanes: int) -> Iterator[np.ndarray]:
         yield x ^ (x >> np.uint64(31))
 
 
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """Hashes of the word shingles of one text, in order and with repeats; words as for ``fingerprint``."""
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    if len(words) <= width:
+        return np.array([_hash(b" ".join(words))], np.uint64)
+    return np.fromiter(map(_hash, map(b" ".join, zip(*(words[i:] for i in range(width))))), np.uint64, len(words) - width + 1)
+
+
 def fingerprint(text: str | None, width: int = 3, lanes: int = 1, repeats: bool = True) -> int:
     """SimHash of 64 bits a lane of the word shingles of one text, as an unsigned number (the first lane leads).
 
     A-Z are lower-cased, words are runs of anything but ASCII white space, repeated shingles count each time (or once,
     if not ``repeats``). Fewer words than ``width``: the whole sequence is the one shingle. No words, or null: 0.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not words:
+    hashes = shingle_hashes(text, width)
+    if not len(hashes):
         return 0
-    if len(words) <= width:
-        hashes = np.array([_hash(b" ".join(words))], np.uint64)
-    else:
-        hashes = np.fromiter(map(_hash, map(b" ".join, zip(*(words[i:] for i in range(width))))), np.uint64, len(words) - width + 1)
     if not repeats:
         hashes = np.unique(hashes)
     bits = np.zeros((lanes, 64), np.int64)
@@ -190,22 +196,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(classes, same, "left").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without near-duplicates: of each group the row with the smallest id stays, with all its columns.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find: Callable[..., DataFrame] = near_duplicates, **how) -> DataFrame:
+    """docs without near-duplicates: of each group that ``find`` makes one row stays, with all its columns.
 
-    Of rows that share such an id (repeated rows) the first by text and the other columns stays. Rows with a null id
-    go, as nothing can name them. Whole rows are not shuffled while the ids to drop are few enough to broadcast.
+    That is the row with the smallest id, null ids last, then by a hash of the whole row; rows that agree in all
+    columns leave one. Whole rows are not shuffled while those to drop are few enough to broadcast.
     """
-    found = near_duplicates(docs, id_col, text_col, **how).where("doc_id is not null")
-    each = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count(F.lit(1)).alias("rows"))
-    each, _ = settle(each, "simhash-ids")
-    dropped = small(each.where("not kept").select(fresh("doc_id").alias("_gone")), "simhash-dropped")
-    repeated = small(each.where("kept and rows > 1").select(fresh("doc_id").alias("_again")), "simhash-repeated")
-    own = F.col(id_col).cast("long")
-    once = docs.where(own.isNotNull()).join(dropped, own == F.col("_gone"), "left_anti")
+    marked = docs.withColumn("_mark", F.xxhash64(*(x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull()))))
+    found = find(marked, "_mark", text_col, **how).groupBy("doc_id").agg(F.min("component_id").alias("group"), F.count(F.lit(1)).alias("rows"))
+    ids = marked.groupBy(F.col("_mark").alias("mark")).agg(F.min(F.col(id_col).cast("long")).alias("id"))
+    each, _ = settle(found.join(ids, F.col("doc_id") == F.col("mark")).select("mark", "id", "group", "rows"), "simhash-marks")
+    best = each.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"))
+    best = best.select(fresh("group").alias("_group"), F.col("best.mark").alias("best"))
+    each, _ = settle(each.join(best, F.col("group") == F.col("_group")).select("mark", "rows", (F.col("mark") == F.col("best")).alias("kept")), "simhash-ids")
+    dropped = small(each.where("not kept").select(fresh("mark").alias("_gone")), "simhash-dropped")
+    repeated = small(each.where("kept and rows > 1").select(fresh("mark").alias("_again")), "simhash-repeated")
+    once = marked.join(dropped, F.col("_mark") == F.col("_gone"), "left_anti")
     if repeated.isEmpty():
-        return once
-    others = [c for c in docs.columns if c != text_col]
-    again = docs.join(repeated, own == F.col("_again"), "left_semi")
-    first = again.groupBy(own.alias("_id")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in (text_col, *others)))).alias("_row"))
-    return once.join(repeated, own == F.col("_again"), "left_anti").unionByName(first.select(*(F.col(f"_row.`{c}`").alias(c) for c in docs.columns)))
+        return once.drop("_mark")
+    again = marked.join(repeated, F.col("_mark") == F.col("_again"), "left_semi").dropDuplicates(["_mark"])
+    return once.join(repeated, F.col("_mark") == F.col("_again"), "left_anti").unionByName(again).drop("_mark")
