@@ -1,9 +1,9 @@
 """A corpus pipeline in four stages. Each takes (spark, docs, sf_dir) and returns the next stage's documents.
 
 1. language: fits the language model on the documents it gets and drops those of no language (null text, or no letter).
-2. near_duplicates: keeps one document, that with the smallest id, of each group that SimHash links. The query of the
-   operator links at 3 of 64 bits over three words; near copies with four fifths of their five-word shingles in common
-   differ in more, so this stage uses 256 bits (simhash.NEAR).
+2. near_duplicates: keeps one document, that with the smallest id, of each group of near copies: texts with four fifths
+   of their distinct five-word shingles in common, found exactly (shingles.near_copies). The query of the operator links
+   at 3 of 64 SimHash bits over three words, which such copies don't meet, and no number of bits decides that similarity.
 3. mixture: brings the sources to their target weights; a document comes as often as the mix takes it.
 4. tokens: encodes every row and returns its token count and digests.
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seekframe.llm import bpe, language_id, mixing, simhash
+from seekframe.llm import bpe, language_id, mixing, shingles, simhash
 from seekframe.llm.common import settle, table
 
 
@@ -24,7 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs, **simhash.NEAR)
+    return simhash.keep_one(docs, find=shingles.near_copies)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("mixture", mixture), ("tokens", tokens)]
 
-#: SQL can express neither the mixture inference, nor SimHash over XXH64, nor BPE; tests/llm hold run() against a
+#: SQL can express neither the mixture inference, nor shingles over XXH64, nor BPE; tests/llm hold run() against a
 #: brute-force version.
 ORACLE_SQL = None
 
