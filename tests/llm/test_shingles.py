@@ -60,3 +60,30 @@ def test_distinct_texts_are_all_kept(spark):
     """Pairs at 0.6 to just below 0.8 are no copies, though many differ in few SimHash bits."""
     rows = pairs(1, 0.6, 0.75, 60) + [(i + 1000, t) for i, t in pairs(2, 0.75, 0.8, 60)]
     assert kept(spark, rows) == [i for i, _ in rows]
+
+
+def test_every_near_copy_is_found(spark):
+    """Groups of two at 0.8 and just above, which no third copy can connect."""
+    rows = pairs(3, 0.8, 0.84, 150)
+    assert kept(spark, rows) == [i for i, _ in rows if i % 2 == 0]
+
+
+@pytest.mark.parametrize("common, most", [(5, 200_000), (2, 50), (10**9, 10)])
+def test_groups_agree_with_brute_force(spark, monkeypatch, common, most):
+    """Chains, a large group of copies, short texts, and a passage that many unlike texts share; any order of shingles."""
+    monkeypatch.setattr(J, "COMMON", common)
+    monkeypatch.setattr(J, "MOST_COMMON", most)
+    rng, texts = random.Random(4), []
+    passage = [f"p{i}" for i in range(12)]
+    base = [f"b{i}" for i in range(60)]
+    texts += [edited(base, rng, rng.randrange(4)) for _ in range(80)]
+    for _ in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(3, 60))]
+        texts.append(words + passage)
+        for _ in range(3):
+            words = edited(words, rng, 1)
+            texts.append(words + passage)
+    texts += [["a", "b"], ["A", "b"], ["a", "b", "c"], [], ["c"]] + [[f"s{i}" for i in range(n)] for n in range(4, 16)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(len(texts), None)]
+    assert kept(spark, rows) == brute_kept(rows)
