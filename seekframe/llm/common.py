@@ -6,12 +6,16 @@ import atexit
 import tempfile
 import uuid
 
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows up to which a table is broadcast; the rows of every table that is broadcast here are a few longs or short
-#: strings, so this bounds the broadcast to some tens of MB.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes of text up to which a table is broadcast; besides texts, its rows are a few longs.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+
+#: Spark's setting by which a query's shuffle files are deleted when it has ended.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_dir: list[str] = []
 _written: list[tuple[SparkSession, str]] = []
@@ -37,12 +41,41 @@ def work_dir(spark: SparkSession) -> str:
     return f"file://{_local_dir[0]}"
 
 
+def open_store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a URI or plain path, and the path in it."""
+    return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1) if uri.startswith("file:") else f"file://{uri}")
+
+
+def new_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder for files of tasks' own, in the shared folder."""
+    path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    store, where = open_store(path)
+    store.create_dir(where)
+    _written.append((spark, path))
+    return path
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop's file system, so that any shared store will do."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def written() -> int:
+    """A mark: how many tables and folders have been written so far."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int, keep: str, last: str | None = None) -> None:
+    """Remove what was written after a mark, and the table ``last``, but for the table at ``keep``."""
+    for _, path in _written[since:]:
+        if path != keep:
+            remove(spark, path)
+    if last is not None:
+        remove(spark, last)
+    _written[since:] = [x for x in _written[since:] if x[1] == keep]
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:
@@ -53,10 +86,18 @@ def _clean() -> None:
 
 
 def settle(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """Write df to the shared folder and read it back: cuts lineage, and survives the loss of any executor."""
+    """Write df to the shared folder and read it back: cuts lineage, and survives the loss of any executor.
+
+    The shuffles that made it aren't needed any more once it is written, so their files go then.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -72,6 +113,16 @@ def fresh(column: Column | str, kind: str = "long") -> Column:
 
 
 def small(df: DataFrame, tag: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, written once; marked for broadcast only if it turned out to have at most so many rows."""
+    """df, written once; marked for broadcast only if it turned out to have at most so many rows, and bytes of text."""
     kept, _ = settle(df, tag)
-    return F.broadcast(kept) if kept.count() <= rows else kept
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    found = kept.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(sum(texts, F.lit(0).cast("long"))), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(kept) if found.n <= rows and found.bytes <= BROADCAST_BYTES else kept
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while (name := f"_{name}") in taken:
+        pass
+    return name
