@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import math
+from collections import OrderedDict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import settle
+from seekframe.llm.common import new_folder, open_store, settle
 
 #: False positive rates of the first level and of all others.
 FIRST_RATE, NEXT_RATE = 0.02, 0.5
-#: A filter that would be larger isn't sent to executors; membership then comes from a shuffled join.
-MOST_BYTES = 64 << 20
+#: Bytes of one shard of a level, about. Keys are dealt to shards by a hash, so a list of any size has the same method.
+SHARD_BYTES = 4 << 20
+#: Bytes of shards that a worker process holds at once, read from the shared folder when they are first asked for.
+HELD_BYTES = 64 << 20
 MOST_LEVELS = 64
 
 # The rules of the registered query, as (host and path, verdict).
@@ -31,20 +35,42 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_held: OrderedDict[str, np.ndarray] = OrderedDict()
+
+
+def _shard(path: str) -> np.ndarray:
+    """The words of one shard; the last ones used stay in memory, up to HELD_BYTES."""
+    if path in _held:
+        _held.move_to_end(path)
+        return _held[path]
+    store, where = open_store(path)
+    with store.open_input_stream(where, compression=None) as stream:
+        words = np.frombuffer(stream.read(), np.uint64)
+    _held[path] = words
+    while len(_held) > 1 and sum(w.nbytes for w in _held.values()) > HELD_BYTES:
+        _held.popitem(last=False)
+    return words
+
+
 @dataclass(frozen=True)
 class Bloom:
-    """One level: a bit array that keys, given as two 64-bit hashes, are entered in at ``probes`` places."""
+    """One level: bit arrays, one for each shard of the keys, in which a key, given as two 64-bit hashes, has ``probes`` places."""
 
     level: int
     bits: int
     probes: int
-    words: np.ndarray = field(repr=False)
+    paths: tuple[str | None, ...]
 
     @staticmethod
     def shape(keys: int, rate: float) -> tuple[int, int]:
+        """(bits, probes) for so many keys."""
         bits = max(64, math.ceil(-max(keys, 1) * math.log(rate) / math.log(2) ** 2))
         return -(-bits // 64) * 64, max(1, round(bits / max(keys, 1) * math.log(2)))
 
+    @staticmethod
+    def shards(number: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (_mix(a ^ (b * np.uint64(0x9E3779B97F4A7C15))) % np.uint64(number)).astype(np.int64)
+
     @staticmethod
     def places(level: int, bits: int, probes: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """(keys, probes) bit numbers; each level hashes anew, so its errors don't depend on those of others."""
@@ -53,8 +79,14 @@ class Bloom:
         return (a[:, None] + b[:, None] * np.arange(probes, dtype=np.uint64)) % np.uint64(bits)
 
     def has(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        at = self.places(self.level, self.bits, self.probes, a, b)
-        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).all(axis=1)
+        out = np.zeros(len(a), bool)
+        shards = self.shards(len(self.paths), a, b)
+        for shard in np.unique(shards):
+            if self.paths[shard] is not None:  # a shard without keys was never written
+                mine = np.nonzero(shards == shard)[0]
+                at = self.places(self.level, self.bits, self.probes, a[mine], b[mine])
+                out[mine] = (_shard(self.paths[shard])[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).all(axis=1)
+        return out
 
 
 def _hashes(key: Column) -> tuple[Column, Column]:
@@ -67,8 +99,8 @@ class Cascade:
     Level 0 holds the listed keys, level 1 the universe's other keys that pass level 0, level 2 the listed keys that
     pass level 1, and so on, until nothing passes. The first level that a key fails tells: an odd one, it is listed;
     an even one, it isn't. A key that fails none is listed if the number of levels is odd. This is exact for all keys
-    of the universe (and says nothing about others), so lookups need neither the list nor a join. What is kept and
-    sent grows with the list, not with the corpus; the bound is checked while building.
+    of the universe (and says nothing about others), so lookups need neither the list nor a join. The bits grow with
+    the list, not with the corpus; they are files of bounded size in the shared folder, of which a worker holds a few.
     """
 
     def __init__(self, levels: list[Bloom]):
@@ -86,8 +118,8 @@ class Cascade:
         return listed
 
     @staticmethod
-    def build(listed: DataFrame, universe: DataFrame, first_rate: float = FIRST_RATE, next_rate: float = NEXT_RATE, most_bytes: int = MOST_BYTES) -> Cascade | None:
-        """From listed(key) and universe(key), which may hold repeated keys; None if a filter would exceed most_bytes."""
+    def build(listed: DataFrame, universe: DataFrame, first_rate: float = FIRST_RATE, next_rate: float = NEXT_RATE, shard_bytes: int = SHARD_BYTES) -> Cascade:
+        """From listed(key) and universe(key), which may hold repeated keys; null keys are left out."""
         pairs = lambda df: df.where("key is not null").select(_hashes(F.col("key"))[0].alias("a"), _hashes(F.col("key"))[1].alias("b"))
         inside, _ = settle(pairs(listed).distinct(), "cascade-listed")
         levels: list[Bloom] = []
@@ -96,10 +128,9 @@ class Cascade:
             keys = due.count()
             if not keys:
                 return Cascade(levels)
-            bits, probes = Bloom.shape(keys, first_rate if n == 0 else next_rate)
-            if bits // 8 > most_bytes:
-                return None
-            levels.append(_enter(due, n, bits, probes))
+            rate = first_rate if n == 0 else next_rate
+            shards = -(-Bloom.shape(keys, rate)[0] // (8 * shard_bytes))
+            levels.append(_enter(due, n, *Bloom.shape(-(-keys // shards), rate), shards))
             if n == 0:  # from here on only those keys of the universe matter that pass level 0 and aren't listed
                 passed = _passing(pairs(universe), levels[0]).distinct()
                 other, _ = settle(passed.join(inside, ["a", "b"], "left_anti"), "cascade-passed")
@@ -109,30 +140,54 @@ class Cascade:
         raise ValueError("the cascade doesn't end: a listed key and another one have the same two hashes")
 
 
-def _enter(keys: DataFrame, level: int, bits: int, probes: int) -> Bloom:
-    """A level's bits, set on the executors and combined by word; the driver gets the finished filter alone."""
+def _enter(keys: DataFrame, level: int, bits: int, probes: int, shards: int) -> Bloom:
+    """A level's bits, set on the executors, combined by word and written there; the driver gets the files' names alone."""
+    spark = keys.sparkSession
+    folder = new_folder(spark, f"cascade-bits-{level}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(i).to_numpy().view(np.uint64) for i in range(2))
-            at = np.unique(Bloom.places(level, bits, probes, a, b))
+            at = Bloom.places(level, bits, probes, a, b) + (Bloom.shards(shards, a, b).astype(np.uint64) * np.uint64(bits))[:, None]
+            at = np.unique(at)
             word, first = np.unique(at >> np.uint64(6), return_index=True)
             set_bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
-            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(set_bits.view(np.int64))], ["word", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array((word // np.uint64(bits // 64)).astype(np.int32)), pa.array((word % np.uint64(bits // 64)).astype(np.int64)), pa.array(set_bits.view(np.int64))], ["shard", "word", "bits"])
 
-    rows = keys.select("a", "b").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words = np.zeros(bits // 64, np.uint64)
-    words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return Bloom(level, bits, probes, words)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by shard; a shard's file is closed when the next begins. A repeated task writes other names."""
+        name = f"{folder}/{TaskContext.get().taskAttemptId()}"
+        held, words = None, np.zeros(bits // 64, np.uint64)
 
+        def close() -> pa.RecordBatch:
+            store, where = open_store(f"{name}-{held}")
+            with store.open_output_stream(where, compression=None) as out:
+                out.write(words.tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([f"{name}-{held}"])], ["shard", "path"])
 
-def _passing(keys: DataFrame, level: Bloom) -> DataFrame:
-    shared = keys.sparkSession.sparkContext.broadcast(level)
+        for batch in batches:
+            shard, word, found = (batch.column(i).to_numpy() for i in range(3))
+            for s in np.unique(shard).tolist():
+                if s != held:
+                    if held is not None:
+                        yield close()
+                    held, words = s, np.zeros(bits // 64, np.uint64)
+                mine = shard == s
+                words[word[mine]] |= found[mine].view(np.uint64)
+        if held is not None:
+            yield close()
+
+    rows = keys.select("a", "b").mapInArrow(run, "shard int, word long, bits long").groupBy("shard", "word").agg(F.bit_or("bits").alias("bits"))
+    rows = rows.repartition("shard").sortWithinPartitions("shard").select("shard", "word", "bits").mapInArrow(write, "shard int, path string")
+    paths = {r.shard: r.path for r in settle(rows, "cascade-files")[0].collect()}
+    return Bloom(level, bits, probes, tuple(paths.get(s) for s in range(shards)))
 
+
+def _passing(keys: DataFrame, level: Bloom) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(i).to_numpy().view(np.uint64) for i in range(2))
-            yield batch.filter(pa.array(shared.value.has(a, b)))
+            yield batch.filter(pa.array(level.has(a, b)))
 
     return keys.select("a", "b").mapInArrow(run, "a long, b long")
 
@@ -158,50 +213,49 @@ def _candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Co
     return F.array_compact(F.array(*keys))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], blocked_hosts: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", most_bytes: int = MOST_BYTES) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]], blocked_hosts: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of pages.
 
     rules: (host followed by path, allow or block). A rule fits its host and all subdomains of it, if the url's path
     starts with the rule's; the longest fitting rule decides. Where none fits, urls of blocked_hosts(key) and their
     subdomains are blocked and all others allowed. A null url, or one without ``://``, has an empty host and path,
-    which no rule fits. Repeated rows stay, other columns are ignored.
+    which no rule fits. Repeated rows, ties of ids and null ids stay, other columns are ignored. Very long urls are
+    looked up whole, by as many of their last labels as the longest listed host has. Empty table: no rows.
 
-    One cascade holds the allowing, one the blocking rules, one the hosts; each is built against all keys that the
-    pages' urls can look up. A host list too long for a filter of most_bytes is joined instead, on shuffled keys.
+    Urls are split once and written. One cascade holds the allowing, one the blocking rules, one the hosts, however
+    many they are; each is built against all keys that the pages' urls can look up.
     """
     spark: SparkSession = pages.sparkSession
     shapes = sorted({(r.split("/", 1)[0].count(".") + 1, len(r) - len(r.split("/", 1)[0])) for r, _ in rules})
     url = F.col(url_col).cast("string")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows, _ = settle(pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path")), "urls")
     keyed = rows.withColumn("keys", _candidates(F.col("host"), F.col("path"), shapes))
     universe = keyed.select(F.explode("keys").alias("key"))
     held = []
     for verdict in ("allow", "block"):
         mine = sorted({r for r, v in rules if v == verdict})
-        held.append(Cascade.build(spark.createDataFrame([(r,) for r in mine], "key string"), universe, most_bytes=most_bytes))
-    if any(c is None for c in held):
-        raise ValueError("the rules are a parameter on the driver and must fit a filter of most_bytes")
-    # a domain name has 127 labels at most; the bound keeps junk of a million dots from a million suffixes
-    suffixes = F.expr(r"transform(sequence(1, least(127, size(split(host, '\\.')))), n -> substring_index(host, '.', -n))")
+        held.append(Cascade.build(spark.createDataFrame([(r,) for r in mine], "key string"), universe, shard_bytes=shard_bytes))
+    # a host has as many suffixes as labels; none longer than the longest listed host can be listed
+    labels = 0 if blocked_hosts is None else blocked_hosts.agg(F.max(F.size(F.split("key", r"\."))).alias("n")).first().n or 0
+    suffixes = F.expr(rf"CASE WHEN {labels} > 0 THEN transform(sequence(1, least({labels}, size(split(host, '\\.')))), n -> substring_index(host, '.', -n)) ELSE array() END").cast("array<string>")
     hosts = Cascade([])
-    if blocked_hosts is not None:
-        hosts = Cascade.build(blocked_hosts, rows.select("host").distinct().select(F.explode(suffixes).alias("key")), most_bytes=most_bytes)
+    if labels:
+        hosts = Cascade.build(blocked_hosts.select("key"), rows.select("host").distinct().select(F.explode(suffixes).alias("key")), shard_bytes=shard_bytes)
     pair = lambda arr: (F.transform(arr, lambda k: _hashes(k)[0]), F.transform(arr, lambda k: _hashes(k)[1]))
-    shared = spark.sparkContext.broadcast((held[0], held[1], hosts or Cascade([])))
+    allowed, blocked = held
     asked = keyed.withColumns({"ka": pair("keys")[0], "kb": pair("keys")[1], "ha": pair(suffixes)[0], "hb": pair(suffixes)[1]})
 
     def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.append(0, np.cumsum(np.diff(column.offsets.to_numpy())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed, blocked, by_host = shared.value
         for batch in batches:
             a, at = flat(batch.column(4))
             b, _ = flat(batch.column(5))
             yes, no = allowed.has(a, b), blocked.has(a, b)
             keys = batch.column(3).flatten()
             a, host_at = flat(batch.column(6))
-            listed = np.append(0, np.cumsum(by_host.has(a, flat(batch.column(7))[0])))
+            listed = np.append(0, np.cumsum(hosts.has(a, flat(batch.column(7))[0])))
             fallback = listed[host_at[1:]] > listed[host_at[:-1]]
             rule: list[str | None] = [None] * batch.num_rows
             verdict = np.where(fallback, "block", "allow").tolist()
@@ -212,12 +266,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], blocked_hosts: DataFra
                     rule[row], verdict[row] = key, "block" if no[k] else "allow"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(rule, pa.string()), pa.array(verdict, pa.string())], ["page_id", "host", "path", "rule", "verdict"])
 
-    out = asked.select("page_id", "host", "path", "keys", "ka", "kb", "ha", "hb").mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
-    if hosts is not None:
-        return out
-    found = rows.select("host").distinct().select("host", F.explode(suffixes).alias("key")).join(blocked_hosts, "key", "left_semi").select(F.concat("host", F.lit("")).alias("bad_host")).distinct()
-    joined = out.join(found, F.col("host") == F.col("bad_host"), "left")
-    return joined.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNull() & F.col("bad_host").isNotNull(), "block").otherwise(F.col("verdict")).alias("verdict"))
+    return asked.select("page_id", "host", "path", "keys", "ka", "kb", "ha", "hb").mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
 
 
 def oracle() -> str:
