@@ -6,17 +6,15 @@ import base64
 import hashlib
 import io
 import struct
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import fresh, settle, small, work_dir
+from seekframe.llm.common import fresh, new_folder, open_store, settle, small
 
 # Fixed values of the public formats: the magic number of the frame with the dictionary, that of a Zstandard frame,
 # and the profile of a record that refers to an earlier one with the same payload.
@@ -27,35 +25,40 @@ REQUIRED = ("warc-record-id", "content-length", "warc-date", "warc-type")
 
 #: Size at which a writer closes an archive and opens the next.
 ARCHIVE_BYTES = 64 << 20
-#: The dictionary is trained on at most so many pages, none above so many bytes: the one bound, for training alone.
-DICTIONARY_PAGES, DICTIONARY_PAGE_BYTES, DICTIONARY_BYTES = 400, 1 << 16, 1 << 15
+#: The dictionary is trained on at most so many pages, on a piece of so many characters of each: the one bound, for training alone.
+DICTIONARY_PAGES, DICTIONARY_PIECE, DICTIONARY_BYTES = 400, 1 << 15, 1 << 15
 DATE = "2024-01-01T00:00:00Z"
 
 
-def open_store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system of a URI or plain path, and the path in it."""
-    return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1) if uri.startswith("file:") else f"file://{uri}")
-
-
 def digest(payload: bytes) -> str:
     """Bare upper-case base32 of the SHA-1."""
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(kind: str, record_id: str, uri: str | None, payload: bytes, refers_to: str | None = None, date: str = DATE) -> bytes:
-    """One response or revisit record; a revisit has the HTTP header with the payload's length, but not the payload."""
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-    block = http + (payload if kind == "response" else b"")
-    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<{record_id}>"), ("WARC-Date", date)]
+def _http(length: int) -> bytes:
+    return b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % length
+
+
+def _record(kind: str, record_id: str, uri: str | None, payload_digest: str, block: bytes, refers_to: str | None) -> bytes:
+    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<{record_id}>"), ("WARC-Date", DATE)]
     if uri is not None:
         head.append(("WARC-Target-URI", "".join(uri.splitlines())))
-    head += [("WARC-Payload-Digest", f"sha1:{digest(payload)}"), ("WARC-Block-Digest", f"sha1:{digest(block)}")]
+    head += [("WARC-Payload-Digest", f"sha1:{payload_digest}"), ("WARC-Block-Digest", f"sha1:{digest(block)}")]
     if refers_to is not None:
         head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{refers_to}>")]
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     return b"\r\n".join([VERSION, *(f"{k}: {v}".encode() for k, v in head), b"", block, b"", b""])
 
 
+def response(record_id: str, uri: str | None, payload: bytes) -> bytes:
+    return _record("response", record_id, uri, digest(payload), _http(len(payload)) + payload, None)
+
+
+def revisit(record_id: str, uri: str | None, payload_bytes: int, payload_digest: str, refers_to: str) -> bytes:
+    """A record that has the HTTP header with the payload's length and the payload's digest, but not the payload."""
+    return _record("revisit", record_id, uri, payload_digest, _http(payload_bytes), refers_to)
+
+
 def parse(raw: bytes) -> dict:
     """Fields of one decoded record: headers (lower-case names), block, payload (None for a revisit), payload_bytes.
 
@@ -95,17 +98,15 @@ def parse(raw: bytes) -> dict:
 
 
 class Writer:
-    """Writes one archive: the dictionary first, if there is one, then each record in a frame of its own."""
+    """Writes one archive: the dictionary first, then each record in a frame of its own."""
 
     def __init__(self, path: str, dictionary: bytes):
         store, where = open_store(path)
         self.path, self.records, self.bytes = path, 0, 0
         self.out = store.open_output_stream(where, compression=None)  # the name would choose a second compression
-        self.dictionary = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        self.packer = zstandard.ZstdCompressor(level=3, dict_data=self.dictionary, write_content_size=True, write_checksum=True)
-        if dictionary:
-            packed = zstandard.ZstdCompressor(level=19).compress(dictionary)
-            self.put(struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed)
+        self.packer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=True, write_checksum=True)
+        packed = zstandard.ZstdCompressor(level=19).compress(dictionary)
+        self.put(struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed)
 
     def put(self, data: bytes) -> None:
         self.out.write(data)
@@ -146,66 +147,117 @@ def read(stream: io.RawIOBase, chunk: int = 1 << 20) -> Iterator[bytes]:
 
 
 def train(pages: DataFrame, html_col: str) -> bytes:
-    """A dictionary from a bounded sample of pages, drawn by a hash of their content; empty if there is too little."""
-    html = F.col(html_col).cast("string")
-    usable = pages.where(html.isNotNull() & (F.octet_length(html) <= DICTIONARY_PAGE_BYTES)).select(html.alias("html"), F.xxhash64(html).alias("h"))
-    # hashes alone find the bound; only the pages below it, each once, come to the driver
-    bound = usable.select("h").distinct().orderBy("h").limit(DICTIONARY_PAGES).agg(F.max("h").alias("h")).first().h
-    if bound is None:
-        return b""
-    texts = [r.html.encode() for r in usable.where(F.col("h") <= bound).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect()]
-    if sum(map(len, texts)) < 8 * DICTIONARY_BYTES:
-        return b""
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
-    except zstandard.ZstdError:  # the trainer refuses samples in which it finds nothing to share
-        return b""
+    """A dictionary from a bounded sample of pages of any length, drawn by a hash of their content.
+
+    Of each sampled page one piece is used, from a place that the hash names. Where there is too little to train on,
+    or the trainer finds nothing to share, the dictionary is the start of the sample as it is, after an HTTP header.
+    """
+    html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    h = F.xxhash64(html)
+    begin = F.pmod(h, F.greatest(F.char_length(html) - DICTIONARY_PIECE + 1, F.lit(1)).cast("long")).cast("int") + 1
+    hashed = pages.select(h.alias("h"), F.substr(html, begin, F.lit(DICTIONARY_PIECE)).alias("piece"))
+    # hashes alone find the bound; only the pieces below it, each once, come to the driver
+    bound = hashed.select("h").distinct().orderBy("h").limit(DICTIONARY_PAGES).agg(F.max("h").alias("h")).first().h
+    pieces = [] if bound is None else [r.piece.encode() for r in hashed.where(F.col("h") <= bound).groupBy("h").agg(F.min("piece").alias("piece")).orderBy("h").collect() if r.piece]
+    size = min(DICTIONARY_BYTES, sum(map(len, pieces)) // 8)
+    if size >= 1024:
+        try:
+            return zstandard.train_dictionary(size, pieces).as_bytes()
+        except zstandard.ZstdError:  # the trainer refuses samples in which it finds nothing to share
+            pass
+    return (_http(0) + b"".join(pieces))[:DICTIONARY_BYTES]
+
+
+class Archives:
+    """The archives that one task writes, one after the other; each is closed at ``most`` bytes. Record ids are numbered on."""
+
+    def __init__(self, folder: str, tag: str, dictionary: bytes, most: int):
+        task = TaskContext.get()
+        # a task that is run again writes archives of new names, with the same records in them
+        self.name, self.tag = f"{folder}/{tag}{task.partitionId():06d}-{task.taskAttemptId()}", f"{tag}{task.partitionId()}"
+        self.dictionary, self.most, self.n, self.writer, self.done = dictionary, most, 0, None, []
+
+    def next_id(self, page: int | None) -> str:
+        self.n += 1
+        return f"urn:page:{'' if page is None else page}:{self.tag}:{self.n}"
+
+    def add(self, raw: bytes) -> None:
+        if self.writer is None:
+            self.writer = Writer(f"{self.name}-{len(self.done):04d}.warc.zst", self.dictionary)
+        self.writer.add(raw)
+        if self.writer.bytes >= self.most:
+            self.close()
+
+    def close(self) -> None:
+        if self.writer is not None:
+            self.done.append(self.writer.close())
+            self.writer = None
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write one record for every row of pages; (path, records, bytes) of each archive written.
 
-    Of rows with equal payloads of at least ``least_bytes`` bytes those with the largest id are responses and the
-    others revisits that refer to it (a null id is smaller than any); all others are responses. A null payload is an
-    empty one. Repeated rows give a record each; other columns are ignored. An empty table gives no archive.
+    Of rows with equal payloads of at least ``least_bytes`` bytes those with the largest id are responses (all of them,
+    if several rows share that id) and the others revisits that refer to one of them (a null id is smaller than any);
+    all others are responses. A null payload is an empty one. Repeated rows give a record each; every record has an id
+    of its own. Other columns are ignored. Very long payloads are one record. An empty table gives no archive.
 
     Rows aren't shuffled unless there are very many different repeated payloads: what is grouped are digests, and the
-    groups with more than one id are few or are joined on an exchange that can be split. A task that is run again
-    writes archives of new names; only those of the attempt that counted are in the result, which is kept.
+    groups with more than one id are few or are joined on an exchange that can be split. Responses are written first;
+    a revisit's archive is written when the record that it refers to has its id.
     """
     spark = pages.sparkSession
-    folder = f"{work_dir(spark)}/warc-{uuid.uuid4().hex}"
-    store, where = open_store(folder)
-    store.create_dir(where)
+    folder = new_folder(spark, "warc")
     dictionary = train(pages, html_col)
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html"), F.sha1(html).alias("digest"))
     repeated = rows.where(F.octet_length("html") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = small(repeated.where("n > 1 and first is not null").select(fresh("digest", "string").alias("of"), "first"), "warc-repeated")
-    revisit = F.col("first").isNotNull() & (F.octet_length("html") >= least_bytes) & (F.col("page_id").isNull() | (F.col("page_id") < F.col("first")))
-    marked = rows.join(repeated, F.col("digest") == F.col("of"), "left").select("page_id", "url", "html", F.when(revisit, F.col("first")).alias("refers_to"))
+    marked = rows.join(repeated, F.col("digest") == F.col("of"), "left").select("page_id", "url", "digest", "html", F.when(F.octet_length("html") >= least_bytes, F.col("first")).alias("first"))
+    names = ["path", "records", "bytes", "page_id", "url", "digest", "payload_bytes", "record"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    schema = "path string, records long, bytes long, page_id long, url string, digest string, payload_bytes long, record string"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
-        name = f"{folder}/{task.partitionId():06d}-{task.taskAttemptId()}"
-        done: list[tuple[str, int, int]] = []
-        writer = None
+    def table_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    def responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Writes responses; gives rows of three kinds: archives, records that others refer to, and rows still to be revisits."""
+        archives = Archives(folder, "r", dictionary, archive_bytes)
+        for b in batches:
+            out: list[tuple] = []
+            for page, url, hashed, text, first in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3), b.column(4).to_pylist()):
+                payload = text.as_py().encode("utf-8", "surrogatepass")
+                if first is not None and (page is None or page < first):
+                    out.append((None, None, None, page, url, hashed, len(payload), None))
+                    continue
+                record = archives.next_id(page)
+                archives.add(response(record, url, payload))
+                if first is not None:
+                    out.append((None, None, None, None, None, hashed, None, record))
+            if out:
+                yield table_of(out)
+        archives.close()
+        if archives.done:
+            yield table_of([(*x, None, None, None, None, None) for x in archives.done])
+
+    def revisits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archives = Archives(folder, "v", dictionary, archive_bytes)
         for b in batches:
-            for page, url, refers, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), b.column(2)):
-                if writer is None:
-                    writer = Writer(f"{name}-{len(done):04d}.warc.zst", dictionary)
-                payload = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                kind = "response" if refers is None else "revisit"
-                writer.add(record(kind, f"urn:page:{page}", url, payload, None if refers is None else f"urn:page:{refers}"))
-                if writer.bytes >= archive_bytes:
-                    done.append(writer.close())
-                    writer = None
-        if writer is not None:
-            done.append(writer.close())
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), (pa.string(), pa.int64(), pa.int64()))], ["path", "records", "bytes"])
-
-    return settle(marked.mapInArrow(run, "path string, records long, bytes long"), "warc-manifest")[0]
+            for page, url, hashed, size, record in zip(*(c.to_pylist() for c in b.columns)):
+                archives.add(revisit(archives.next_id(page), url, size, base64.b32encode(bytes.fromhex(hashed)).decode(), record))
+        archives.close()
+        if archives.done:
+            yield table_of([(*x, None, None, None, None, None) for x in archives.done])
+
+    written, _ = settle(marked.mapInArrow(responses, schema), "warc-responses")
+    manifest = written.where("path is not null").select("path", "records", "bytes")
+    due = written.where("path is null and record is null")
+    if due.isEmpty():
+        return manifest
+    known = small(written.where("record is not null").groupBy("digest").agg(F.min("record").alias("record")), "warc-known").select(fresh("digest", "string").alias("of"), "record")
+    again = due.select("page_id", "url", "digest", "payload_bytes").join(known, F.col("digest") == F.col("of")).select("page_id", "url", "digest", "payload_bytes", "record")
+    return manifest.union(settle(again.mapInArrow(revisits, schema), "warc-revisits")[0].select("path", "records", "bytes"))
 
 
 def read_archives(paths: DataFrame) -> DataFrame:
@@ -245,5 +297,5 @@ def read_archives(paths: DataFrame) -> DataFrame:
 def round_trip(spark: SparkSession, pages: DataFrame, **how) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) as read back from the archives of pages."""
     back = read_archives(write_archives(pages, **how))
-    page = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) as bigint)")
+    page = lambda c: F.expr(f"try_cast(split_part({c}, ':', 3) as bigint)")
     return back.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
