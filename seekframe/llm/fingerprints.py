@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -17,86 +18,103 @@ from seekframe.llm.common import settle
 
 SEED = 42
 WIDTH = 5
-#: A hash is kept if it is among the lowest 1 / SCALE of all 64-bit values ...
+#: A sketch holds all hashes among the lowest 1 / SCALE of all 64-bit values ...
 SCALE = 8
-#: ... or among so many lowest ones of its text, so that short texts aren't blank.
-FLOOR = 16
+#: ... and, apart from them, so many lowest ones of the others, for texts too short to have a hash below the threshold.
+SPARE = 16
+#: Bytes of text in one range of ids, about, and most ranges that are made.
+RANGE_BYTES, MOST_RANGES = 16 << 20, 4096
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 
-def _cut(hashes: np.ndarray, scale: int, floor: int) -> np.ndarray:
-    """Of sorted distinct hashes, those that a sketch keeps."""
-    below = int(np.searchsorted(hashes, np.uint64((1 << 64) // scale - 1), side="right"))
-    return hashes[: max(below, floor)]
+@dataclass(frozen=True, eq=False)
+class Sketch:
+    """Sorted distinct hashes: low, all below 1 / SCALE of the hash range; spare, the SPARE lowest of the others."""
 
+    low: np.ndarray
+    spare: np.ndarray
 
-def sketch(text: str | None, width: int = WIDTH, scale: int = SCALE, floor: int = FLOOR) -> np.ndarray:
-    """Sorted distinct hashes: all below 1/scale of the hash range, and at least the ``floor`` lowest.
+    @staticmethod
+    def of(hashes: np.ndarray) -> Sketch:
+        """From the hashes of all shingles, in any order and with repeats."""
+        bound = np.uint64((1 << 64) // SCALE)
+        others = hashes[hashes >= bound]
+        # the lowest of many lie in a small part of the range, which saves sorting them all
+        part = others[others < np.uint64((1 << 64) // SCALE + ((1 << 64) - 1 - (1 << 64) // SCALE) * min(len(others), 4 * SPARE) // max(1, len(others)))]
+        spare = np.unique(part)
+        return Sketch(np.unique(hashes[hashes < bound]), (spare if len(spare) >= SPARE else np.unique(others))[:SPARE])
+
+    @property
+    def empty(self) -> bool:
+        return not len(self.low) and not len(self.spare)
+
+    def to_text(self) -> str:
+        """Base64 of the low hashes, and after a dot of the spare ones, each in eight bytes, big-endian."""
+        return ".".join(base64.b64encode(x.astype(">u8").tobytes()).decode() for x in (self.low, self.spare))
+
+    @staticmethod
+    def from_text(text: str) -> Sketch:
+        return Sketch(*(np.frombuffer(base64.b64decode(x), ">u8").astype(np.uint64) for x in text.split(".")))
+
+
+def sketch(text: str | None, width: int = WIDTH) -> Sketch:
+    """The sketch of a whole text.
 
     A-Z are lower-cased, words are runs of anything but ASCII white space. Fewer words than ``width``: the whole
     sequence is the one shingle. No words, or null: nothing. The hash of every shingle of the whole text is looked at.
     """
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) <= width:
-        return np.array([_hash(b" ".join(words))], np.uint64)
-    hashes = np.fromiter(map(_hash, map(b" ".join, zip(*(words[i:] for i in range(width))))), np.uint64, len(words) - width + 1)
-    low = hashes[hashes < np.uint64((1 << 64) // scale)]
-    low = np.unique(low)
-    return low if len(low) >= floor else _cut(np.unique(hashes), scale, floor)
+        hashes = np.zeros(0, np.uint64)
+    elif len(words) <= width:
+        hashes = np.array([_hash(b" ".join(words))], np.uint64)
+    else:
+        hashes = np.fromiter(map(_hash, map(b" ".join, zip(*(words[i:] for i in range(width))))), np.uint64, len(words) - width + 1)
+    return Sketch.of(hashes)
 
 
-def merge(a: np.ndarray, b: np.ndarray, scale: int = SCALE, floor: int = FLOOR) -> np.ndarray:
+def merge(a: Sketch, b: Sketch) -> Sketch:
     """The sketch of both texts' shingles together, from their sketches alone."""
-    return _cut(np.union1d(a, b), scale, floor)
-
+    return Sketch(np.union1d(a.low, b.low), np.union1d(a.spare, b.spare)[:SPARE])
 
-def _reach(a: np.ndarray, scale: int, floor: int) -> int:
-    """Up to where a sketch has all hashes of its text."""
-    return (1 << 64) - 1 if len(a) < floor else max((1 << 64) // scale - 1, int(a[-1]))
 
+def _common(a: Sketch, b: Sketch) -> tuple[int, int, int]:
+    """Hashes of a, of b and of both that are compared.
 
-def _common(a: np.ndarray, b: np.ndarray, scale: int, floor: int) -> tuple[int, int, int]:
-    """Hashes of a, of b and of both, up to where both sketches are complete."""
-    reach = np.uint64(min(_reach(a, scale, floor), _reach(b, scale, floor)))
-    a, b = a[: np.searchsorted(a, reach, side="right")], b[: np.searchsorted(b, reach, side="right")]
-    both = np.concatenate([a, b])
+    Those below the threshold, where both texts have any. Else neither side's absence from there tells enough, and all
+    hashes count up to where both sketches are complete: to the last spare one, or to the end if there are fewer.
+    """
+    x, y = a.low, b.low
+    if not len(x) or not len(y):
+        reach = min((int(s.spare[-1]) if len(s.spare) == SPARE else (1 << 64) - 1 for s in (a, b)))
+        x, y = (all_[: np.searchsorted(all_, np.uint64(reach), side="right")] for all_ in (np.concatenate([s.low, s.spare]) for s in (a, b)))
+    both = np.concatenate([x, y])
     both.sort()
-    return len(a), len(b), int((both[1:] == both[:-1]).sum())
+    return len(x), len(y), int((both[1:] == both[:-1]).sum())
 
 
-def containment(a: np.ndarray, b: np.ndarray, scale: int = SCALE, floor: int = FLOOR) -> float:
+def containment(a: Sketch, b: Sketch) -> float:
     """Estimated share of a's shingles that b has too; 1 if a has none."""
-    n, _, both = _common(a, b, scale, floor)
-    return both / n if n else float(len(a) == 0)
+    n, _, both = _common(a, b)
+    return both / n if n else float(a.empty)
 
 
-def likeness(a: np.ndarray, b: np.ndarray, scale: int = SCALE, floor: int = FLOOR) -> float:
+def likeness(a: Sketch, b: Sketch) -> float:
     """Estimated share of the smaller text's shingles that the other has too, 0 to 1; two texts without words: 1."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    n, m, both = _common(a, b, scale, floor)
+    if a.empty or b.empty:
+        return float(a.empty and b.empty)
+    n, m, both = _common(a, b)
     return both / min(n, m) if min(n, m) else 0.0
 
 
-def to_text(a: np.ndarray) -> str:
-    """A sketch as base64 of its hashes, each in eight bytes, big-endian."""
-    return base64.b64encode(a.astype(">u8").tobytes()).decode()
-
-
-def from_text(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), ">u8").astype(np.uint64)
-
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint) for every row, row by row; a null text is an empty one, other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([to_text(sketch(t.as_py())) for t in b.column(1)], pa.string())], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sketch(t.as_py()).to_text() for t in b.column(1)], pa.string())], ["doc_id", "fingerprint"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fingerprint string")
 
@@ -107,42 +125,49 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - part] + following[:part]
 
 
+def _bounds(thin: DataFrame, ranges: int) -> list[tuple[bool, int, int]]:
+    """First keys of at most ``ranges`` ranges with about as many bytes each, from thin(o, bytes)."""
+    fine = thin.repartitionByRange(4 * ranges, "o").groupBy(F.spark_partition_id().alias("p")).agg(F.min("o").alias("o"), F.sum("bytes").alias("bytes"))
+    parts = sorted(((r.o.n, r.o.m, r.o.h), r.bytes) for r in fine.collect())  # four rows for each range
+    most, held, out = max(1, sum(b for _, b in parts) // ranges), None, []
+    for key, size in parts:
+        if held is None or held + size > most:
+            out.append(key)
+            held = 0
+        held += size
+    return out
+
+
 def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(range, tail, doc_id, text): rows dealt into ranges of descending ids, sorted, each followed by its next row.
 
-    The ranges' first rows are found on ids alone; each is also sent, as tail, to the range before it (the first of
-    all to the last). So whole texts are shuffled once, and no range needs another. Rows with the same id are ordered
-    by a hash of their text; null ids come last.
+    Ranges hold about as many bytes of text each; their first keys are found on ids, hashes and lengths alone. A range's
+    first row is also sent, as tail, to the range before it (that of the first range to the last). So whole texts are
+    shuffled once, and no range needs another. Rows with the same id are ordered by a hash of their text, and may fall
+    into different ranges; null ids come last.
     """
     spark = docs.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("h").asc()]
-    thin = rows.select("doc_id").repartitionByRange(ranges, F.col("doc_id").desc_nulls_last())
-    firsts, _ = settle(thin.groupBy(F.spark_partition_id().alias("p")).agg(F.max("doc_id").alias("first")), "fingerprint-ranges")
-    starts = sorted({r.first for r in firsts.select("first").collect() if r.first is not None}, reverse=True)
-    steps = [1 << k for k in range(len(starts).bit_length(), -1, -1)]
-    if not starts:
-        place = F.lit(0)
-    else:  # how many ranges start at or above this id: a binary search in the starts
-        bounds = F.array(*[F.lit(x) for x in starts])
-        reached = lambda at, s: (at + s <= len(starts)) & (F.coalesce(F.element_at(bounds, F.least(at + s, F.lit(len(starts)))) >= F.col("doc_id"), F.lit(True)))
-        place = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, s: F.when(reached(at, s), at + s).otherwise(at))
-    placed = rows.withColumn("range", place)
-    ends = placed.select("range", "doc_id", "h").groupBy("range").agg(F.min(F.struct(*[F.struct(F.col("doc_id").isNull().alias("n"), (-F.col("doc_id")).alias("m")).alias("o"), F.col("h").alias("h")])).alias("x"))
-    last = sorted(((r.range, -r.x.o.m if r.x.o.m is not None else None, r.x.h) for r in ends.collect()), key=lambda r: r[0])
-    before = {r[0]: last[i - 1][0] for i, r in enumerate(last)}
-    heads = spark.createDataFrame([(r, i, h, before[r]) for r, i, h in last], "head_range int, head_id long, head_h long, to int") if last else None
-    plain = placed.select("range", F.lit(0).alias("tail"), "doc_id", "h", "text")
-    if heads is None:
-        return plain
-    same = (F.col("range") == F.col("head_range")) & F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("h") == F.col("head_h"))
-    joined = placed.join(F.broadcast(heads), same, "left")
-    spread = F.when(F.col("to").isNull(), F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("tail"))))
-    spread = spread.otherwise(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("tail")), F.struct(F.col("to").alias("range"), F.lit(1).alias("tail"))))
-    dealt = joined.select("doc_id", "h", "text", F.explode(spread).alias("x")).select("x.range", "x.tail", "doc_id", "h", "text")
-    return dealt.repartition(ranges, "range").sortWithinPartitions("range", "tail", *order)
+    doc_id = F.col(id_col).cast("long")
+    key = F.struct(doc_id.isNull().alias("n"), F.coalesce(F.bitwise_not(doc_id), F.lit(0).cast("long")).alias("m"), F.xxhash64(text).alias("h"))
+    thin, _ = settle(docs.select(key.alias("o"), F.octet_length(text).cast("long").alias("bytes")), "fingerprint-keys")
+    total = thin.agg(F.sum("bytes").alias("b")).first().b
+    if total is None:
+        return docs.select(F.lit(0).alias("range"), F.lit(0).alias("tail"), doc_id.alias("doc_id"), text.alias("text"))
+    # not below the session's parallelism; above MOST_RANGES ranges grow instead, and a task reads one as a stream
+    starts = _bounds(thin, min(MOST_RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))))
+    ranges = len(starts)
+    bounds = F.expr("array(" + ",".join(f"named_struct('n', {str(n).lower()}, 'm', {m}L, 'h', {h}L)" for n, m, h in starts) + ")")
+    # how many ranges start at or before this key: a binary search in the starts
+    reached = lambda at, s: (at + s <= ranges) & (F.element_at(bounds, F.least(at + s, F.lit(ranges))) <= F.col("o"))
+    steps = F.array(*(F.lit(1 << k) for k in range(ranges.bit_length(), -1, -1)))
+    place = F.aggregate(steps, F.lit(0), lambda at, s: F.when(reached(at, s), at + s).otherwise(at))
+    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"), key.alias("o")).withColumn("range", F.greatest(place, F.lit(1)) - 1)
+    own = F.struct(F.col("range"), F.lit(0).alias("tail"))
+    before = F.struct(F.pmod(F.col("range") - 1, F.lit(ranges)).alias("range"), F.lit(1).alias("tail"))
+    leads = F.element_at(bounds, F.col("range") + 1) == F.col("o")
+    dealt = rows.withColumn("x", F.explode(F.when(leads, F.array(own, before)).otherwise(F.array(own)))).select("x.range", "x.tail", "doc_id", "o", "text")
+    return dealt.repartitionById(ranges, F.col("range")).sortWithinPartitions("range", "tail", "o")
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,7 +175,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The next row is the one with the next lower id, after the last the first; a single row is its own next. Returns
     (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next). A null text is an empty
-    one. Repeated rows stay and follow one another; other columns are ignored. Empty table: no rows.
+    one. Rows with one id follow one another by a hash of their texts, repeated rows stay; null ids come last. Other
+    columns are ignored. Very long texts are whole in one task, with the text before. Empty table: no rows.
     """
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
@@ -164,7 +190,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 if held is not None and held[0] == where:
                     changed = edited(held[2], text)
                     other = sketch(changed)
-                    out.append((held[1], len(held[2]), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), to_text(held[3]), to_text(other), likeness(held[3], other), likeness(held[3], own)))
+                    out.append((held[1], len(held[2]), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), held[3].to_text(), other.to_text(), likeness(held[3], other), likeness(held[3], own)))
                 # a tail ends its range; repeated rows may send several equal tails, one is enough
                 held = None if tail else (where, doc, text, own)
                 if len(out) >= 500:
