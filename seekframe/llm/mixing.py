@@ -26,29 +26,40 @@ def _hash(id_col: str, text_col: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col)), 4)
 
 
+def _numbered(each: DataFrame) -> DataFrame:
+    """each(source, ...) with nth, the place of its source in code point order from 0, null last.
+
+    Sources are dealt out by ranges; a range's numbers follow the counts of those before it, so no task sees them all.
+    """
+    ranges = int(each.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt, _ = settle(each.repartitionByRange(ranges, F.col("source").asc_nulls_last()).withColumn("range", F.spark_partition_id()), "mix-sources")
+    counts = dealt.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # a row for each range, at most
+    before = counts.select(F.col("range").alias("r"), F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = Window.partitionBy("range").orderBy(F.col("source").asc_nulls_last())
+    return dealt.join(F.broadcast(before), F.col("range") == F.col("r")).withColumn("nth", F.row_number().over(own) - 1 + F.col("before")).drop("range", "r", "before")
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """(source, source_size, target, whole, rest) for sizes(source, size).
 
     Sources in code point order, null last, take the weights in turn and share the whole size. A target stops at
     ``most`` times its source's size; the excess goes to the others by weight until none is above. That ends where
-    every target is min(cap, level * weight) for one common level, which is found in one pass over the sources sorted
-    by cap / weight. whole: full passes over the source; rest: the words still due after them.
+    every target is min(cap, level * weight) for one common level. Each round sums up what stops below the level, and
+    shares the rest anew, which raises it; it ends when no more sources stop. whole: full passes over the source; rest:
+    the words still due after them.
     """
-    each = sizes.groupBy("source").agg(F.sum("size").cast("double").alias("source_size"))
-    in_order = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = F.pmod(F.row_number().over(in_order) - 1, F.lit(len(weights)))
-    each = each.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int")))
-    each = each.withColumn("cap", F.col("source_size") * most).withColumn("ratio", F.col("cap") / F.col("weight"))
-    every = Window.partitionBy()
-    filled = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    before = filled.rowsBetween(Window.unboundedPreceding, -1)
-    each = each.withColumn("nth", F.row_number().over(filled)).withColumn(
-        "level",
-        (F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-        / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))),
-    )
-    common = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("nth", "level"))).over(every)["level"]
-    each = each.withColumn("target", F.coalesce(F.least("cap", common * F.col("weight")), F.col("cap")))
+    each = _numbered(sizes.groupBy("source").agg(F.sum("size").cast("double").alias("source_size")))
+    each = each.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.pmod("nth", F.lit(len(weights))) + 1).cast("int")))
+    each, _ = settle(each.withColumn("cap", F.col("source_size") * most).withColumn("ratio", F.col("cap") / F.col("weight")), "mix-weights")
+    total = each.agg(F.sum("source_size").alias("size")).first()["size"] or 0.0
+    level, stopped = -1.0, -1
+    while True:
+        stops = F.col("ratio") <= level
+        now = each.agg(F.count_if(stops).alias("n"), F.sum(F.when(stops, F.col("cap")).otherwise(0.0)).alias("cap"), F.sum(F.when(~stops, F.col("weight"))).alias("weight")).first()
+        if now["weight"] is None or now["n"] == stopped:
+            break
+        level, stopped = (total - now["cap"]) / now["weight"], now["n"]
+    each = each.withColumn("target", F.least("cap", F.lit(level) * F.col("weight")) if now["weight"] is not None else F.col("cap"))
     whole = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.col("source_size")))).otherwise(0).cast("long")
     each = each.withColumn("whole", whole)
     return each.select("source", F.col("source_size").cast("long").alias("source_size"), "target", "whole", (F.col("target") - F.col("whole") * F.col("source_size")).alias("rest"))
@@ -97,29 +108,32 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     return rows, thresholds(rows, targets(rows, weights, most))
 
 
-def _with_plan(rows: DataFrame, plan: DataFrame, source: str = "source") -> DataFrame:
-    """rows, which have the hash h, with their source's plan and _passes, the number of times the mix takes them."""
-    mine = plan.select(F.col("source").alias("_source"), *(F.col(c).alias(f"_{c}") for c in ("source_size", "target", "whole", "bound", "bits", "take_bound")))
-    lead = F.expr(f"shiftrightunsigned(_h, {LEVEL_BITS * LEVELS} - _bits)")
-    once_more = (lead < F.col("_bound")) | ((lead == F.col("_bound")) & F.col("_take_bound"))
-    joined = rows.join(mine, F.col(source).eqNullSafe(F.col("_source")))
-    return joined.withColumn("_passes", F.col("_whole") + once_more.cast("long"))
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows(source, h, ...) with their source's plan and passes, the number of times the mix takes them."""
+    mine = plan.select(F.col("source").alias("of"), *(F.col(c) for c in ("source_size", "target", "whole", "bound", "bits", "take_bound")))
+    lead = F.expr(f"shiftrightunsigned(h, {LEVEL_BITS * LEVELS} - bits)")
+    once_more = (lead < F.col("bound")) | ((lead == F.col("bound")) & F.col("take_bound"))
+    return rows.join(mine, F.col("source").eqNullSafe(F.col("of"))).withColumn("passes", F.col("whole") + once_more.cast("long"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of docs; other columns are ignored.
 
-    A null or blank text has size 0 and is taken 0 times; a null source is a source of its own, after all others.
-    Repeated rows have the same hash, so they are taken together. Empty table: no rows.
+    A null or blank text has size 0 and is taken 0 times; a null source is a source of its own, after all others. Very
+    long texts are taken whole or not at all, so a source comes within one document of its target. Repeated rows, and
+    others of one id and text, have the same hash, so they are taken together. Empty table: no rows.
     """
     rows, plan = plan_mix(docs, id_col, text_col, source_col, weights, most)
-    out = _with_plan(rows.withColumnRenamed("h", "_h"), plan)
-    return out.select("doc_id", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("size") * F.col("_passes")).alias("taken"))
+    return _with_plan(rows, plan).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"))
 
 
 def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """docs as mixed: each row as often as the mix takes it, with docs' columns. Rows without words go."""
+    """docs as mixed: each row as often as the mix takes it, with all columns, whatever their names.
+
+    Rows without words (null, empty or blank texts) go; null sources, ties and repeated rows are handled as by ``mix``.
+    Empty table: no rows.
+    """
     _, plan = plan_mix(docs, id_col, text_col, source_col, weights, most)
-    hashed = docs.withColumns({"_h": _hash(id_col, text_col), "_words": word_count(F.col(text_col))})
-    out = _with_plan(hashed, plan, source_col).where("_passes > 0 and _words > 0")
-    return out.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_passes")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    whole = docs.select(F.struct("*").alias("row"), F.col(f"`{source_col}`").alias("source"), _hash(id_col, text_col).alias("h"), word_count(F.col(f"`{text_col}`")).alias("size"))
+    out = _with_plan(whole, plan).where("passes > 0 and size > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes"))).alias("pass")).select("row.*")
