@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import fresh, settle
+from seekframe.llm.common import fresh, settle, small
 from seekframe.llm.components import Forest, components
 
-#: Vectors of one tile; what a task compares at once is two of them.
-TILE = 512
+#: Bytes of vectors in one block, about; a task holds two blocks.
+BLOCK_BYTES = 16 << 20
+#: Vectors of one tile; blocks are compared tile by tile.
+TILE = 1024
 #: Dimensions that are accumulated before each look at the bound.
 STEP = 8
-#: Room for rounding where a bound decides; what is reported as a link is decided by the full product.
+#: Room for rounding where a bound decides; what is reported as a link is decided on the given vectors.
 SLACK = 1e-9
 
 
@@ -32,33 +33,24 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def principal_axes(classes: DataFrame, dimensions: int) -> np.ndarray:
-    """Orthonormal columns by falling second moment of the unit vectors: sums over all rows, solved on the driver."""
+def principal_axes(rows: np.ndarray) -> np.ndarray:
+    """Orthonormal columns by falling second moment of the rows."""
+    _, axes = np.linalg.eigh(rows.T @ rows)
+    return axes[:, ::-1].copy()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((dimensions, dimensions))
-        for b in batches:
-            if b.num_rows:
-                x = unit(b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimensions))
-                total += x.T @ x
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dimensions * dimensions)), pa.array(total.ravel())], ["i", "s"])
 
-    sums = classes.where(F.size("v") == dimensions).select("v").mapInArrow(run, "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).toArrow()
-    moment = np.zeros(dimensions * dimensions)
-    moment[sums["i"].to_numpy()] = sums["s"].to_numpy()
-    _, axes = np.linalg.eigh(moment.reshape(dimensions, dimensions))
-    return axes[:, ::-1].copy()
+def suffix_norms(rows: np.ndarray) -> np.ndarray:
+    """For each row and dimension, the norm of the row from that dimension on."""
+    return np.sqrt(np.maximum(0, np.cumsum((rows * rows)[:, ::-1], axis=1)[:, ::-1]))
 
 
-def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of rows of a and b (unit vectors along the axes) whose product is at least threshold.
+def close_pairs(a: np.ndarray, b: np.ndarray, tail_a: np.ndarray, tail_b: np.ndarray, threshold: float, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of rows of a and b (unit vectors along the axes) whose product may reach the threshold, but for rounding.
 
     Leading dimensions are accumulated ``step`` at a time. What the rest can add is at most the product of the two
     suffix norms; rows and columns of the tile that no pair can save are left out of the next step.
     """
     rows, cols = np.arange(len(a)), np.arange(len(b))
-    tail = lambda x: np.sqrt(np.maximum(0, np.cumsum((x * x)[:, ::-1], axis=1)[:, ::-1]))
-    tail_a, tail_b = tail(a), tail(b)
     product = np.zeros((len(a), len(b)))
     for at in range(0, a.shape[1], step):
         product += a[rows, at : at + step] @ b[cols, at : at + step].T
@@ -70,62 +62,60 @@ def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, step: int = STEP
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         if keep_rows.sum() * keep_cols.sum() < 0.7 * product.size:
             product, rows, cols = product[np.ix_(keep_rows, keep_cols)], rows[keep_rows], cols[keep_cols]
+        if 16 * (left := int(may.sum())) < product.size:  # few pairs are left: they are finished one by one
+            i, j = np.nonzero(may)
+            i, j = (i, j) if product.shape == may.shape else (np.cumsum(keep_rows)[i] - 1, np.cumsum(keep_cols)[j] - 1)
+            i, j = rows[i], cols[j]
+            sure = np.einsum("ij,ij->i", a[i], b[j]) >= threshold - SLACK
+            return i[sure], j[sure]
     i, j = np.nonzero(product >= threshold - SLACK)
-    i, j = rows[i], cols[j]
-    near = np.einsum("ij,ij->i", a[i], b[j])
-    sure = near >= threshold
-    return i[sure], j[sure]
+    return rows[i], cols[j]
+
 
+def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest node that the links i, j connect it with."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        least = np.minimum(low[i], low[j])
+        np.minimum.at(new, low[i], least)
+        np.minimum.at(new, low[j], least)
+        new = np.minimum(new, new[new])
+        if (new == low).all():
+            return low
+        low = new
 
-def _tiles(classes: DataFrame, axes: np.ndarray, tile: int) -> DataFrame:
-    """Bounded tiles of vectors with equal labels and sizes, in the order of their first principal coordinate.
 
-    (tile, label, size, low, high, ids, copies, data): low and high bound the first coordinate; the rest is packed.
-    Rows are dealt by ranges of (label, size, coordinate), so a label with a third of all rows fills many tasks.
+def compare(x: np.ndarray, y: np.ndarray | None, threshold: float, tile: int = TILE):
+    """(i, j) of linked rows of x and y, or of x and itself if y is None, tile by tile; i and j are numbers of rows of x, then y.
+
+    The vectors are turned onto their principal axes and sorted by the first coordinate. Tiles whose first coordinates
+    are farther apart than linked vectors can be don't meet; the others accumulate leading dimensions first. The
+    cosine of the vectors as they were given decides.
     """
-    main = axes.shape[0]
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            vectors, offsets = b.column(3), b.column(3).offsets.to_numpy()
-            flat = vectors.values.to_numpy(zero_copy_only=False)
-            lengths = np.diff(offsets)
-            first, packed = np.zeros(b.num_rows), [b""] * b.num_rows
-            for n in np.unique(lengths):
-                pick = np.nonzero(lengths == n)[0]
-                x = unit(flat[offsets[pick][:, None] + np.arange(n)])
-                y = x @ axes if n == main else x
-                first[pick] = y[:, 0]
-                for k, row in zip(pick.tolist(), y):
-                    packed[k] = row.tobytes()
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(lengths.astype(np.int32)), pa.array(first), pa.array(packed, pa.binary())], ["label", "rep", "n", "size", "first", "data"])
-
-    placed = classes.select("label", "rep", "n", "v").mapInArrow(place, "label string, rep long, n long, size int, first double, data binary")
-    dealt = placed.repartitionByRange(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "label", "size", "first").sortWithinPartitions("label", "size", "first", "rep")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        names = ["label", "size", "low", "high", "ids", "copies", "data"]
-
-        def flush() -> pa.RecordBatch:
-            columns = [[held[0][0]], [held[0][3]], [held[0][4]], [held[-1][4]], [np.array([r[1] for r in held]).tobytes()], [np.array([r[2] for r in held]).tobytes()], [b"".join(r[5] for r in held)]]
-            kinds = [pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                if held and (len(held) >= tile or held[0][0] != row[0] or held[0][3] != row[3]):
-                    yield flush()
-                    held.clear()
-                held.append(row)
-        if held:
-            yield flush()
-
-    cut_tiles = dealt.mapInArrow(cut, "label string, size int, low double, high double, ids binary, copies binary, data binary")
-    return settle(cut_tiles.select(F.monotonically_increasing_id().alias("tile"), "*"), "embedding-tiles")[0]
-
-
-def link(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tile: int = TILE) -> DataFrame:
+    both = x if y is None else np.concatenate([x, y])
+    turned = both @ principal_axes(both)
+    tails = suffix_norms(turned)
+    # |x - y|^2 = 2 - 2 cos, and no coordinate differs by more than |x - y|
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+    sides = []
+    for begin, end in [(0, len(x)), (len(x), len(both))] if y is not None else [(0, len(x))]:
+        order = begin + np.argsort(turned[begin:end, 0], kind="stable")
+        sides.append([order[k : k + tile] for k in range(0, len(order), tile)])
+    for n, p in enumerate(sides[0]):
+        for m, q in enumerate(sides[-1]):
+            if y is None and m < n or turned[q[0], 0] - turned[p[-1], 0] > reach or turned[p[0], 0] - turned[q[-1], 0] > reach:
+                continue
+            i, j = close_pairs(turned[p], turned[q], tails[p], tails[q], threshold)
+            if y is None and m == n:
+                i, j = i[i < j], j[i < j]
+            i, j = p[i], q[j]
+            sure = np.concatenate([np.einsum("ij,ij->i", both[i[k : k + 65536]], both[j[k : k + 65536]]) >= threshold for k in range(0, len(i), 65536)]) if len(i) else np.zeros(0, bool)
+            if sure.any():
+                yield i[sure], j[sure]
+
+
+def link(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tile: int = TILE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of vectors.
 
     Rows link if their labels are equal and not null and the cosine of their vectors is at least threshold, in double
@@ -134,62 +124,50 @@ def link(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", ve
     smallest id reachable, itself included; kept: vec_id = component_id. Repeated rows count each other. Other columns
     are ignored. Empty table: no rows.
 
-    Equal vectors are one class with a count. Classes are sorted by their first principal coordinate within labels
-    and cut into tiles; only tiles whose coordinates come within the largest distance that linked vectors can have
-    are compared, found by an equi-join on bins of that width. A pair of tiles returns link counts and a spanning
-    forest, never its pairs.
+    Equal vectors are one class with a count. The classes of a label are dealt by a hash into blocks of block_bytes,
+    which meet two by two, one task each; so a label with a third of all rows fills many tasks, and a vector is sent as
+    often as its label has blocks. Within a task tiles are compared along the principal axes of its own vectors. A
+    task returns link counts and a spanning forest, never its pairs.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
-    v = F.col(vector_col).cast("array<double>")
+    given = vectors.schema[vector_col].dataType
+    kind = given.elementType.simpleString() if getattr(given, "elementType", None) is not None else "double"
+    kind = "float" if kind == "float" else "double"  # single precision is sent as such, and compared in double
+    v = F.col(vector_col).cast(f"array<{kind}>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), v.alias("v"))
     usable = F.expr(f"vec_id is not null and label is not null and ({_valid('v')})")
     # two 64-bit hashes name a class: equal labels and equal vectors
     key = [F.when(usable, F.xxhash64("label", "v")).alias("a"), F.when(usable, F.xxhash64(F.lit("second"), "label", "v")).alias("b")]
     classes = rows.where(usable).select("vec_id", "label", "v", *key).groupBy("a", "b").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("label").alias("label"), F.first("v").alias("v"))
     classes, _ = settle(classes, "embedding-classes")
-    common = classes.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if common is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    axes = principal_axes(classes, common["d"])
-    tiles = _tiles(classes, axes, tile)
 
-    # |x - y|^2 = 2 - 2 cos, and no coordinate differs by more than |x - y|
-    reach = max(1 / 64, math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6)
-    bin_of = lambda c: F.floor(c / reach).cast("long")
-    thin = tiles.select("tile", "label", "size", "low", "high")
-    left = thin.select(F.col("tile").alias("i"), "label", "size", F.col("low").alias("low_i"), F.col("high").alias("high_i"), F.explode(F.sequence(bin_of(F.col("low")), bin_of(F.col("high")))).alias("bin"))
-    right = thin.select(F.col("tile").alias("j"), F.col("label").alias("l"), F.col("size").alias("s"), F.col("low").alias("low_j"), F.col("high").alias("high_j"), F.explode(F.sequence(bin_of(F.col("low") - reach), bin_of(F.col("high") + reach))).alias("bin_j"))
-    once = F.col("bin") == F.greatest(bin_of(F.col("low_i")), bin_of(F.col("low_j") - reach))
-    meet = (F.col("label") == F.col("l")) & (F.col("size") == F.col("s")) & (F.col("bin") == F.col("bin_j")) & (F.col("i") <= F.col("j")) & once
-    meet = meet & (F.col("low_j") - F.col("high_i") <= reach) & (F.col("low_i") - F.col("high_j") <= reach)
-    pairs = left.join(right, meet).select("i", "j", "size")
-    side = lambda x: tiles.select(F.col("tile").alias(f"tile_{x}"), F.col("ids").alias(f"ids_{x}"), F.col("copies").alias(f"copies_{x}"), F.col("data").alias(f"data_{x}"))
-    met = pairs.join(side("i"), F.col("i") == F.col("tile_i")).join(side("j"), F.col("j") == F.col("tile_j"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                own = b.column(0)[k].as_py() == b.column(1)[k].as_py()
-                size = b.column(2)[k].as_py()
-                (ids_a, copies_a, a), (ids_b, copies_b, c) = (
-                    (np.frombuffer(b.column(x)[k].as_buffer(), np.int64), np.frombuffer(b.column(x + 1)[k].as_buffer(), np.int64), np.frombuffer(b.column(x + 2)[k].as_buffer(), np.float64).reshape(-1, size)) for x in (3, 6)
-                )
-                i, j = close_pairs(a, c, threshold)
-                if own:
-                    i, j = i[i < j], j[i < j]
-                if not len(i):
-                    continue
-                ids = np.concatenate([ids_a, ids_b])
-                links = np.concatenate([np.bincount(i, copies_b[j], len(ids_a)), np.bincount(j, copies_a[i], len(ids_b))]).astype(np.int64)
-                forest = Forest()
-                for x, y in zip(ids_a[i].tolist(), ids_b[j].tolist()):
-                    forest.union(x, y)
-                used = np.nonzero(links)[0]
-                roots = [forest.find(x) for x in ids[used].tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[used]), pa.array(links[used]), pa.array(roots, pa.int64())], ["rep", "links", "root"])
-
-    found, _ = settle(met.select("i", "j", "size", "ids_i", "copies_i", "data_i", "ids_j", "copies_j", "data_j").mapInArrow(compare, "rep long, links long, root long"), "embedding-links")
+    load = classes.groupBy("label", F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    blocks = F.ceil(F.col("n") * F.col("size") * 8 / block_bytes).cast("int")
+    load = small(load.where("n > 1").select(fresh("label", "string").alias("_label"), F.col("size").alias("_size"), blocks.alias("blocks")), "embedding-blocks")
+    met = classes.withColumn("size", F.size("v")).join(load, (F.col("label") == F.col("_label")) & (F.col("size") == F.col("_size")))
+    own = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("blocks")).cast("int")
+    met = met.select("label", "size", "rep", "n", "v", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select("label", "size", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "n", "v")
+
+    def task(group: pa.Table) -> pa.Table:
+        size, i, j = (group.column(c)[0].as_py() for c in ("size", "i", "j"))
+        own, rep, n = (group.column(c).to_numpy() for c in ("own", "rep", "n"))
+        flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in group.column("v").chunks]).reshape(-1, size)
+        order = np.argsort(own, kind="stable")
+        rep, n, given = rep[order], n[order], unit(flat[order].astype(np.float64))
+        first = len(given) if i == j else int((own == i).sum())
+        found, forest = np.zeros(len(given), np.int64), Forest()
+        for a, b in compare(given[:first], None if i == j else given[first:], threshold, tile) if first else ():
+            found += (np.bincount(a, n[b], len(given)) + np.bincount(b, n[a], len(given))).astype(np.int64)
+            ends, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            roots = spanning(len(ends), at[: len(a)], at[len(a) :])
+            for x, y in zip(rep[ends].tolist(), rep[ends[roots]].tolist()):
+                forest.union(x, y)
+        used = np.nonzero(found)[0]
+        return pa.table({"rep": pa.array(rep[used], pa.int64()), "links": pa.array(found[used], pa.int64()), "root": pa.array([forest.find(x) for x in rep[used].tolist()], pa.int64())})
+
+    found, _ = settle(met.groupBy("label", "size", "i", "j").applyInArrow(task, "rep long, links long, root long"), "embedding-links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")), "embedding-components")
     known = classes.select("a", "b", "rep", "n").join(counts.select(fresh("rep").alias("rep_c"), "links"), F.col("rep") == F.col("rep_c"), "left")
