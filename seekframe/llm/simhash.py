@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial, reduce
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -12,30 +12,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import fresh, settle, small
+from seekframe.llm.common import fresh, settle, small, unused
 from seekframe.llm.components import Forest, components
 
 SEED = 42
 BYTES = 8
-#: For near copies with four fifths of their five-word shingles in common: 256 bits, of which about 39 (+-6) differ.
-NEAR = {"width": 5, "lanes": 4, "max_distance": 48, "repeats": False}
 #: Rows of one posting list that one tile holds; longer lists are cut into blocks of this size.
 TILE = 1024
+#: Fingerprints that a posting key should have on average at most; keys get more bytes as the table grows.
+KEY_LOAD = 16
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 
-def _lanes(hashes: np.ndarray, lanes: int) -> Iterator[np.ndarray]:
-    """The hashes, and as many more hash values of each as asked for, by a 64-bit mixer."""
-    yield hashes
-    for k in range(1, lanes):
-        x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        yield x ^ (x >> np.uint64(31))
-
-
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     """Hashes of the word shingles of one text, in order and with repeats; words as for ``fingerprint``."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
@@ -46,89 +36,90 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     return np.fromiter(map(_hash, map(b" ".join, zip(*(words[i:] for i in range(width))))), np.uint64, len(words) - width + 1)
 
 
-def fingerprint(text: str | None, width: int = 3, lanes: int = 1, repeats: bool = True) -> int:
-    """SimHash of 64 bits a lane of the word shingles of one text, as an unsigned number (the first lane leads).
-
-    A-Z are lower-cased, words are runs of anything but ASCII white space, repeated shingles count each time (or once,
-    if not ``repeats``). Fewer words than ``width``: the whole sequence is the one shingle. No words, or null: 0.
-    """
-    hashes = shingle_hashes(text, width)
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes, as an unsigned number; 0 if there are none."""
     if not len(hashes):
         return 0
-    if not repeats:
-        hashes = np.unique(hashes)
-    bits = np.zeros((lanes, 64), np.int64)
+    bits = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):  # whole texts, in slices of bounded memory
-        for k, lane in enumerate(_lanes(hashes[i : i + (1 << 16)], lanes)):
-            bits[k] += np.unpackbits(lane.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(bits.ravel() * 2 > len(hashes)).tobytes(), "big")
+        bits += np.unpackbits(hashes[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(bits * 2 > len(hashes)).tobytes(), "big")
 
 
-def _names(lanes: int) -> list[str]:
-    return ["fp", *(f"fp{k}" for k in range(1, lanes))]
+def fingerprint(text: str | None, width: int = 3) -> int:
+    """SimHash of the word shingles of one text, as an unsigned number of 64 bits.
 
+    A-Z are lower-cased, words are runs of anything but ASCII white space, repeated shingles count each time. Fewer
+    words than ``width``: the whole sequence is the one shingle. No words, or null: 0.
+    """
+    return majority(shingle_hashes(text, width))
 
-def _split(print_: int, lanes: int) -> list[int]:
-    """A fingerprint as signed longs, one for each lane."""
-    parts = [print_ >> 64 * (lanes - 1 - k) & ((1 << 64) - 1) for k in range(lanes)]
-    return [x - (1 << 64) if x >> 63 else x for x in parts]
 
+def signed(print_: int) -> int:
+    """A fingerprint as a signed long."""
+    return print_ - (1 << 64) if print_ >> 63 else print_
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, lanes: int = 1, repeats: bool = True) -> DataFrame:
-    """(doc_id, fp, ...): the fingerprint of every row, a signed long for each lane; row by row, without a shuffle."""
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """(doc_id, fp): the fingerprint of every row, as a signed long; row by row, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [_split(fingerprint(t.as_py(), width, lanes, repeats), lanes) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([p[k] for p in parts], pa.int64()) for k in range(lanes))], ["doc_id", *_names(lanes)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([signed(fingerprint(t.as_py(), width)) for t in b.column(1)], pa.int64())], ["doc_id", "fp"])
 
-    kind = ", ".join(f"{n} long" for n in ["doc_id", *_names(lanes)])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, kind)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def _plan(max_distance: int, lanes: int = 1) -> tuple[int, list[tuple[int, ...]]]:
+def plan(max_distance: int, prints: int) -> tuple[int, list[tuple[int, ...]]]:
     """(matches that a pair must have, posting keys as positions of bytes).
 
-    One lane: fingerprints that differ in d bits differ in d bytes at most, so 8 - d positional bytes are guaranteed
-    to match. Of the first d + 3 positions at least three match; each choice of so many is one posting key. This
-    finds every pair. Several lanes are for distances that guarantee no byte: two bytes that match within four
-    neighbouring positions are a key. A pair of texts with four fifths of their shingles in common has each byte of
-    four lanes in common with probability 0.27, and is met with 0.93; closer pairs nearly always.
+    Fingerprints that differ in d bits differ in d bytes at most, so 8 - d positional bytes are guaranteed to match. Of
+    any d + k positions at least k match; each choice of k of the first d + k is one posting key, so every pair meets.
+    k is three, or more where so many fingerprints would make lists of three bytes long.
     """
-    if lanes == 1:
-        if not 0 <= max_distance < BYTES:
-            raise ValueError("max_distance must be 0 to 7 for an index on 8 positional bytes")
-        seen = min(BYTES, max_distance + 3)
-        return BYTES - max_distance, list(combinations(range(seen), seen - max_distance))
-    return 2, [(at + a, at + b) for at in range(0, BYTES * lanes, 4) for a, b in combinations(range(4), 2)]
+    if not 0 <= max_distance < BYTES:
+        raise ValueError("max_distance must be 0 to 7 for an index on 8 positional bytes")
+    need = BYTES - max_distance
+    k = min(need, 3)
+    while k < need and prints > KEY_LOAD << 8 * k:
+        k += 1
+    return need, list(combinations(range(max_distance + k), k))
+
 
+def enough_bytes(differ: np.ndarray, need: int) -> np.ndarray:
+    """The count filter: which pairs, given as XORs of fingerprints, share at least ``need`` positional bytes."""
+    return (differ.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1) >= need
 
-def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE, lanes: int = 1) -> DataFrame:
+
+def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE) -> DataFrame:
     """(u, v): links that connect the same fingerprints as the pairs found within max_distance differing bits do.
 
-    reps(fp, ..., rep): one row for each distinct fingerprint. The index maps (positions, their bytes) to postings.
-    Pairs in a list tally the positional bytes they share, those below the minimum are dropped, the rest are verified
-    by counting differing bits. A pair that meets in several lists counts only in the first. A list longer than
-    ``tile`` is cut into blocks that meet two by two, in tasks of bounded size, so no key, however common, falls to
-    one task; and each task returns a spanning forest, never all its pairs.
+    reps(fp, rep): one row for each distinct fingerprint. The index maps (positions, their bytes) to postings. The
+    positional bytes that the pairs of a list share are tallied, pairs below the guaranteed minimum are dropped, and
+    the rest are verified by counting differing bits. A pair that meets in several lists counts only in the first. A
+    list longer than ``tile`` is cut into blocks that meet two by two, in tasks of bounded size, so no key, however
+    common, falls to one task; and each task returns a spanning forest, never all its pairs.
     """
-    need, keys = _plan(max_distance, lanes)
-    names = _names(lanes)
-    byte = lambda p: F.shiftrightunsigned(names[p // BYTES], 8 * (BYTES - 1 - p % BYTES)).bitwiseAND(F.lit(255))
-    code = lambda k, ps: sum((F.shiftleft(byte(p), 8 * i) for i, p in enumerate(ps)), F.lit(k).cast("long") * F.lit(1 << 8 * len(ps)))
-    posts = reps.select(*names, "rep", F.explode(F.array(*(code(k, ps) for k, ps in enumerate(keys)))).alias("key"))
-    long_lists = small(posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile), "simhash-long-lists")
+    need, keys = plan(max_distance, reps.count())
+    width = len(keys[0])
+    byte = lambda p: F.shiftrightunsigned("fp", 8 * (BYTES - 1 - p)).bitwiseAND(F.lit(255))
+    # a key is the number of its positions in the high bits, and their bytes; of more than six bytes a hash of both
+    packed = lambda ps: sum((F.shiftleft(byte(p), 8 * i) for i, p in enumerate(ps)), F.lit(0).cast("long"))
+    postings = F.array(*(F.struct(F.lit(k).alias("which"), packed(ps).alias("bytes")) for k, ps in enumerate(keys)))
+    posts = reps.select("fp", "rep", F.explode(postings).alias("p")).select("fp", "rep", F.col("p.which").alias("which"), F.col("p.bytes").alias("bytes"))
+    long_lists = small(posts.groupBy("which", "bytes").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile), "simhash-long-lists")
     blocks = F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)).cast("int")
-    dealt = posts.join(long_lists.select(fresh("key").alias("k"), "n"), F.col("key") == F.col("k"), "left").withColumn("blocks", blocks)
-    own = F.pmod(F.xxhash64(*names), F.col("blocks")).cast("int")
-    dealt = dealt.select(*names, "rep", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", *names)
-    positions, shift = np.array(keys), 8 * len(keys[0])
-
-    def tally(key: np.ndarray, i: np.ndarray, j: np.ndarray, own: np.ndarray, rep: np.ndarray, prints: np.ndarray, forest: Forest) -> None:
+    long_lists = long_lists.select(fresh("which", "int").alias("w"), fresh("bytes").alias("k"), "n")
+    dealt = posts.join(long_lists, (F.col("which") == F.col("w")) & (F.col("bytes") == F.col("k")), "left").withColumn("blocks", blocks)
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    dealt = dealt.select("fp", "rep", "which", "bytes", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("which", "bytes", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "fp")
+    positions = np.array(keys).reshape(len(keys), width)
+
+    def tally(which: np.ndarray, key: np.ndarray, i: np.ndarray, j: np.ndarray, own: np.ndarray, rep: np.ndarray, prints: np.ndarray, forest: Forest) -> None:
         """Every pair of rows in the same tile, at distance 1, 2, 3 ... in the sorted rows, until no tile is as long."""
         begins = np.ones(len(key), bool)
-        begins[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        begins[1:] = (which[1:] != which[:-1]) | (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         tile_of, crossed = np.cumsum(begins), i != j
         left, step = np.arange(len(key)), 1
         while len(left):
@@ -138,11 +129,12 @@ def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE, lanes: int =
             for at in range(0, len(a), 1 << 16):
                 x = a[at : at + (1 << 16)]
                 differ = prints[x] ^ prints[x + step]
-                shared = differ.view(np.uint8) == 0
-                enough = np.nonzero((shared.sum(axis=1) >= need) & (np.bitwise_count(differ).sum(axis=1) <= max_distance))[0]
-                if len(enough):
-                    first = shared[enough][:, positions].all(axis=2).argmax(axis=1)
-                    x = x[enough[first == key[x[enough]] >> shift]]
+                counted = np.nonzero(enough_bytes(differ, need))[0]
+                x, differ = x[counted], differ[counted]
+                near = np.nonzero(np.bitwise_count(differ) <= max_distance)[0]
+                if len(near):
+                    x, shared = x[near], differ[near].view(np.uint8).reshape(-1, BYTES) == 0
+                    x = x[shared[:, positions].all(axis=2).argmax(axis=1) == which[x]]
                     for u, v in zip(rep[x].tolist(), rep[x + step].tolist()):
                         forest.union(u, v)
             step += 1
@@ -150,15 +142,14 @@ def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE, lanes: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, held = Forest(), None
         for b in batches:
-            now = [b.column(n).to_numpy() for n in range(5)]
+            now = [b.column(n).to_numpy() for n in range(6)]
             # bytes in the order of positions, so that a byte's place in memory is its position
-            now.append(np.stack([b.column(5 + n).to_numpy().astype(">i8").view(np.uint64) for n in range(lanes)], axis=1))
+            now.append(b.column(6).to_numpy().astype(">i8").view(np.uint64))
             if held is not None:
                 now = [np.concatenate([x, y]) for x, y in zip(held, now)]
-            key, i, j = now[:3]
             # the last tile may go on in the next batch; a tile has about 2 * TILE rows, so what is held is bounded
-            last = (key == key[-1]) & (i == i[-1]) & (j == j[-1]) if len(key) else np.zeros(0, bool)
-            cut = int(np.argmax(last)) if len(key) else 0
+            last = np.all([x == x[-1] for x in now[:4]], axis=0) if len(now[0]) else np.zeros(0, bool)
+            cut = int(np.argmax(last)) if len(last) else 0
             tally(*(x[:cut] for x in now), forest)
             held = [x[cut:] for x in now]
             if len(forest.parent) > 200_000:
@@ -173,46 +164,48 @@ def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE, lanes: int =
         for at in range(0, len(nodes), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(nodes[at : at + 50_000], pa.int64()), pa.array(roots[at : at + 50_000], pa.int64())], ["u", "v"])
 
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "u long, v long")
+    order = ["which", "bytes", "i", "j"]
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_distance: int = 3, lanes: int = 1, repeats: bool = True) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_distance: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs, other columns are ignored.
 
-    fingerprint: 16 lower-case hex digits a lane. Rows link if their fingerprints differ in at most max_distance bits
-    (with several lanes, nearly all such rows: see _plan); component_id is the smallest id reachable, itself included.
-    Null and empty texts have fingerprint zero and link like any other. Repeated rows stay repeated and share their
-    component; a row with a null id keeps its fingerprint and takes the component of its fingerprint (null if no other
-    row has an id there). Empty table: no rows.
+    fingerprint: 16 lower-case hex digits. Rows link if their fingerprints differ in at most max_distance bits;
+    component_id is the smallest id reachable, itself included. Null and empty texts have fingerprint zero and link
+    like any other. Very long texts are counted whole, in slices. Repeated rows stay repeated and share their component;
+    a row with a null id keeps its fingerprint and takes the component of its fingerprint (null if no other row has an
+    id there). Empty table: no rows.
     """
-    names = _names(lanes)
-    prints, _ = settle(fingerprints(docs, id_col, text_col, width, lanes, repeats), "simhash-prints")
-    reps, _ = settle(prints.groupBy(*names).agg(F.min("doc_id").alias("rep")), "simhash-reps")
-    found = components(links(reps.where("rep is not null"), max_distance, lanes=lanes), "simhash-components")
+    prints, prints_path = settle(fingerprints(docs, id_col, text_col, width), "simhash-prints")
+    reps, _ = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-reps")
+    found = components(links(reps.where("rep is not null"), max_distance), "simhash-components")
     classes = reps.join(found.select(fresh("node").alias("node"), "component"), F.col("rep") == F.col("node"), "left")
-    classes = classes.select(*(fresh(n).alias(f"class_{n}") for n in names), F.coalesce("component", "rep").alias("component_id"))
-    same = reduce(lambda a, b: a & b, [F.col(n) == F.col(f"class_{n}") for n in names])
-    digits = F.concat(*(F.lower(F.lpad(F.hex(n), 16, "0")) for n in names))
-    return prints.join(classes, same, "left").select("doc_id", digits.alias("fingerprint"), "component_id")
+    classes = classes.select(fresh("fp").alias("class"), F.coalesce("component", "rep").alias("component_id"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return prints.join(classes, F.col("fp") == F.col("class"), "left").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find: Callable[..., DataFrame] = near_duplicates, **how) -> DataFrame:
     """docs without near-duplicates: of each group that ``find`` makes one row stays, with all its columns.
 
     That is the row with the smallest id, null ids last, then by a hash of the whole row; rows that agree in all
-    columns leave one. Whole rows are not shuffled while those to drop are few enough to broadcast.
+    columns leave one. Whole rows are not shuffled while those to drop are few enough to broadcast. Null and empty
+    texts are one group. Columns of any name stay. Empty table: no rows.
     """
-    marked = docs.withColumn("_mark", F.xxhash64(*(x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull()))))
-    found = find(marked, "_mark", text_col, **how).groupBy("doc_id").agg(F.min("component_id").alias("group"), F.count(F.lit(1)).alias("rows"))
-    ids = marked.groupBy(F.col("_mark").alias("mark")).agg(F.min(F.col(id_col).cast("long")).alias("id"))
+    mark, gone, again = (unused(docs, n) for n in ("mark", "gone", "again"))
+    marked = docs.withColumn(mark, F.xxhash64(*(x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull()))))
+    thin = marked.select(F.col(mark).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    found = find(thin, **how).groupBy("doc_id").agg(F.min("component_id").alias("group"), F.count(F.lit(1)).alias("rows"))
+    ids = marked.groupBy(F.col(mark).alias("mark")).agg(F.min(F.col(f"`{id_col}`").cast("long")).alias("id"))
     each, _ = settle(found.join(ids, F.col("doc_id") == F.col("mark")).select("mark", "id", "group", "rows"), "simhash-marks")
     best = each.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"))
     best = best.select(fresh("group").alias("_group"), F.col("best.mark").alias("best"))
     each, _ = settle(each.join(best, F.col("group") == F.col("_group")).select("mark", "rows", (F.col("mark") == F.col("best")).alias("kept")), "simhash-ids")
-    dropped = small(each.where("not kept").select(fresh("mark").alias("_gone")), "simhash-dropped")
-    repeated = small(each.where("kept and rows > 1").select(fresh("mark").alias("_again")), "simhash-repeated")
-    once = marked.join(dropped, F.col("_mark") == F.col("_gone"), "left_anti")
+    dropped = small(each.where("not kept").select(fresh("mark").alias(gone)), "simhash-dropped")
+    repeated = small(each.where("kept and rows > 1").select(fresh("mark").alias(again)), "simhash-repeated")
+    once = marked.join(dropped, F.col(mark) == F.col(gone), "left_anti")
     if repeated.isEmpty():
-        return once.drop("_mark")
-    again = marked.join(repeated, F.col("_mark") == F.col("_again"), "left_semi").dropDuplicates(["_mark"])
-    return once.join(repeated, F.col("_mark") == F.col("_again"), "left_anti").unionByName(again).drop("_mark")
+        return once.drop(mark)
+    copies = marked.join(repeated, F.col(mark) == F.col(again), "left_semi").dropDuplicates([mark])
+    return once.join(repeated, F.col(mark) == F.col(again), "left_anti").unionByName(copies).drop(mark)
