@@ -42,6 +42,14 @@ def matches(toks: Column, node: K.Node) -> Column:
     return reduce(join, [matches(toks, m) for m in node.members])
 
 
+def matches_any(fields: list[Column], node: K.Node) -> Column:
+    """Whether texts satisfy a key tree together: each term, prefix or phrase in any one of them."""
+    if isinstance(node, (K.And, K.Or)) and len(fields) > 1:
+        join = (lambda a, b: a & b) if isinstance(node, K.And) else (lambda a, b: a | b)
+        return reduce(join, [matches_any(fields, m) for m in node.members])
+    return reduce(lambda a, b: a | b, [matches(toks, node) for toks in fields])
+
+
 def frequency(toks: Column, leaf: K.Node) -> Column:
     """How often a term, prefix or phrase occurs (phrases without overlap)."""
     if isinstance(leaf, K.Term):
@@ -63,13 +71,13 @@ def rank(fields: list[tuple[Column, float]], node: K.Node) -> Column:
     return reduce(lambda a, b: a + b, parts) / len(found)
 
 
-def normalised(score: Column, toks: Column, code: int) -> Column:
+def normalised(score: Column, length: Column, distinct: Column, code: int) -> Column:
     """score divided as the bits of code ask: 1 by 1 + log(length), 2 by length, 8 by distinct tokens, 16 by 1 + log
     of these, 32 by score + 1. Bit 4 (distance between matches) has no counterpart in this rank and is refused."""
     if code & 4 or code & ~59:
         raise ValueError(f"normalisation code {code} isn't supported")
-    length, distinct = F.size(toks), F.size(F.array_distinct(toks))
-    for bit, by in ((1, 1 + F.ln(F.greatest(length, F.lit(1)))), (2, F.greatest(length, F.lit(1))), (8, F.greatest(distinct, F.lit(1))), (16, 1 + F.ln(F.greatest(distinct, F.lit(1))))):
+    length, distinct = F.greatest(length, F.lit(1)), F.greatest(distinct, F.lit(1))
+    for bit, by in ((1, 1 + F.ln(length)), (2, length), (8, distinct), (16, 1 + F.ln(distinct))):
         if code & bit:
             score = score / by
     return score / (score + 1) if code & 32 else score

@@ -16,7 +16,7 @@ SAVED_CHARS, TOKENS_PER_CHAR, USD_PER_1K = 500, 0.25, 0.0001
 # Health thresholds (warning, critical) and severities of remediation.
 HEALTH = {"database_ms": (1000, 5000), "cache_ms": (100, 500), "queue_items": (1000, 10000)}
 SEVERITY = {"critical": 80, "high": 60, "medium": 40, "low": 20}
-SCOPE = {"system": 20, "service": 15, "feature": 10, "item": 5}
+SCOPE = {"system": 20, "server": 15, "index": 10, "user": 5}
 
 
 def period(name: str) -> int:
@@ -149,9 +149,9 @@ def worst(*grades: Column) -> Column:
 
 
 def remediation_priority(severity: Column, scope: Column, business_hours: Column, failures: Column) -> Column:
-    """Severity and scope points, ten in business hours, two for each failure up to twenty; a hundred at most."""
-    points = lambda c, table: F.coalesce(*(F.when(c == k, v) for k, v in table.items()), F.lit(0))
-    return F.least(points(severity, SEVERITY) + points(scope, SCOPE) + F.when(business_hours, 10).otherwise(0) + F.least(failures * 2, F.lit(20)), F.lit(100))
+    """Severity (low if unknown) and scope points, ten in business hours, two for each failure up to twenty; a hundred at most."""
+    points = lambda c, table, other: F.coalesce(*(F.when(c == k, v) for k, v in table.items()), F.lit(other))
+    return F.least(points(severity, SEVERITY, SEVERITY["low"]) + points(scope, SCOPE, 0) + F.when(business_hours, 10).otherwise(0) + F.least(failures * 2, F.lit(20)), F.lit(100))
 
 
 def success_grade(done: Column, total: Column) -> Column:

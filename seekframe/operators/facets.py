@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 from collections.abc import Collection
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seekframe.plans.model import FACETABLE, FieldSpec, IndexSpec, SpecError
 from seekframe.plans.query import Cond, Facet, Group
+from seekframe.sources.tables import shared_folder
 
 MISSING = "!"
 _RANGE = re.compile(r"^([\[(])\s*(\S+)\s+(\S+?)\s*([\])])$")
@@ -77,22 +80,42 @@ def by_expression(items: DataFrame, value: Column, facet: Facet) -> DataFrame:
     return ranked(items.select(value.alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("count")), facet)
 
 
+def _numbered(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """counts(keys, v, c) with g, the number of each row in the order of keys and v.
+
+    Rows are dealt by ranges and written; a range's numbers follow the counts of those before it, so neither a group nor
+    the whole is ever sorted in one task.
+    """
+    spark = counts.sparkSession
+    path = shared_folder(spark, "quartiles")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts.repartitionByRange(ranges, *keys, "v").withColumn("range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    each = dealt.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # a row for each range, at most
+    before = each.select(F.col("range").alias("r"), F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = Window.partitionBy("range").orderBy(*keys, "v")
+    return dealt.join(F.broadcast(before), F.col("range") == F.col("r")).withColumn("g", F.row_number().over(own) + F.col("before")).drop("range", "r", "before")
+
+
 def quartiles(values: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Quartile ranges of a column's distinct values, (range, low, high, count), for at least three values.
 
     Counts per distinct value come first, so what is sorted is distinct values; positions are floor(n * q).
     """
-    keys = [by] if by else []
-    counts = values.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*keys)
-    pos = counts.withColumns({"i": F.row_number().over(w.orderBy("v")) - 1, "n": F.count(F.lit(1)).over(w)}).where("n >= 3")
-    at = lambda q: F.max(F.when(F.col("i") == F.floor(F.col("n") * q), F.col("v"))).over(w)
-    cut = pos.withColumns({"q1": at(0.25), "q2": at(0.5), "q3": at(0.75), "lo": F.min("v").over(w), "hi": F.max("v").over(w)})
+    key = F.col(by) if by else F.lit(0)
+    counts = values.where(F.col(column).isNotNull()).groupBy(key.alias("k"), F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    placed = _numbered(counts, ["k"])
+    groups = placed.groupBy("k").agg(F.min("g").alias("base"), F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).where("n >= 3")
+    at = lambda q: F.max(F.when(F.col("g") - F.col("base") == F.floor(F.col("n") * q), F.col("v")))
+    groups = groups.withColumnRenamed("k", "of")
+    cuts = placed.join(groups, F.col("k").eqNullSafe(F.col("of"))).groupBy("of", "lo", "hi").agg(at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"))
+    cut = placed.select("k", "v", "c").join(cuts, F.col("k").eqNullSafe(F.col("of")))
     part = F.when(F.col("v") <= F.col("q1"), 1).when(F.col("v") <= F.col("q2"), 2).when(F.col("v") <= F.col("q3"), 3).otherwise(4)
-    low = F.when(F.col("part") == 1, F.col("lo")).when(F.col("part") == 2, F.col("q1")).when(F.col("part") == 3, F.col("q2")).otherwise(F.col("q3"))
-    high = F.when(F.col("part") == 1, F.col("q1")).when(F.col("part") == 2, F.col("q2")).when(F.col("part") == 3, F.col("q3")).otherwise(F.col("hi"))
-    cut = cut.withColumn("part", part)
-    return cut.select(*keys, F.col("part").alias("quartile"), low.alias("low"), high.alias("high"), "c").groupBy(*keys, "quartile", "low", "high").agg(F.sum("c").alias("count"))
+    low = F.when(F.col("quartile") == 1, F.col("lo")).when(F.col("quartile") == 2, F.col("q1")).when(F.col("quartile") == 3, F.col("q2")).otherwise(F.col("q3"))
+    high = F.when(F.col("quartile") == 1, F.col("q1")).when(F.col("quartile") == 2, F.col("q2")).when(F.col("quartile") == 3, F.col("q3")).otherwise(F.col("hi"))
+    cut = cut.withColumn("quartile", part).withColumns({"low": low, "high": high})
+    keys = [F.col("k").alias(by)] if by else []
+    return cut.groupBy(*keys, "quartile", "low", "high").agg(F.sum("c").alias("count"))
 
 
 def parse_filter(field: str, text: str) -> Cond | Group:
@@ -130,12 +153,24 @@ def filters(index: IndexSpec, chosen: Collection[tuple[str, Collection[str]]]) -
         for v in values:
             made = parse_filter(field, v)
             if isinstance(made, Cond) and made.op == "=":
-                made = Cond(field, _typed(made.value, spec), "=")
+                made = _day(field, made.value) if spec.kind == "date" else Cond(field, _typed(made.value, spec), "=")
             members.append(made)
         groups.append(Group(tuple(members), "OR"))
     return Group(tuple(groups))
 
 
+def _day(field: str, value: str) -> Group:
+    """A day, as facets of dates have them: from its midnight to before the next; or one moment, if a time is given."""
+    try:
+        moment = datetime.datetime.fromisoformat(value.strip())
+    except ValueError as e:
+        raise SpecError(f"{field}: not a date: {value!r}") from e
+    text = lambda x: x.isoformat(sep=" ")  # noqa: E731  as text it takes the type of the column, with or without a zone
+    if len(value.strip()) > 10:
+        return Group((Cond(field, text(moment), "="),))
+    return Group((Cond(field, text(moment), ">="), Cond(field, text(moment + datetime.timedelta(days=1)), "<")))
+
+
 def _typed(value: str, spec: FieldSpec) -> object:
     if spec.kind in ("integer", "entity_reference"):
         return int(value)
@@ -161,16 +196,58 @@ def detect_separator(text: Column) -> Column:
     return F.when(best < 2, None).when(bar == best, "|").when(comma == best, ",").otherwise(";")
 
 
+SEPARATORS = ("|", ",", ";", ":", "~")
+
+
 def detect_format(text: Column) -> Column:
-    """json, array, separated or single, by how a multi-value text is written."""
-    t = F.trim(text)
-    return (
-        F.when(t.isNull() | (t == ""), "single")
-        .when(t.rlike(r'^\[\s*("([^"\\]|\\.)*"|-?[0-9.]+)(\s*,\s*("([^"\\]|\\.)*"|-?[0-9.]+))*\s*\]$'), "json")
-        .when(t.rlike(r"^\{.*\}$"), "array")
-        .when(t.rlike(r"[|,;:~]"), "separated")
-        .otherwise("single")
-    )
+    """json, array, separated or single, by how a multi-value text is written.
+
+    json: an array or object that parses; array: anything else in braces; separated: a separator after a first part that
+    isn't blank.
+    """
+    t = F.coalesce(text, F.lit(""))
+    json = (t.startswith("[") | t.startswith("{")) & F.try_parse_json(t).isNotNull()
+    parted = reduce(lambda a, b: a | b, [(F.instr(t, s) > 0) & (F.trim(F.substring_index(t, s, 1)) != "") for s in SEPARATORS])
+    return F.when(json, "json").when(t.rlike(r"^\{.*\}$"), "array").when(parted, "separated").otherwise("single")
+
+
+def detect_formats(items: DataFrame, columns: Collection[str]) -> DataFrame:
+    """(field, format, separator) of text columns, all in one pass over all rows.
+
+    A column has the first of json, array and separated that any of its values has, else single; its separator is
+    that of ``|``, ``,`` and ``;`` that occurs most, at least twice, in this order on ties.
+    """
+    has = lambda c, kind: F.max((detect_format(F.col(c)) == kind).cast("int"))
+    count = lambda c, s: F.sum(F.char_length(c) - F.char_length(F.replace(F.col(c), F.lit(s), F.lit(""))))
+    one = items.agg(*(x for i, c in enumerate(columns) for x in (*(has(c, k).alias(f"{k}{i}") for k in ("json", "array", "separated")), *(F.coalesce(count(c, s), F.lit(0)).alias(f"{n}{i}") for n, s in (("bar", "|"), ("comma", ","), ("semi", ";"))))))
+    rows = []
+    for i, c in enumerate(columns):
+        bar, comma, semi = (F.col(f"{n}{i}") for n in ("bar", "comma", "semi"))
+        best = F.greatest(bar, comma, semi)
+        kind = F.when(F.col(f"json{i}") == 1, "json").when(F.col(f"array{i}") == 1, "array").when(F.col(f"separated{i}") == 1, "separated").otherwise("single")
+        rows.append(F.struct(F.lit(c).alias("field"), kind.alias("format"), F.when(best < 2, None).when(bar == best, "|").when(comma == best, ",").otherwise(";").alias("separator")))
+    return one.select(F.inline(F.array(*rows)))
+
+
+def separator_for(field_setting: str | None = None, index_setting: str | None = None, detected: str | None = None) -> str:
+    """The separator of a field: as the field says, else the index, else as detected, else ``|``."""
+    return field_setting or index_setting or detected or "|"
+
+
+def format_for(field_setting: str | None = None, index_setting: str | None = None) -> str:
+    """How a field without data is written: as the field says, else the index, else separated."""
+    return field_setting or index_setting or "separated"
+
+
+def values_of(text: Column, kind: str, separator: str = "|") -> Column:
+    """The values of a multi-value text as an array, trimmed, without empty ones; null for null."""
+    parts = {
+        "json": F.from_json(text, "array<string>"),
+        "array": F.split(F.regexp_replace(text, r"^\{|\}$", ""), ","),
+        "separated": F.split(text, re.escape(separator)),
+        "single": F.when(text.isNotNull(), F.array(text)),
+    }[kind]
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def layout_advice(statistics: DataFrame) -> DataFrame:
@@ -184,3 +261,43 @@ def layout_advice(statistics: DataFrame) -> DataFrame:
         .when(F.col("kind") == "integer", "sort").when(share > 0.8, "hash").otherwise("partial")
     )
     return statistics.withColumn("advice", advice)
+
+
+def layout_path(path: str, field: str) -> str:
+    return f"{path}/facet={field}"
+
+
+def lay_out(items: DataFrame, index: IndexSpec, field: str, advice: str, path: str, files: int) -> None:
+    """Write the layout that is advised for a field: (value, id), ready for counts and filters of that field.
+
+    postings: one row for each of an item's values; sort: in order of values; hash: dealt by value; partial: only rows
+    that have a value, in order; none: nothing, and what was there goes.
+    """
+    spark, spec, to = items.sparkSession, index.field(field), layout_path(path, field)
+    if advice == "none":
+        drop_layout(spark, path, field)
+        return
+    value = F.explode(field) if spec.multi_value else F.col(field)
+    rows = items.select(F.col(index.id_col).alias("id"), value.alias("value")).where("value is not null")
+    rows = rows.repartition(files, "value") if advice == "hash" else rows.repartitionByRange(files, "value", "id").sortWithinPartitions("value", "id")
+    rows.write.mode("overwrite").parquet(to)
+
+
+def layouts(spark: SparkSession, path: str) -> list[str]:
+    """Fields that have a layout."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName().removeprefix("facet=") for x in fs.listStatus(where) if x.getPath().getName().startswith("facet=")) if fs.exists(where) else []
+
+
+def drop_layout(spark: SparkSession, path: str, field: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(layout_path(path, field))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_orphans(spark: SparkSession, index: IndexSpec, path: str) -> list[str]:
+    """Drop the layouts of fields that the index doesn't have any more; their names."""
+    gone = [f for f in layouts(spark, path) if f not in index.facetable]
+    for f in gone:
+        drop_layout(spark, path, f)
+    return gone

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from seekframe.functions import prepare as P
 from seekframe.plans.model import FieldSpec, IndexSpec, SpecError
+from seekframe.streaming.queue import tasks as queue_tasks
 
 
 def empty(spark: SparkSession, index: IndexSpec) -> DataFrame:
@@ -88,15 +90,83 @@ def differences(items: DataFrame, index: IndexSpec) -> dict[str, list[str]]:
     return {"add": sorted(want.keys() - have.keys()), "change": sorted(k for k in want.keys() & have.keys() if want[k] != have[k]), "remove": sorted(have.keys() - want.keys())}
 
 
+POINTER = "current"
+
+
+def _store(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _version(spark: SparkSession, path: str) -> str | None:
+    """The folder of a table's version that its pointer names."""
+    fs, pointer = _store(spark, f"{path}/{POINTER}")
+    return f"{path}/{spark.read.text(pointer.toString(), wholetext=True).first().value.strip()}" if fs.exists(pointer) else None
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write a table and put it in the place of the old one: readers see the old or the new version, never a mixture."""
+    """Write a new version of a table, then let its pointer name it: readers find the old version or the new one.
+
+    The pointer, a file of one line, is moved into place in one step, so there is no moment without a table, and a
+    failed write leaves the old one. The version before stays for those who are reading it; older ones go.
+    """
     spark = df.sparkSession
-    jpath = spark._jvm.org.apache.hadoop.fs.Path
-    fs = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
-    if fs.exists(jpath(path)):
-        fs.rename(jpath(path), jpath(old))
-    if not fs.rename(jpath(fresh), jpath(path)):
-        raise OSError(f"can't move {fresh} to {path}")
-    fs.delete(jpath(old), True)
+    jvm = spark._jvm
+    name, old = f"v-{uuid.uuid4().hex}", _version(spark, path)
+    df.write.parquet(f"{path}/{name}")
+    fs, fresh = _store(spark, f"{path}/{POINTER}.{name}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(f"{name}\n".encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), spark._jsc.hadoopConfiguration()).rename(fresh, jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}"), overwrite)
+    keep = {name, old.rsplit("/", 1)[1] if old else name}
+    for x in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)):
+        if x.isDirectory() and x.getPath().getName().startswith("v-") and x.getPath().getName() not in keep:
+            fs.delete(x.getPath(), True)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table written with replace_table."""
+    version = _version(spark, path)
+    if version is None:
+        raise SpecError(f"no table at {path}")
+    return spark.read.parquet(version)
+
+
+def drop_table(spark: SparkSession, path: str) -> bool:
+    """Delete a table with all that belongs to it (versions, text and vector indexes, facet layouts); whether there was one."""
+    fs, where = _store(spark, path)
+    return fs.delete(where, True)
+
+
+def append(items: DataFrame, more: DataFrame) -> DataFrame:
+    """items and more rows of the same fields, without a look at ids: a plain insert."""
+    if sorted(items.columns) != sorted(more.columns):
+        raise SpecError(f"fields differ: {sorted(set(items.columns) ^ set(more.columns))}")
+    return items.unionByName(more.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in items.schema)))
+
+
+#: What a backend may offer, as names; a move to another backend compares them.
+VECTOR_FEATURES = frozenset({"vector_search", "hybrid_search", "embeddings"})
+
+
+def migration_check(index: IndexSpec, features: frozenset[str], kinds: frozenset[str], offered: frozenset[str], offered_kinds: frozenset[str]) -> dict[str, list[str]]:
+    """What a move to a backend would lose: features, field types, and the fields that have those types."""
+    lost = kinds - offered_kinds
+    return {"features": sorted(features - offered), "types": sorted(lost), "fields": sorted(f.name for f in index.fields if f.kind in lost)}
+
+
+def migrate(items: DataFrame, index: IndexSpec) -> tuple[DataFrame, IndexSpec]:
+    """items and index for a backend without vectors: vector fields go, fulltext fields become plain text."""
+    fields = tuple(replace(f, kind="text") if f.kind == "fulltext" else f for f in index.fields if f.kind != "vector")
+    smaller = IndexSpec(index.name, fields, index.id_col, index.datasource_col, index.language_col)
+    return evolve(items, smaller), smaller
+
+
+def queued(items: DataFrame, index: IndexSpec, text: Column, server: str, now: int) -> tuple[DataFrame, DataFrame]:
+    """(rows without embeddings, tasks for them): how items are indexed while their embeddings are made later."""
+    vectors = [f.name for f in index.fields if f.kind == "vector"]
+    rows = items.withColumns({n: F.lit(None).cast(index.field(n).data_type) for n in vectors}) if vectors else items
+    return rows, queue_tasks(items.select(F.col(index.id_col).alias("id"), text.alias("text")), "id", "text", server, index.name, now)

@@ -110,5 +110,6 @@ def compile_group(index: IndexSpec, group: Group, without: Collection[str] = ())
     return reduce((lambda a, b: a | b) if group.conjunction.upper() == "OR" else (lambda a, b: a & b), parts)
 
 
-def mentions(group: Group, fields: Collection[str]) -> bool:
-    return any(mentions(m, fields) if isinstance(m, Group) else m.field in fields for m in group.members)
+def fields_of(group: Group) -> set[str]:
+    """The fields that a group's conditions are about."""
+    return {n for m in group.members for n in (fields_of(m) if isinstance(m, Group) else {m.field})}

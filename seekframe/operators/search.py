@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.functions import text as X
+from seekframe.functions import text as TX
 from seekframe.functions import vectors as V
-from seekframe.functions.stem import porter, stems
+from seekframe.functions.stem import stems
 from seekframe.operators import facets as FC
-from seekframe.operators.predicates import compile_group, mentions
+from seekframe.operators import textindex as X
+from seekframe.operators.predicates import compile_group, fields_of
 from seekframe.plans import keys as K
 from seekframe.plans.model import IndexSpec, SpecError
 from seekframe.plans.query import Group, Query, Sort
@@ -60,11 +62,53 @@ def hybrid_score(text: Column, vector: Column, has_vector: Column, has_text: Col
     return F.when(has_vector & has_text, t + v).when(has_vector, v).when(has_text, t).otherwise(LEAST)
 
 
-def _scored(items: DataFrame, index: IndexSpec, query: Query) -> tuple[DataFrame, Column | None, dict | None]:
-    """items with scores, the condition of the keys and vector, and why the mode was lowered, if it was."""
+@dataclass(frozen=True)
+class Items:
+    """A table of items as search sees it.
+
+    sides: tables (id, fields) of fields that lie elsewhere; each is joined only if a query names one of its fields, and
+    only to the rows of the page if it is merely shown. text: the text indexes, by configuration; without the one that a
+    query asks for, texts are tokenised as they are read.
+    """
+
+    base: DataFrame
+    sides: tuple[DataFrame, ...] = ()
+    text: Mapping[str, X.TextIndex] = field(default_factory=dict)
+
+    def attach(self, df: DataFrame, names: Collection[str], id_col: str) -> DataFrame:
+        """df with the sides that have fields of these names, and which it doesn't have yet."""
+        for side in self.sides:
+            if any(n in side.columns and n not in df.columns for n in names):
+                df = df.join(side, id_col, "left")
+        return df
+
+    def lacks(self, names: Collection[str]) -> list[str]:
+        return [n for n in names if n not in self.base.columns]
+
+
+def _matched(items: DataFrame, source: Items, index: IndexSpec, query: Query, node: K.Node, inner: bool) -> DataFrame:
+    """items with text_rank, null where the keys don't match; only matching ones if ``inner``."""
+    if not index.searchable:
+        raise SpecError(f"{index.name} has no searchable field")
+    node = X.stemmed(node, query.config)
+    constant = query.rank == "constant"
+    if query.config in source.text:
+        found = X.find(source.text[query.config], index, node, constant=constant)
+        return items.join(found.withColumnRenamed("id", index.id_col), index.id_col, "inner" if inner else "left")
+    made = []
+    for n in index.searchable:
+        toks = TX.tokens(F.array_join(F.col(n), " ") if index.field(n).multi_value else F.col(n))
+        made.append((stems(toks) if query.config == "english" else toks).alias(n))
+    # an explode of one element is a barrier: texts are split once, not once for each mention of their tokens
+    items = items.withColumn("_tokens", F.explode(F.array(F.struct(*made))))
+    each = [(F.col(f"_tokens.{n}"), TX.WEIGHTS[index.field(n).weight]) for n in index.searchable]
+    items = items.withColumn("text_rank", F.when(TX.matches_any([c for c, _ in each], node), F.lit(1.0) if constant else TX.rank(each, node))).drop("_tokens")
+    return items.where("text_rank is not null") if inner else items
+
+
+def _scored(items: DataFrame, source: Items, index: IndexSpec, query: Query) -> tuple[DataFrame, bool, dict | None]:
+    """The items that the keys and vector ask for, with scores; whether they ask for anything; and why the mode was lowered, if it was."""
     node = K.parse(query.keys)
-    if query.config == "english" and node is not None:
-        node = K.mapped(node, porter)
     vector, mode, lowered = query.vector, query.mode, None
     if mode == "vector_only" and vector is None:
         lowered = {"degraded": True, "reason": "no query vector", "strategy": "text_only", "message": "searched by text alone"}
@@ -72,55 +116,61 @@ def _scored(items: DataFrame, index: IndexSpec, query: Query) -> tuple[DataFrame
     elif vector is None or node is None and mode == "hybrid":
         mode = "text_only" if vector is None else "vector_only"
 
-    match = text_score = None
-    if node is not None and mode != "vector_only":
-        names = index.searchable
-        if not names:
-            raise SpecError(f"{index.name} has no searchable field")
-        for n in names:
-            c = F.array_join(F.col(n), " ") if index.field(n).multi_value else F.col(n)
-            items = items.withColumn(f"_tokens_{n}", stems(X.tokens(c)) if query.config == "english" else X.tokens(c))
-        each = [(F.col(f"_tokens_{n}"), X.WEIGHTS[index.field(n).weight]) for n in names]
-        match = X.matches(F.flatten(F.array(*(c for c, _ in each))) if len(each) > 1 else each[0][0], node)
-        text_score = F.lit(1.0) if query.rank == "constant" else X.rank(each, node)
     if mode == "text_only":
-        return items.withColumn(SCORE, text_score if text_score is not None else F.lit(1.0)), match, lowered
+        if node is None:
+            return items.withColumn(SCORE, F.lit(1.0)), False, lowered
+        return _matched(items, source, index, query, node, True).withColumn(SCORE, F.col("text_rank")), True, lowered
     # the similarity is computed once per row, and is null without a vector, or with a zero one
     items = items.withColumn("_similarity", V.cosine(F.col(vector.column), V.literal(vector.vector)))
     near = F.coalesce(F.col("_similarity") >= vector.threshold, F.lit(False))
     if mode == "vector_only":
-        return items.withColumn(SCORE, F.col("_similarity")), near, lowered
-    text = F.when(match, text_score).otherwise(0.0)
-    items = items.withColumns({TEXT_SCORE: F.coalesce(text, F.lit(0.0)), VECTOR_SCORE: F.coalesce("_similarity", F.lit(0.0))})
+        return items.withColumn(SCORE, F.col("_similarity")).where(near), True, lowered
+    items = _matched(items, source, index, query, node, False)
+    match = F.col("text_rank").isNotNull()
+    items = items.where(match | near).withColumns({TEXT_SCORE: F.coalesce("text_rank", F.lit(0.0)), VECTOR_SCORE: F.coalesce("_similarity", F.lit(0.0))})
+    if not vector.guarded:
+        return items.withColumn(SCORE, F.lit(vector.text_weight) * F.col(TEXT_SCORE) + F.lit(vector.vector_weight) * F.col("_similarity")), True, lowered
     score = hybrid_score(F.col(TEXT_SCORE), F.col(VECTOR_SCORE), F.col("_similarity").isNotNull(), match, vector.text_weight, vector.vector_weight)
-    return items.withColumn(SCORE, score), match | near, lowered
+    return items.withColumn(SCORE, score), True, lowered
 
 
-def search(items: DataFrame, index: IndexSpec, query: Query) -> SearchResult:
+def search(items: DataFrame | Items, index: IndexSpec, query: Query) -> SearchResult:
     """Run a query over a table of items. All errors of the query itself are raised here, before any job."""
-    scored, match, lowered = _scored(items, index, query)
-    chosen = FC.filters(index, query.facet_filters)
-    where = Group((query.where, chosen))
+    source = items if isinstance(items, Items) else Items(items)
+    where = Group((query.where, FC.filters(index, query.facet_filters)))
+    fields = list(query.fields) or [f.name for f in index.fields if f.kind != "vector"]
+    for name in [*fields, *(f.field for f in query.facets)]:
+        index.field(name)
+    named = {*fields_of(where), *(s.field for s in query.sorts), *([query.vector.column] if query.vector and query.mode != "text_only" else [])}
+    scored, asked, lowered = _scored(source.attach(source.base, named, index.id_col), source, index, query)
 
     def filtered(without: frozenset[str] = frozenset()) -> DataFrame:
-        out = scored if match is None else scored.where(match)
         condition = compile_group(index, where, without)
-        out = out if condition is None else out.where(condition)
+        out = scored if condition is None else scored.where(condition)
         return out if query.languages is None else out.where(F.col(index.language_col).isin(*query.languages))
 
     rows = filtered()
-    sorts = query.sorts or ((Sort("relevance", "DESC"),) if match is not None else ())
-    fields = list(query.fields) or [f.name for f in index.fields if f.kind != "vector"]
-    for name in fields:
-        index.field(name)
+    sorts = query.sorts or ((Sort("relevance", "DESC"),) if asked else ())
+    ordering = order(sorts, index)
     scores = [SCORE] + [c for c in (TEXT_SCORE, VECTOR_SCORE) if c in scored.columns]
-    kept = rows.select(*dict.fromkeys([*index.system, *fields, *scores, *(s.field for s in sorts if s.field in index.sortable)]))
-    shown = page(kept, order(sorts, index), query.limit, query.offset).select(*index.system, *fields, *scores)
-    # a facet ignores conditions on its own field; those without any share the filtered frame
+    late = [n for n in source.lacks(fields) if n not in rows.columns]
+    limit = query.limit
+    if query.vector and query.vector.max_results is not None and query.mode != "text_only":
+        limit = query.vector.max_results if limit is None else min(limit, query.vector.max_results)
+    if late and limit is None:
+        rows_shown, late = source.attach(rows, fields, index.id_col), []
+    else:
+        rows_shown = rows
+    kept = rows_shown.select(*dict.fromkeys([*index.system, *(n for n in fields if n not in late), *scores, *(s.field for s in sorts if s.field in index.sortable)]))
+    shown = page(kept, ordering, limit, query.offset)
+    if late:  # what is only shown is joined to the page, which is in order again after that
+        shown = source.attach(shown, late, index.id_col).orderBy(*ordering)
+    shown = shown.select(*index.system, *fields, *scores)
+    # a facet ignores conditions on its own field and its forms; those without any share the filtered frame
     counts = {}
     for f in query.facets:
-        spec = index.field(f.field)
-        own = frozenset({f.field})
-        counts[f.field] = FC.labelled(filtered(own) if mentions(where, own) else rows, spec, f)
+        without = frozenset(n for n in fields_of(where) if n == f.field or f.related and FC.related(n, f.field))
+        own = filtered(without) if without else rows
+        counts[f.field] = FC.labelled(source.attach(own, (f.field,), index.id_col), index.field(f.field), f)
     count = None if query.skip_count else rows.agg(F.count(F.lit(1)).alias("result_count"))
     return SearchResult(shown, count, counts, lowered)

@@ -9,6 +9,7 @@ from seekframe.operators import analytics as A
 from seekframe.plans import frames as T
 from seekframe.plans.catalog import query
 from seekframe.sources import embedding as E
+from seekframe.streaming import queue as Q
 from seekframe.streaming.queue import hourly_stream
 
 WEEK, MONTH = A.period("7d"), A.period("30d")
@@ -99,10 +100,10 @@ def health_grade(spark: SparkSession, d: str) -> DataFrame:
     return T.table(spark, d, "events").select("event_id", a.alias("a"), A.worst(a, b).alias("overall"))
 
 
-@query("SELECT event_id, least(CASE event_type WHEN 'error' THEN 80 WHEN 'purchase' THEN 60 WHEN 'click' THEN 40 ELSE 20 END + CASE event_id % 4 WHEN 0 THEN 20 WHEN 1 THEN 15 WHEN 2 THEN 10 ELSE 5 END + CASE WHEN hour(ts) BETWEEN 9 AND 16 THEN 10 ELSE 0 END + least(2 * (user_id % 15), 20), 100)::BIGINT AS priority FROM events")
+@query("SELECT event_id, least(CASE event_type WHEN 'error' THEN 80 WHEN 'purchase' THEN 60 WHEN 'click' THEN 40 ELSE 20 END + CASE event_id % 5 WHEN 0 THEN 20 WHEN 1 THEN 15 WHEN 2 THEN 10 WHEN 3 THEN 5 ELSE 0 END + CASE WHEN hour(ts) BETWEEN 9 AND 16 THEN 10 ELSE 0 END + least(2 * (user_id % 15), 20), 100)::BIGINT AS priority FROM events")
 def remediation_priority(spark: SparkSession, d: str) -> DataFrame:
-    severity = F.when(F.col("event_type") == "error", "critical").when(F.col("event_type") == "purchase", "high").when(F.col("event_type") == "click", "medium").otherwise("low")
-    scope = F.element_at(F.array(*map(F.lit, ("system", "service", "feature", "item"))), (F.col("event_id") % 4 + 1).cast("int"))
+    severity = F.when(F.col("event_type") == "error", "critical").when(F.col("event_type") == "purchase", "high").when(F.col("event_type") == "click", "medium").otherwise("unknown")
+    scope = F.element_at(F.array(*map(F.lit, ("system", "server", "index", "user", "other"))), (F.col("event_id") % 5 + 1).cast("int"))
     points = A.remediation_priority(severity, scope, F.hour("ts").between(9, 16), F.col("user_id") % 15)
     return T.table(spark, d, "events").select("event_id", points.cast("long").alias("priority"))
 
@@ -123,20 +124,21 @@ def cache_evict(spark: SparkSession, d: str) -> DataFrame:
     return E.evict(T.cache(spark, d), T.CACHE_NOW, 300).select("text_hash")
 
 
-@query()
-def token_batches(spark: SparkSession, d: str) -> DataFrame:
-    """The call in which each document's text goes to an embedding service; calls are filled in order of ids by source.
+_BLOCK_SQL = "SELECT doc_id, ceil(strlen(text) / 4)::BIGINT AS tokens, doc_id // 100 AS block FROM documents"
 
-    Greedy filling depends on all texts before, so it runs per partition, here one for each block of 1000 ids."""
-    rows = T.table(spark, d, "documents").select("doc_id", F.ceil(F.octet_length("text") / 4).cast("long").alias("tokens"))
-    block = F.floor(F.col("doc_id") / 1000).cast("long")
 
-    def number(pdf):
-        pdf = pdf.sort_values("doc_id")
-        pdf["call"] = E.batches(pdf["tokens"].tolist())
-        return pdf
+@query(f"""WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY doc_id) AS n FROM ({_BLOCK_SQL})),
+c AS (SELECT doc_id, tokens, block, n, 0::BIGINT AS call, 1 AS held, tokens AS total FROM r WHERE n = 1
+  UNION ALL SELECT r.doc_id, r.tokens, r.block, r.n, CASE WHEN held >= {E.CALL_INPUTS} OR total + r.tokens > {E.CALL_TOKENS} THEN call + 1 ELSE call END,
+    CASE WHEN held >= {E.CALL_INPUTS} OR total + r.tokens > {E.CALL_TOKENS} THEN 1 ELSE held + 1 END, CASE WHEN held >= {E.CALL_INPUTS} OR total + r.tokens > {E.CALL_TOKENS} THEN r.tokens ELSE total + r.tokens END
+  FROM c JOIN r ON r.block = c.block AND r.n = c.n + 1)
+SELECT doc_id, tokens, block, call FROM c""")
+def token_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The call in which each document's text goes to an embedding service; calls are filled in order of ids.
 
-    return rows.withColumn("block", block).groupBy("block").applyInPandas(number, "doc_id long, tokens long, block long, call long")
+    Greedy filling depends on all texts before, so it runs within blocks of a hundred ids, side by side."""
+    rows = T.table(spark, d, "documents").select("doc_id", F.ceil(F.octet_length("text") / 4).cast("long").alias("tokens"))
+    return E.call_numbers(rows.withColumn("block", F.floor(F.col("doc_id") / 100).cast("long")), "block", "doc_id", "tokens")
 
 
 @query("SELECT date_trunc('hour', ts) AS hour, count(*) AS n, round(avg(value), 6) AS avg_value FROM events GROUP BY 1")
@@ -144,3 +146,35 @@ def stream_hourly(spark: SparkSession, d: str) -> DataFrame:
     """The streaming aggregation, run over the table; tests hold the stream to this result."""
     events = T.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return hourly_stream(events).select(F.col("hour").cast("timestamp_ntz").alias("hour"), "n", F.round("avg_value", 6).alias("avg_value"))
+
+
+_OF_MODEL = "(SELECT *, CASE hit_count % 3 WHEN 0 THEN 'small' ELSE 'large' END AS model, CASE hit_count % 2 WHEN 0 THEN 'articles' ELSE 'pages' END AS index_id FROM " + T.CACHE_SQL + ")"
+
+
+def _of_model(spark: SparkSession, d: str) -> DataFrame:
+    model, index = F.when(F.col("hit_count") % 3 == 0, "small").otherwise("large"), F.when(F.col("hit_count") % 2 == 0, "articles").otherwise("pages")
+    return T.cache(spark, d).withColumns({"model": model, "index_id": index})
+
+
+@query(f"SELECT text_hash FROM {_OF_MODEL} WHERE model <> 'large'")
+def cache_invalidate_model(spark: SparkSession, d: str) -> DataFrame:
+    """What stays of the cache when a model's embeddings are void."""
+    return E.invalidate(_of_model(spark, d), model="large").select("text_hash")
+
+
+@query(f"SELECT text_hash FROM {_OF_MODEL} WHERE NOT (index_id = 'pages' AND model = 'small')")
+def cache_invalidate_index(spark: SparkSession, d: str) -> DataFrame:
+    return E.invalidate(_of_model(spark, d), index="pages", model="small").select("text_hash")
+
+
+@query("SELECT item_id, operation FROM " + T.QUEUE_SQL + " WHERE item_id NOT IN (SELECT doc_id FROM labels)")
+def queue_after_delete(spark: SparkSession, d: str) -> DataFrame:
+    """Tasks of deleted items leave the queue."""
+    return Q.without_items(T.queue(spark, d), T.table(spark, d, "labels").select(F.col("doc_id").alias("item_id"))).select("item_id", "operation")
+
+
+@query(f"SELECT text_hash FROM {T.CACHE_SQL} WHERE text_hash NOT IN (SELECT sha256(text) FROM documents WHERE text IS NOT NULL AND doc_id IN (SELECT doc_id FROM labels)) OR text_hash IN (SELECT sha256(text) FROM documents WHERE text IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels))")
+def cache_after_delete(spark: SparkSession, d: str) -> DataFrame:
+    """Embeddings that only deleted items' texts use leave the cache."""
+    used = T.table(spark, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("item_id"), F.sha2("text", 256).alias("text_hash"))
+    return E.forget(T.cache(spark, d), used, T.table(spark, d, "labels").select(F.col("doc_id").alias("item_id"))).select("text_hash")

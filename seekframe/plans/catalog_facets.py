@@ -12,6 +12,7 @@ from seekframe.plans import frames as T
 from seekframe.plans.catalog import query
 from seekframe.plans.model import FieldSpec
 from seekframe.plans.query import Cond, Facet, Group, Query
+from seekframe.sources.tables import shared_folder
 
 TOK = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda t: t <> '')"
 BY_COUNT = "ORDER BY count DESC, value LIMIT 50"
@@ -38,12 +39,14 @@ def facet_integer(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT CASE WHEN quality IS NULL THEN '!' ELSE '\"' || quality::VARCHAR || '\"' END AS filter, count(*) AS count FROM " + T.DOCS_SQL + " GROUP BY 1")
 def facet_missing(spark: SparkSession, d: str) -> DataFrame:
-    return FC.labelled(T.docs(spark, d), T.DOCS.field("quality"), Facet("quality", missing=True))
+    source = T.docs(spark, d)
+    return FC.labelled(source.attach(source.base, ("quality",), "doc_id"), T.DOCS.field("quality"), Facet("quality", missing=True))
 
 
 @query("SELECT quality::VARCHAR AS value, count(*) AS count FROM " + T.DOCS_SQL + " WHERE quality IS NOT NULL GROUP BY 1")
 def facet_boolean(spark: SparkSession, d: str) -> DataFrame:
-    return FC.terms(T.docs(spark, d), T.DOCS.field("quality"), Facet("quality")).select(FC.value_text(F.col("value"), "boolean").alias("value"), "count")
+    source = T.docs(spark, d)
+    return FC.terms(source.attach(source.base, ("quality",), "doc_id"), T.DOCS.field("quality"), Facet("quality")).select(FC.value_text(F.col("value"), "boolean").alias("value"), "count")
 
 
 @query("SELECT '\"' || o_orderstatus || '\"' AS filter, count(*) AS count FROM orders WHERE o_totalprice > 50000 GROUP BY 1")
@@ -55,7 +58,7 @@ def facet_excludes_self(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT '\"' || quality::VARCHAR || '\"' AS filter, count(*) AS count FROM (SELECT quality, {TOK} AS tok FROM {T.DOCS_SQL}) WHERE list_contains(tok, 'the') AND quality IS NOT NULL GROUP BY 1")
 def facet_with_keys(spark: SparkSession, d: str) -> DataFrame:
-    return search(T.docs(spark, d), T.DOCS, Query(keys="the", facets=(Facet("quality"),))).facets["quality"]
+    return search(T.docs(spark, d, "simple"), T.DOCS, Query(keys="the", facets=(Facet("quality"),))).facets["quality"]
 
 
 @query("SELECT CAST(o_orderdate AS DATE)::VARCHAR AS value, count(*) AS count FROM orders GROUP BY 1 ORDER BY count DESC, value LIMIT 50")
@@ -132,13 +135,33 @@ def facet_separated(spark: SparkSession, d: str) -> DataFrame:
     return FC.terms(texts.select(F.split("t", ",").alias("tags")), _JSON, Facet("tags"))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'json' WHEN 1 THEN 'array' WHEN 2 THEN 'separated' ELSE 'single' END AS format FROM part")
+@query("SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'json' WHEN 1 THEN 'array' WHEN 2 THEN 'separated' WHEN 3 THEN 'single' WHEN 4 THEN 'json' WHEN 5 THEN 'json' WHEN 6 THEN 'single' ELSE 'json' END AS format FROM part")
 def detect_mv_format(spark: SparkSession, d: str) -> DataFrame:
-    kind = F.col("p_partkey") % 4
-    made = F.when(kind == 0, F.to_json("tags")).when(kind == 1, F.concat(F.lit("{"), F.array_join("tags", ","), F.lit("}"))).when(kind == 2, F.array_join("tags", ";")).otherwise(F.get("tags", F.lit(0)))
+    """Arrays and objects as JSON, braces that are no JSON, parts behind a separator, a blank first part, single values."""
+    kind = F.col("p_partkey") % 8
+    made = (
+        F.when(kind == 0, F.to_json("tags")).when(kind == 1, F.concat(F.lit("{"), F.array_join("tags", ","), F.lit("}"))).when(kind == 2, F.array_join("tags", ";"))
+        .when(kind == 3, F.get("tags", F.lit(0))).when(kind == 4, F.to_json(F.create_map(F.lit("a"), "p_size"))).when(kind == 5, F.lit("[]")).when(kind == 6, F.concat(F.lit("|"), F.get("tags", F.lit(0)))).otherwise(F.lit("[true, [1, 2]]"))
+    )
     return T.parts(spark, d).select("p_partkey", FC.detect_format(made).alias("format"))
 
 
+@query("SELECT 'p_name' AS field, 'single' AS format, CAST(NULL AS VARCHAR) AS separator UNION ALL SELECT 'bars', 'separated', '|' UNION ALL SELECT 'listed', 'json', ',' UNION ALL SELECT 'braced', 'array', ','")
+def detect_mv_batch(spark: SparkSession, d: str) -> DataFrame:
+    """How several columns are written, in one pass."""
+    rows = T.parts(spark, d).select("p_name", F.array_join(F.array("p_name", "p_type", "p_brand"), "|").alias("bars"), F.to_json(F.array("p_name", "p_type", "p_brand")).alias("listed"), F.concat(F.lit("{"), F.array_join(F.array("p_name", "p_type", "p_brand"), ","), F.lit("}")).alias("braced"))
+    return FC.detect_formats(rows, rows.columns)
+
+
+@query(f"SELECT value, count(*) AS count FROM (SELECT unnest(string_split(p_name, ' ')) AS value FROM part) WHERE value <> '' GROUP BY 1 {BY_COUNT}")
+def facet_from_layout(spark: SparkSession, d: str) -> DataFrame:
+    """Counts from the postings that were laid out for a field, without the items."""
+    folder = shared_folder(spark, "layout")
+    FC.lay_out(T.parts(spark, d), T.PARTS, "tags", "postings", folder, 2)
+    laid = spark.read.parquet(FC.layout_path(folder, "tags"))
+    return FC.by_expression(laid, F.col("value"), Facet("tags"))
+
+
 @query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '|' WHEN 1 THEN ',' WHEN 2 THEN ';' END AS separator FROM part")
 def detect_separator(spark: SparkSession, d: str) -> DataFrame:
     kind = F.col("p_partkey") % 4
@@ -159,6 +182,13 @@ def _statistics(spark: SparkSession, d: str) -> DataFrame:
     return one.select(F.inline(rows))
 
 
+@query("SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) IN (DATE '1995-03-01', DATE '1995-03-02') OR (o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-02-01')")
+def facet_filter_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Days and a month, as the labels of date facets give them."""
+    chosen = (("o_orderdate", ('"1995-03-01"', "1995-03-02", "[1996-01-01 1996-02-01)")),)
+    return search(T.orders(spark, d), T.ORDERS, Query(facet_filters=chosen, fields=("o_orderstatus",))).rows.select("o_orderkey")
+
+
 @query(_STATS_SQL)
 def field_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _statistics(spark, d)

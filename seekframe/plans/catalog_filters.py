@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.operators.predicates import compile_group
-from seekframe.operators.search import order, page, search
+from seekframe.operators.predicates import compile_group, fields_of
+from seekframe.operators.search import Items, order, page, search
 from seekframe.plans import frames as T
 from seekframe.plans.catalog import ORACLES, QUERIES, query
 from seekframe.plans.query import Cond, Group, Query, Sort
@@ -19,6 +19,8 @@ def _filter(name: str, frame: str, group: Group, columns: str, sql: str) -> None
         index = getattr(T, frame.upper())
         condition = compile_group(index, group)
         rows = getattr(T, frame)(spark, d)
+        if isinstance(rows, Items):  # sides that the conditions name
+            rows = rows.attach(rows.base, {*fields_of(group), *columns.split(", ")}, index.id_col)
         return (rows if condition is None else rows.where(condition)).select(*columns.split(", "))
 
     source = {"docs": T.DOCS_SQL, "parts": T.PARTS_SQL, "orders": "orders", "baskets": T.BASKETS_SQL}[frame]
@@ -63,7 +65,7 @@ def array_is_null(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, lang FROM documents WHERE lang IN ('de', 'es')")
 def filter_language(spark: SparkSession, d: str) -> DataFrame:
-    return search(T.docs(spark, d), T.DOCS, Query(languages=("de", "es"))).rows.select("doc_id", "lang")
+    return search(T.docs(spark, d), T.DOCS, Query(languages=("de", "es"), fields=("n_chars",))).rows.select("doc_id", "lang")
 
 
 @query("SELECT doc_id, source, lang, n_chars FROM documents")
@@ -73,7 +75,7 @@ def scan_project(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, lang, 1.0::DOUBLE AS score FROM documents WHERE n_chars > 3000")
 def search_no_keys(spark: SparkSession, d: str) -> DataFrame:
-    return search(T.docs(spark, d), T.DOCS, Query(where=_and(Cond("n_chars", 3000, ">")))).rows.select("doc_id", "lang", "score")
+    return search(T.docs(spark, d), T.DOCS, Query(where=_and(Cond("n_chars", 3000, ">")), fields=("n_chars",))).rows.select("doc_id", "lang", "score")
 
 
 @query(f"SELECT doc_id, source, lang, n_chars, quality, 1.0::DOUBLE AS score FROM {T.DOCS_SQL}")
@@ -87,10 +89,11 @@ def sort_field(spark: SparkSession, d: str) -> DataFrame:
     return page(T.orders(spark, d), order(sorts, T.ORDERS), 200, 0).select("o_orderkey", "o_totalprice", "o_orderdate")
 
 
-@query()
+@query("SELECT o_orderkey, md5('42 ' || o_orderkey) AS place FROM orders ORDER BY place, o_orderkey LIMIT 500")
 def sort_random(spark: SparkSession, d: str) -> DataFrame:
-    """All orders in a random order that a seed repeats: by a hash of id and seed, so that retries agree."""
-    return T.orders(spark, d).select("o_orderkey", F.xxhash64("o_orderkey", F.lit(42)).alias("place")).orderBy("place", "o_orderkey")
+    """A page of orders in a random order that a seed repeats: by a hash of seed and id, so that retries and pages agree."""
+    place = F.md5(F.concat(F.lit("42 "), F.col("o_orderkey").cast("string")))
+    return page(T.orders(spark, d).select("o_orderkey", place.alias("place")), [F.asc("place"), F.asc("o_orderkey")], 500, 0)
 
 
 @query("SELECT p_partkey, p_size FROM part ORDER BY p_size ASC NULLS LAST, p_partkey LIMIT 25 OFFSET 50")

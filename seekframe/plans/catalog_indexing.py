@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T_
 
 from seekframe.functions import prepare as P
 from seekframe.operators import indexing as I
@@ -15,6 +11,7 @@ from seekframe.plans import frames as T
 from seekframe.plans.catalog import query
 from seekframe.plans.model import FieldSpec, IndexSpec
 from seekframe.sources import embedding as E
+from seekframe.sources.tables import shared_folder
 from seekframe.streaming import queue as Q
 
 
@@ -81,11 +78,11 @@ def prep_string(spark: SparkSession, d: str) -> DataFrame:
 _CLEAN = r"trim(regexp_replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'))"
 
 
-@query(f"""SELECT doc_id, CASE WHEN length(c) <= 2000 THEN c WHEN last < 2000 AND last > 1600 THEN substring(cut, 1, last::BIGINT) ELSE cut END AS body
-FROM (SELECT doc_id, c, substring(c, 1, 2000) AS cut, length(substring(c, 1, 2000)) - strpos(reverse(substring(c, 1, 2000)), ' ') AS last FROM (SELECT doc_id, {_CLEAN} AS c FROM documents))""")
+@query(f"""SELECT doc_id, CASE WHEN length(c) <= 8000 THEN c WHEN last < 8000 AND last > 6400 THEN substring(cut, 1, last::BIGINT) ELSE cut END AS body
+FROM (SELECT doc_id, c, substring(c, 1, 8000) AS cut, length(substring(c, 1, 8000)) - strpos(reverse(substring(c, 1, 8000)), ' ') AS last FROM (SELECT doc_id, {_CLEAN} AS c FROM documents))""")
 def embed_preprocess(spark: SparkSession, d: str) -> DataFrame:
-    """Cut at 2000 characters here, so that the cut is seen; that is the operator's own limit, a parameter."""
-    return T.table(spark, d, "documents").select("doc_id", P.embedding_text(F.col("text"), 2000).alias("body"))
+    """Cut at 8000 characters, at a space if there is one in the last fifth: the limit of the smallest provider."""
+    return T.table(spark, d, "documents").select("doc_id", P.embedding_text(F.col("text")).alias("body"))
 
 
 @query("SELECT doc_id, CAST(ceil(strlen(coalesce(text, '')) / 4) AS BIGINT) AS tokens FROM documents")
@@ -144,22 +141,11 @@ def json_props(spark: SparkSession, d: str) -> DataFrame:
     return T.table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
-def _folder(spark: SparkSession) -> str:
-    """A place for a streaming job's files: below spark.checkpoint.dir, or a temporary folder in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='seekframe-')}"
-    return f"{root.rstrip('/')}/queue-{os.urandom(8).hex()}"
-
-
-@query()
+@query("SELECT doc_id, 16::BIGINT AS dimensions, CAST(NULL AS VARCHAR) AS error FROM documents WHERE text IS NOT NULL AND trim(text) <> ''")
 def stream_queue(spark: SparkSession, d: str) -> DataFrame:
     """Queue a task for every document, run the stream until the queue is empty, return the embeddings' digests."""
-    folder = _folder(spark)
-    docs = T.table(spark, d, "documents").select(F.lit("generate_embedding").alias("operation"), F.lit("s1").alias("server_id"), F.lit("documents").alias("index_id"), F.col("doc_id").cast("string").alias("item_id"), F.col("text").alias("text_content"), F.lit(100).alias("priority"), F.col("doc_id").alias("created"))
-    docs.write.json(f"{folder}/in")
+    folder = shared_folder(spark, "queue")
+    Q.enqueue(Q.tasks(T.table(spark, d, "documents"), "doc_id", "text", "s1", "documents", 1), f"{folder}/in")
 
     def work(batch: DataFrame, number: int) -> None:
         # overwriting the batch's own folder makes a repeated delivery harmless
@@ -168,29 +154,68 @@ def stream_queue(spark: SparkSession, d: str) -> DataFrame:
     stream = Q.process(spark, f"{folder}/in", f"{folder}/state", work)
     stream.awaitTermination()
     done = spark.read.schema("item_id string, embedding array<float>, error string").parquet(f"{folder}/out/*")
-    return done.select(F.col("item_id").cast("long").alias("doc_id"), F.size("embedding").alias("dimensions"), "error")
-
-
-_STATES = T_.StructType().add("server", "long").add("event_id", "long").add("state", "string")
-
-
-@query()
+    return done.select(F.col("item_id").cast("long").alias("doc_id"), F.size("embedding").cast("long").alias("dimensions"), "error")
+
+
+#: Fixed values of the registered replay: failures to open, seconds to rest, successes to close.
+_BREAKER = (2, 60, 3)
+
+
+@query(f"""WITH RECURSIVE calls AS (
+  SELECT user_id AS server, event_id, epoch_us(ts) // 1000000 AS moment, event_type <> 'error' AS good, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000000, event_id) AS n FROM events),
+s AS (
+  SELECT server, event_id, n, 'closed' AS state, CASE WHEN good THEN 0 ELSE 1 END AS failures, 0 AS successes, 0::BIGINT AS opened FROM calls WHERE n = 1
+  UNION ALL
+  SELECT server, event_id, n, CASE WHEN was = 'open' THEN 'open' WHEN good THEN CASE WHEN was = 'half_open' AND successes + 1 < {_BREAKER[2]} THEN 'half_open' ELSE 'closed' END WHEN was = 'half_open' OR failures + 1 >= {_BREAKER[0]} THEN 'open' ELSE was END,
+    CASE WHEN was = 'open' THEN failures WHEN good THEN 0 WHEN was = 'half_open' OR failures + 1 >= {_BREAKER[0]} THEN 0 ELSE failures + 1 END,
+    CASE WHEN was = 'half_open' AND good THEN successes + 1 ELSE successes END,
+    CASE WHEN was <> 'open' AND NOT good AND (was = 'half_open' OR failures + 1 >= {_BREAKER[0]}) THEN moment ELSE opened END
+  FROM (SELECT c.server, c.event_id, c.n, c.moment, c.good, s.failures, s.opened,
+      CASE WHEN s.state = 'open' AND c.moment - s.opened >= {_BREAKER[1]} THEN 'half_open' ELSE s.state END AS was,
+      CASE WHEN s.state = 'open' AND c.moment - s.opened >= {_BREAKER[1]} THEN 0 ELSE s.successes END AS successes
+    FROM s JOIN calls c ON c.server = s.server AND c.n = s.n + 1))
+SELECT server, event_id, state FROM s""")
 def circuit_breaker_states(spark: SparkSession, d: str) -> DataFrame:
     """The breaker's state after each call of a server, in order of time: errors are failures.
 
-    The state depends on all calls before, so each server's calls are replayed as a stream within its group."""
-    events = T.table(spark, d, "events").select(F.col("user_id").alias("server"), "event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("at"), (F.col("event_type") != "error").alias("good"))
-
-    def replay(pdf):
-        pdf = pdf.sort_values(["at", "event_id"])
-        now = [0.0]
-        breaker = E.CircuitBreaker(failures_to_open=2, clock=lambda: now[0])
-        states = []
-        for at, good in zip(pdf["at"], pdf["good"]):
-            now[0] = float(at)
-            if breaker.allows():
-                breaker.record(bool(good))
-            states.append(breaker.state)
-        return pdf.assign(state=states)[["server", "event_id", "state"]]
-
-    return events.groupBy("server").applyInPandas(replay, _STATES)
+    The state depends on all calls before, so each server's calls are a sorted stream, read with a breaker's few numbers
+    as the only state; no server's history is held in memory."""
+    at = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    events = T.table(spark, d, "events").select(F.col("user_id").alias("server"), "event_id", at.alias("at"), (F.col("event_type") != "error").alias("good"))
+    return E.breaker_states(events, "server", "event_id", "at", "good", *_BREAKER)
+
+
+@query("SELECT doc_id, source, lang, n_chars FROM documents UNION ALL SELECT doc_id, source, lang, n_chars FROM documents WHERE doc_id % 50 = 1")
+def append_items(spark: SparkSession, d: str) -> DataFrame:
+    """A plain insert: rows are added whatever their ids."""
+    items = _items(spark, d)
+    return I.append(items, items.where("doc_id % 50 = 1"))
+
+
+@query("SELECT doc_id, source, lang, n_chars, quality = 1 AS quality FROM documents LEFT JOIN labels USING (doc_id)")
+def migrate_index(spark: SparkSession, d: str) -> DataFrame:
+    """Documents for a backend without vectors."""
+    source = T.docs(spark, d)
+    rows, index = I.migrate(source.attach(source.base, ("quality", "content_embedding"), "doc_id"), T.DOCS)
+    return rows.select(*index.system, "n_chars", "quality")
+
+
+@query("SELECT doc_id::VARCHAR AS item_id, 'generate_embedding' AS operation, 100 AS priority, sha256(text) AS text_hash FROM documents WHERE text IS NOT NULL AND trim(text) <> ''")
+def queue_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """The tasks of items that are indexed while their embeddings are made later."""
+    _, tasks = I.queued(T.table(spark, d, "documents"), T.DOCS, F.col("text"), "s1", 1)
+    return tasks.select("item_id", "operation", "priority", F.sha2("text_content", 256).alias("text_hash"))
+
+
+@query("SELECT doc_id::VARCHAR AS item_id, 16::BIGINT AS dimensions FROM documents")
+def regenerate_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    """One queued task makes all embeddings of an index anew."""
+    folder = shared_folder(spark, "regenerate")
+    Q.enqueue(Q.regenerate_task(spark, "s1", "documents", 1), f"{folder}/in")
+    worker = Q.regenerator(
+        lambda index: T.table(spark, d, index).select(F.col("doc_id").cast("string").alias("item_id"), "text"),
+        lambda rows: E.embed(rows, E.HashProvider(16), "item_id", "text"),
+        lambda index, made, number: made.write.mode("overwrite").parquet(f"{folder}/out/batch={number}"),
+    )
+    Q.process(spark, f"{folder}/in", f"{folder}/state", Q.dispatch({"regenerate_index_embeddings": worker})).awaitTermination()
+    return spark.read.schema("item_id string, embedding array<float>, error string").parquet(f"{folder}/out/*").select("item_id", F.size("embedding").cast("long").alias("dimensions"))

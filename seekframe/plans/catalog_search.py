@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.functions import text as X
 from seekframe.functions import vectors as V
+from seekframe.operators import vectorindex as VI
 from seekframe.operators.search import page, search
+from seekframe.operators.textindex import find, vocabulary
 from seekframe.plans import frames as T
 from seekframe.plans import keys as K
 from seekframe.plans.catalog import query
-from seekframe.plans.query import Query, VectorQuery
+from seekframe.plans.query import Query, Sort, VectorQuery
 
 TOK = "list_filter(regexp_split_to_array(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
 D_TOK, P_TOK = TOK.format("text"), TOK.format("p_name")
@@ -33,54 +35,60 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def _docs(spark: SparkSession, d: str, q: Query) -> DataFrame:
-    return search(T.docs(spark, d), T.DOCS, q).rows
+def _docs(spark: SparkSession, d: str, **asked: Any) -> DataFrame:
+    """Rows of a search over the documents' text index; of the fields only n_chars is shown, so no text is read."""
+    q = Query(**{"fields": ("n_chars",)} | asked)
+    return search(T.docs(spark, d, *([q.config] if q.keys is not None else [])), T.DOCS, q).rows
+
+
+def _found(spark: SparkSession, d: str, node: K.Node) -> DataFrame:
+    return find(T.text_index(spark, d, "documents", T.DOCS), T.DOCS, node)
 
 
 @query(f"SELECT doc_id, lang, round({_sat(_tf('license'))}, 6) AS score FROM (SELECT doc_id, lang, {D_TOK} AS tok FROM documents) WHERE list_contains(tok, 'license') AND lang = 'en' ORDER BY {_sat(_tf('license'))} DESC, doc_id LIMIT 20")
 def search_basic(spark: SparkSession, d: str) -> DataFrame:
     """Keywords, a language, relevance, a page: the basic search."""
-    return _rounded(_docs(spark, d, Query(keys="license", languages=("en",), limit=20)).select("doc_id", "lang", "score"), "score")
+    return _rounded(_docs(spark, d, keys="license", languages=("en",), limit=20).select("doc_id", "lang", "score"), "score")
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE list_contains(tok, 'license') AND list_contains(tok, 'version')")
 def fts_and(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d, Query(keys="license version")).select("doc_id")
+    return _docs(spark, d, keys="license version").select("doc_id")
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE list_has_any(tok, ['mit', 'apache'])")
 def fts_or(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d, Query(keys={"#conjunction": "OR", "0": "mit", "1": "apache"})).select("doc_id")
+    return _docs(spark, d, keys={"#conjunction": "OR", "0": "mit", "1": "apache"}).select("doc_id")
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE list_contains(tok, 'license') AND (list_contains(tok, 'apache') OR (list_contains(tok, 'gnu') AND list_contains(tok, 'version')))")
 def fts_boolean(spark: SparkSession, d: str) -> DataFrame:
     keys = {"#conjunction": "AND", "0": "license", "1": {"#conjunction": "OR", "0": "apache", "1": {"0": "gnu", "1": "version"}}}
-    return _docs(spark, d, Query(keys=keys)).select("doc_id")
+    return _docs(spark, d, keys=keys).select("doc_id")
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, ' ' || array_to_string({D_TOK}, ' ') || ' ' AS t, {D_TOK} AS tok FROM documents) WHERE (contains(t, ' apache license ') OR contains(t, ' mit license ')) AND list_contains(tok, 'the')")
 def fts_phrase(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d, Query(keys='"apache license" "mit license" the')).select("doc_id")
+    return _docs(spark, d, keys='"apache license" "mit license" the').select("doc_id")
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE len(list_filter(tok, lambda t: starts_with(t, 'licens'))) > 0 AND len(list_filter(tok, lambda t: starts_with(t, 'un'))) > 0")
 def fts_prefix(spark: SparkSession, d: str) -> DataFrame:
-    node = K.parse("licens un", prefixes=True)
-    return T.table(spark, d, "documents").where(X.matches(X.tokens(F.col("text")), node)).select("doc_id")
+    return _found(spark, d, K.parse("licens un", prefixes=True)).select(F.col("id").alias("doc_id"))
 
 
 @query()
 def fts_stem(spark: SparkSession, d: str) -> DataFrame:
     """English stems on both sides: forms of a word match each other. Stems have no SQL; tests hold them to known ones."""
-    return _docs(spark, d, Query(keys="licensing works", config="english")).select("doc_id")
+    return _docs(spark, d, keys="licensing works", config="english").select("doc_id")
 
 
 @query(f"SELECT p_partkey FROM part WHERE list_contains({P_TOK}, 'red') OR list_contains({TOK.format('p_type')}, 'economy')")
 def fts_multi_field(spark: SparkSession, d: str) -> DataFrame:
-    """A row matches if any text field does by itself."""
-    either = X.matches(X.tokens(F.col("p_name")), K.parse("red")) | X.matches(X.tokens(F.col("p_type")), K.parse("economy"))
-    return T.parts(spark, d).where(either).select("p_partkey")
+    """A row matches if any text field does by itself: each with keys of its own."""
+    built = T.text_index(spark, d, "part", T.PARTS_TEXT)
+    name, kind = (find(built, T.PARTS_TEXT, K.parse(keys), [field]) for keys, field in (("red", "p_name"), ("economy", "p_type")))
+    return name.union(kind).select(F.col("id").alias("p_partkey")).distinct()
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%WIDG%'")
@@ -90,28 +98,41 @@ def fts_ilike_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT doc_id, round(({_sat(_tf('license'))} + {_sat(_tf('version'))}) / 2, 6) AS score FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE list_contains(tok, 'license') AND list_contains(tok, 'version')")
 def fts_rank(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(_docs(spark, d, Query(keys="license version")).select("doc_id", "score"), "score")
+    return _rounded(_docs(spark, d, keys="license version").select("doc_id", "score"), "score")
+
+
+@query(f"SELECT doc_id, n_chars, round(({_sat(_tf('license'))} + {_sat(_tf('version'))}) / 2, 6) AS score FROM (SELECT doc_id, n_chars, {D_TOK} AS tok FROM documents) WHERE list_has_any(tok, ['license', 'version']) ORDER BY score DESC, doc_id LIMIT 30 OFFSET 10")
+def sort_relevance(spark: SparkSession, d: str) -> DataFrame:
+    """The second page of a search in order of relevance, then of id."""
+    found = _docs(spark, d, keys={"#conjunction": "OR", "0": "license", "1": "version"}, sorts=(Sort("relevance", "DESC"),), limit=30, offset=10)
+    return _rounded(found.select("doc_id", "n_chars", "score"), "score")
 
 
 @query(f"SELECT doc_id, round({_sat(_tf('the'))} / greatest(len(tok), 1), 6) AS by_length, round({_sat(_tf('the'))} / (1 + ln(greatest(len(list_distinct(tok)), 1))), 6) AS by_distinct FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE list_contains(tok, 'the')")
 def fts_rank_norm(spark: SparkSession, d: str) -> DataFrame:
-    toks, node = F.col("tok"), K.parse("the")
-    score = X.rank([(toks, 1.0)], node)
-    rows = T.table(spark, d, "documents").select("doc_id", X.tokens(F.col("text")).alias("tok")).where(X.matches(toks, node))
-    return rows.select("doc_id", F.round(X.normalised(score, toks, 2), 6).alias("by_length"), F.round(X.normalised(score, toks, 16), 6).alias("by_distinct"))
+    built = T.text_index(spark, d, "documents", T.DOCS)
+    rows = find(built, T.DOCS, K.parse("the")).join(built.lengths, "id")
+    by = lambda code: F.round(X.normalised(F.col("text_rank"), F.col("length"), F.col("distinct"), code), 6)
+    return rows.select(F.col("id").alias("doc_id"), by(2).alias("by_length"), by(16).alias("by_distinct"))
 
 
 @query(f"SELECT p_partkey, round(1.0::DOUBLE * {_sat(_tf('red', 'a'))} + 0.4::DOUBLE * {_sat(_tf('red', 'b'))} + 0.2::DOUBLE * {_sat(_tf('red', 'c'))}, 6) AS score FROM (SELECT p_partkey, {P_TOK} AS a, {TOK.format('p_brand')} AS b, {TOK.format('p_type')} AS c FROM part) WHERE list_contains(a, 'red')")
 def fts_weighted(spark: SparkSession, d: str) -> DataFrame:
-    fields = [(X.tokens(F.col(n)), X.WEIGHTS[T.PARTS.field(n).weight]) for n in ("p_name", "p_brand", "p_type")]
-    rows = T.parts(spark, d).where(X.matches(fields[0][0], K.parse("red")))
-    return rows.select("p_partkey", F.round(X.rank(fields, K.parse("red")), 6).alias("score"))
+    built = T.text_index(spark, d, "part", T.PARTS_TEXT)
+    named, ranked = find(built, T.PARTS_TEXT, K.parse("red"), ["p_name"]).select("id"), find(built, T.PARTS_TEXT, K.parse("red"))
+    return ranked.join(named, "id").select(F.col("id").alias("p_partkey"), F.round("text_rank", 6).alias("score"))
 
 
-@query()
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda w: w <> '')"
+_BARE = "regexp_replace(lower(w), '[^\\p{L}\\p{N}]', '', 'g')"
+
+
+@query(f"""SELECT doc_id, array_to_string(list_transform(list_slice(ws, greatest(first - 8, 1), greatest(first - 8, 1) + 34), lambda w: CASE WHEN {_BARE} = 'license' THEN '<strong>' || w || '</strong>' ELSE w END), ' ') AS excerpt
+FROM (SELECT doc_id, ws, list_position(list_transform(ws, lambda w: {_BARE}), 'license') AS first FROM (SELECT doc_id, {_WORDS} AS ws FROM documents)) WHERE first > 0""")
 def highlight(spark: SparkSession, d: str) -> DataFrame:
-    rows = T.table(spark, d, "documents")
-    return rows.select("doc_id", X.highlight(F.col("text"), K.parse("license")).alias("excerpt")).where("excerpt IS NOT NULL")
+    """Excerpts of the documents that match: only their texts are looked at."""
+    found = _found(spark, d, K.parse("license")).select(F.col("id").alias("doc_id"))
+    return T.table(spark, d, "documents").join(found, "doc_id", "left_semi").select("doc_id", X.highlight(F.col("text"), K.parse("license")).alias("excerpt")).where("excerpt IS NOT NULL")
 
 
 @query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<[^>]*>', ' ', 'g'), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[ \t\n\r\f\v]+', ' ', 'g')) AS body FROM pages")
@@ -156,8 +177,8 @@ def vector_inner_product(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT doc_id, lang, round(sim, 6) AS score FROM (SELECT d.doc_id, d.lang, {COS} AS sim FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id) WHERE sim >= 0.05 AND lang IN ('en', 'fr') ORDER BY sim DESC, doc_id LIMIT 50")
 def vector_search(spark: SparkSession, d: str) -> DataFrame:
-    q = Query(mode="vector_only", vector=VectorQuery(T.VECTOR, threshold=0.05), languages=("en", "fr"), limit=50)
-    return _rounded(_docs(spark, d, q).select("doc_id", "lang", "score"), "score")
+    found = _docs(spark, d, mode="vector_only", vector=VectorQuery(T.VECTOR, threshold=0.05), languages=("en", "fr"), limit=50)
+    return _rounded(found.select("doc_id", "lang", "score"), "score")
 
 
 _HYBRID = f"""SELECT doc_id, has, hit, tf / (tf + 1) AS rank, sim FROM (
@@ -168,23 +189,29 @@ _HYBRID = f"""SELECT doc_id, has, hit, tf / (tf + 1) AS rank, sim FROM (
 @query(f"""SELECT doc_id, round(CASE WHEN sim IS NOT NULL AND hit THEN greatest(0.6 * rank, 0.001) + greatest(0.4 * sim, 0.001) WHEN sim IS NOT NULL THEN greatest(0.4 * sim, 0.001) WHEN hit THEN greatest(0.6 * rank, 0.001) ELSE 0.001 END, 6) AS score,
 round(CASE WHEN hit THEN rank ELSE 0 END, 6)::DOUBLE AS text_score, round(coalesce(sim, 0), 6) AS vector_score FROM ({_HYBRID})""")
 def hybrid_search(spark: SparkSession, d: str) -> DataFrame:
-    q = Query(keys="license", vector=VectorQuery(T.VECTOR, threshold=0.1))
-    return _rounded(_docs(spark, d, q).select("doc_id", "score", "text_score", "vector_score"), "score", "text_score", "vector_score")
+    found = _docs(spark, d, keys="license", vector=VectorQuery(T.VECTOR, threshold=0.1))
+    return _rounded(found.select("doc_id", "score", "text_score", "vector_score"), "score", "text_score", "vector_score")
+
+
+@query(f"SELECT doc_id, round(0.6 * CASE WHEN hit THEN rank ELSE 0 END + 0.4 * sim, 6)::DOUBLE AS score FROM ({_HYBRID})")
+def hybrid_plain(spark: SparkSession, d: str) -> DataFrame:
+    """The plain weighted sum, without a score where there is no vector."""
+    found = _docs(spark, d, keys="license", vector=VectorQuery(T.VECTOR, threshold=0.1, guarded=False))
+    return _rounded(found.select("doc_id", "score"), "score")
 
 
 @query(f"SELECT count(*) AS result_count FROM ({_HYBRID})")
 def hybrid_count(spark: SparkSession, d: str) -> DataFrame:
     """The count has the same predicate as the rows: text or vector."""
-    return search(T.docs(spark, d), T.DOCS, Query(keys="license", vector=VectorQuery(T.VECTOR, threshold=0.1), limit=3)).count
+    return search(T.docs(spark, d, "simple"), T.DOCS, Query(keys="license", vector=VectorQuery(T.VECTOR, threshold=0.1), limit=3)).count
 
 
 @query()
-def vector_lsh(spark: SparkSession, d: str) -> DataFrame:
-    """Approximate neighbours within a distance, by random projections."""
-    rows = T.table(spark, d, "embeddings").select("vec_id", array_to_vector("embedding").alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=0.5, numHashTables=4, seed=42).fit(rows)
-    pairs = model.approxSimilarityJoin(rows, rows, 1.2, "distance")
-    return pairs.where("datasetA.vec_id < datasetB.vec_id").select(F.col("datasetA.vec_id").alias("a"), F.col("datasetB.vec_id").alias("b"), F.round("distance", 6).alias("distance"))
+def vector_ann(spark: SparkSession, d: str) -> DataFrame:
+    """The ten nearest neighbours of every twentieth vector among all, from the vector index; tests measure its recall."""
+    rows = T.table(spark, d, "embeddings")
+    found = VI.search(T.vector_index(spark, d), rows.where("vec_id % 20 = 0"), "vec_id", "embedding")
+    return found.select("query_id", F.col("id").alias("vec_id"), F.round("similarity", 6).alias("similarity"))
 
 
 @query("SELECT vec_id, len(embedding) = 64 AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0 AS valid FROM embeddings")
@@ -211,14 +238,15 @@ def vector_normalise(spark: SparkSession, d: str) -> DataFrame:
 def embedding_coverage(spark: SparkSession, d: str) -> DataFrame:
     has = F.count_if(F.col("content_embedding").isNotNull())
     total = F.count(F.lit(1))
-    return T.docs(spark, d).agg(total.alias("total"), has.alias("with_embedding"), F.round(F.try_divide(has * 100.0, total), 6).alias("percent"))
+    source = T.docs(spark, d)
+    return source.attach(source.base, ("content_embedding",), "doc_id").agg(total.alias("total"), has.alias("with_embedding"), F.round(F.try_divide(has * 100.0, total), 6).alias("percent"))
 
 
 @query(f"SELECT token, n FROM (SELECT unnest({D_TOK}) AS token FROM documents) SELECT token, count(*) AS n WHERE starts_with(token, 'lic') GROUP BY token ORDER BY n DESC, token LIMIT 10".replace("SELECT token, n FROM (", "FROM ("))
 def autocomplete(spark: SparkSession, d: str) -> DataFrame:
     """The most frequent tokens with a prefix; an extension."""
-    tokens = T.table(spark, d, "documents").select(F.explode(F.filter(X.tokens(F.col("text")), lambda t: t.startswith("lic"))).alias("token"))
-    return page(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")), [F.desc("n"), F.asc("token")], 10, 0)
+    tokens = vocabulary(T.text_index(spark, d, "documents", T.DOCS)).where(F.col("token").startswith("lic"))
+    return page(tokens, [F.desc("n"), F.asc("token")], 10, 0)
 
 
 @query("SELECT b.vec_id, round(list_cosine_similarity(b.embedding::DOUBLE[], a.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id = 0 AND b.vec_id <> 0 ORDER BY list_cosine_similarity(b.embedding::DOUBLE[], a.embedding::DOUBLE[]) DESC, b.vec_id LIMIT 10")
@@ -233,7 +261,6 @@ def more_like_this(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT token, levenshtein(token, 'licence') AS distance, n FROM (SELECT token, count(*) AS n FROM (SELECT unnest({D_TOK}) AS token FROM documents) GROUP BY token) WHERE levenshtein(token, 'licence') <= 2 ORDER BY distance, n DESC, token LIMIT 5")
 def spellcheck(spark: SparkSession, d: str) -> DataFrame:
     """The vocabulary's words nearest to a misspelling; an extension. Lengths are compared before letters."""
-    near = F.filter(X.tokens(F.col("text")), lambda t: F.abs(F.char_length(t) - 7) <= 2)
-    words = T.table(spark, d, "documents").select(F.explode(near).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    words = vocabulary(T.text_index(spark, d, "documents", T.DOCS)).where(F.abs(F.char_length("token") - 7) <= 2)
     found = words.withColumn("distance", F.levenshtein("token", F.lit("licence"))).where("distance <= 2")
     return page(found.select("token", "distance", "n"), [F.asc("distance"), F.desc("n"), F.asc("token")], 5, 0)

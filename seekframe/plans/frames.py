@@ -7,11 +7,19 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seekframe.operators import vectorindex as VI
+from seekframe.operators.search import Items
+from seekframe.operators.textindex import TextIndex
+from seekframe.operators.textindex import build as build_index
+from seekframe.operators.textindex import read as read_index
+from seekframe.operators.textindex import write as write_index
 from seekframe.plans.model import FieldSpec, IndexSpec
-from seekframe.sources.tables import table
+from seekframe.sources.tables import shared_folder, table
 
 DOCS = IndexSpec("documents", (FieldSpec("text", "text", weight="A"), FieldSpec("n_chars", "integer"), FieldSpec("quality", "boolean"), FieldSpec("toxic", "boolean"), FieldSpec("content_embedding", "vector", dimensions=64)), "doc_id", "source", "lang")
 PARTS = IndexSpec("parts", (FieldSpec("p_name", "text", weight="A"), FieldSpec("p_brand", "string", weight="B"), FieldSpec("p_type", "string", weight="C"), FieldSpec("p_size", "integer"), FieldSpec("p_retailprice", "decimal"), FieldSpec("tags", "string", -1)), "p_partkey", "p_brand", "p_type")
+#: The fields of parts that are searched by keywords.
+PARTS_TEXT = IndexSpec("part", (FieldSpec("p_name", "text", weight="A"), FieldSpec("p_brand", "string", weight="B"), FieldSpec("p_type", "string", weight="C")), "p_partkey", "p_brand", "p_type")
 ORDERS = IndexSpec("orders", (FieldSpec("o_orderstatus", "string"), FieldSpec("o_totalprice", "decimal"), FieldSpec("o_orderdate", "date"), FieldSpec("o_orderpriority", "string"), FieldSpec("o_custkey", "integer")), "o_orderkey", "o_orderpriority", "o_orderstatus")
 BASKETS = IndexSpec("baskets", (FieldSpec("suppliers", "integer", -1), FieldSpec("flags", "string", -1)), "l_orderkey", "l_orderkey", "l_orderkey")
 
@@ -30,10 +38,40 @@ QUEUE_SQL = "(SELECT doc_id AS item_id, CASE WHEN n_chars > 2000 THEN 'batch_gen
 CACHE_NOW = 2000
 
 
-def docs(spark: SparkSession, d: str) -> DataFrame:
-    labels = table(spark, d, "labels").select("doc_id", (F.col("quality") == 1).alias("quality"), (F.col("toxic") == 1).alias("toxic"))
-    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("content_embedding"))
-    return table(spark, d, "documents").join(labels, "doc_id", "left").join(vectors, "doc_id", "left")
+def labels(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "labels").select("doc_id", (F.col("quality") == 1).alias("quality"), (F.col("toxic") == 1).alias("toxic"))
+
+
+def vectors(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("content_embedding"))
+
+
+_indexes: dict[tuple[str, ...], str] = {}
+
+
+def text_index(spark: SparkSession, d: str, name: str, index: IndexSpec, config: str = "simple") -> TextIndex:
+    """The text index of a table, written when it is first asked for and read from then on, as items are indexed once."""
+    key = (spark.sparkContext.applicationId, d, name, config)
+    if key not in _indexes:
+        path = shared_folder(spark, f"text-{name}")
+        write_index(build_index(table(spark, d, name), index, config), path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        _indexes[key] = path
+    return read_index(spark, _indexes[key])
+
+
+def vector_index(spark: SparkSession, d: str) -> VI.VectorIndex:
+    """The vector index of the embeddings, written when it is first asked for."""
+    key = (spark.sparkContext.applicationId, d, "embeddings", "vectors")
+    if key not in _indexes:
+        path = shared_folder(spark, "vectors-embeddings")
+        VI.write(VI.build(table(spark, d, "embeddings"), "vec_id", "embedding", 64), path)
+        _indexes[key] = path
+    return VI.read(spark, _indexes[key])
+
+
+def docs(spark: SparkSession, d: str, *configs: str) -> Items:
+    """Documents, with labels and vectors as sides, and the text indexes of these configurations."""
+    return Items(table(spark, d, "documents"), (labels(spark, d), vectors(spark, d)), {c: text_index(spark, d, "documents", DOCS, c) for c in configs})
 
 
 def parts(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+import json
+from dataclasses import asdict, dataclass
 from typing import Any
 
 from seekframe.plans.model import SpecError
@@ -47,12 +49,14 @@ class Sort:
 
 @dataclass(frozen=True)
 class Facet:
-    """Counts of a field's values. limit 0: all. missing: count rows without a value under ``!``."""
+    """Counts of a field's values. limit 0: all. missing: count rows without a value under ``!``. related: conditions on
+    other forms of the field (as tags_id for tags_name) don't narrow it either."""
 
     field: str
     limit: int = 50
     min_count: int = 1
     missing: bool = False
+    related: bool = True
 
     def __post_init__(self) -> None:
         if self.limit < 0 or self.min_count < 0:
@@ -61,13 +65,16 @@ class Facet:
 
 @dataclass(frozen=True)
 class VectorQuery:
-    """The vector side of a query; the weights and threshold are the documented defaults."""
+    """The vector side of a query; the weights and threshold are the documented defaults. guarded: in a hybrid score each
+    side that an item has counts at least a little; else it is the plain weighted sum, null without a vector."""
 
     vector: tuple[float, ...]
     column: str = "content_embedding"
     threshold: float = 0.15
     text_weight: float = 0.6
     vector_weight: float = 0.4
+    max_results: int | None = None
+    guarded: bool = True
 
 
 @dataclass(frozen=True)
@@ -94,3 +101,7 @@ class Query:
             raise SpecError(f"unknown text configuration {self.config!r}")
         if self.limit is not None and self.limit < 0 or self.offset < 0:
             raise SpecError("limit and offset can't be negative")
+
+    def digest(self, table: str) -> str:
+        """A hash that names the query on a table: equal for equal questions, in whatever order mappings came."""
+        return hashlib.md5(json.dumps([table, asdict(self)], sort_keys=True, default=str).encode()).hexdigest()

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import random
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Protocol
 
 import pyarrow as pa
@@ -15,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.functions import prepare as P
+from seekframe.plans.query import Query, VectorQuery
 
 # Dimensions of published embedding models, and limits of one call to an embedding service.
 MODEL_DIMENSIONS = {"text-embedding-ada-002": 1536, "text-embedding-3-small": 1536, "text-embedding-3-large": 3072}
@@ -202,3 +207,124 @@ def fill(items: DataFrame, cache: DataFrame, provider: Provider, now: int, ttl:
     return out, entries
 
 
+def call_numbers(rows: DataFrame, group: str, order: str, tokens: str) -> DataFrame:
+    """rows(order, tokens, group) with call: the number of the call that takes each row's text, within its group."""
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in (order, tokens, group)}
+
+    def number(part: pa.Table) -> pa.Table:
+        part = part.sort_by(order)
+        return part.append_column("call", pa.array(batches(part[tokens].fill_null(0).to_pylist()), pa.int64()))
+
+    schema = ", ".join(f"{c} {k}" for c, k in kinds.items())
+    return rows.select(*kinds).groupBy(group).applyInArrow(number, f"{schema}, call long")
+
+
+def invalidate(cache: DataFrame, hashes: DataFrame | None = None, model: str | None = None, index: str | None = None) -> DataFrame:
+    """cache without the entries that are void: of these hashes(text_hash), or of a model, an index, or one in the other.
+
+    Without any of the three nothing is void. Entries without a model or index are of none.
+    """
+    conditions = [F.col(c).eqNullSafe(F.lit(v)) for c, v in (("model", model), ("index_id", index)) if v is not None]
+    if conditions:
+        cache = cache.where(~reduce(lambda a, b: a & b, conditions))
+    return cache if hashes is None else cache.join(hashes.select("text_hash"), "text_hash", "left_anti")
+
+
+def forget(cache: DataFrame, used: DataFrame, gone: DataFrame) -> DataFrame:
+    """cache without the entries whose texts only items gone(item_id) use; used(item_id, text_hash) is what items use."""
+    of_gone = used.join(gone.select("item_id"), "item_id", "left_semi").select("text_hash").distinct()
+    kept = used.join(gone.select("item_id"), "item_id", "left_anti").select("text_hash").distinct()
+    return invalidate(cache, of_gone.join(kept, "text_hash", "left_anti"))
+
+
+def _post(url: str, headers: dict[str, str], body: bytes, timeout: float) -> tuple[int, bytes]:
+    request = urllib.request.Request(url, body, headers, method="POST")
+    try:
+        with urllib.request.urlopen(request, timeout=timeout) as answer:
+            return answer.status, answer.read()
+    except urllib.error.HTTPError as e:
+        return e.code, e.read()
+    except OSError as e:
+        raise ProviderError(f"no answer from {url}: {e}", 503) from e
+
+
+@dataclass(frozen=True)
+class HttpProvider:
+    """An embedding service over HTTP. ``transport`` sends (url, headers, body, timeout) and gives (status, body)."""
+
+    url: str
+    headers: dict[str, str] = field(repr=False)
+    model: str | None
+    dimensions: int
+    most_inputs: int = CALL_INPUTS
+    timeout: float = 30
+    transport: Callable[[str, dict[str, str], bytes, float], tuple[int, bytes]] = field(default=_post, repr=False)
+
+    @staticmethod
+    def openai(key: str, model: str = "text-embedding-3-small", base: str = "https://api.openai.com/v1", **more) -> HttpProvider:
+        return HttpProvider(f"{base}/embeddings", {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}, model, more.pop("dimensions", MODEL_DIMENSIONS.get(model, 1536)), **more)
+
+    @staticmethod
+    def azure(key: str, endpoint: str, deployment: str, version: str = "2024-02-01", dimensions: int = 1536, **more) -> HttpProvider:
+        """A deployment names its model, and takes fewer inputs at once."""
+        return HttpProvider(f"{endpoint.rstrip('/')}/openai/deployments/{deployment}/embeddings?api-version={version}", {"api-key": key, "Content-Type": "application/json"}, None, dimensions, more.pop("most_inputs", 16), **more)
+
+    def embed(self, texts: Sequence[str]) -> list[list[float]]:
+        out: list[list[float]] = []
+        for at in range(0, len(texts), self.most_inputs):
+            part = list(texts[at : at + self.most_inputs])
+            body = {"input": part} | ({"model": self.model} if self.model else {})
+            status, raw = self.transport(self.url, self.headers, json.dumps(body).encode(), self.timeout)
+            if status != 200:
+                raise ProviderError(f"status {status}", status)
+            try:
+                found = {x["index"]: x["embedding"] for x in json.loads(raw)["data"]}
+                made = [found[i] for i in range(len(part))]
+            except (ValueError, KeyError, TypeError) as e:
+                raise ProviderError(f"an answer that can't be read: {e}") from e
+            if any(len(v) != self.dimensions for v in made):
+                raise ProviderError(f"embeddings that don't have {self.dimensions} dimensions")
+            out += made
+        return out
+
+    def available(self) -> bool:
+        return bool(self.url)
+
+
+def vector_for(query: Query, provider: Provider, text: str, **how) -> tuple[Query, dict | None]:
+    """(query with the vector of a text, None); if the provider can't embed it, (a text query, why)."""
+    reason = None
+    try:
+        made = provider.embed([text]) if text.strip() and provider.available() else []
+        if not made or not made[0]:
+            reason = "no embedding"
+    except ProviderError as e:
+        reason = str(e)
+    if reason is None:
+        return replace(query, vector=VectorQuery(tuple(made[0]), **how)), None
+    return replace(query, vector=None, mode="text_only"), {"degraded": True, "reason": reason, "strategy": "text_only", "message": "searched by text alone"}
+
+
+def breaker_states(calls: DataFrame, server: str, call: str, at: str, good: str, failures_to_open: int = 5, reset_seconds: float = 60, successes_to_close: int = 3) -> DataFrame:
+    """(server, call, state): the breaker's state after each call of a server, in order of time, then of call.
+
+    Calls are sorted within their server and read as a stream; a server's breaker is all that is held.
+    """
+    kinds = [calls.schema[c].dataType.simpleString() for c in (server, call)]
+
+    def replay(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, breaker = [0.0], object(), None
+        for b in parts:
+            states = []
+            for who, when, well in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                if breaker is None or who != held:
+                    held, breaker = who, CircuitBreaker(failures_to_open, reset_seconds, successes_to_close, clock=lambda: now[0])
+                now[0] = float(when)
+                if breaker.allows():
+                    breaker.record(bool(well))
+                states.append(breaker.state)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(states, pa.string())], ["server", "call", "state"])
+
+    rows = calls.select(F.col(server).alias("server"), F.col(call).alias("call"), F.col(at).alias("at"), F.col(good).alias("good"))
+    out = rows.repartition("server").sortWithinPartitions("server", "at", "call").mapInArrow(replay, f"server {kinds[0]}, call {kinds[1]}, state string")
+    return out.withColumnsRenamed({"server": server, "call": call})

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 PRIORITIES = {"high": 50, "normal": 100, "low": 200}
+PAUSED = "_paused"
 ITEM = T.StructType([
     T.StructField("operation", T.StringType()), T.StructField("server_id", T.StringType()), T.StructField("index_id", T.StringType()),
     T.StructField("item_id", T.StringType()), T.StructField("text_content", T.StringType()), T.StructField("priority", T.IntegerType()), T.StructField("created", T.LongType()),
@@ -24,12 +25,92 @@ def is_valid() -> Column:
     return F.coalesce(base & (single | whole), F.lit(False))
 
 
-def process(spark: SparkSession, source: str, checkpoint: str, work: Callable[[DataFrame, int], None], rejected: Callable[[DataFrame, int], None] | None = None, files_per_trigger: int = 100) -> StreamingQuery:
-    """Run all that is queued in the folder source, in order of priority, then stop.
+def allowed(config: dict, server: str) -> bool:
+    """Whether a server's texts are queued: not unless queues are on at all; then as the server says, else as the default."""
+    return bool(config.get("enabled", False)) and bool(config.get("servers", {}).get(server, config.get("default", True)))
+
+
+def tasks(items: DataFrame, id_col: str, text_col: str, server: str, index: str, now: int, priority: str = "normal") -> DataFrame:
+    """A generate task for each item that has an id and a text."""
+    rows = items.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
+    return rows.select(
+        F.lit("generate_embedding").alias("operation"), F.lit(server).alias("server_id"), F.lit(index).alias("index_id"), F.col(id_col).cast("string").alias("item_id"),
+        F.col(text_col).cast("string").alias("text_content"), F.lit(PRIORITIES[priority]).alias("priority"), F.lit(now).cast("long").alias("created"))
+
+
+def regenerate_task(spark: SparkSession, server: str, index: str, now: int) -> DataFrame:
+    """One task that asks for all embeddings of an index anew."""
+    return spark.createDataFrame([("regenerate_index_embeddings", server, index, None, None, PRIORITIES["low"], now)], ITEM)
+
+
+def enqueue(new: DataFrame, folder: str) -> None:
+    """Add tasks to a queue's folder; many tasks are as many files as the frame has partitions, written side by side."""
+    new.select(*ITEM.names).write.mode("append").json(folder)
+
+
+def without_items(queue: DataFrame, gone: DataFrame) -> DataFrame:
+    """The queue without the tasks of items gone(item_id); tasks for no item stay."""
+    return queue.join(gone.select(F.col("item_id").alias("_gone")).distinct(), F.col("item_id") == F.col("_gone"), "left_anti")
+
+
+def _marker(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{PAUSED}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def pause(spark: SparkSession, folder: str) -> None:
+    """Nothing is taken from the queue until it is resumed; tasks may still be added."""
+    fs, path = _marker(spark, folder)
+    fs.create(path, True).close()
+
+
+def resume(spark: SparkSession, folder: str) -> None:
+    fs, path = _marker(spark, folder)
+    fs.delete(path, False)
+
+
+def is_paused(spark: SparkSession, folder: str) -> bool:
+    fs, path = _marker(spark, folder)
+    return fs.exists(path)
+
+
+def clear(spark: SparkSession, folder: str) -> None:
+    """Drop all tasks."""
+    fs, path = _marker(spark, folder)
+    fs.delete(path.getParent(), True)
+    fs.mkdirs(path.getParent())
+
+
+def dispatch(workers: dict[str, Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:
+    """Work for ``process``: each operation's tasks go to its worker."""
+
+    def work(batch: DataFrame, number: int) -> None:
+        for operation, worker in workers.items():
+            mine = batch.where(F.col("operation") == operation)
+            if not mine.isEmpty():
+                worker(mine, number)
+
+    return work
+
+
+def regenerator(read: Callable[[str], DataFrame], embed: Callable[[DataFrame], DataFrame], save: Callable[[str, DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A worker for regenerate tasks: each index that is asked for, once a batch, is read, embedded whole and saved."""
+
+    def work(batch: DataFrame, number: int) -> None:
+        for row in batch.select("index_id").distinct().orderBy("index_id").toLocalIterator():
+            save(row.index_id, embed(read(row.index_id)), number)
+
+    return work
+
+
+def process(spark: SparkSession, source: str, checkpoint: str, work: Callable[[DataFrame, int], None], rejected: Callable[[DataFrame, int], None] | None = None, files_per_trigger: int = 100) -> StreamingQuery | None:
+    """Run all that is queued in the folder source, in order of priority, then stop; None if the queue is paused.
 
     Items arrive as JSON files. Each micro-batch is given to work, which must be idempotent by item id: the checkpoint
     makes delivery at-least-once. Of several tasks for one item in a batch the newest is done. Invalid items go to rejected.
     """
+    if is_paused(spark, source):
+        return None
     stream = spark.readStream.schema(ITEM).option("maxFilesPerTrigger", files_per_trigger).json(source)
 
     def batch(df: DataFrame, number: int) -> None:

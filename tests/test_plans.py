@@ -3,7 +3,7 @@
 import pytest
 
 from seekframe.operators.facets import parse_filter, related
-from seekframe.operators.predicates import mentions
+from seekframe.operators.predicates import fields_of
 from seekframe.plans import keys as K
 from seekframe.plans.model import FieldSpec, IndexSpec, SpecError, check_identifier
 from seekframe.plans.query import Cond, Facet, Group, Query
@@ -59,6 +59,6 @@ def test_facet_filters():
     assert related("tags_id", "tags_name") and related("tags", "tags_target_id") and not related("tags", "kind")
 
 
-def test_mentions():
+def test_fields_of():
     tree = Group((Cond("a", 1), Group((Cond("b", 2),), "OR")))
-    assert mentions(tree, {"b"}) and not mentions(tree, {"c"})
+    assert "b" in fields_of(tree) and "c" not in fields_of(tree)

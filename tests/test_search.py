@@ -140,7 +140,10 @@ def test_values(spark):
     assert one(X.highlight(F.lit("nothing"), K.parse("box"))) is None
     assert [one(FC.magnitude_range(F.lit(x))) for x in (0, 9, 10, 99, 100, 999, 1000)] == ["0", "9", "[10 20)", "[90 100)", "[100 200)", "[900 1000)", "[1000 2000)"]
     assert one(FC.month_range(F.lit("2024-01-31").cast("date"))) == "[2024-01-01 2024-02-01)"
-    assert [one(FC.detect_format(F.lit(x))) for x in ('["a","b"]', "{a,b}", "a|b", "abc", "")] == ["json", "array", "separated", "single", "single"]
+    formats = {'["a","b"]': "json", "{a,b}": "array", "a|b": "separated", "abc": "single", "": "single", '{"a": 1}': "json", "[]": "json", "[true]": "json", "[[1], 2]": "json", "|a": "single", " ,a:b": "separated", "[a": "single", "a~": "separated"}
+    assert {x: one(FC.detect_format(F.lit(x))) for x in formats} == formats
+    assert [one(FC.values_of(F.lit(x), k)) for x, k in (('["a"," b",""]', "json"), ("{a,b}", "array"), ("a| b|", "separated"), ("a b", "single"), (None, "single"))] == [["a", "b"], ["a", "b"], ["a", "b"], ["a b"], None]
+    assert FC.separator_for() == "|" and FC.separator_for(None, ";", ",") == ";" and FC.separator_for(":", ";") == ":" and FC.format_for() == "separated" and FC.format_for(None, "json") == "json"
     assert [one(FC.detect_separator(F.lit(x))) for x in ("a|b|c", "a,b;c,d", "a;b;c;", "a|b")] == ["|", ",", ";", None]
     assert one(X.frequency(X.tokens(F.lit("a b a b c a b")), K.Phrase(("a", "b")))) == 3
 
@@ -165,14 +168,47 @@ def test_indexing(spark, items, tmp_path):
     assert {r.item_id: (r.size, r.tags, r.new) for r in I.evolve(items, changed).collect()}["1"] == ([5], "a", None)
     assert I.differences(items, changed) == {"add": ["new"], "change": ["size", "tags"], "remove": ["body", "content_embedding", "live", "title"]}
     path = str(tmp_path / "t")
-    for df in (items, left):
+    for df in (items, left, left.limit(2)):
         I.replace_table(df, path)
-    assert spark.read.parquet(path).count() == 4
+        assert I.read_table(spark, path).count() == df.count()
+    old = I.read_table(spark, path)
+    with pytest.raises(Exception):  # noqa: B017  a write that fails leaves the table as it was
+        I.replace_table(items.select(F.raise_error(F.lit("no"))), path)
+    assert I.read_table(spark, path).count() == 2 == old.count()
+    assert len([x for x in (tmp_path / "t").iterdir() if x.name.startswith("v-")]) <= 3
+    assert I.drop_table(spark, path) and not (tmp_path / "t").exists()
+    with pytest.raises(SpecError):
+        I.read_table(spark, path)
+    assert I.append(items, left).count() == 9
+    with pytest.raises(SpecError):
+        I.append(items, left.drop("size"))
+    smaller, spec = I.migrate(items, INDEX)
+    assert "content_embedding" not in smaller.columns and smaller.count() == 5 and spec.field("title").kind == "text"
+    lost = I.migration_check(INDEX, I.VECTOR_FEATURES | {"facets"}, frozenset({"text", "vector"}), frozenset({"facets"}), frozenset({"text"}))
+    assert lost == {"features": ["embeddings", "hybrid_search", "vector_search"], "types": ["vector"], "fields": ["content_embedding"]}
+    stored, tasks = I.queued(items, INDEX, F.col("body"), "s", 7)
+    assert stored.where("content_embedding is not null").count() == 0 and {r.item_id for r in tasks.collect()} == {"1", "2", "3", "4"}
     raw = spark.createDataFrame([(7, "node", None, "<b>x</b>", "3")], "item_id long, datasource string, language string, title string, size string")
     row = I.prepare_items(raw, INDEX).first()
     assert (row.item_id, row.language, row.title, row.size, row.tags) == ("7", "", "x", 3, None)
 
 
+def test_layouts(spark, items, tmp_path):
+    path = str(tmp_path)
+    for field, advice in (("tags", "postings"), ("size", "sort"), ("live", "hash")):
+        FC.lay_out(items, INDEX, field, advice, path, 2)
+    assert FC.layouts(spark, path) == ["live", "size", "tags"]
+    counts = FC.by_expression(spark.read.parquet(FC.layout_path(path, "tags")), F.col("value"), Facet("tags"))
+    assert {tuple(r) for r in counts.collect()} == {("b", 3), ("a", 1)}
+    FC.lay_out(items, INDEX, "live", "none", path, 2)
+    assert FC.drop_orphans(spark, IndexSpec("articles", (FieldSpec("size", "integer"),)), path) == ["tags"] and FC.layouts(spark, path) == ["size"]
+
+
+def test_query_digest():
+    a, b = (Query(keys=k, where=Group((Cond("size", [1, 2], "IN"),))) for k in ({"0": "x", "1": "y"}, {"1": "y", "0": "x"}))
+    assert a.digest("t") == b.digest("t") != a.digest("u") and a.digest("t") != Query(keys="x").digest("t")
+
+
 def test_random_trees_agree_with_sql(spark):
     rng = random.Random(7)
     rows = [(i, rng.choice([None, 0, 1, 2, 3]), rng.choice([None, "", "a", "b", "ab"])) for i in range(60)]

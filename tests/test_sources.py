@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from seekframe.functions import prepare as P
 from seekframe.operators import analytics as A
+from seekframe.plans.query import Query
 from seekframe.sources import embedding as E
+from seekframe.sources.tables import SlowLog
 from seekframe.streaming import queue as Q
 
 
@@ -127,3 +129,88 @@ def test_analytics_edges(spark):
     old = spark.createDataFrame([("d1", 1), ("d2", 2)], "date string, n int")
     new = spark.createDataFrame([("d2", 9)], "date string, n int")
     assert sorted(map(tuple, A.merge_rollup(old, new, ["date"]).collect())) == [("d1", 1), ("d2", 9)]
+
+
+def test_http_providers():
+    sent = []
+
+    def transport(url, headers, body, timeout):
+        texts = json.loads(body)["input"]
+        sent.append((url, headers, json.loads(body).get("model"), len(texts)))
+        if "limit" in texts:
+            return 429, b"{}"
+        if "broken" in texts:
+            return 200, b"<html>"
+        return 200, json.dumps({"data": [{"index": i, "embedding": [float(len(t)), 0.0]} for i, t in reversed(list(enumerate(texts)))]}).encode()
+
+    a = E.HttpProvider.openai("key", dimensions=2, transport=transport)
+    assert a.embed(["a", "bbb"]) == [[1.0, 0.0], [3.0, 0.0]] and sent[0][2] == "text-embedding-3-small" and "key" in sent[0][1]["Authorization"]
+    b = E.HttpProvider.azure("key", "https://host/", "small", dimensions=2, transport=transport)
+    assert len(b.embed(["x"] * 40)) == 40 and [n for *_, n in sent[1:]] == [16, 16, 8] and sent[1][0].startswith("https://host/openai/deployments/small/") and sent[1][2] is None
+    for text, code in (("limit", 429), ("broken", None)):
+        with pytest.raises(E.ProviderError) as e:
+            a.embed([text])
+        assert e.value.code == code
+    with pytest.raises(E.ProviderError):
+        E.HttpProvider.openai("key", dimensions=3, transport=transport).embed(["a"])
+    query, lowered = E.vector_for(Query(keys="x"), a, "four", threshold=0.3)
+    assert query.vector.vector == (4.0, 0.0) and query.vector.threshold == 0.3 and lowered is None
+    for text in ("limit", " "):
+        query, lowered = E.vector_for(Query(keys="x"), a, text)
+        assert query.mode == "text_only" and query.vector is None and lowered["degraded"] and lowered["strategy"] == "text_only"
+
+
+def test_invalidation(spark):
+    cache = spark.createDataFrame([("a", "m", "i"), ("b", "m", "j"), ("c", "n", "i"), ("d", None, None)], "text_hash string, model string, index_id string")
+    left = lambda **how: "".join(sorted(r.text_hash for r in E.invalidate(cache, **how).collect()))
+    assert (left(), left(model="m"), left(index="i"), left(model="m", index="i")) == ("abcd", "cd", "bd", "bcd")
+    assert left(hashes=spark.createDataFrame([("a",), ("d",)], "text_hash string")) == "bc"
+    used = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "item_id int, text_hash string")
+    gone = spark.createDataFrame([(1,), (3,)], "item_id int")
+    assert sorted(r.text_hash for r in E.forget(cache, used, gone).collect()) == ["a", "c", "d"]
+
+
+def test_breaker_states_follow_the_breaker(spark):
+    import random
+
+    rng = random.Random(4)
+    calls = [(s, n, n * rng.randrange(1, 40), rng.random() < 0.5) for s in (1, 2, None) for n in range(60)]
+    want = []
+    for s in (1, 2, None):
+        now = [0.0]
+        b = E.CircuitBreaker(2, 60, 3, clock=lambda: now[0])
+        for _, n, at, good in sorted((c for c in calls if c[0] == s), key=lambda c: (c[2], c[1])):
+            now[0] = at
+            if b.allows():
+                b.record(good)
+            want.append((s, n, b.state))
+    df = spark.createDataFrame(calls, "server int, call int, at long, good boolean")
+    assert sorted(map(str, map(tuple, E.breaker_states(df, "server", "call", "at", "good", 2, 60, 3).collect()))) == sorted(map(str, want))
+
+
+def test_queue_control(spark, tmp_path):
+    source = str(tmp_path / "q")
+    items = spark.createDataFrame([(1, "a"), (2, None), (None, "b"), (3, " "), (4, "d")], "id int, text string")
+    Q.enqueue(Q.tasks(items, "id", "text", "s", "i", 5, "high"), source)
+    Q.enqueue(Q.regenerate_task(spark, "s", "i", 6), source)
+    queue = spark.read.schema(Q.ITEM).json(source)
+    assert sorted((r.operation, r.item_id, r.priority) for r in queue.collect() if r.item_id) == [("generate_embedding", "1", 50), ("generate_embedding", "4", 50)] and queue.count() == 3
+    assert Q.without_items(queue, spark.createDataFrame([("1",)], "item_id string")).count() == 2
+    done, again = [], []
+    worker = Q.regenerator(lambda index: items.where("text is not null"), lambda rows: rows, lambda index, rows, n: again.append((index, rows.count())))
+    run = lambda: Q.process(spark, source, str(tmp_path / "s"), Q.dispatch({"generate_embedding": lambda df, n: done.extend(r.item_id for r in df.collect()), "regenerate_index_embeddings": worker}))
+    Q.pause(spark, source)
+    assert run() is None and done == []
+    Q.resume(spark, source)
+    run().awaitTermination()
+    assert sorted(done) == ["1", "4"] and again == [("i", 4)]
+    Q.clear(spark, source)
+    assert not list((tmp_path / "q").iterdir())
+    assert not Q.allowed({}, "s") and Q.allowed({"enabled": True}, "s") and not Q.allowed({"enabled": True, "servers": {"s": False}}, "s") and not Q.allowed({"enabled": True, "default": False}, "s")
+
+
+def test_slow_log(spark):
+    now = iter([0.0, 2.0, 2.0, 2.5])
+    log = SlowLog(1.0, clock=lambda: next(now))
+    assert log.run("slow", spark.range(3)) == spark.range(3).collect() and log.run("fast", spark.range(3), lambda df: df.count()) == 3
+    assert [(n, s) for n, s, _ in log.entries] == [("slow", 2.0)] and "Range" in log.entries[0][2]
