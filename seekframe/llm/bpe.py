@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seekframe.llm.common import slices
+
 #: Fixed value: the published pattern that splits text before byte-level merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The same split for texts of ASCII characters alone, which the plainer engine does faster.
@@ -243,22 +245,12 @@ def tokenizer(path: str) -> ByteBPE:
     return _loaded[path]
 
 
-def slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[list]:
-    """The values of a text column in runs of bounded size, so that what is split at once is bounded."""
-    part, held = [], 0
-    for value in column:
-        text = value.as_py()
-        part.append(text)
-        held += len(text or "")
-        if held >= most_bytes:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
-
-
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids, decoded) for every row: token ids as an array of ints, and the text they decode to."""
+    """(doc_id, ids, decoded) for every row: token ids as an array of ints, and the text they decode to.
+
+    A null text is an empty one: no tokens. Repeated rows and null ids stay; other columns are ignored. Very long texts are
+    encoded whole. Empty table: no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
@@ -276,7 +268,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row, computed beside the encoder so that ids stay there.
 
-    A null text is an empty one: no tokens. Repeated rows stay; other columns are ignored.
+    A null text is an empty one: no tokens. Repeated rows and null ids stay; other columns are ignored. Very long texts are
+    encoded whole. Empty table: no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

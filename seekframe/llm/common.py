@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,3 +128,17 @@ def unused(df: DataFrame, name: str) -> str:
     while (name := f"_{name}") in taken:
         pass
     return name
+
+
+def slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[list]:
+    """The values of a text column in runs of bounded size, so that what is split at once is bounded."""
+    part, held = [], 0
+    for value in column:
+        text = value.as_py()
+        part.append(text)
+        held += len(text or "")
+        if held >= most_bytes:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from seekframe.llm.bpe import slices
+from seekframe.llm.common import slices
 
 #: Fixed value: the character that stands for a space inside pieces (U+2581).
 SPACE = "▁"
@@ -227,7 +227,8 @@ def counter(path: str) -> PieceCounter:
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of docs, row by row and without a shuffle.
 
-    A null text is an empty one: 0 bytes and tokens. Repeated rows stay; other columns are ignored.
+    A null text is an empty one: 0 bytes and tokens. Repeated rows and null ids stay; other columns are ignored. Very long
+    texts are counted whole. Empty table: no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
