@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seekframe.llm import components as C, embedding_dedup as D, simhash as S
 
@@ -71,31 +72,39 @@ def test_links_connect_what_all_pairs_do(spark, distance, tile):
     assert brute_components(nodes, got) == brute_components(nodes, want)
 
 
-def test_wide_fingerprints_meet_near_copies(spark):
-    """Edited copies of long texts: nearly all pairs with 0.8 of their shingles in common share a group, no others do."""
-    rng = random.Random(8)
-    rows, base = [], []
-    for n in range(60):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
-        rows.append((10 * n, " ".join(words)))
-        for k in range(3):
-            copy = list(words)
-            for at in rng.sample(range(200), 1 + 2 * k):
-                copy[at] = "changed"
-            rows.append((10 * n + 1 + k, " ".join(copy)))
-    found = S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **S.NEAR).collect()
-    assert all(len(r.fingerprint) == 64 and r.component_id // 10 == r.doc_id // 10 for r in found)
-    assert sum(r.component_id % 10 == 0 for r in found) >= 0.97 * len(rows)
-    assert S.fingerprint("a b c d", 3, 4) >> 192 == S.fingerprint("a b c d", 3)
-    assert S.fingerprint("x " * 50 + "a b c d e f g", 5, 1, False) != S.fingerprint("x " * 50 + "a b c d e f g", 5)
+def test_count_filter_comes_before_verification(spark):
+    """Of the pairs that meet under a key few share enough bytes, and of these not all are near."""
+    rng = np.random.default_rng(7)
+    prints = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    prints[:, None].view(np.uint8)[:, :3] = 5  # all meet under one key
+    prints[1::2] = prints[::2] ^ (np.uint64(1) << rng.integers(0, 64, 1500, dtype=np.uint64)) ^ (np.uint64(0xFF) << np.uint64(8 * 5))
+    need, keys = S.plan(3, len(prints))
+    assert need == 5 and len(keys) == 20 and {len(k) for k in keys} == {3}
+    a, b = np.triu_indices(len(prints), 1)
+    differ = prints[a] ^ prints[b]
+    counted = differ[S.enough_bytes(differ, need)]
+    near = counted[np.bitwise_count(counted) <= 3]
+    assert len(near) < len(counted) < len(differ) / 100
+    assert len(near) == (np.bitwise_count(differ) <= 3).sum()  # nothing near is lost
+
+
+def test_every_near_pair_meets_under_a_key():
+    for distance in range(8):
+        for prints in (10, 1 << 40):
+            need, keys = S.plan(distance, prints)
+            assert need == 8 - distance and len(keys[0]) <= need
+            for lost in range(256):
+                if lost.bit_count() <= distance:
+                    assert any(not any(lost >> p & 1 for p in key) for key in keys)
 
 
 def test_near_duplicates_table(spark):
     text = " ".join(f"word{i * i % 97}" for i in range(200))
     rows = [(5, text, "a"), (3, text + " end", "b"), (9, None, "c"), (8, "", "d"), (7, " ", None), (1, "else entirely here now", "e"), (1, "else entirely here now", "e"), (None, text, "f")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    rows = [(*r, "z", 1, 2) for r in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string, _mark string, _gone int, MARK int")
     got = {(r.doc_id, r.fingerprint, r.component_id) for r in S.near_duplicates(df).collect()}
-    prints = {(i, f"{brute_fingerprint(t):016x}") for i, t, _ in rows}
+    prints = {(i, f"{brute_fingerprint(t):016x}") for i, t, *_ in rows}
     assert {g[:2] for g in got} == prints
     component = {g[0]: g[2] for g in got}
     assert component[9] == component[8] == component[7] == 7 and component[1] == 1
@@ -133,8 +142,12 @@ def clouds(seed, n, size, labels):
 ])
 def test_embedding_links(spark, rows, tile, threshold):
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, label int, tile int")
-    got = sorted(map(tuple, D.link(df, threshold, tile=tile).collect()), key=str)
-    assert got == brute_vectors(rows, threshold)
+    for block in (1 << 20, 2000):  # one block for each label, and many
+        got = sorted(map(tuple, D.link(df, threshold, tile=tile, block_bytes=block).collect()), key=str)
+        assert got == brute_vectors(rows, threshold)
+    single = df.withColumn("embedding", F.col("embedding").cast("array<float>"))
+    rounded = [(a, v and [x if x is None else float(np.float32(x)) for x in v], label) for a, v, label in rows]
+    assert sorted(map(tuple, D.link(single, threshold, tile=tile).collect()), key=str) == brute_vectors(rounded, threshold)
 
 
 def test_bound_never_loses_a_pair():
@@ -142,5 +155,17 @@ def test_bound_never_loses_a_pair():
     for size in (1, 7, 8, 9, 40):
         a, b = (D.unit(rng.normal(size=(60, size))) for _ in range(2))
         b[:20] = D.unit(a[:20] + 0.1 * rng.normal(size=(20, size)))
-        i, j = D.close_pairs(a, b, 0.9)
+        i, j = D.close_pairs(a, b, D.suffix_norms(a), D.suffix_norms(b), 0.9)
         assert set(zip(i.tolist(), j.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(a @ b.T >= 0.9))))
+        for tile in (7, 100):
+            found = {(p, q - 60) for i, j in D.compare(a, b, 0.9, tile) for p, q in zip(i.tolist(), j.tolist())}
+            assert found == set(zip(*(x.tolist() for x in np.nonzero(a @ b.T >= 0.9))))
+
+
+def test_spanning():
+    rng = random.Random(3)
+    for _ in range(50):
+        n = rng.randrange(1, 40)
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(rng.randrange(40))]
+        i, j = (np.array([x[k] for x in links], int) for k in range(2))
+        assert D.spanning(n, i, j).tolist() == [brute_components(range(n), links)[x] for x in range(n)]

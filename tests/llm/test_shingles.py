@@ -68,9 +68,11 @@ def test_every_near_copy_is_found(spark):
     assert kept(spark, rows) == [i for i, _ in rows if i % 2 == 0]
 
 
-@pytest.mark.parametrize("common, most", [(5, 200_000), (2, 50), (10**9, 10)])
-def test_groups_agree_with_brute_force(spark, monkeypatch, common, most):
-    """Chains, a large group of copies, short texts, and a passage that many unlike texts share; any order of shingles."""
+@pytest.mark.parametrize("common, most, longest, block", [(5, 200_000, 64, 1024), (2, 50, 2, 1024), (10**9, 10, 2, 10)])
+def test_groups_agree_with_brute_force(spark, monkeypatch, common, most, longest, block):
+    """Chains, a large group of copies, short texts, and a passage that many unlike texts share; any order of shingles, and lists of any length."""
+    monkeypatch.setattr(J, "LIST", longest)
+    monkeypatch.setattr(J, "BLOCK_SETS", block)
     monkeypatch.setattr(J, "COMMON", common)
     monkeypatch.setattr(J, "MOST_COMMON", most)
     rng, texts = random.Random(4), []

@@ -7,9 +7,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seekframe.llm import bpe, fingerprints as fp, token_counts as tc
+from seekframe.llm import bpe, fingerprints as fp, language_id as L, licenses, mixing as M, simhash as S, token_counts as tc
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 EDGES = [
@@ -34,6 +35,25 @@ def test_token_counts_equal_the_library():
     assert counter.count_batch([None, ""]) == [0, 0]
 
 
+def test_texts_above_a_megabyte(spark):
+    """Whole texts, across the size at which batches are cut: many words, and one word without an end."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words) for _ in range(230_000)), "short", "".join(rng.choice("abcdé") for _ in range(30_000)), None]
+    assert len(texts[0]) > 1 << 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces, library = sentencepiece.SentencePieceProcessor(model_file=PIECES), Tokenizer.from_file(BPE)
+    assert {r.doc_id: r.n_tokens for r in tc.token_counts(df, PIECES).collect()} == {i: len(pieces.encode(t or "")) for i, t in enumerate(texts)}
+    for r in bpe.digests(df, BPE).collect():
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest() and r.n_tokens == len(ids)
+    assert S.fingerprint(texts[0]) == S.fingerprint(texts[0] + " ") != S.fingerprint(texts[2])  # more shingles than one slice holds
+    model = L.fit(spark.createDataFrame([(i, texts[0][i * 100 : i * 100 + 90], "en") for i in range(40)], "doc_id long, text string, lang string"))
+    assert model.predict(texts[0])[0] == "en"
+    assert licenses.scan(spark.createDataFrame([(1, texts[0] + " mit license")], "doc_id long, text string")).first().first_word == 230_000
+    assert M.mix(df.withColumn("source", F.lit("a"))).where("doc_id = 0").first()["size"] == 230_000
+
+
 def test_token_counts_survive_a_full_cache(monkeypatch):
     monkeypatch.setattr(tc, "CACHE", 20)
     texts = odd_texts(40, 2)
@@ -98,44 +118,57 @@ def test_bpe_table(spark):
     assert bpe.digests(df.limit(0), BPE).count() == 0
 
 
-def brute_sketch(text):
+def brute_hashes(text):
     words = text.translate({c: c + 32 for c in range(65, 91)}).encode().split()
     shingles = {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-    hashes = sorted(fp._hash(s) for s in shingles)
-    low = [h for h in hashes if h * fp.SCALE < 1 << 64]
-    return low if len(low) >= fp.FLOOR else hashes[: fp.FLOOR]
+    return sorted(fp._hash(s) for s in shingles)
 
 
 def test_sketches():
     rng = random.Random(6)
     words = [f"w{i}" for i in range(500)]
-    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (0, 1, 4, 5, 6, 40, 300, 3000)]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (0, 1, 4, 5, 6, 40, 300, 3000)] + ["x " * 2000, "a b c d e f g " * 300]
     for t in texts:
-        assert fp.sketch(t).tolist() == brute_sketch(t) and fp.from_text(fp.to_text(fp.sketch(t))).tolist() == fp.sketch(t).tolist()
-        assert fp.likeness(fp.sketch(t), fp.sketch(t)) == 1
-    a, b = texts[-1], texts[-2]
+        s, hashes = fp.sketch(t), brute_hashes(t)
+        # the fixed fraction alone decides what is low, however short the text
+        assert s.low.tolist() == [h for h in hashes if h * fp.SCALE < 1 << 64]
+        assert s.spare.tolist() == [h for h in hashes if h * fp.SCALE >= 1 << 64][: fp.SPARE]
+        again = fp.Sketch.from_text(s.to_text())
+        assert again.to_text() == s.to_text() and fp.likeness(s, again) == 1 == fp.containment(s, again)
+    a, b = texts[7], texts[6]
     both = fp.merge(fp.sketch(a), fp.sketch(b))
-    shingles = set(fp.sketch(a).tolist()) | set(fp.sketch(b).tolist())
-    assert set(both.tolist()) == {h for h in shingles if h * fp.SCALE < 1 << 64}
+    whole = sorted(set(brute_hashes(a)) | set(brute_hashes(b)))
+    assert both.low.tolist() == [h for h in whole if h * fp.SCALE < 1 << 64] and both.spare.tolist() == [h for h in whole if h * fp.SCALE >= 1 << 64][: fp.SPARE]
     part = " ".join(a.split()[:600])  # a fifth of the long text
     assert fp.containment(fp.sketch(part), fp.sketch(a)) > 0.9 and fp.containment(fp.sketch(a), fp.sketch(part)) == pytest.approx(0.2, abs=0.06)
     assert fp.likeness(fp.sketch(""), fp.sketch("a")) == 0 == fp.likeness(fp.sketch(a), fp.sketch(b)) and fp.likeness(fp.sketch(None), fp.sketch("")) == 1
 
 
+def test_likeness_uses_what_is_below_the_threshold_where_both_have_some():
+    u = np.array([1, 2, 3, 1 << 62], np.uint64)
+    a, b, blank = fp.Sketch.of(u), fp.Sketch.of(np.array([1, 1 << 63], np.uint64)), fp.Sketch.of(np.array([1 << 62], np.uint64))
+    assert fp.likeness(a, b) == 1 and fp.containment(a, b) == pytest.approx(1 / 3)
+    assert not len(blank.low) and fp.likeness(a, blank) == 1 and fp.containment(a, blank) == 0.25 and fp.likeness(b, blank) == 0
+
+
 @pytest.mark.parametrize("rows", [
     [], [(1, "a b c d e f g")], [(1, "same"), (1, "same"), (1, "other"), (2, None), (None, "x")],
     [(i * 7, " ".join(f"w{(i * j) % 13}" for j in range(i % 40))) for i in range(90)],
+    [(3, f"text {i} of one id " * (i % 5 + 1)) for i in range(60)] + [(None, f"none {i}") for i in range(9)] + [(-(1 << 63), "least"), ((1 << 63) - 1, "most"), (4, "long " * 50_000), (4, None)],
 ])
-def test_compare_with_next(spark, rows):
-    df = spark.createDataFrame([(i, t, 9, 9) for i, t in rows], "doc_id long, text string, range int, tail int")
-    got = [tuple(r) for r in fp.compare_with_next(df).collect()]
-    assert len(got) == len(rows)
-    if len({i for i, _ in rows}) == len(rows):
-        order = sorted(rows, key=lambda r: -r[0])
-        for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
-            e = fp.edited(text, after)
-            a, b, c = map(fp.sketch, (text, e, after))
-            assert (i, len(text), hashlib.sha256(e.encode()).hexdigest(), fp.to_text(a), fp.to_text(b), fp.likeness(a, b), fp.likeness(a, c)) in got
+def test_compare_with_next(spark, monkeypatch, rows):
+    monkeypatch.setattr(fp, "RANGE_BYTES", 200)
+    schema = "doc_id long, text string, range int, tail int, o int"
+    df = spark.createDataFrame([(i, t, 9, 9, 9) for i, t in rows], schema)
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    want = []
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        text, after = text or "", after or ""
+        e = fp.edited(text, after)
+        a, b, c = map(fp.sketch, (text, e, after))
+        want.append((i, len(text), hashlib.sha256(e.encode()).hexdigest(), a.to_text(), b.to_text(), fp.likeness(a, b), fp.likeness(a, c)))
+    assert sorted(map(str, map(tuple, fp.compare_with_next(df).collect()))) == sorted(map(str, want))
 
 
 def test_edited():
