@@ -1,13 +1,15 @@
 """A corpus pipeline in four stages. Each takes (spark, docs, sf_dir) and returns the next stage's documents.
 
-1. language: fits the language model on the documents it gets and drops those of no language (null text, or no letter).
+1. language: fits the language model on the documents it gets, and drops those in none of the learned languages: null
+   texts, texts without a letter, and texts that are more random trigrams than language in the inferred mixture.
 2. near_duplicates: keeps one document, that with the smallest id, of each group of near copies: texts with four fifths
-   of their distinct five-word shingles in common, found exactly (shingles.near_copies). The query of the operator links
-   at 3 of 64 SimHash bits over three words, which such copies don't meet, and no number of bits decides that similarity.
+   of their distinct five-word shingles in common. SimHash's byte-position index gives the first candidates, an index on
+   shingles those that no number of bits guarantees, and the shingles decide all of them (shingles.near_copies).
 3. mixture: brings the sources to their target weights; a document comes as often as the mix takes it.
 4. tokens: encodes every row and returns its token count and digests.
 
-Every stage's result is written as Parquet to the shared folder and read again as the next one's documents.
+Every stage's result is written as Parquet to the shared folder and read again as the next one's documents; what a stage
+wrote on the way, and the documents before it, are removed then.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from seekframe.llm import bpe, language_id, mixing, shingles, simhash
-from seekframe.llm.common import settle, table
+from seekframe.llm.common import release, settle, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before = written()
+        docs, path = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, before, path, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
