@@ -17,9 +17,7 @@ BLOCK_BYTES = 16 << 20
 #: Vectors of one tile; blocks are compared tile by tile.
 TILE = 1024
 #: Dimensions that are accumulated before each look at the bound.
-STEP = 8
-#: Room for rounding where a bound decides; what is reported as a link is decided on the given vectors.
-SLACK = 1e-9
+STEP = 16
 
 
 def _valid(vector: str) -> str:
@@ -44,32 +42,30 @@ def suffix_norms(rows: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, np.cumsum((rows * rows)[:, ::-1], axis=1)[:, ::-1]))
 
 
-def close_pairs(a: np.ndarray, b: np.ndarray, tail_a: np.ndarray, tail_b: np.ndarray, threshold: float, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of rows of a and b (unit vectors along the axes) whose product may reach the threshold, but for rounding.
+def close_pairs(a: np.ndarray, b: np.ndarray, tail_a: np.ndarray, tail_b: np.ndarray, threshold: float, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, sure): rows of a and b (unit vectors along the axes) whose product may reach the threshold; sure: it does.
 
-    Leading dimensions are accumulated ``step`` at a time. What the rest can add is at most the product of the two
-    suffix norms; rows and columns of the tile that no pair can save are left out of the next step.
+    Leading dimensions come first. What the rest can add is at most the product of the two suffix norms, which stand as
+    one more dimension behind them, so one product of matrices gives the bound of a whole tile. Pairs below the
+    threshold stop there. While many are left, rows and columns that no pair can save are left out and ``step`` more
+    dimensions join; few are left to the exact comparison. Single precision is enough for a bound with room for its error.
     """
-    rows, cols = np.arange(len(a)), np.arange(len(b))
-    product = np.zeros((len(a), len(b)))
-    for at in range(0, a.shape[1], step):
-        product += a[rows, at : at + step] @ b[cols, at : at + step].T
-        if at + step >= a.shape[1]:
-            break
-        may = product + np.outer(tail_a[rows, at + step], tail_b[cols, at + step]) >= threshold - SLACK
-        keep_rows, keep_cols = may.any(axis=1), may.any(axis=0)
-        if not keep_rows.any():
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if keep_rows.sum() * keep_cols.sum() < 0.7 * product.size:
-            product, rows, cols = product[np.ix_(keep_rows, keep_cols)], rows[keep_rows], cols[keep_cols]
-        if 16 * (left := int(may.sum())) < product.size:  # few pairs are left: they are finished one by one
+    rows, cols, size = np.arange(len(a)), np.arange(len(b)), a.shape[1]
+    for lead in [*range(step, size, step), size]:
+        x, y = (np.zeros((len(pick), lead + 1), np.float32) for pick in (rows, cols))
+        for z, source, tail, pick in ((x, a, tail_a, rows), (y, b, tail_b, cols)):
+            z[:, :lead] = source[pick, :lead]
+            if lead < size:
+                z[:, lead] = tail[pick, lead]
+        bound, room = x @ y.T, (lead + 4) * 2.0**-22
+        may = bound >= threshold - room
+        left = np.count_nonzero(may)
+        if lead == size or 16 * left <= may.size:
             i, j = np.nonzero(may)
-            i, j = (i, j) if product.shape == may.shape else (np.cumsum(keep_rows)[i] - 1, np.cumsum(keep_cols)[j] - 1)
-            i, j = rows[i], cols[j]
-            sure = np.einsum("ij,ij->i", a[i], b[j]) >= threshold - SLACK
-            return i[sure], j[sure]
-    i, j = np.nonzero(product >= threshold - SLACK)
-    return rows[i], cols[j]
+            sure = bound[i, j] >= threshold + room if lead == size else np.zeros(left, bool)
+            return rows[i], cols[j], sure
+        rows, cols = rows[may.any(axis=1)], cols[may.any(axis=0)]
+    raise AssertionError
 
 
 def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -106,11 +102,15 @@ def compare(x: np.ndarray, y: np.ndarray | None, threshold: float, tile: int = T
         for m, q in enumerate(sides[-1]):
             if y is None and m < n or turned[q[0], 0] - turned[p[-1], 0] > reach or turned[p[0], 0] - turned[q[-1], 0] > reach:
                 continue
-            i, j = close_pairs(turned[p], turned[q], tails[p], tails[q], threshold)
+            i, j, sure = close_pairs(turned[p], turned[q], tails[p], tails[q], threshold)
             if y is None and m == n:
-                i, j = i[i < j], j[i < j]
+                once = i < j
+                i, j, sure = i[once], j[once], sure[once]
             i, j = p[i], q[j]
-            sure = np.concatenate([np.einsum("ij,ij->i", both[i[k : k + 65536]], both[j[k : k + 65536]]) >= threshold for k in range(0, len(i), 65536)]) if len(i) else np.zeros(0, bool)
+            open_ = np.nonzero(~sure)[0]
+            for k in range(0, len(open_), 1 << 16):
+                some = open_[k : k + (1 << 16)]
+                sure[some] = np.einsum("ij,ij->i", both[i[some]], both[j[some]]) >= threshold
             if sure.any():
                 yield i[sure], j[sure]
 
