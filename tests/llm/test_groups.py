@@ -142,9 +142,11 @@ def clouds(seed, n, size, labels):
 ])
 def test_embedding_links(spark, rows, tile, threshold):
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, label int, tile int")
-    for block in (1 << 20, 2000):  # one block for each label, and many
+    for block in (1 << 20, 2000)[: 1 + (tile in (4, 16))]:  # one block for each label, and many
         got = sorted(map(tuple, D.link(df, threshold, tile=tile, block_bytes=block).collect()), key=str)
         assert got == brute_vectors(rows, threshold)
+    if tile != 16:
+        return
     single = df.withColumn("embedding", F.col("embedding").cast("array<float>"))
     rounded = [(a, v and [x if x is None else float(np.float32(x)) for x in v], label) for a, v, label in rows]
     assert sorted(map(tuple, D.link(single, threshold, tile=tile).collect()), key=str) == brute_vectors(rounded, threshold)

@@ -247,7 +247,9 @@ def plain_em(p, counts):
             for x in p:
                 new[x] += n * shares[x] * p[x][t] / whole
         total = sum(new.values())
-        shares = {x: n / total for x, n in new.items()}
+        before, shares = shares, {x: n / total for x, n in new.items()}
+        if max(abs(before[x] - shares[x]) for x in p) < 1e-9:
+            break
     return shares, sum(n * math.log(sum(shares[x] * p[x][t] for x in p)) for t, n in counts.items())
 
 
