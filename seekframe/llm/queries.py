@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seekframe.llm import bpe, embedding_dedup, fingerprints, language_id, licenses, mixing, simhash, token_counts, url_filters, warc
+from seekframe.llm import bpe, embedding_dedup, filter_audit, fingerprints, language_id, licenses, line_dedup, mixing, simhash, token_counts, url_filters, warc
 from seekframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,14 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
+@query(filter_audit.oracle())
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(line_dedup.oracle())
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
