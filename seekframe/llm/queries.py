@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import bpe, embedding_dedup, filter_audit, fingerprints, language_id, licenses, line_dedup, mixing, simhash, token_counts, url_filters, warc
+from seekframe.llm import alignment, bpe, embedding_dedup, filter_audit, fingerprints, language_id, licenses, line_dedup, mixing, simhash, token_counts, url_filters, warc
 from seekframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query(filter_audit.oracle())
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
