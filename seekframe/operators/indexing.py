@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seekframe.functions import prepare as P
+from seekframe.operators.segments import point, pointed, store
 from seekframe.plans.model import FieldSpec, IndexSpec, SpecError
 from seekframe.streaming.queue import tasks as queue_tasks
 
@@ -36,17 +37,23 @@ def prepare_items(raw: DataFrame, index: IndexSpec) -> DataFrame:
     return raw.select(*system, *(prepare_value(F.col(f.name), f).alias(f.name) if f.name in raw.columns else F.lit(None).cast(f.data_type).alias(f.name) for f in index.fields))
 
 
+def newest(changes: DataFrame, id_col: str, version: Column | None = None) -> DataFrame:
+    """The newest change of each id, found with a partial aggregation; rows with null ids all stay."""
+    columns = [c for c in changes.columns if c != id_col]
+    latest = changes.withColumn("_v", version if version is not None else F.lit(0))
+    best = latest.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max_by(F.struct(*columns), F.struct("_v", F.xxhash64(*columns))).alias("_row"))
+    best = best.select(id_col, *(F.col(f"_row.{c}").alias(c) for c in columns)).select(*changes.columns)
+    return best.unionByName(changes.where(F.col(id_col).isNull()))
+
+
 def upsert(items: DataFrame, changes: DataFrame, id_col: str, version: Column | None = None) -> DataFrame:
     """items with changes applied, the last version of each id winning over all older rows.
 
     Only ids are needed to drop replaced rows, so stored rows are never sorted: an anti join, plus the newest change
-    of each id, found with a partial aggregation.
+    of each id.
     """
-    columns = [c for c in items.columns if c != id_col]
-    latest = changes.withColumn("_v", version if version is not None else F.lit(0))
-    newest = latest.groupBy(id_col).agg(F.max_by(F.struct(*columns), F.struct("_v", F.xxhash64(*columns))).alias("_row"))
-    newest = newest.select(id_col, *(F.col(f"_row.{c}").alias(c) for c in columns)).select(*items.columns)
-    return items.join(changes.select(id_col).distinct(), id_col, "left_anti").select(*items.columns).unionByName(newest)
+    rows = newest(changes, id_col, version).select(*items.columns)
+    return items.join(changes.select(id_col).distinct(), id_col, "left_anti").select(*items.columns).unionByName(rows)
 
 
 def delete(items: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
@@ -90,39 +97,25 @@ def differences(items: DataFrame, index: IndexSpec) -> dict[str, list[str]]:
     return {"add": sorted(want.keys() - have.keys()), "change": sorted(k for k in want.keys() & have.keys() if want[k] != have[k]), "remove": sorted(have.keys() - want.keys())}
 
 
-POINTER = "current"
-
-
-def _store(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
 def _version(spark: SparkSession, path: str) -> str | None:
     """The folder of a table's version that its pointer names."""
-    fs, pointer = _store(spark, f"{path}/{POINTER}")
-    return f"{path}/{spark.read.text(pointer.toString(), wholetext=True).first().value.strip()}" if fs.exists(pointer) else None
+    name = pointed(spark, path)
+    return None if name is None else f"{path}/{name}"
 
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Write a new version of a table, then let its pointer name it: readers find the old version or the new one.
 
-    The pointer, a file of one line, is moved into place in one step, so there is no moment without a table, and a
-    failed write leaves the old one. The version before stays for those who are reading it; older ones go.
+    The pointer is moved into place in one step, and a failed write leaves the old one. The version before stays for
+    those who are reading it; older ones go.
     """
     spark = df.sparkSession
-    jvm = spark._jvm
     name, old = f"v-{uuid.uuid4().hex}", _version(spark, path)
     df.write.parquet(f"{path}/{name}")
-    fs, fresh = _store(spark, f"{path}/{POINTER}.{name}")
-    out = fs.create(fresh, True)
-    out.write(bytearray(f"{name}\n".encode()))
-    out.close()
-    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), spark._jsc.hadoopConfiguration()).rename(fresh, jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}"), overwrite)
+    point(spark, path, name)
     keep = {name, old.rsplit("/", 1)[1] if old else name}
-    for x in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)):
+    fs, where = store(spark, path)
+    for x in fs.listStatus(where):
         if x.isDirectory() and x.getPath().getName().startswith("v-") and x.getPath().getName() not in keep:
             fs.delete(x.getPath(), True)
 
@@ -137,7 +130,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def drop_table(spark: SparkSession, path: str) -> bool:
     """Delete a table with all that belongs to it (versions, text and vector indexes, facet layouts); whether there was one."""
-    fs, where = _store(spark, path)
+    fs, where = store(spark, path)
     return fs.delete(where, True)
 
 

@@ -12,7 +12,9 @@ from seekframe.functions import text as TX
 from seekframe.functions import vectors as V
 from seekframe.functions.stem import stems
 from seekframe.operators import facets as FC
+from seekframe.operators import gramindex as G
 from seekframe.operators import textindex as X
+from seekframe.operators import vectorindex as VI
 from seekframe.operators.predicates import compile_group, fields_of
 from seekframe.plans import keys as K
 from seekframe.plans.model import IndexSpec, SpecError
@@ -68,12 +70,16 @@ class Items:
 
     sides: tables (id, fields) of fields that lie elsewhere; each is joined only if a query names one of its fields, and
     only to the rows of the page if it is merely shown. text: the text indexes, by configuration; without the one that a
-    query asks for, texts are tokenised as they are read.
+    query asks for, texts are tokenised as they are read. vectors: the vector indexes, by column; without the one that a
+    query asks for, similarities of all rows are computed. grams: trigram indexes, by field: what conditions on parts of
+    texts need is looked up there, and only candidates are compared.
     """
 
     base: DataFrame
     sides: tuple[DataFrame, ...] = ()
     text: Mapping[str, X.TextIndex] = field(default_factory=dict)
+    vectors: Mapping[str, VI.VectorIndex] = field(default_factory=dict)
+    grams: Mapping[str, G.GramIndex] = field(default_factory=dict)
 
     def attach(self, df: DataFrame, names: Collection[str], id_col: str) -> DataFrame:
         """df with the sides that have fields of these names, and which it doesn't have yet."""
@@ -106,6 +112,31 @@ def _matched(items: DataFrame, source: Items, index: IndexSpec, query: Query, no
     return items.where("text_rank is not null") if inner else items
 
 
+def _by_indexes(items: DataFrame, source: Items, index: IndexSpec, query: Query, mode: str, node: K.Node | None) -> tuple[DataFrame, bool]:
+    """The vector side from its index: items near enough come from the lists that can hold them. In a hybrid search the
+    similarity of others is computed only for those that the keys match."""
+    vector = query.vector
+    built = source.vectors[vector.column]
+    near = VI.within(built, vector.vector, vector.threshold).select(F.col("id").alias(index.id_col), F.col("similarity").alias("_similarity"))
+    if mode == "vector_only":
+        return items.join(near, index.id_col).withColumn(SCORE, F.col("_similarity")), True
+    match = _matched(items.select(*(c for c in items.columns if c == index.id_col or c in index.searchable)), source, index, query, node, True) if query.config not in source.text else None
+    if match is None:
+        match = X.find(source.text[query.config], index, X.stemmed(node, query.config), constant=query.rank == "constant").withColumnRenamed("id", index.id_col)
+    match = match.select(index.id_col, "text_rank")
+    # of items that only the keys match, the vectors are looked up by id
+    rest = match.join(near.select(index.id_col), index.id_col, "left_anti")
+    unit = V.normalise(V.literal(vector.vector))
+    looked_up = rest.join(built.items.select(F.col("id").alias(index.id_col), "vector"), index.id_col, "left")
+    looked_up = looked_up.select(index.id_col, "text_rank", V.dot(F.col("vector"), unit).alias("_similarity"))
+    both = near.join(match, index.id_col, "left").select(index.id_col, "text_rank", "_similarity").unionByName(looked_up)
+    found = items.join(both, index.id_col).withColumns({TEXT_SCORE: F.coalesce("text_rank", F.lit(0.0)), VECTOR_SCORE: F.coalesce("_similarity", F.lit(0.0))})
+    if not vector.guarded:
+        return found.withColumn(SCORE, F.lit(vector.text_weight) * F.col(TEXT_SCORE) + F.lit(vector.vector_weight) * F.col("_similarity")), True
+    score = hybrid_score(F.col(TEXT_SCORE), F.col(VECTOR_SCORE), F.col("_similarity").isNotNull(), F.col("text_rank").isNotNull(), vector.text_weight, vector.vector_weight)
+    return found.withColumn(SCORE, score), True
+
+
 def _scored(items: DataFrame, source: Items, index: IndexSpec, query: Query) -> tuple[DataFrame, bool, dict | None]:
     """The items that the keys and vector ask for, with scores; whether they ask for anything; and why the mode was lowered, if it was."""
     node = K.parse(query.keys)
@@ -120,6 +151,8 @@ def _scored(items: DataFrame, source: Items, index: IndexSpec, query: Query) ->
         if node is None:
             return items.withColumn(SCORE, F.lit(1.0)), False, lowered
         return _matched(items, source, index, query, node, True).withColumn(SCORE, F.col("text_rank")), True, lowered
+    if vector.column in source.vectors:
+        return *_by_indexes(items, source, index, query, mode, node), lowered
     # the similarity is computed once per row, and is null without a vector, or with a zero one
     items = items.withColumn("_similarity", V.cosine(F.col(vector.column), V.literal(vector.vector)))
     near = F.coalesce(F.col("_similarity") >= vector.threshold, F.lit(False))
@@ -141,8 +174,14 @@ def search(items: DataFrame | Items, index: IndexSpec, query: Query) -> SearchRe
     fields = list(query.fields) or [f.name for f in index.fields if f.kind != "vector"]
     for name in [*fields, *(f.field for f in query.facets)]:
         index.field(name)
-    named = {*fields_of(where), *(s.field for s in query.sorts), *([query.vector.column] if query.vector and query.mode != "text_only" else [])}
-    scored, asked, lowered = _scored(source.attach(source.base, named, index.id_col), source, index, query)
+    named = {*fields_of(where), *(s.field for s in query.sorts), *([query.vector.column] if query.vector and query.mode != "text_only" and query.vector.column not in source.vectors else [])}
+    base = source.base
+    # a facet ignores conditions on its own field and its forms, so these mustn't narrow the items
+    free = {n for n in source.grams for f in query.facets if n == f.field or f.related and FC.related(n, f.field)}
+    maybe = G.candidates(where, {n: g for n, g in source.grams.items() if n not in free}) if source.grams else None
+    if maybe is not None:
+        base = base.join(maybe.withColumnRenamed("id", index.id_col), index.id_col, "left_semi")
+    scored, asked, lowered = _scored(source.attach(base, named, index.id_col), source, index, query)
 
     def filtered(without: frozenset[str] = frozenset()) -> DataFrame:
         condition = compile_group(index, where, without)

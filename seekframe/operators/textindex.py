@@ -1,24 +1,37 @@
 """The text index: token postings that are written with the items, and searched instead of them.
 
-Postings (token, id, field, tf, positions) are made once, when items are indexed; a table of lengths (id, field,
-length, distinct) serves the normalisation of ranks. Postings are dealt by ranges of (token, id) and sorted, so a
-query's tokens and prefixes prune files and row groups, and a token that every item has fills many files.
+Postings (token, id, field, tf, level, positions) are made once, when items are indexed: each text's tokens are counted
+where it is read, so nothing but postings is shuffled. They are dealt by ranges of tokens and sorted by token, level
+(the bits of tf, high ones first) and id, so a query's tokens and prefixes prune files and pages, a ranked query can
+stop after the high levels, and a token that every item has fills many files. A row with an empty token stands for each
+text, with its length and number of distinct tokens.
 """
 
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.functions import text as X
-from seekframe.functions.stem import porter, stems
+from seekframe.functions.stem import porter
 from seekframe.plans import keys as K
 from seekframe.plans.model import IndexSpec, SpecError
 
+#: Items, about, in whose texts the bounds of token ranges are found; they steer the balance of files alone.
+SAMPLE = 2000
+#: Tokens that are counted at once, about.
+SLICE = 1 << 20
+#: Distinct words whose stems a task remembers.
+STEMS = 200_000
+
 
 @dataclass(frozen=True)
 class TextIndex:
@@ -27,6 +40,7 @@ class TextIndex:
     postings: DataFrame
     lengths: DataFrame
     config: str = "simple"
+    tokenised: DataFrame | None = None
 
 
 def _texts(items: DataFrame, index: IndexSpec) -> DataFrame:
@@ -37,39 +51,159 @@ def _texts(items: DataFrame, index: IndexSpec) -> DataFrame:
     return items.select(F.col(index.id_col).alias("id"), F.explode(F.array(*each)).alias("x")).select("id", "x.field", "x.text").where("text is not null")
 
 
-def _tokenised(items: DataFrame, index: IndexSpec, config: str) -> DataFrame:
-    toks = X.tokens(F.col("text"))
-    return _texts(items, index).select("id", "field", (stems(toks) if config == "english" else toks).alias("toks"))
+def _tokenised(items: DataFrame, index: IndexSpec) -> DataFrame:
+    return _texts(items, index).select("id", "field", X.tokens(F.col("text")).alias("toks"))
+
+
+def _stemmer(config: str) -> Callable[[str], str] | None:
+    if config == "simple":
+        return None
+    known: dict[str, str] = {}
+
+    def stem(word: str) -> str:
+        if (found := known.get(word)) is None:
+            if len(known) >= STEMS:
+                known.clear()
+            found = known[word] = porter(word)
+        return found
+
+    return stem
+
 
+def _fold(toks: pa.ListArray, stem: Callable[[str], str] | None) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.ListArray, np.ndarray, np.ndarray]:
+    """(token, row, tf, positions) of every different token of each row; and each row's length and distinct tokens."""
+    coded = toks.flatten().dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    if stem is not None:
+        again = pa.array([stem(w) for w in words.to_pylist()], pa.string()).dictionary_encode()
+        words, codes = again.dictionary, again.indices.to_numpy(zero_copy_only=False).astype(np.int64)[codes] if len(codes) else codes
+    lengths = np.diff(toks.offsets.to_numpy()).astype(np.int64)
+    row = np.repeat(np.arange(len(toks)), lengths)
+    key = row * max(1, len(words)) + codes
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    starts = np.nonzero(np.append(True, key[1:] != key[:-1]))[0] if len(key) else np.zeros(0, np.int64)
+    tf = np.diff(np.append(starts, len(key)))
+    places = (np.arange(len(row)) - (np.cumsum(lengths) - lengths)[row])[order].astype(np.int32)
+    positions = pa.ListArray.from_arrays(pa.array(np.append(starts, len(key)), pa.int32()), pa.array(places))
+    first = order[starts]
+    return words.take(pa.array(codes[first])), row[first], tf, positions, lengths, np.bincount(row[first], minlength=len(toks))
 
-def _positions(tokenised: DataFrame) -> DataFrame:
-    """(token, id, field, tf, positions), positions from 0; a text's tokens are counted where it is read, then dealt by it."""
-    rows = tokenised.select("id", "field", F.posexplode("toks").alias("at", "token"))
-    return rows.groupBy("id", "field", "token").agg(F.array_sort(F.collect_list("at")).alias("positions")).select("token", "id", "field", F.size("positions").alias("tf"), "positions")
+
+def _postings(tokenised: DataFrame, config: str, bounds: list[tuple[str, int]] | None, files: int) -> DataFrame:
+    """(range, token, id, field, tf, level, positions); a range is the number of bounds that don't follow a token.
+
+    bounds: in order, with the number of ranges that the token of each fills by itself (0: it only begins a range).
+    """
+    tokens, place, wide, at = [], [0], [], 1
+    for token, fills in bounds or []:  # ranges before, of, and after a token that fills some by itself
+        tokens.append(token)
+        wide.append(fills)
+        place.append(at if not fills else at + fills)
+        at = place[-1] + 1
+    begin = [place[k] + (1 if w else 0) for k, w in enumerate(wide)]
+
+    def spots(words: pa.Array, rows: np.ndarray) -> np.ndarray:
+        coded = words.dictionary_encode()
+        base, more = [], []
+        for w in coded.dictionary.to_pylist():
+            k = bisect_right(tokens, w)
+            own = k and tokens[k - 1] == w and wide[k - 1]
+            base.append(begin[k - 1] if own else place[k])
+            more.append(own or 1)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        if not len(codes):
+            return np.zeros(0, np.int64)
+        return np.array(base)[codes] + rows % np.array(more)[codes]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stem, seen = _stemmer(config), 0
+        for b in batches:
+            b_toks = b.column(2)
+            ends = np.cumsum(np.diff(b_toks.offsets.to_numpy()))
+            at = 0
+            while at < b.num_rows:
+                until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+                part = b.slice(at, until - at)
+                toks = pa.concat_arrays([part.column(2)])  # offsets from 0
+                words, row, tf, positions, lengths, different = _fold(toks, stem)
+                take = pa.array(row)
+                everywhere = seen + np.arange(len(toks))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate([spots(words, everywhere[row]), everywhere % max(1, files)]).astype(np.int32)), pa.concat_arrays([words, pa.array([""] * len(toks), pa.string())]),
+                    pa.concat_arrays([part.column(0).take(take), part.column(0)]), pa.concat_arrays([part.column(1).take(take), part.column(1)]),
+                    pa.array(np.concatenate([tf, lengths]).astype(np.int32)), pa.array(np.concatenate([np.frexp(tf)[1], np.full(len(toks), 31)]).astype(np.int32)),
+                    pa.concat_arrays([positions, pa.ListArray.from_arrays(pa.array(np.arange(len(toks) + 1), pa.int32()), pa.array(different.astype(np.int32)))]),
+                ], ["range", "token", "id", "field", "tf", "level", "positions"])
+                seen += len(toks)
+                at = until
+
+    kind = tokenised.schema["id"].dataType.simpleString()
+    return tokenised.mapInArrow(run, f"range int, token string, id {kind}, field string, tf int, level int, positions array<int>")
+
+
+def _lengths(postings: DataFrame) -> DataFrame:
+    return postings.where("token = ''").select("id", "field", F.col("tf").alias("length"), F.get("positions", F.lit(0)).alias("distinct"))
+
+
+def _of(postings: DataFrame, config: str, tokenised: DataFrame | None = None) -> TextIndex:
+    plain = postings.drop("range")
+    return TextIndex(plain.where("token <> ''"), _lengths(plain), config, tokenised)
 
 
 def build(items: DataFrame, index: IndexSpec, config: str = "simple") -> TextIndex:
     """The index of items, lazily."""
-    tokenised = _tokenised(items, index, config)
-    lengths = tokenised.select("id", "field", F.size("toks").alias("length"), F.size(F.array_distinct("toks")).alias("distinct"))
-    return TextIndex(_positions(tokenised), lengths, config)
+    tokenised = _tokenised(items, index)
+    return _of(_postings(tokenised, config, None, 1), config, tokenised)
+
+
+def _bounds(tokenised: DataFrame, config: str, files: int) -> list[tuple[str, int]]:
+    """Tokens at which ranges begin, from the postings of a sample; (token, ranges that it fills by itself)."""
+    if files < 2:
+        return []
+    share = min(1.0, SAMPLE / max(1, tokenised.count()))
+    drawn = tokenised.where(F.pmod(F.xxhash64("id", F.lit(29)), F.lit(1 << 30)) < share * (1 << 30))
+    counts = _postings(drawn, config, None, 1).where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    found = sorted((r.token, r.n) for r in counts.collect())  # the words of a bounded sample
+    most, held, out = max(1, sum(n for _, n in found) / files), 0.0, []
+    for token, n in found:
+        if n > most:
+            out.append((token, round(n / most)))
+            held = 0.0
+        else:
+            if held + n > most:
+                out.append((token, 0))
+                held = 0.0
+            held += n
+    return out
 
 
 def write(built: TextIndex, path: str, files: int) -> None:
-    """Write an index to a folder, in place of what is there: postings by ranges of (token, id), sorted."""
+    """Write an index to a folder, in place of what is there: postings by ranges of tokens, sorted; built texts are read twice,
+    once for a sample of them."""
     spark = built.postings.sparkSession
-    built.postings.repartitionByRange(files, "token", "id").sortWithinPartitions("token", "id").write.mode("overwrite").parquet(f"{path}/postings")
-    built.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+    if built.tokenised is not None:
+        bounds = _bounds(built.tokenised, built.config, files)
+        rows = _postings(built.tokenised, built.config, bounds, files)
+        ranges = 1 + sum(1 + fills for _, fills in bounds)
+        dealt = rows.repartitionById(max(ranges, files), F.col("range")).drop("range")
+    else:
+        texts = built.lengths.select(F.lit("").alias("token"), "id", "field", F.col("length").alias("tf"), F.lit(31).alias("level"), F.array(F.col("distinct")).alias("positions"))
+        dealt = built.postings.unionByName(texts).repartitionByRange(files, "token", "id")
+    dealt.sortWithinPartitions(F.col("token"), F.col("level").desc(), F.col("id")).write.mode("overwrite").parquet(f"{path}/postings")
     spark.createDataFrame([(json.dumps({"config": built.config}),)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
 
 def read(spark: SparkSession, path: str) -> TextIndex:
     about = json.loads(spark.read.text(f"{path}/about").first().value)
-    return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"), about["config"])
+    return _of(spark.read.parquet(f"{path}/postings"), about["config"])
 
 
 def update(old: TextIndex, index: IndexSpec, changed: DataFrame, gone: DataFrame | None = None) -> TextIndex:
-    """The index after items were upserted (whole rows of the index) or deleted (ids): only their texts are tokenised."""
+    """The index after items were upserted (whole rows of the index) or deleted (ids): only their texts are tokenised.
+
+    Lazy, over all postings; a store (operators.store) writes changes alone.
+    """
     new = build(changed, index, old.config)
     ids = changed.select(F.col(index.id_col).alias("id"))
     if gone is not None:

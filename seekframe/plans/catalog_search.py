@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seekframe.functions import text as X
 from seekframe.functions import vectors as V
+from seekframe.operators import gramindex as GR
 from seekframe.operators import vectorindex as VI
 from seekframe.operators.search import page, search
 from seekframe.operators.textindex import find, vocabulary
@@ -38,7 +39,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 def _docs(spark: SparkSession, d: str, **asked: Any) -> DataFrame:
     """Rows of a search over the documents' text index; of the fields only n_chars is shown, so no text is read."""
     q = Query(**{"fields": ("n_chars",)} | asked)
-    return search(T.docs(spark, d, *([q.config] if q.keys is not None else [])), T.DOCS, q).rows
+    return search(T.docs(spark, d, *([q.config] if q.keys is not None else []), vector=q.vector is not None), T.DOCS, q).rows
 
 
 def _found(spark: SparkSession, d: str, node: K.Node) -> DataFrame:
@@ -93,7 +94,10 @@ def fts_multi_field(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%WIDG%'")
 def fts_ilike_fallback(spark: SparkSession, d: str) -> DataFrame:
-    return T.parts(spark, d).where(F.col("p_name").ilike("%WIDG%")).select("p_partkey", "p_name")
+    """A part of a word in any case of letters: candidates from trigram postings, verified on their texts."""
+    maybe = GR.ilike(T.gram_index(spark, d, "part", T.PARTS_TEXT, "p_name"), "%WIDG%")
+    rows = T.table(spark, d, "part").join(maybe.withColumnRenamed("id", "p_partkey"), "p_partkey", "left_semi")
+    return rows.where(F.col("p_name").ilike("%WIDG%")).select("p_partkey", "p_name")
 
 
 @query(f"SELECT doc_id, round(({_sat(_tf('license'))} + {_sat(_tf('version'))}) / 2, 6) AS score FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE list_contains(tok, 'license') AND list_contains(tok, 'version')")
@@ -156,8 +160,9 @@ _TRI = "list_distinct(list_transform(range(1, length('  ' || lower({0}) || ' ')
 
 @query(f"SELECT p_partkey, p_name, round(shared::DOUBLE / (la + lb - shared), 6) AS similarity FROM (SELECT p_partkey, p_name, len(list_intersect(a, b)) AS shared, len(a) AS la, len(b) AS lb FROM (SELECT p_partkey, p_name, {_TRI.format('p_name')} AS a, {_TRI.format(chr(39) + 'red wigdet' + chr(39))} AS b FROM part)) WHERE shared::DOUBLE / (la + lb - shared) >= 0.3")
 def fuzzy_trigram(spark: SparkSession, d: str) -> DataFrame:
-    rows = T.parts(spark, d).withColumn("s", X.trigram_similarity(X.trigrams(F.col("p_name")), X.trigrams(F.lit("red wigdet"))))
-    return rows.where("s >= 0.3").select("p_partkey", "p_name", F.round("s", 6).alias("similarity"))
+    """Names like a misspelling; likeness follows from the postings of its trigrams, names are only shown."""
+    found = GR.similar(T.gram_index(spark, d, "part", T.PARTS_TEXT, "p_name"), "red wigdet", 0.3)
+    return T.table(spark, d, "part").join(found.withColumnRenamed("id", "p_partkey"), "p_partkey").select("p_partkey", "p_name", F.round("similarity", 6).alias("similarity"))
 
 
 @query(f"SELECT vec_id, round({COS}, 6) AS similarity FROM embeddings")
@@ -203,7 +208,7 @@ def hybrid_plain(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT count(*) AS result_count FROM ({_HYBRID})")
 def hybrid_count(spark: SparkSession, d: str) -> DataFrame:
     """The count has the same predicate as the rows: text or vector."""
-    return search(T.docs(spark, d, "simple"), T.DOCS, Query(keys="license", vector=VectorQuery(T.VECTOR, threshold=0.1), limit=3)).count
+    return search(T.docs(spark, d, "simple", vector=True), T.DOCS, Query(keys="license", vector=VectorQuery(T.VECTOR, threshold=0.1), limit=3)).count
 
 
 @query()
@@ -251,11 +256,11 @@ def autocomplete(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT b.vec_id, round(list_cosine_similarity(b.embedding::DOUBLE[], a.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id = 0 AND b.vec_id <> 0 ORDER BY list_cosine_similarity(b.embedding::DOUBLE[], a.embedding::DOUBLE[]) DESC, b.vec_id LIMIT 10")
 def more_like_this(spark: SparkSession, d: str) -> DataFrame:
-    """The nearest neighbours of one item; an extension. The one vector is broadcast."""
+    """The nearest neighbours of one item; an extension. Lists of the vector index are looked at until no other can matter."""
     rows = T.table(spark, d, "embeddings")
-    one = F.broadcast(rows.where("vec_id = 0").select(F.col("embedding").alias("q")).limit(1))
-    near = rows.where("vec_id <> 0").join(one, how="inner").select("vec_id", V.cosine(F.col("embedding"), F.col("q")).alias("s"))
-    return page(near, [F.desc("s"), F.asc("vec_id")], 10, 0).select("vec_id", F.round("s", 6).alias("similarity"))
+    one = rows.where("vec_id = 0").select("embedding").first()
+    near = VI.nearest(T.vector_index(spark, d), tuple(one.embedding or ()) if one else (), 10, lambda found: found.where("id <> 0"))
+    return near.select(F.col("id").alias("vec_id"), F.round("similarity", 6).alias("similarity"))
 
 
 @query(f"SELECT token, levenshtein(token, 'licence') AS distance, n FROM (SELECT token, count(*) AS n FROM (SELECT unnest({D_TOK}) AS token FROM documents) GROUP BY token) WHERE levenshtein(token, 'licence') <= 2 ORDER BY distance, n DESC, token LIMIT 5")

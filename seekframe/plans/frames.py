@@ -7,12 +7,12 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seekframe.operators import store as ST
 from seekframe.operators import vectorindex as VI
+from seekframe.operators.gramindex import GramIndex
 from seekframe.operators.search import Items
+from seekframe.operators.segments import current, version
 from seekframe.operators.textindex import TextIndex
-from seekframe.operators.textindex import build as build_index
-from seekframe.operators.textindex import read as read_index
-from seekframe.operators.textindex import write as write_index
 from seekframe.plans.model import FieldSpec, IndexSpec
 from seekframe.sources.tables import shared_folder, table
 
@@ -21,6 +21,8 @@ PARTS = IndexSpec("parts", (FieldSpec("p_name", "text", weight="A"), FieldSpec("
 #: The fields of parts that are searched by keywords.
 PARTS_TEXT = IndexSpec("part", (FieldSpec("p_name", "text", weight="A"), FieldSpec("p_brand", "string", weight="B"), FieldSpec("p_type", "string", weight="C")), "p_partkey", "p_brand", "p_type")
 ORDERS = IndexSpec("orders", (FieldSpec("o_orderstatus", "string"), FieldSpec("o_totalprice", "decimal"), FieldSpec("o_orderdate", "date"), FieldSpec("o_orderpriority", "string"), FieldSpec("o_custkey", "integer")), "o_orderkey", "o_orderpriority", "o_orderstatus")
+#: The embeddings by themselves, as items that have nothing but a vector.
+VECTORS = IndexSpec("embeddings", (FieldSpec("embedding", "vector", dimensions=64),), "vec_id", "label", "label")
 BASKETS = IndexSpec("baskets", (FieldSpec("suppliers", "integer", -1), FieldSpec("flags", "string", -1)), "l_orderkey", "l_orderkey", "l_orderkey")
 
 #: A fixed query vector of 64 dimensions, by a rule.
@@ -46,32 +48,50 @@ def vectors(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("content_embedding"))
 
 
-_indexes: dict[tuple[str, ...], str] = {}
+_stores: dict[tuple[str, ...], str] = {}
+
+
+def _store(spark: SparkSession, d: str, name: str, layout: ST.Layout) -> tuple[str, str]:
+    """(store, version) of the indexes of a given table: made when first asked for, and again whenever its files have changed."""
+    key = (spark.sparkContext.applicationId, d, name, *layout.texts, "/", *layout.grams, "/", *layout.vectors)
+    if key not in _stores:
+        _stores[key] = shared_folder(spark, f"indexes-{name}")
+    path, now = _stores[key], version(spark, f"{d}/{name}.parquet")
+    held = current(spark, path)
+    if held is None or held.source != now:
+        ST.create(spark, path, layout, table(spark, d, name), now)
+    return path, now
+
+
+def _layout(spark: SparkSession, index: IndexSpec, **what) -> ST.Layout:
+    return ST.Layout(index, items=False, files=int(spark.conf.get("spark.sql.shuffle.partitions")), **({"texts": ()} | what))
+
+
+def _opened(spark: SparkSession, d: str, name: str, index: IndexSpec, **what) -> Items:
+    layout = _layout(spark, index, **what)
+    path, now = _store(spark, d, name, layout)
+    return ST.open_(spark, path, layout, table(spark, d, name), source=now)
 
 
 def text_index(spark: SparkSession, d: str, name: str, index: IndexSpec, config: str = "simple") -> TextIndex:
-    """The text index of a table, written when it is first asked for and read from then on, as items are indexed once."""
-    key = (spark.sparkContext.applicationId, d, name, config)
-    if key not in _indexes:
-        path = shared_folder(spark, f"text-{name}")
-        write_index(build_index(table(spark, d, name), index, config), path, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        _indexes[key] = path
-    return read_index(spark, _indexes[key])
+    """The text index of a given table's present files."""
+    return _opened(spark, d, name, index, texts=(config,)).text[config]
+
+
+def gram_index(spark: SparkSession, d: str, name: str, index: IndexSpec, field: str) -> GramIndex:
+    """The trigram index of a field of a given table's present files."""
+    return _opened(spark, d, name, index, grams=(field,)).grams[field]
 
 
 def vector_index(spark: SparkSession, d: str) -> VI.VectorIndex:
-    """The vector index of the embeddings, written when it is first asked for."""
-    key = (spark.sparkContext.applicationId, d, "embeddings", "vectors")
-    if key not in _indexes:
-        path = shared_folder(spark, "vectors-embeddings")
-        VI.write(VI.build(table(spark, d, "embeddings"), "vec_id", "embedding", 64), path)
-        _indexes[key] = path
-    return VI.read(spark, _indexes[key])
+    """The vector index of the embeddings' present files."""
+    return _opened(spark, d, "embeddings", VECTORS, vectors=("embedding",)).vectors["embedding"]
 
 
-def docs(spark: SparkSession, d: str, *configs: str) -> Items:
+def docs(spark: SparkSession, d: str, *configs: str, vector: bool = False) -> Items:
     """Documents, with labels and vectors as sides, and the text indexes of these configurations."""
-    return Items(table(spark, d, "documents"), (labels(spark, d), vectors(spark, d)), {c: text_index(spark, d, "documents", DOCS, c) for c in configs})
+    near = {"content_embedding": vector_index(spark, d)} if vector else {}
+    return Items(table(spark, d, "documents"), (labels(spark, d), vectors(spark, d)), {c: text_index(spark, d, "documents", DOCS, c) for c in configs}, near)
 
 
 def parts(spark: SparkSession, d: str) -> DataFrame:
