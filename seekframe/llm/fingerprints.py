@@ -18,10 +18,9 @@ from seekframe.llm.common import settle
 
 SEED = 42
 WIDTH = 5
-#: A sketch holds all hashes among the lowest 1 / SCALE of all 64-bit values ...
-SCALE = 8
-#: ... and, apart from them, so many lowest ones of the others, for texts too short to have a hash below the threshold.
-SPARE = 16
+#: A sketch holds all hashes among the lowest 1 / SCALE of all 64-bit values: the fixed fraction, whatever the length.
+SCALE = 2
+LIMIT = (1 << 64) // SCALE
 #: Bytes of text in one range of ids, about, and most ranges that are made.
 RANGE_BYTES, MOST_RANGES = 16 << 20, 4096
 
@@ -31,32 +30,34 @@ _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 @dataclass(frozen=True, eq=False)
 class Sketch:
-    """Sorted distinct hashes: low, all below 1 / SCALE of the hash range; spare, the SPARE lowest of the others."""
+    """Sorted distinct hashes: all below 1 / SCALE of the hash range, and the lowest one where none is there.
 
-    low: np.ndarray
-    spare: np.ndarray
+    A sketch is complete up to its reach: that limit, or the lowest hash above it.
+    """
+
+    hashes: np.ndarray
 
     @staticmethod
     def of(hashes: np.ndarray) -> Sketch:
         """From the hashes of all shingles, in any order and with repeats."""
-        bound = np.uint64((1 << 64) // SCALE)
-        others = hashes[hashes >= bound]
-        # the lowest of many lie in a small part of the range, which saves sorting them all
-        part = others[others < np.uint64((1 << 64) // SCALE + ((1 << 64) - 1 - (1 << 64) // SCALE) * min(len(others), 4 * SPARE) // max(1, len(others)))]
-        spare = np.unique(part)
-        return Sketch(np.unique(hashes[hashes < bound]), (spare if len(spare) >= SPARE else np.unique(others))[:SPARE])
+        low = hashes[hashes < np.uint64(LIMIT)]
+        return Sketch(np.unique(low) if len(low) else hashes.min(keepdims=True) if len(hashes) else low)
 
     @property
     def empty(self) -> bool:
-        return not len(self.low) and not len(self.spare)
+        return not len(self.hashes)
+
+    @property
+    def reach(self) -> int:
+        return (1 << 64) - 1 if self.empty else max(LIMIT - 1, int(self.hashes[-1]))
 
     def to_text(self) -> str:
-        """Base64 of the low hashes, and after a dot of the spare ones, each in eight bytes, big-endian."""
-        return ".".join(base64.b64encode(x.astype(">u8").tobytes()).decode() for x in (self.low, self.spare))
+        """Base64 of the hashes, each in eight bytes, big-endian."""
+        return base64.b64encode(self.hashes.astype(">u8").tobytes()).decode()
 
     @staticmethod
     def from_text(text: str) -> Sketch:
-        return Sketch(*(np.frombuffer(base64.b64decode(x), ">u8").astype(np.uint64) for x in text.split(".")))
+        return Sketch(np.frombuffer(base64.b64decode(text), ">u8").astype(np.uint64))
 
 
 def sketch(text: str | None, width: int = WIDTH) -> Sketch:
@@ -77,32 +78,37 @@ def sketch(text: str | None, width: int = WIDTH) -> Sketch:
 
 def merge(a: Sketch, b: Sketch) -> Sketch:
     """The sketch of both texts' shingles together, from their sketches alone."""
-    return Sketch(np.union1d(a.low, b.low), np.union1d(a.spare, b.spare)[:SPARE])
+    return Sketch.of(np.concatenate([a.hashes, b.hashes]))
 
 
 def _common(a: Sketch, b: Sketch) -> tuple[int, int, int]:
-    """Hashes of a, of b and of both that are compared.
-
-    Those below the threshold, where both texts have any. Else neither side's absence from there tells enough, and all
-    hashes count up to where both sketches are complete: to the last spare one, or to the end if there are fewer.
-    """
-    x, y = a.low, b.low
-    if not len(x) or not len(y):
-        reach = min((int(s.spare[-1]) if len(s.spare) == SPARE else (1 << 64) - 1 for s in (a, b)))
-        x, y = (all_[: np.searchsorted(all_, np.uint64(reach), side="right")] for all_ in (np.concatenate([s.low, s.spare]) for s in (a, b)))
+    """Hashes of a, of b and of both, up to where both sketches are complete."""
+    x, y = a.hashes, b.hashes
+    reach = min(a.reach, b.reach)
+    if len(x) and int(x[-1]) > reach:  # the one above the limit
+        x = x[:0]
+    if len(y) and int(y[-1]) > reach:
+        y = y[:0]
     both = np.concatenate([x, y])
     both.sort()
     return len(x), len(y), int((both[1:] == both[:-1]).sum())
 
 
 def containment(a: Sketch, b: Sketch) -> float:
-    """Estimated share of a's shingles that b has too; 1 if a has none."""
+    """Estimated share of a's shingles that b has too; 1 if a has none.
+
+    0.0 also where a has words but no hash that can be compared, which 2 ** -n of all texts of n shingles have; the standard error
+    of a share c is sqrt(c (1 - c) / n) at this fraction, so long texts are told well, and texts of a few words roughly.
+    """
     n, _, both = _common(a, b)
     return both / n if n else float(a.empty)
 
 
 def likeness(a: Sketch, b: Sketch) -> float:
-    """Estimated share of the smaller text's shingles that the other has too, 0 to 1; two texts without words: 1."""
+    """Estimated share of the smaller text's shingles that the other has too, 0 to 1; two texts without words: 1.
+
+    The smaller is that with fewer hashes; 0.0 also where it has none that can be compared (see containment).
+    """
     if a.empty or b.empty:
         return float(a.empty and b.empty)
     n, m, both = _common(a, b)
@@ -110,7 +116,8 @@ def likeness(a: Sketch, b: Sketch) -> float:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint) for every row, row by row; a null text is an empty one, other columns are ignored."""
+    """(doc_id, fingerprint) for every row, row by row. A null text is an empty one, whose fingerprint is ''; repeated rows
+    and null ids stay; other columns are ignored. Very long texts count whole. Empty table: no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -128,27 +128,35 @@ def test_sketches():
     rng = random.Random(6)
     words = [f"w{i}" for i in range(500)]
     texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (0, 1, 4, 5, 6, 40, 300, 3000)] + ["x " * 2000, "a b c d e f g " * 300]
+    kept = lambda hashes: [h for h in hashes if h * fp.SCALE < 1 << 64] or hashes[:1]
     for t in texts:
         s, hashes = fp.sketch(t), brute_hashes(t)
-        # the fixed fraction alone decides what is low, however short the text
-        assert s.low.tolist() == [h for h in hashes if h * fp.SCALE < 1 << 64]
-        assert s.spare.tolist() == [h for h in hashes if h * fp.SCALE >= 1 << 64][: fp.SPARE]
+        assert s.hashes.tolist() == kept(hashes)  # the fixed fraction, however short the text; never nothing
         again = fp.Sketch.from_text(s.to_text())
         assert again.to_text() == s.to_text() and fp.likeness(s, again) == 1 == fp.containment(s, again)
     a, b = texts[7], texts[6]
-    both = fp.merge(fp.sketch(a), fp.sketch(b))
-    whole = sorted(set(brute_hashes(a)) | set(brute_hashes(b)))
-    assert both.low.tolist() == [h for h in whole if h * fp.SCALE < 1 << 64] and both.spare.tolist() == [h for h in whole if h * fp.SCALE >= 1 << 64][: fp.SPARE]
+    assert fp.merge(fp.sketch(a), fp.sketch(b)).hashes.tolist() == kept(sorted(set(brute_hashes(a)) | set(brute_hashes(b))))
     part = " ".join(a.split()[:600])  # a fifth of the long text
     assert fp.containment(fp.sketch(part), fp.sketch(a)) > 0.9 and fp.containment(fp.sketch(a), fp.sketch(part)) == pytest.approx(0.2, abs=0.06)
     assert fp.likeness(fp.sketch(""), fp.sketch("a")) == 0 == fp.likeness(fp.sketch(a), fp.sketch(b)) and fp.likeness(fp.sketch(None), fp.sketch("")) == 1
 
 
-def test_likeness_uses_what_is_below_the_threshold_where_both_have_some():
-    u = np.array([1, 2, 3, 1 << 62], np.uint64)
-    a, b, blank = fp.Sketch.of(u), fp.Sketch.of(np.array([1, 1 << 63], np.uint64)), fp.Sketch.of(np.array([1 << 62], np.uint64))
-    assert fp.likeness(a, b) == 1 and fp.containment(a, b) == pytest.approx(1 / 3)
-    assert not len(blank.low) and fp.likeness(a, blank) == 1 and fp.containment(a, blank) == 0.25 and fp.likeness(b, blank) == 0
+def test_one_estimator_for_all_lengths():
+    u = lambda *x: fp.Sketch.of(np.array(x, np.uint64))
+    high, other = 3 << 62, (3 << 62) + 5
+    assert fp.likeness(u(1, 2, 3), u(1, high)) == 1 and fp.containment(u(1, 2, 3), u(1)) == pytest.approx(1 / 3)
+    assert fp.likeness(u(high), u(high)) == 1 and fp.likeness(u(high), u(other)) == 0 == fp.likeness(u(high), u(1, high)) and fp.containment(u(high), u(1, high)) == 0
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(4000)]
+    long = " ".join(rng.choice(words) for _ in range(3000))
+    whole, split, missed = fp.sketch(long), long.split(), {}
+    for n in (10, 20, 100):  # parts of a long text
+        parts = [fp.sketch(" ".join(split[k : k + n])) for k in range(0, 2900, 9)]
+        missed[n] = sum(fp.likeness(p, whole) == 0 for p in parts) / len(parts)
+        assert all(fp.likeness(p, whole) in (0, 1) for p in parts)
+    assert missed[10] < 0.05 and missed[20] < 0.001 and missed[100] == 0
+    half = [fp.containment(fp.sketch(" ".join(split[k : k + 50] + [f"x{k}{i}" for i in range(50)])), whole) for k in range(0, 2900, 29)]
+    assert np.mean(half) == pytest.approx(46 / 96, abs=0.02) and np.std(half) < 1.5 * (0.25 / 96) ** 0.5
 
 
 @pytest.mark.parametrize("rows", [
