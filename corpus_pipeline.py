@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from seekframe.llm import bpe, language_id, mixing, shingles, simhash
-from seekframe.llm.common import release, settle, table, written
+from seekframe.llm.common import release, scratch, settle, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +45,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, last = table(spark, sf_dir, "documents"), None
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        before = written()
-        docs, path = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
-        release(spark, before, path, last)
-        last = path
+        with scratch() as mine:
+            docs, path = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, [*mine, *last], path)
+        last = [path]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,8 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.fs
@@ -21,6 +23,7 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_dir: list[str] = []
 _written: list[tuple[SparkSession, str]] = []
+_run: ContextVar[list[str] | None] = ContextVar("tables of this run", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +56,7 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     store, where = open_store(path)
     store.create_dir(where)
-    _written.append((spark, path))
+    _note(spark, path)
     return path
 
 
@@ -63,19 +66,28 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def written() -> int:
-    """A mark: how many tables and folders have been written so far."""
-    return len(_written)
+def _note(spark: SparkSession, path: str) -> None:
+    _written.append((spark, path))
+    if (mine := _run.get()) is not None:
+        mine.append(path)
 
 
-def release(spark: SparkSession, since: int, keep: str, last: str | None = None) -> None:
-    """Remove what was written after a mark, and the table ``last``, but for the table at ``keep``."""
-    for _, path in _written[since:]:
-        if path != keep:
-            remove(spark, path)
-    if last is not None:
-        remove(spark, last)
-    _written[since:] = [x for x in _written[since:] if x[1] == keep]
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Collects the tables and folders that this thread writes inside the block; those of other threads aren't its own."""
+    token = _run.set([])
+    try:
+        yield _run.get()
+    finally:
+        _run.reset(token)
+
+
+def release(spark: SparkSession, paths: list[str], keep: str | None = None) -> None:
+    """Remove tables and folders that were written, but for the one at ``keep``."""
+    gone = {p for p in paths if p != keep}
+    for path in gone:
+        remove(spark, path)
+    _written[:] = [x for x in _written if x[1] not in gone]
 
 
 @atexit.register
@@ -100,7 +112,7 @@ def settle(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
         df.write.parquet(path)
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
-    _written.append((spark, path))
+    _note(spark, path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -130,6 +142,42 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def row_hashes(df: DataFrame) -> tuple[Column, Column]:
+    """128 bits that name a row by all its values; columns with maps count as their JSON."""
+    values = []
+    for n, f in enumerate(df.schema):
+        c = F.col(f"`{f.name}`") if sum(g.name.lower() == f.name.lower() for g in df.schema) == 1 else df[n]
+        values += [F.to_json(F.struct(c.alias("v"))) if _has_map(f.dataType) else c, c.isNull()]
+    return F.xxhash64(*values), F.xxhash64(F.lit(23), *values)
+
+
+def keyed(df: DataFrame, key: str, thin: DataFrame) -> DataFrame | None:
+    """Other keys for different things that share one: (h1, h2, key) of those, or None if there are none.
+
+    thin(h1, h2): a row for each different thing, at least. 64 bits name most things alone; where they don't, further
+    hashes are tried until all keys are different, so no two things are ever taken for one.
+    """
+    clash = thin.groupBy("h1").agg((F.min("h2") != F.max("h2")).alias("two")).where("two").select(fresh("h1").alias("c1"))
+    clash, path = settle(clash, f"{key}-clashes")
+    if clash.isEmpty():
+        remove(df.sparkSession, path)
+        return None
+    both = thin.join(clash, F.col("h1") == F.col("c1"), "left_semi").select("h1", "h2").distinct()
+    seed = 1
+    while True:
+        again, _ = settle(both.withColumn(key, F.xxhash64(F.lit(seed), "h1", "h2")), f"{key}-again")
+        free = again.select(F.col(key).alias("k")).join(thin.select(fresh("h1").alias("t1")), F.col("k") == F.col("t1"), "left_semi").isEmpty()
+        if free and again.count() == again.select(key).distinct().count():
+            return again
+        seed += 1
+
+
 def slices(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[list]:
     """The values of a text column in runs of bounded size, so that what is split at once is bounded."""
     part, held = [], 0

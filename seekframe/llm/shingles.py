@@ -12,10 +12,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import fresh, remove, settle, slices, small
+from seekframe.llm.common import fresh, keyed, remove, settle, slices, small
 from seekframe.llm.components import Forest, components
 from seekframe.llm.simhash import links, majority, shingle_hashes, signed
 
@@ -40,6 +40,33 @@ LIST = 1024
 LONGS = 2_000_000
 
 
+def class_names(shingles: bytes) -> tuple[int, int]:
+    """Two 64-bit names of a set of shingles; sets that share the first are told apart by the second."""
+    return tuple(int.from_bytes(xxhash.xxh64_digest(shingles, seed), "big", signed=True) for seed in (0, 1))
+
+
+def _bucket(size: Column) -> Column:
+    """Sizes in steps of WHOLE / PART: sets that can be alike are in the same step or in neighbouring ones."""
+    return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / F.log(F.lit(WHOLE / PART)) + 1e-9).cast("int")
+
+
+def _meeting(posts: DataFrame) -> DataFrame:
+    """The rows of posts(key, cls, size, pos) that another row of their list may match by its size.
+
+    A list is summed up where it arises, as its number of rows and the steps of size that it has, a bit each; single rows
+    and those without a neighbour go. No list is ever in one place.
+    """
+    mark = F.expr("shiftleft(1L, least(step, 62))")
+    steps = posts.withColumn("step", _bucket(F.col("size")))
+    lists = steps.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_or(mark).alias("steps")).where("n > 1")
+    lists, _ = settle(lists.select(fresh("key").alias("_key"), "n", "steps"), "shingles-met")
+    met = steps.join(lists, F.col("key") == F.col("_key"))
+    beside = F.expr("(shiftleft(1L, least(step + 1, 62)) | shiftleft(1L, least(greatest(step - 1, 0), 62))) & ~shiftleft(1L, least(step, 62)) & steps") != 0
+    shared = F.col("n") > F.bit_count("steps")  # some step has two rows; this may be the one
+    last = F.col("step") >= 62
+    return met.where(beside | shared | last).select("key", "cls", "size", "pos")
+
+
 def _parts(rows: Iterable[tuple[np.ndarray, ...]], most: int = 1 << 17) -> Iterator[list[np.ndarray]]:
     """Columns of many rows joined, in parts of about ``most`` values."""
     held, n = [], 0
@@ -255,17 +282,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     common = spark.sparkContext.broadcast(_common(texts))
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        names = ["doc_id", "cls", "size", "first", "fp", "sig", "front"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
+        seen: set[tuple[int, int]] = set()
+        names = ["doc_id", "cls", "cls2", "size", "first", "fp", "sig", "front"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
+
         def described(doc: int, text: str | None) -> tuple:
             hashes = np.unique(shingle_hashes(text, WIDTH))
-            c = int.from_bytes(xxhash.xxh64_digest(hashes.tobytes()), "big", signed=True)
+            c = class_names(hashes.tobytes())
             if c in seen:
-                return doc, c, len(hashes), False, None, None, None
+                return doc, *c, len(hashes), False, None, None, None
             if len(seen) < SEEN:
                 seen.add(c)
-            return doc, c, len(hashes), True, signed(majority(hashes)), histogram(hashes), ordered(hashes, common.value)[: prefix(len(hashes))].tobytes()
+            return doc, *c, len(hashes), True, signed(majority(hashes)), histogram(hashes), ordered(hashes, common.value)[: prefix(len(hashes))].tobytes()
 
         for b in batches:
             at = 0
@@ -280,15 +308,16 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             for part in _parts((x, np.full(len(x), c, np.int64), np.full(len(x), n, np.int32), np.arange(len(x), dtype=np.int32)) for x, c, n in fronts):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in part], ["key", "cls", "size", "pos"])
 
-    every, every_path = settle(texts.mapInArrow(classes, "doc_id long, cls long, size int, first boolean, fp long, sig binary, front binary"), "shingles-all")
+    every, every_path = settle(texts.mapInArrow(classes, "doc_id long, cls long, cls2 long, size int, first boolean, fp long, sig binary, front binary"), "shingles-all")
+    other = keyed(every, "name", every.select(F.col("cls").alias("h1"), F.col("cls2").alias("h2")))
+    if other is not None:
+        names = small(other.select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), F.col("name").alias("_name")), "shingles-other")
+        every = every.join(names, (F.col("cls") == F.col("_1")) & (F.col("cls2") == F.col("_2")), "left").withColumn("cls", F.coalesce("_name", "cls")).drop("_1", "_2", "_name")
+    every = every.drop("cls2")
 
-    # the second index: a list's members that no other member can match, by their sizes and positions, are left out
-    own, by_size = Window.partitionBy("key"), Window.partitionBy("key").orderBy("size", "pos", "cls")
-    lists = every.where("first").select("cls", "size", "front").mapInArrow(posts, "key long, cls long, size int, pos int")
-    lists = lists.repartition("key").groupBy("key", "cls").agg(F.first("size").alias("size"), F.first("pos").alias("pos"))
-    smaller = F.coalesce(F.lag("size").over(by_size) * WHOLE >= F.col("size") * PART, F.lit(False))
-    larger = F.coalesce((F.col("size") - F.col("pos")) * (PART + WHOLE) >= (F.col("size") + F.lead("size").over(by_size)) * PART, F.lit(False))
-    lists = lists.withColumn("meets", smaller | larger).where("meets").select("key", "cls", "size", "pos")
+    # the second index: a list's members that no other member can match, by their sizes, are left out
+    posted = every.where("first").select("cls", "size", "front").mapInArrow(posts, "key long, cls long, size int, pos int")
+    lists = _meeting(posted).groupBy("key", "cls").agg(F.first("size").alias("size"), F.first("pos").alias("pos"))
     lists, _ = settle(lists, "shingles-lists")
     rows, _ = settle(every.drop("front"), "shingles-rows")
     remove(spark, every_path)
@@ -299,14 +328,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     near = links(prints.select("fp", "rep"), MAX_DISTANCE).union(same)
     # of each list every member meets the one that is in most lists: the likeliest original of a group of copies
     degree = lists.groupBy("cls").agg(F.count(F.lit(1)).alias("degree")).select(fresh("cls").alias("of"), "degree")
-    stars = lists.join(degree, F.col("cls") == F.col("of")).withColumn("best", F.max(F.struct("degree", "cls", "size", "pos")).over(own))
-    stars = stars.select("cls", "size", "pos", F.col("best.cls").alias("clso"), F.col("best.size").alias("sizeo"), F.col("best.pos").alias("poso"))
+    ranked, _ = settle(lists.join(degree, F.col("cls") == F.col("of")).select("key", "cls", "size", "pos", "degree"), "shingles-ranked")
+    best = ranked.groupBy("key").agg(F.max(F.struct("degree", "cls", "size", "pos")).alias("best")).select(fresh("key").alias("_key"), "best")
+    stars = ranked.join(best, F.col("key") == F.col("_key")).select("cls", "size", "pos", F.col("best.cls").alias("clso"), F.col("best.size").alias("sizeo"), F.col("best.pos").alias("poso"))
     stars = stars.where((F.col("cls") != F.col("clso")) & _enough("", "o")).select(F.col("clso").alias("u"), F.col("cls").alias("v"))
     stars = _verified(near.union(stars).select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv")), rows, texts, "shingles-stars")
     known, _ = settle(components(stars, "shingles-known"), "shingles-first")
 
     open_ = lists.join(known.select(fresh("node").alias("node"), "component"), F.col("cls") == F.col("node"), "left").select("key", "cls", "size", "pos", F.coalesce("component", "cls").alias("comp"))
-    open_ = open_.withColumns({"low": F.min("comp").over(own), "high": F.max("comp").over(own), "n": F.count(F.lit(1)).over(own)}).where("low < high").drop("low", "high")
+    open_, _ = settle(open_, "shingles-joined")
+    still = open_.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
+    open_ = open_.join(still.select(fresh("key").alias("_key"), "n"), F.col("key") == F.col("_key")).select("key", "cls", "size", "pos", "comp", "n")
     open_, _ = settle(open_, "shingles-open")
     short = open_.where(F.col("n") <= LIST)
     one, two = (short.select(fresh("key").alias(f"key{s}"), *(F.col(c).alias(f"{c}{s}") for c in ("cls", "size", "pos", "comp"))) for s in "ab")

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seekframe.llm.common import fresh, settle, small, unused
+from seekframe.llm.common import fresh, keyed, row_hashes, settle, small, unused
 from seekframe.llm.components import Forest, components
 
 SEED = 42
@@ -191,14 +191,25 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fi
 
     That is the row with the smallest id, null ids last, then by a hash of the whole row; rows that agree in all
     columns leave one. Whole rows are not shuffled while those to drop are few enough to broadcast. Null and empty
-    texts are one group. Columns of any name stay. Empty table: no rows.
+    texts are one group. Columns of any name and type stay. Empty table: no rows.
+
+    A row is named by one 64-bit hash of its values, and where different rows share that, by another (common.keyed).
     """
-    mark, gone, again = (unused(docs, n) for n in ("mark", "gone", "again"))
-    marked = docs.withColumn(mark, F.xxhash64(*(x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull()))))
+    mark, gone, again, second = (unused(docs, n) for n in ("mark", "gone", "again", "second"))
+    h1, h2 = row_hashes(docs)
+    marked = docs.withColumns({mark: h1, second: h2})
+    each, _ = settle(marked.groupBy(F.col(mark).alias("h1"), F.col(second).alias("h2")).agg(F.min(F.col(f"`{id_col}`").cast("long")).alias("id"), F.count(F.lit(1)).alias("rows")), "simhash-rows")
+    other = keyed(docs, "key", each.select("h1", "h2"))
+    if other is not None:
+        one, two, new = (unused(marked, n) for n in ("one", "two", "new"))
+        names = small(other.select(F.col("h1").alias(one), F.col("h2").alias(two), F.col("key").alias(new)), "simhash-other")
+        marked = marked.join(names, (F.col(mark) == F.col(one)) & (F.col(second) == F.col(two)), "left").withColumn(mark, F.coalesce(new, mark)).drop(one, two, new)
+        each = each.join(other, ["h1", "h2"], "left").withColumn("h1", F.coalesce("key", "h1"))
+    marked = marked.drop(second)
     thin = marked.select(F.col(mark).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    found = find(thin, **how).groupBy("doc_id").agg(F.min("component_id").alias("group"), F.count(F.lit(1)).alias("rows"))
-    ids = marked.groupBy(F.col(mark).alias("mark")).agg(F.min(F.col(f"`{id_col}`").cast("long")).alias("id"))
-    each, _ = settle(found.join(ids, F.col("doc_id") == F.col("mark")).select("mark", "id", "group", "rows"), "simhash-marks")
+    found = find(thin, **how).groupBy("doc_id").agg(F.min("component_id").alias("group"))
+    each = each.select(fresh("h1").alias("mark"), "id", "rows")
+    each, _ = settle(found.join(each, F.col("doc_id") == F.col("mark")).select("mark", "id", "group", "rows"), "simhash-marks")
     best = each.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"))
     best = best.select(fresh("group").alias("_group"), F.col("best.mark").alias("best"))
     each, _ = settle(each.join(best, F.col("group") == F.col("_group")).select("mark", "rows", (F.col("mark") == F.col("best")).alias("kept")), "simhash-ids")
