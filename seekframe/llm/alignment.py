@@ -1,11 +1,18 @@
-"""Cross-tokenizer alignment: a transducer over dangling suffixes cuts two token sequences of one text into groups."""
+"""Cross-tokenizer alignment: a transducer over dangling suffixes cuts two token sequences of one text into groups.
+
+Neither tokenizer's tokens reach across a single space that stands between two visible characters, so a text falls into
+parts there, between which the residual is empty; a worker remembers the groups of parts that it has seen.
+"""
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
@@ -18,8 +25,8 @@ from seekframe.llm.common import fresh, settle, slices, small
 
 #: Transitions that a Python worker remembers at most; beyond them it starts anew.
 CACHE = 2_000_000
-#: Links of one text that are counted at once, about.
-PART = 1 << 20
+#: Parts of texts that a worker remembers at most (in each of two generations), and characters up to which one is remembered.
+PARTS, PART_CHARS = 150_000, 64
 #: Fixed value: the character that stands for a space inside pieces (U+2581).
 SPACE = "▁"
 
@@ -94,6 +101,24 @@ class Transducer:
         return ends if j == m else None
 
 
+@dataclass(eq=False, slots=True)
+class Aligned:
+    """Numbers of both sides' tokens and of groups, links as a * width + b, and the groups as text."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    links: np.ndarray
+    text: str
+
+    def groups(self) -> list[tuple[list[int], list[int]]]:
+        return [tuple(list(map(int, side.split(","))) for side in g.split("|")) for g in self.text.split(";")]
+
+
+#: A space that has white space beside it.
+_IRREGULAR = re.compile(r"\s | \s")
+
+
 class Pair:
     """Two tokenizers of public libraries: byte-level BPE (a .json file), and pieces with byte fallback (a .model file)."""
 
@@ -117,29 +142,104 @@ class Pair:
         b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.width = max(len(a_bytes), len(b_bytes), 1 << 17)
         self.transducer = Transducer(a_bytes, b_bytes)
-        self.a_bytes = a_bytes
+        self.a_bytes, self.a_sizes = a_bytes, np.array([len(x) for x in a_bytes])
         self.shown = [str(i) for i in range(self.width)]
-
-    def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return list(zip((x.ids for x in a), self.b.encode(texts, num_threads=1)))
-
-    def groups(self, text: str, a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[int]] | None:
-        """(ends of groups, links), or None where the text has no tokens: the joined bytes differ from it."""
-        if b"".join(map(self.a_bytes.__getitem__, a)) != b" " + text.encode():
+        if any(SPACE in p[1:] and p.strip(SPACE) for p in pieces):
+            raise ValueError(f"{b_path}: a piece has a space inside")
+        self.known: dict[str, Aligned | None] = {}
+        self.before: dict[str, Aligned | None] = {}
+
+    def parts(self, text: str) -> list[str]:
+        """The parts of a text, each without the space in front of it."""
+        cut = text.split(" ")
+        if not _IRREGULAR.search(text) and cut[0] and cut[-1]:
+            return cut
+        out: list[str] = []
+        for p in cut:  # a space that isn't between visible characters divides nothing
+            if out and (not p or p[0].isspace() or not out[-1] or out[-1][-1].isspace()):
+                out[-1] = f"{out[-1]} {p}"
+            else:
+                out.append(p)
+        return out
+
+    def encoded(self, texts: list[str]) -> tuple[list[int], list[int]]:
+        """Tokens of both sides, of all these texts one after another, each with a space in front."""
+        a = self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
+        return [i for x in a for i in x.ids], [i for ids in self.b.encode(texts, num_threads=1) for i in ids]
+
+    def together(self, parts: list[str], a: list[int], b: list[int]) -> list[Aligned] | None:
+        """The groups of each of several parts whose tokens follow one another; None if the bytes of tokens differ from them.
+
+        Residuals are empty between parts, so the transducer reads all of them as one sequence.
+        """
+        if b"".join(map(self.a_bytes.__getitem__, a)) != "".join([f" {p}" for p in parts]).encode():
             return None
         links: list[int] = []
         ends = self.transducer.align(a, b, links, self.width)  # both sides' bytes agree, or it is None
-        return None if ends is None else (ends, links)
-
-    def written(self, a: list[int], b: list[int], ends: list[tuple[int, int]]) -> str:
-        """The groups as decimal ids: a1,a2|b1;a3|b2,b3."""
+        if ends is None:
+            return None
+        shown, every = self.written(a, b, ends), np.array(links, np.int64)
+        # where parts end, in bytes, in tokens of both sides, in groups and in links
+        stop = np.cumsum([len(p.encode()) + 1 for p in parts])
+        i = np.searchsorted(np.cumsum(self.a_sizes[a]), stop) + 1
+        g = np.searchsorted(np.array([e[0] for e in ends]), i) + 1
+        j = np.array([e[1] for e in ends])[g - 1]
+        i, j, g = (np.diff(x, prepend=0).tolist() for x in (i, j, g))
+        out, group, link = [], 0, 0
+        for n_a, n_b, n in zip(i, j, g):
+            more = n_a + n_b - n
+            out.append(Aligned(n_a, n_b, n, every[link : link + more], ";".join(shown[group : group + n])))
+            group += n
+            link += more
+        return out
+
+    def learn(self, parts: Iterable[str]) -> dict[str, Aligned | None]:
+        """The groups of each part; parts that a space divides are encoded together, in texts of some thousand characters."""
+        clean, rest = [], []
+        for p in parts:
+            (clean if p and not p[0].isspace() and not p[-1].isspace() and SPACE not in p else rest).append(p)
+        found = self.together(clean, *self.encoded([" ".join(clean[k : k + 1000]) for k in range(0, len(clean), 1000)])) if clean else []
+        if found is None:
+            clean, found, rest = [], [], clean + rest
+        out: dict[str, Aligned | None] = dict(zip(clean, found))
+        for p in rest:
+            one = self.together([p], *self.encoded([p]))
+            out[p] = None if one is None else one[0]
+        return out
+
+    def groups(self, texts: list[str | None]) -> Iterator[list[Aligned] | None]:
+        """The parts of each text with their groups, or None where it has no tokens."""
+        cut = [self.parts(t) if t else [] for t in texts]
+        wanted = set().union(*cut)
+        found, missing = {}, []
+        for p in wanted:
+            if p in self.known:
+                found[p] = self.known[p]
+            elif p in self.before:
+                found[p] = self.known[p] = self.before[p]
+            else:
+                missing.append(p)
+        gc.disable()  # no cycles arise here, and looking for them among so many parts takes a tenth of the time
+        try:
+            new = self.learn(missing)
+        finally:
+            gc.enable()
+        found |= new
+        if len(self.known) + len(new) > PARTS:  # what isn't asked for again is forgotten with the generation before
+            self.before, self.known = self.known, {}
+        self.known.update((p, x) for p, x in new.items() if len(p) <= PART_CHARS)
+        for parts in cut:
+            each = list(map(found.__getitem__, parts))
+            yield None if not each or None in each else each
+
+    def written(self, a: list[int], b: list[int], ends: list[tuple[int, int]]) -> list[str]:
+        """Each group as decimal ids: a1,a2|b1."""
         x, y = list(map(self.shown.__getitem__, a)), list(map(self.shown.__getitem__, b))
         out, i, j = [], 0, 0
         for k, m in ends:
             out.append(f"{x[i]}|{y[j]}" if k - i == 1 == m - j else f"{','.join(x[i:k])}|{','.join(y[j:m])}")
             i, j = k, m
-        return ";".join(out)
+        return out
 
 
 _loaded: dict[tuple[str, str], Pair] = {}
@@ -162,9 +262,14 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
             at = 0
             for texts in slices(batch.column(1)):
                 out = []
-                for text, (a, b) in zip(texts, both.tokens([t or "" for t in texts])):
-                    found = both.groups(text, a, b) if text else None
-                    out.append((a, b, [e[0] for e in found[0]], [e[1] for e in found[0]]) if found else ([], [], [], []))
+                for parts in both.groups(texts):
+                    a, b, a_ends, b_ends = [], [], [], []
+                    for x, y in (g for p in parts or [] for g in p.groups()):
+                        a += x
+                        b += y
+                        a_ends.append(len(a))
+                        b_ends.append(len(b))
+                    out.append((a, b, a_ends, b_ends))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *(pa.array(x, kind) for x in zip(*out))], ["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"])
                 at += len(texts)
 
@@ -180,17 +285,18 @@ def _rows(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str)
         both = pair(a_path, b_path)
         nothing = np.zeros(0, np.int64)
 
-        def one(text: str | None, a: list[int], b: list[int]) -> tuple:
-            if not text or (found := both.groups(text, a, b)) is None:
+        def one(parts: list[Aligned] | None) -> tuple:
+            if parts is None:
                 return 0, 0, 0, 0, "", nothing, nothing
-            ends, links = found
-            pairs, times = np.unique(np.array(links, np.int64), return_counts=True)
-            return len(a), len(b), len(ends), len(links), hashlib.sha256(both.written(a, b, ends).encode()).hexdigest(), pairs, times
+            links = np.concatenate([p.links for p in parts])
+            pairs, times = np.unique(links, return_counts=True)
+            digest = hashlib.sha256(";".join([p.text for p in parts]).encode()).hexdigest()
+            return sum([p.n_a for p in parts]), sum([p.n_b for p in parts]), sum([p.n_groups for p in parts]), len(links), digest, pairs, times
 
         for batch in batches:
             at = 0
             for texts in slices(batch.column(1)):
-                out = [one(t, a, b) for t, (a, b) in zip(texts, both.tokens([t or "" for t in texts]))]
+                out = list(map(one, both.groups(texts)))
                 *plain, pairs, times = zip(*out)
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in pairs])]), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x), kind)) for x, kind in ((pairs, pa.int64()), (times, pa.int32()))]
