@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from seekframe.plans.model import FACETABLE, FieldSpec, IndexSpec, SpecError
 from seekframe.plans.query import Cond, Facet, Group
-from seekframe.sources.tables import shared_folder
+from seekframe.sources.tables import scratch_folder
 
 MISSING = "!"
 _RANGE = re.compile(r"^([\[(])\s*(\S+)\s+(\S+?)\s*([\])])$")
@@ -87,7 +87,7 @@ def _numbered(counts: DataFrame, keys: list[str]) -> DataFrame:
     the whole is ever sorted in one task.
     """
     spark = counts.sparkSession
-    path = shared_folder(spark, "quartiles")
+    path = scratch_folder(spark, "quartiles")
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts.repartitionByRange(ranges, *keys, "v").withColumn("range", F.spark_partition_id()).write.parquet(path)
     dealt = spark.read.parquet(path)

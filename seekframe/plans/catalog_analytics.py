@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.operators import analytics as A
+from seekframe.operators.indexing import read_table, replace_table
 from seekframe.plans import frames as T
 from seekframe.plans.catalog import query
 from seekframe.sources import embedding as E
+from seekframe.sources.tables import scratch_folder
 from seekframe.streaming import queue as Q
 from seekframe.streaming.queue import hourly_stream
 
@@ -124,21 +126,37 @@ def cache_evict(spark: SparkSession, d: str) -> DataFrame:
     return E.evict(T.cache(spark, d), T.CACHE_NOW, 300).select("text_hash")
 
 
-_BLOCK_SQL = "SELECT doc_id, ceil(strlen(text) / 4)::BIGINT AS tokens, doc_id // 100 AS block FROM documents"
+_SIZES_SQL = "SELECT doc_id, coalesce(ceil(strlen(text) / 4), 0)::BIGINT AS tokens, row_number() OVER (ORDER BY doc_id) AS n FROM documents"
 
 
-@query(f"""WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY doc_id) AS n FROM ({_BLOCK_SQL})),
-c AS (SELECT doc_id, tokens, block, n, 0::BIGINT AS call, 1 AS held, tokens AS total FROM r WHERE n = 1
-  UNION ALL SELECT r.doc_id, r.tokens, r.block, r.n, CASE WHEN held >= {E.CALL_INPUTS} OR total + r.tokens > {E.CALL_TOKENS} THEN call + 1 ELSE call END,
+@query(f"""WITH RECURSIVE r AS ({_SIZES_SQL}),
+c AS (SELECT doc_id, tokens, n, 0::BIGINT AS call, 1 AS held, tokens AS total FROM r WHERE n = 1
+  UNION ALL SELECT r.doc_id, r.tokens, r.n, CASE WHEN held >= {E.CALL_INPUTS} OR total + r.tokens > {E.CALL_TOKENS} THEN call + 1 ELSE call END,
     CASE WHEN held >= {E.CALL_INPUTS} OR total + r.tokens > {E.CALL_TOKENS} THEN 1 ELSE held + 1 END, CASE WHEN held >= {E.CALL_INPUTS} OR total + r.tokens > {E.CALL_TOKENS} THEN r.tokens ELSE total + r.tokens END
-  FROM c JOIN r ON r.block = c.block AND r.n = c.n + 1)
-SELECT doc_id, tokens, block, call FROM c""")
+  FROM c JOIN r ON r.n = c.n + 1)
+SELECT doc_id, tokens, call FROM c""")
 def token_batches(spark: SparkSession, d: str) -> DataFrame:
-    """The call in which each document's text goes to an embedding service; calls are filled in order of ids.
-
-    Greedy filling depends on all texts before, so it runs within blocks of a hundred ids, side by side."""
+    """The call in which each document's text goes to an embedding service; calls are filled in order of ids, one after another."""
     rows = T.table(spark, d, "documents").select("doc_id", F.ceil(F.octet_length("text") / 4).cast("long").alias("tokens"))
-    return E.call_numbers(rows.withColumn("block", F.floor(F.col("doc_id") / 100).cast("long")), "block", "doc_id", "tokens")
+    return E.call_numbers(rows, "doc_id", "tokens")
+
+
+_TOUCHED_SQL = f"""SELECT c.text_hash, hit_count + coalesce(a, 0) + coalesce(b, 0) AS hit_count, greatest(last_accessed, CASE WHEN b = 1 THEN {T.CACHE_NOW + 1} WHEN a = 1 THEN {T.CACHE_NOW} ELSE 0 END)::BIGINT AS last_accessed
+FROM (SELECT * FROM {T.CACHE_SQL} WHERE expires > {T.CACHE_NOW + 1}) c
+LEFT JOIN (SELECT DISTINCT sha256(text) AS text_hash, 1 AS a FROM documents WHERE doc_id % 3 = 0) x USING (text_hash)
+LEFT JOIN (SELECT DISTINCT sha256(text) AS text_hash, 1 AS b FROM documents WHERE doc_id % 5 = 0) y USING (text_hash)"""
+
+
+@query(f"SELECT text_hash, hit_count::BIGINT AS hit_count, last_accessed FROM ({_TOUCHED_SQL}) ORDER BY last_accessed DESC, hit_count DESC, text_hash LIMIT 300")
+def cache_touch_evict(spark: SparkSession, d: str) -> DataFrame:
+    """Two look-ups note their hits in the log; compaction folds them in and evicts by what they say."""
+    path, log = scratch_folder(spark, "cache"), scratch_folder(spark, "cache-log")
+    replace_table(T.cache(spark, d).withColumn("embedding", F.array().cast("array<float>")), path)
+    asked = T.table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("text_hash"))
+    for by, now in ((3, T.CACHE_NOW), (5, T.CACHE_NOW + 1)):
+        E.touch(asked.where(F.col("doc_id") % by == 0), read_table(spark, path), now, log)
+    E.compact(spark, path, log, T.CACHE_NOW + 1, 300)
+    return read_table(spark, path).select("text_hash", F.col("hit_count").cast("long").alias("hit_count"), "last_accessed")
 
 
 @query("SELECT date_trunc('hour', ts) AS hour, count(*) AS n, round(avg(value), 6) AS avg_value FROM events GROUP BY 1")

@@ -12,7 +12,7 @@ from seekframe.plans import frames as T
 from seekframe.plans.catalog import query
 from seekframe.plans.model import FieldSpec
 from seekframe.plans.query import Cond, Facet, Group, Query
-from seekframe.sources.tables import shared_folder
+from seekframe.sources.tables import scratch_folder
 
 TOK = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda t: t <> '')"
 BY_COUNT = "ORDER BY count DESC, value LIMIT 50"
@@ -156,7 +156,7 @@ def detect_mv_batch(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT value, count(*) AS count FROM (SELECT unnest(string_split(p_name, ' ')) AS value FROM part) WHERE value <> '' GROUP BY 1 {BY_COUNT}")
 def facet_from_layout(spark: SparkSession, d: str) -> DataFrame:
     """Counts from the postings that were laid out for a field, without the items."""
-    folder = shared_folder(spark, "layout")
+    folder = scratch_folder(spark, "layout")
     FC.lay_out(T.parts(spark, d), T.PARTS, "tags", "postings", folder, 2)
     laid = spark.read.parquet(FC.layout_path(folder, "tags"))
     return FC.by_expression(laid, F.col("value"), Facet("tags"))

@@ -11,7 +11,7 @@ from seekframe.plans import frames as T
 from seekframe.plans.catalog import query
 from seekframe.plans.model import FieldSpec, IndexSpec
 from seekframe.sources import embedding as E
-from seekframe.sources.tables import shared_folder
+from seekframe.sources.tables import scratch_folder
 from seekframe.streaming import queue as Q
 
 
@@ -144,7 +144,7 @@ def json_props(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT doc_id, 16::BIGINT AS dimensions, CAST(NULL AS VARCHAR) AS error FROM documents WHERE text IS NOT NULL AND trim(text) <> ''")
 def stream_queue(spark: SparkSession, d: str) -> DataFrame:
     """Queue a task for every document, run the stream until the queue is empty, return the embeddings' digests."""
-    folder = shared_folder(spark, "queue")
+    folder = scratch_folder(spark, "queue")
     Q.enqueue(Q.tasks(T.table(spark, d, "documents"), "doc_id", "text", "s1", "documents", 1), f"{folder}/in")
 
     def work(batch: DataFrame, number: int) -> None:
@@ -210,7 +210,7 @@ def queue_tasks(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT doc_id::VARCHAR AS item_id, 16::BIGINT AS dimensions FROM documents")
 def regenerate_embeddings(spark: SparkSession, d: str) -> DataFrame:
     """One queued task makes all embeddings of an index anew."""
-    folder = shared_folder(spark, "regenerate")
+    folder = scratch_folder(spark, "regenerate")
     Q.enqueue(Q.regenerate_task(spark, "s1", "documents", 1), f"{folder}/in")
     worker = Q.regenerator(
         lambda index: T.table(spark, d, index).select(F.col("doc_id").cast("string").alias("item_id"), "text"),
@@ -219,3 +219,23 @@ def regenerate_embeddings(spark: SparkSession, d: str) -> DataFrame:
     )
     Q.process(spark, f"{folder}/in", f"{folder}/state", Q.dispatch({"regenerate_index_embeddings": worker})).awaitTermination()
     return spark.read.schema("item_id string, embedding array<float>, error string").parquet(f"{folder}/out/*").select("item_id", F.size("embedding").cast("long").alias("dimensions"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 3 WHEN doc_id % 5 = 0 THEN 2 ELSE 1 END AS attempts, CASE WHEN doc_id % 7 = 0 THEN 'dead' ELSE 'done' END AS state FROM documents WHERE text IS NOT NULL AND trim(text) <> ''")
+def queue_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Single and batch tasks for all documents, with a service that refuses every seventh, and every fifth at first: what became of each."""
+    folder = scratch_folder(spark, "outcomes")
+    rows = T.table(spark, d, "documents")
+    Q.enqueue(Q.tasks(rows.where("n_chars <= 2000"), "doc_id", "text", "s1", "documents", 1), f"{folder}/in")
+    Q.enqueue(Q.batch_tasks(rows.where("n_chars > 2000"), "doc_id", "text", "s1", "documents", 1), f"{folder}/in")
+
+    def worker(tasks: DataFrame, number: int) -> DataFrame:
+        made = E.embed(tasks, E.HashProvider(16), "item_id", "text_content")
+        told = made.join(tasks.select("item_id", "index_id", "attempt"), "item_id")
+        number = F.col("item_id").cast("long")
+        refused = F.when(number % 7 == 0, "refused").when((number % 5 == 0) & (F.col("attempt") == 1), "busy")
+        return told.select("index_id", "item_id", F.coalesce("error", refused).alias("error"))
+
+    Q.drain(spark, f"{folder}/in", f"{folder}/state", worker)
+    last = Q.ledger(spark, f"{folder}/in").groupBy("item_id").agg(F.max("attempt").alias("attempts"), F.max_by("state", "attempt").alias("state"))
+    return last.select(F.col("item_id").cast("long").alias("doc_id"), "attempts", "state")

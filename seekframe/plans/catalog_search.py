@@ -13,6 +13,7 @@ from seekframe.operators import gramindex as GR
 from seekframe.operators import vectorindex as VI
 from seekframe.operators.search import page, search
 from seekframe.operators.textindex import find, vocabulary
+from seekframe.operators.topk import ranked
 from seekframe.plans import frames as T
 from seekframe.plans import keys as K
 from seekframe.plans.catalog import query
@@ -49,7 +50,15 @@ def _found(spark: SparkSession, d: str, node: K.Node) -> DataFrame:
 @query(f"SELECT doc_id, lang, round({_sat(_tf('license'))}, 6) AS score FROM (SELECT doc_id, lang, {D_TOK} AS tok FROM documents) WHERE list_contains(tok, 'license') AND lang = 'en' ORDER BY {_sat(_tf('license'))} DESC, doc_id LIMIT 20")
 def search_basic(spark: SparkSession, d: str) -> DataFrame:
     """Keywords, a language, relevance, a page: the basic search."""
-    return _rounded(_docs(spark, d, keys="license", languages=("en",), limit=20).select("doc_id", "lang", "score"), "score")
+    asked = Query(keys="license", languages=("en",), limit=20, fields=("n_chars",))
+    return _rounded(ranked(T.docs(spark, d, "simple"), T.DOCS, asked).select("doc_id", "lang", "score"), "score")
+
+
+@query(f"SELECT doc_id, round(({_sat(_tf('the'))} + {_sat(_tf('de'))}) / 2, 6) AS score FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE list_has_any(tok, ['the', 'de']) ORDER BY ({_sat(_tf('the'))} + {_sat(_tf('de'))}) / 2 DESC, doc_id LIMIT 10")
+def ranked_common(spark: SparkSession, d: str) -> DataFrame:
+    """The best of two very common words: the ranking stops after the high frequencies."""
+    asked = Query(keys={"#conjunction": "OR", "0": "the", "1": "de"}, limit=10, fields=("n_chars",))
+    return _rounded(ranked(T.docs(spark, d, "simple"), T.DOCS, asked).select("doc_id", "score"), "score")
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, {D_TOK} AS tok FROM documents) WHERE list_contains(tok, 'license') AND list_contains(tok, 'version')")
@@ -108,7 +117,8 @@ def fts_rank(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT doc_id, n_chars, round(({_sat(_tf('license'))} + {_sat(_tf('version'))}) / 2, 6) AS score FROM (SELECT doc_id, n_chars, {D_TOK} AS tok FROM documents) WHERE list_has_any(tok, ['license', 'version']) ORDER BY score DESC, doc_id LIMIT 30 OFFSET 10")
 def sort_relevance(spark: SparkSession, d: str) -> DataFrame:
     """The second page of a search in order of relevance, then of id."""
-    found = _docs(spark, d, keys={"#conjunction": "OR", "0": "license", "1": "version"}, sorts=(Sort("relevance", "DESC"),), limit=30, offset=10)
+    asked = Query(keys={"#conjunction": "OR", "0": "license", "1": "version"}, sorts=(Sort("relevance", "DESC"),), limit=30, offset=10, fields=("n_chars",))
+    found = ranked(T.docs(spark, d, "simple"), T.DOCS, asked)
     return _rounded(found.select("doc_id", "n_chars", "score"), "score")
 
 

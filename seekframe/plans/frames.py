@@ -14,7 +14,7 @@ from seekframe.operators.search import Items
 from seekframe.operators.segments import current, version
 from seekframe.operators.textindex import TextIndex
 from seekframe.plans.model import FieldSpec, IndexSpec
-from seekframe.sources.tables import shared_folder, table
+from seekframe.sources.tables import scratch_folder, table
 
 DOCS = IndexSpec("documents", (FieldSpec("text", "text", weight="A"), FieldSpec("n_chars", "integer"), FieldSpec("quality", "boolean"), FieldSpec("toxic", "boolean"), FieldSpec("content_embedding", "vector", dimensions=64)), "doc_id", "source", "lang")
 PARTS = IndexSpec("parts", (FieldSpec("p_name", "text", weight="A"), FieldSpec("p_brand", "string", weight="B"), FieldSpec("p_type", "string", weight="C"), FieldSpec("p_size", "integer"), FieldSpec("p_retailprice", "decimal"), FieldSpec("tags", "string", -1)), "p_partkey", "p_brand", "p_type")
@@ -55,7 +55,7 @@ def _store(spark: SparkSession, d: str, name: str, layout: ST.Layout) -> tuple[s
     """(store, version) of the indexes of a given table: made when first asked for, and again whenever its files have changed."""
     key = (spark.sparkContext.applicationId, d, name, *layout.texts, "/", *layout.grams, "/", *layout.vectors)
     if key not in _stores:
-        _stores[key] = shared_folder(spark, f"indexes-{name}")
+        _stores[key] = scratch_folder(spark, f"indexes-{name}")
     path, now = _stores[key], version(spark, f"{d}/{name}.parquet")
     held = current(spark, path)
     if held is None or held.source != now:

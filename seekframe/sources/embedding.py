@@ -9,17 +9,22 @@ import random
 import time
 import urllib.error
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.functions import prepare as P
+from seekframe.operators.indexing import read_table, replace_table
+from seekframe.operators.ordered import greedy
+from seekframe.operators.segments import store
 from seekframe.plans.query import Query, VectorQuery
+from seekframe.sources.tables import settled
 
 # Dimensions of published embedding models, and limits of one call to an embedding service.
 MODEL_DIMENSIONS = {"text-embedding-ada-002": 1536, "text-embedding-3-small": 1536, "text-embedding-3-large": 3072}
@@ -207,16 +212,49 @@ def fill(items: DataFrame, cache: DataFrame, provider: Provider, now: int, ttl:
     return out, entries
 
 
-def call_numbers(rows: DataFrame, group: str, order: str, tokens: str) -> DataFrame:
-    """rows(order, tokens, group) with call: the number of the call that takes each row's text, within its group."""
-    kinds = {c: rows.schema[c].dataType.simpleString() for c in (order, tokens, group)}
+def call_numbers(rows: DataFrame, order: str, tokens: str, most_inputs: int = CALL_INPUTS, most_tokens: int = CALL_TOKENS) -> DataFrame:
+    """(order, tokens, call): the call that takes each row's text, filled one after another in that order, as ``batches``."""
+    return greedy(rows, order, tokens, most_inputs, most_tokens)
 
-    def number(part: pa.Table) -> pa.Table:
-        part = part.sort_by(order)
-        return part.append_column("call", pa.array(batches(part[tokens].fill_null(0).to_pylist()), pa.int64()))
 
-    schema = ", ".join(f"{c} {k}" for c, k in kinds.items())
-    return rows.select(*kinds).groupBy(group).applyInArrow(number, f"{schema}, call long")
+def touch(asked: DataFrame, cache: DataFrame, now: int, log: str) -> DataFrame:
+    """``lookup``, with each hash that is found noted in a log: one hit for a hash and look-up, appended and never rewritten."""
+    found = settled(lookup(asked, cache, now), "cache-found")
+    found.where("hit").select("text_hash", F.lit(now).cast("long").alias("at")).distinct().write.parquet(f"{log}/hits-{uuid.uuid4().hex}")
+    return found
+
+
+def _hits(spark: SparkSession, log: str) -> tuple[DataFrame, list[str]]:
+    """All hits that are noted now, and their folders."""
+    fs, where = store(spark, log)
+    found = sorted(x.getPath().toString() for x in fs.listStatus(where) if x.getPath().getName().startswith("hits-")) if fs.exists(where) else []
+    kind = "text_hash string, at long"
+    return (spark.read.schema(kind).parquet(*found) if found else spark.createDataFrame([], kind)), found
+
+
+def folded(cache: DataFrame, hits: DataFrame) -> DataFrame:
+    """cache with hits(text_hash, at) counted in hit_count and last_accessed."""
+    sums = hits.groupBy("text_hash").agg(F.count(F.lit(1)).alias("_n"), F.max("at").alias("_at"))
+    kinds = {f.name: f.dataType for f in cache.schema}
+    met = cache.join(sums, "text_hash", "left")
+    return met.withColumns({"hit_count": (F.col("hit_count") + F.coalesce("_n", F.lit(0))).cast(kinds["hit_count"]), "last_accessed": F.greatest("last_accessed", "_at").cast(kinds["last_accessed"])}).select(*cache.columns)
+
+
+def with_hits(cache: DataFrame, log: str) -> DataFrame:
+    """The cache as its log leaves it."""
+    return folded(cache, _hits(cache.sparkSession, log)[0])
+
+
+def compact(spark: SparkSession, path: str, log: str, now: int, most: int = MAX_ENTRIES) -> None:
+    """Write the cache at path (a table of ``indexing.replace_table``) anew, with its log folded in and what is over evicted.
+
+    Hits that come meanwhile stay in the log for the next time.
+    """
+    hits, read = _hits(spark, log)
+    replace_table(evict(folded(read_table(spark, path), hits), now, most), path)
+    for folder in read:
+        fs, where = store(spark, folder)
+        fs.delete(where, True)
 
 
 def invalidate(cache: DataFrame, hashes: DataFrame | None = None, model: str | None = None, index: str | None = None) -> DataFrame:

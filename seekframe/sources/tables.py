@@ -41,6 +41,34 @@ def shared_folder(spark: SparkSession, tag: str) -> str:
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A shared folder that goes when the driver ends."""
+    path = shared_folder(spark, tag)
+    if not _written:
+        atexit.register(_clean)
+    _written.append((spark, path))
+    return path
+
+
+def _clean() -> None:
+    for spark, path in _written:
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # the session may be gone already
+            return
+
+
+def settled(df: DataFrame, tag: str) -> DataFrame:
+    """df, written to a scratch folder and read back: it is computed once, and survives the loss of any executor."""
+    path = scratch_folder(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def jdbc(spark: SparkSession, url: str, name: str, partition_column: str | None = None, bounds: tuple[int, int] = (0, 0), partitions: int = 1, **options: str) -> DataFrame:
     """A table of a relational database; read by ranges of a numeric column, if one is named. Needs its driver's jar."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", check_identifier(name)).options(**options)
