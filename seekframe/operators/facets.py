@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seekframe.operators import bitmaps as BM
 from seekframe.plans.model import FACETABLE, FieldSpec, IndexSpec, SpecError
 from seekframe.plans.query import Cond, Facet, Group
 from seekframe.sources.tables import scratch_folder
@@ -75,6 +76,12 @@ def labelled(items: DataFrame, spec: FieldSpec, facet: Facet) -> DataFrame:
     return terms(items, spec, facet).select(label(F.col("value"), "string" if spec.kind == "date" else spec.kind).alias("filter"), "count")
 
 
+def labelled_from_bitmaps(found: DataFrame, id_col: str, bitmaps: DataFrame, spec: FieldSpec, facet: Facet) -> DataFrame:
+    """(filter, count) of the found ids, as ``labelled``, from a field's bitmaps."""
+    out = ranked(BM.counts(bitmaps, found, id_col, spec, facet.missing), facet)
+    return out.select(label(F.col("value"), "string" if spec.kind == "date" else spec.kind).alias("filter"), "count")
+
+
 def by_expression(items: DataFrame, value: Column, facet: Facet) -> DataFrame:
     """(value, count) of a computed label; equal labels are one group."""
     return ranked(items.select(value.alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("count")), facet)

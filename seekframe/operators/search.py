@@ -72,7 +72,8 @@ class Items:
     only to the rows of the page if it is merely shown. text: the text indexes, by configuration; without the one that a
     query asks for, texts are tokenised as they are read. vectors: the vector indexes, by column; without the one that a
     query asks for, similarities of all rows are computed. grams: trigram indexes, by field: what conditions on parts of
-    texts need is looked up there, and only candidates are compared.
+    texts need is looked up there, and only candidates are compared. bitmaps: of facet fields, which are counted from them and the
+    found ids alone.
     """
 
     base: DataFrame
@@ -80,6 +81,7 @@ class Items:
     text: Mapping[str, X.TextIndex] = field(default_factory=dict)
     vectors: Mapping[str, VI.VectorIndex] = field(default_factory=dict)
     grams: Mapping[str, G.GramIndex] = field(default_factory=dict)
+    bitmaps: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def attach(self, df: DataFrame, names: Collection[str], id_col: str) -> DataFrame:
         """df with the sides that have fields of these names, and which it doesn't have yet."""
@@ -96,11 +98,13 @@ def _matched(items: DataFrame, source: Items, index: IndexSpec, query: Query, no
     """items with text_rank, null where the keys don't match; only matching ones if ``inner``."""
     if not index.searchable:
         raise SpecError(f"{index.name} has no searchable field")
-    node = X.stemmed(node, query.config)
+    node = X.stemmed(node, query.config, query.languages)
     constant = query.rank == "constant"
     if query.config in source.text:
         found = X.find(source.text[query.config], index, node, constant=constant)
         return items.join(found.withColumnRenamed("id", index.id_col), index.id_col, "inner" if inner else "left")
+    if query.config not in ("simple", "english"):
+        raise SpecError(f"the configuration {query.config!r} needs a text index")
     made = []
     for n in index.searchable:
         toks = TX.tokens(F.array_join(F.col(n), " ") if index.field(n).multi_value else F.col(n))
@@ -122,7 +126,7 @@ def _by_indexes(items: DataFrame, source: Items, index: IndexSpec, query: Query,
         return items.join(near, index.id_col).withColumn(SCORE, F.col("_similarity")), True
     match = _matched(items.select(*(c for c in items.columns if c == index.id_col or c in index.searchable)), source, index, query, node, True) if query.config not in source.text else None
     if match is None:
-        match = X.find(source.text[query.config], index, X.stemmed(node, query.config), constant=query.rank == "constant").withColumnRenamed("id", index.id_col)
+        match = X.find(source.text[query.config], index, X.stemmed(node, query.config, query.languages), constant=query.rank == "constant").withColumnRenamed("id", index.id_col)
     match = match.select(index.id_col, "text_rank")
     # of items that only the keys match, the vectors are looked up by id
     rest = match.join(near.select(index.id_col), index.id_col, "left_anti")
@@ -210,6 +214,9 @@ def search(items: DataFrame | Items, index: IndexSpec, query: Query) -> SearchRe
     for f in query.facets:
         without = frozenset(n for n in fields_of(where) if n == f.field or f.related and FC.related(n, f.field))
         own = filtered(without) if without else rows
-        counts[f.field] = FC.labelled(source.attach(own, (f.field,), index.id_col), index.field(f.field), f)
+        if f.field in source.bitmaps:
+            counts[f.field] = FC.labelled_from_bitmaps(own, index.id_col, source.bitmaps[f.field], index.field(f.field), f)
+        else:
+            counts[f.field] = FC.labelled(source.attach(own, (f.field,), index.id_col), index.field(f.field), f)
     count = None if query.skip_count else rows.agg(F.count(F.lit(1)).alias("result_count"))
     return SearchResult(shown, count, counts, lowered)

@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seekframe.operators import bitmaps as BM
 from seekframe.operators import gramindex as G
 from seekframe.operators import segments as S
 from seekframe.operators import textindex as X
@@ -25,13 +26,14 @@ from seekframe.plans.model import IndexSpec, SpecError
 
 @dataclass(frozen=True)
 class Layout:
-    """What a store keeps. texts: text configurations; grams: fields with trigram postings; vectors: vector fields; items:
-    whether the items themselves are kept."""
+    """What a store keeps. texts: text configurations; grams: fields with trigram postings; vectors: vector fields; bitmaps:
+    facet fields, in a store that is made anew when its items change; items: whether the items themselves are kept."""
 
     index: IndexSpec
     texts: tuple[str, ...] = ("simple",)
     grams: tuple[str, ...] = ()
     vectors: tuple[str, ...] = ()
+    bitmaps: tuple[str, ...] = ()
     items: bool = True
     files: int = 8
 
@@ -49,6 +51,8 @@ def _tables(spark: SparkSession, folder: str, layout: Layout, items: DataFrame,
         if index.field(name).multi_value:
             raise SpecError(f"{name}: trigrams are of fields with one value")
         G.write(G.build(items, index.id_col, name), f"{folder}/grams-{name}", files)
+    for name in layout.bitmaps:
+        BM.write(BM.build(items, index, name), f"{folder}/bitmaps-{name}", files)
     for name in layout.vectors:
         rows = items.select(F.col(index.id_col).alias("id"), F.col(name).cast("array<double>").alias("vector"))
         about[name] = list(VI.write_items(VI.assigned(rows, np.array(fitted[name]["centroids"])), f"{folder}/vectors-{name}").items())
@@ -106,7 +110,8 @@ def open_(spark: SparkSession, path: str, layout: Layout, base: DataFrame | None
     items, texts, grams, vectors = _loaded(spark, path, layout, manifest)
     if items is None and base is None:
         raise SpecError("this store keeps no items: give the table that they are in")
-    return Items(items if base is None else base, sides, texts, vectors, grams)
+    bitmaps = {n: BM.read(spark, f"{path}/{manifest.segments[0].name}/bitmaps-{n}") for n in layout.bitmaps}
+    return Items(items if base is None else base, sides, texts, vectors, grams, bitmaps)
 
 
 def apply(spark: SparkSession, path: str, layout: Layout, changes: DataFrame | None = None, gone: DataFrame | None = None, source: str | None = None) -> S.Manifest:
@@ -118,6 +123,8 @@ def apply(spark: SparkSession, path: str, layout: Layout, changes: DataFrame | N
     manifest = S.current(spark, path)
     if manifest is None:
         raise SpecError(f"no store at {path}")
+    if layout.bitmaps:
+        raise SpecError("a store with bitmaps is made anew: a bit can't be taken back from an older segment")
     index, folder = layout.index, f"s-{uuid.uuid4().hex}"
     template = S.live(spark, path, manifest, lambda f: spark.read.parquet(f"{f}/items"), index.id_col) if layout.items else None
     if changes is None:

@@ -21,9 +21,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.functions import text as X
+from seekframe.functions.snowball import STEMMERS
 from seekframe.functions.stem import porter
 from seekframe.plans import keys as K
 from seekframe.plans.model import IndexSpec, SpecError
+from seekframe.plans.query import CONFIGS
 
 #: Items, about, in whose texts the bounds of token ranges are found; they steer the balance of files alone.
 SAMPLE = 2000
@@ -31,6 +33,9 @@ SAMPLE = 2000
 SLICE = 1 << 20
 #: Distinct words whose stems a task remembers.
 STEMS = 200_000
+#: Stems by text configuration, and the configuration of each language that the configuration "language" goes by.
+STEMS_OF: dict[str, Callable[[str], str]] = {"english": porter, **STEMMERS}
+OF_LANGUAGE = {"en": "english", "de": "german", "es": "spanish", "fr": "french"}
 
 
 @dataclass(frozen=True)
@@ -43,42 +48,48 @@ class TextIndex:
     tokenised: DataFrame | None = None
 
 
-def _texts(items: DataFrame, index: IndexSpec) -> DataFrame:
-    """(id, field, text): a row for each searchable field that holds anything."""
+def _texts(items: DataFrame, index: IndexSpec, config: str) -> DataFrame:
+    """(id, field, text, lang): a row for each searchable field that holds anything."""
     if not index.searchable:
         raise SpecError(f"{index.name} has no searchable field")
     each = [F.struct(F.lit(n).alias("field"), (F.array_join(F.col(n), " ") if index.field(n).multi_value else F.col(n).cast("string")).alias("text")) for n in index.searchable]
-    return items.select(F.col(index.id_col).alias("id"), F.explode(F.array(*each)).alias("x")).select("id", "x.field", "x.text").where("text is not null")
+    lang = F.col(index.language_col).cast("string") if config == "language" else F.lit(None).cast("string")
+    return items.select(F.col(index.id_col).alias("id"), F.explode(F.array(*each)).alias("x"), lang.alias("lang")).select("id", "x.field", "x.text", "lang").where("text is not null")
 
 
-def _tokenised(items: DataFrame, index: IndexSpec) -> DataFrame:
-    return _texts(items, index).select("id", "field", X.tokens(F.col("text")).alias("toks"))
+def _tokenised(items: DataFrame, index: IndexSpec, config: str) -> DataFrame:
+    return _texts(items, index, config).select("id", "field", X.tokens(F.col("text")).alias("toks"), "lang")
 
 
-def _stemmer(config: str) -> Callable[[str], str] | None:
+def _stemmer(config: str) -> Callable[[str, str | None], str] | None:
+    """Stems by word and, if the configuration goes by it, language; words of languages without stems stay."""
     if config == "simple":
         return None
-    known: dict[str, str] = {}
+    known: dict[tuple[str, str | None], str] = {}
 
-    def stem(word: str) -> str:
-        if (found := known.get(word)) is None:
+    def stem(word: str, lang: str | None) -> str:
+        if (found := known.get((word, lang))) is None:
             if len(known) >= STEMS:
                 known.clear()
-            found = known[word] = porter(word)
+            by = STEMS_OF.get(OF_LANGUAGE.get(lang or "", "") if config == "language" else config)
+            found = known[word, lang] = by(word) if by else word
         return found
 
     return stem
 
 
-def _fold(toks: pa.ListArray, stem: Callable[[str], str] | None) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.ListArray, np.ndarray, np.ndarray]:
+def _fold(toks: pa.ListArray, langs: pa.Array, stem: Callable[[str, str | None], str] | None) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.ListArray, np.ndarray, np.ndarray]:
     """(token, row, tf, positions) of every different token of each row; and each row's length and distinct tokens."""
     coded = toks.flatten().dictionary_encode()
     words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    if stem is not None:
-        again = pa.array([stem(w) for w in words.to_pylist()], pa.string()).dictionary_encode()
-        words, codes = again.dictionary, again.indices.to_numpy(zero_copy_only=False).astype(np.int64)[codes] if len(codes) else codes
     lengths = np.diff(toks.offsets.to_numpy()).astype(np.int64)
     row = np.repeat(np.arange(len(toks)), lengths)
+    if stem is not None and len(codes):
+        spoken = langs.fill_null("").dictionary_encode()
+        both, inverse = np.unique(spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row] * len(words) + codes, return_inverse=True)
+        names, plain = spoken.dictionary.to_pylist(), words.to_pylist()
+        again = pa.array([stem(plain[k % len(plain)], names[k // len(plain)]) for k in both.tolist()], pa.string()).dictionary_encode()
+        words, codes = again.dictionary, again.indices.to_numpy(zero_copy_only=False).astype(np.int64)[inverse]
     key = row * max(1, len(words)) + codes
     order = np.argsort(key, kind="stable")
     key = key[order]
@@ -126,7 +137,7 @@ def _postings(tokenised: DataFrame, config: str, bounds: list[tuple[str, int]] |
                 until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
                 part = b.slice(at, until - at)
                 toks = pa.concat_arrays([part.column(2)])  # offsets from 0
-                words, row, tf, positions, lengths, different = _fold(toks, stem)
+                words, row, tf, positions, lengths, different = _fold(toks, part.column(3), stem)
                 take = pa.array(row)
                 everywhere = seen + np.arange(len(toks))
                 yield pa.RecordBatch.from_arrays([
@@ -153,7 +164,9 @@ def _of(postings: DataFrame, config: str, tokenised: DataFrame | None = None) ->
 
 def build(items: DataFrame, index: IndexSpec, config: str = "simple") -> TextIndex:
     """The index of items, lazily."""
-    tokenised = _tokenised(items, index)
+    if config not in CONFIGS:
+        raise SpecError(f"unknown text configuration {config!r}")
+    tokenised = _tokenised(items, index, config)
     return _of(_postings(tokenised, config, None, 1), config, tokenised)
 
 
@@ -212,8 +225,14 @@ def update(old: TextIndex, index: IndexSpec, changed: DataFrame, gone: DataFrame
     return TextIndex(*(a.join(ids, "id", "left_anti").select(*a.columns).unionByName(b.select(*a.columns)) for a, b in ((old.postings, new.postings), (old.lengths, new.lengths))), old.config)
 
 
-def stemmed(node: K.Node | None, config: str) -> K.Node | None:
-    return K.mapped(node, porter) if config == "english" and node is not None else node
+def stemmed(node: K.Node | None, config: str, languages: tuple[str, ...] | None = None) -> K.Node | None:
+    """A key tree with its tokens as the configuration indexes them; "language" needs the one language that is searched."""
+    if config == "language":
+        if languages is None or len(languages) != 1:
+            raise SpecError("the configuration 'language' searches one language at a time")
+        config = OF_LANGUAGE.get(languages[0], "simple")
+    by = STEMS_OF.get(config)
+    return K.mapped(node, by) if by is not None and node is not None else node
 
 
 def _wanted(leaves: list[K.Node]) -> Column:

@@ -46,7 +46,7 @@ def ranked(items: Items, index: IndexSpec, query: Query) -> DataFrame:
     if not plain or not _terms(node) or query.config not in items.text or query.limit + query.offset > MOST or not query.limit:
         return search(items, index, query).rows
     built = items.text[query.config]
-    node = X.stemmed(node, query.config)
+    node = X.stemmed(node, query.config, query.languages)
     leaves, fields, k = K.leaves(node), index.searchable, query.limit + query.offset
     tokens = sorted({leaf.token for leaf in leaves})
     mine = built.postings.where(F.col("token").isin(tokens)).select("token", "id", "field", "tf", "level")

@@ -58,7 +58,8 @@ def facet_excludes_self(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT '\"' || quality::VARCHAR || '\"' AS filter, count(*) AS count FROM (SELECT quality, {TOK} AS tok FROM {T.DOCS_SQL}) WHERE list_contains(tok, 'the') AND quality IS NOT NULL GROUP BY 1")
 def facet_with_keys(spark: SparkSession, d: str) -> DataFrame:
-    return search(T.docs(spark, d, "simple"), T.DOCS, Query(keys="the", facets=(Facet("quality"),))).facets["quality"]
+    """Counts of what keywords find, from bitmaps of the field's values and of the found ids."""
+    return search(T.docs(spark, d, "simple", bitmaps=("quality",)), T.DOCS, Query(keys="the", facets=(Facet("quality"),))).facets["quality"]
 
 
 @query("SELECT CAST(o_orderdate AS DATE)::VARCHAR AS value, count(*) AS count FROM orders GROUP BY 1 ORDER BY count DESC, value LIMIT 50")

@@ -93,6 +93,12 @@ def fts_stem(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d, keys="licensing works", config="english").select("doc_id")
 
 
+@query()
+def fts_stem_language(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's tokens are stemmed by its own language; here those in Spanish are searched. Tests hold stems to known ones."""
+    return _docs(spark, d, keys="mente", config="language", languages=("es",)).select("doc_id", "lang")
+
+
 @query(f"SELECT p_partkey FROM part WHERE list_contains({P_TOK}, 'red') OR list_contains({TOK.format('p_type')}, 'economy')")
 def fts_multi_field(spark: SparkSession, d: str) -> DataFrame:
     """A row matches if any text field does by itself: each with keys of its own."""

@@ -23,6 +23,8 @@ PARTS_TEXT = IndexSpec("part", (FieldSpec("p_name", "text", weight="A"), FieldSp
 ORDERS = IndexSpec("orders", (FieldSpec("o_orderstatus", "string"), FieldSpec("o_totalprice", "decimal"), FieldSpec("o_orderdate", "date"), FieldSpec("o_orderpriority", "string"), FieldSpec("o_custkey", "integer")), "o_orderkey", "o_orderpriority", "o_orderstatus")
 #: The embeddings by themselves, as items that have nothing but a vector.
 VECTORS = IndexSpec("embeddings", (FieldSpec("embedding", "vector", dimensions=64),), "vec_id", "label", "label")
+#: The labels by themselves.
+LABELS = IndexSpec("labels", (FieldSpec("quality", "boolean"), FieldSpec("toxic", "boolean")), "doc_id", "quality", "toxic")
 BASKETS = IndexSpec("baskets", (FieldSpec("suppliers", "integer", -1), FieldSpec("flags", "string", -1)), "l_orderkey", "l_orderkey", "l_orderkey")
 
 #: A fixed query vector of 64 dimensions, by a rule.
@@ -51,15 +53,15 @@ def vectors(spark: SparkSession, d: str) -> DataFrame:
 _stores: dict[tuple[str, ...], str] = {}
 
 
-def _store(spark: SparkSession, d: str, name: str, layout: ST.Layout) -> tuple[str, str]:
+def _store(spark: SparkSession, d: str, name: str, layout: ST.Layout, items: DataFrame | None = None) -> tuple[str, str]:
     """(store, version) of the indexes of a given table: made when first asked for, and again whenever its files have changed."""
-    key = (spark.sparkContext.applicationId, d, name, *layout.texts, "/", *layout.grams, "/", *layout.vectors)
+    key = (spark.sparkContext.applicationId, d, name, *layout.texts, "/", *layout.grams, "/", *layout.vectors, "/", *layout.bitmaps)
     if key not in _stores:
         _stores[key] = scratch_folder(spark, f"indexes-{name}")
     path, now = _stores[key], version(spark, f"{d}/{name}.parquet")
     held = current(spark, path)
     if held is None or held.source != now:
-        ST.create(spark, path, layout, table(spark, d, name), now)
+        ST.create(spark, path, layout, table(spark, d, name) if items is None else items, now)
     return path, now
 
 
@@ -88,10 +90,17 @@ def vector_index(spark: SparkSession, d: str) -> VI.VectorIndex:
     return _opened(spark, d, "embeddings", VECTORS, vectors=("embedding",)).vectors["embedding"]
 
 
-def docs(spark: SparkSession, d: str, *configs: str, vector: bool = False) -> Items:
+def label_bitmaps(spark: SparkSession, d: str, *fields: str) -> dict[str, DataFrame]:
+    """The bitmaps of fields of the labels' present files."""
+    layout = _layout(spark, LABELS, bitmaps=fields)
+    path, now = _store(spark, d, "labels", layout, labels(spark, d))
+    return dict(ST.open_(spark, path, layout, labels(spark, d), source=now).bitmaps)
+
+
+def docs(spark: SparkSession, d: str, *configs: str, vector: bool = False, bitmaps: tuple[str, ...] = ()) -> Items:
     """Documents, with labels and vectors as sides, and the text indexes of these configurations."""
     near = {"content_embedding": vector_index(spark, d)} if vector else {}
-    return Items(table(spark, d, "documents"), (labels(spark, d), vectors(spark, d)), {c: text_index(spark, d, "documents", DOCS, c) for c in configs}, near)
+    return Items(table(spark, d, "documents"), (labels(spark, d), vectors(spark, d)), {c: text_index(spark, d, "documents", DOCS, c) for c in configs}, near, {}, label_bitmaps(spark, d, *bitmaps) if bitmaps else {})
 
 
 def parts(spark: SparkSession, d: str) -> DataFrame:

@@ -10,6 +10,8 @@ from typing import Any
 from seekframe.plans.model import SpecError
 
 OPERATORS = frozenset({"=", "<>", "!=", "<", "<=", ">", ">=", "IN", "NOT IN", "BETWEEN", "NOT BETWEEN", "CONTAINS", "STARTS_WITH", "ENDS_WITH", "LIKE", "NOT LIKE", "IS NULL", "IS NOT NULL"})
+#: Text configurations: tokens as they are, their stems in one language, or in that of each item.
+CONFIGS = ("simple", "english", "german", "spanish", "french", "language")
 
 
 @dataclass(frozen=True)
@@ -97,7 +99,7 @@ class Query:
     def __post_init__(self) -> None:
         if self.mode not in ("text_only", "vector_only", "hybrid"):
             raise SpecError(f"unknown search mode {self.mode!r}")
-        if self.config not in ("simple", "english"):
+        if self.config not in CONFIGS:
             raise SpecError(f"unknown text configuration {self.config!r}")
         if self.limit is not None and self.limit < 0 or self.offset < 0:
             raise SpecError("limit and offset can't be negative")
