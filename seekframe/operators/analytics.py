@@ -157,3 +157,9 @@ def remediation_priority(severity: Column, scope: Column, business_hours: Column
 def success_grade(done: Column, total: Column) -> Column:
     """success if all went well, warning for at least half, else error."""
     return F.when(done == total, "success").when(done * 2 >= total, "warning").otherwise("error")
+
+
+def failing(calls: DataFrame, group: str, failed: Column, threshold: float) -> DataFrame:
+    """(group, total, failures, rate, fallback): whether so large a share of its calls fail that it works without them."""
+    sums = calls.groupBy(group).agg(F.count(F.lit(1)).alias("total"), F.count_if(failed).alias("failures"))
+    return sums.withColumn("rate", ratio(F.col("failures"), F.col("total"))).withColumn("fallback", F.col("rate") >= threshold)

@@ -19,6 +19,39 @@ def empty(spark: SparkSession, index: IndexSpec) -> DataFrame:
     return spark.createDataFrame([], index.schema())
 
 
+def create_table(spark: SparkSession, path: str, index: IndexSpec) -> None:
+    """An empty table of an index; an error if there is one already."""
+    if pointed(spark, path) is not None:
+        raise SpecError(f"there is a table at {path}")
+    replace_table(empty(spark, index), path)
+
+
+def scalar(c: Column, kind: T.DataType) -> tuple[Column, T.DataType]:
+    """A raw value without its wrapping: the ``value`` of a formatted text (a struct, or its ``target_id``), else the struct as
+    JSON; of an array each element, and of an array of one for a field with one value its first."""
+    if isinstance(kind, T.StructType):
+        for name in ("value", "target_id"):
+            if name in kind.names:
+                return scalar(c[name], kind[name].dataType)
+        return F.to_json(c), T.StringType()
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        inner = scalar(F.lit(None).cast(kind.elementType), kind.elementType)[1]
+        return F.transform(c, lambda x: scalar(x, kind.elementType)[0]), T.ArrayType(inner)
+    return c, kind
+
+
+def unwrapped(raw: DataFrame, index: IndexSpec) -> DataFrame:
+    """Raw rows whose fields may be structs, or arrays of them, with plain values."""
+    out = {}
+    for f in index.fields:
+        if f.name in raw.columns:
+            c, kind = scalar(F.col(f.name), raw.schema[f.name].dataType)
+            if isinstance(kind, T.ArrayType) and not f.multi_value and f.kind != "vector":
+                c = F.get(c, F.lit(0))
+            out[f.name] = F.array_compact(c) if f.multi_value and isinstance(kind, T.ArrayType) else c
+    return raw.withColumns(out) if out else raw
+
+
 def prepare_value(c: Column, spec: FieldSpec) -> Column:
     """A raw value as its field's type; what can't be converted is null, and only that."""
     if spec.multi_value:
@@ -32,7 +65,8 @@ def prepare_value(c: Column, spec: FieldSpec) -> Column:
 
 
 def prepare_items(raw: DataFrame, index: IndexSpec) -> DataFrame:
-    """Raw rows as rows of the index: typed fields, a text id, empty language where unknown."""
+    """Raw rows as rows of the index: plain and typed fields, a text id, empty language where unknown."""
+    raw = unwrapped(raw, index)
     system = [F.col(index.id_col).cast("string").alias(index.id_col), F.col(index.datasource_col).cast("string").alias(index.datasource_col), F.coalesce(F.col(index.language_col).cast("string"), F.lit("")).alias(index.language_col)]
     return raw.select(*system, *(prepare_value(F.col(f.name), f).alias(f.name) if f.name in raw.columns else F.lit(None).cast(f.data_type).alias(f.name) for f in index.fields))
 

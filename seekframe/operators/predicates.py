@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from seekframe.functions import vectors as V
 from seekframe.plans.model import FieldSpec, IndexSpec, SpecError
 from seekframe.plans.query import Cond, Group
 
@@ -89,8 +90,13 @@ def condition(index: IndexSpec, cond: Cond) -> Column:
         spec = FieldSpec("system", "string")
     else:
         spec = index.field(cond.field)
+    if cond.op == "SIMILAR":
+        if spec.kind != "vector":
+            raise SpecError(f"{cond.field}: only vectors are similar")
+        vector, threshold = cond.value
+        return F.coalesce(V.cosine(F.col(cond.field), V.literal(vector)) >= float(threshold), F.lit(False))
     if spec.kind == "vector" and cond.op not in ("IS NULL", "IS NOT NULL"):
-        raise SpecError(f"{cond.field}: vectors only support null tests")
+        raise SpecError(f"{cond.field}: vectors only support null tests and SIMILAR")
     value = cond.value
     if cond.field == "node_grants" and value == "node_access_all:0":
         cond = Cond(cond.field, "node_access__all", cond.op)

@@ -196,3 +196,10 @@ def cache_after_delete(spark: SparkSession, d: str) -> DataFrame:
     """Embeddings that only deleted items' texts use leave the cache."""
     used = T.table(spark, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("item_id"), F.sha2("text", 256).alias("text_hash"))
     return E.forget(T.cache(spark, d), used, T.table(spark, d, "labels").select(F.col("doc_id").alias("item_id"))).select("text_hash")
+
+
+@query("SELECT user_id % 20 AS server, count(*) AS total, count_if(event_type = 'error') AS failures, round(count_if(event_type = 'error')::DOUBLE / count(*), 6) AS rate, count_if(event_type = 'error')::DOUBLE / count(*) >= 0.2 AS fallback FROM events GROUP BY 1")
+def failure_rate(spark: SparkSession, d: str) -> DataFrame:
+    """Servers whose calls fail so often that they fall back to text alone."""
+    calls = T.table(spark, d, "events").withColumn("server", F.col("user_id") % 20)
+    return _round(A.failing(calls, "server", F.col("event_type") == "error", 0.2), "rate")

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from seekframe.functions import prepare as P
 from seekframe.operators import indexing as I
+from seekframe.operators import store as ST
+from seekframe.operators.search import search
 from seekframe.plans import frames as T
 from seekframe.plans.catalog import query
 from seekframe.plans.model import FieldSpec, IndexSpec
+from seekframe.plans.query import Query
 from seekframe.sources import embedding as E
 from seekframe.sources.tables import scratch_folder
 from seekframe.streaming import queue as Q
@@ -239,3 +242,25 @@ def queue_outcomes(spark: SparkSession, d: str) -> DataFrame:
     Q.drain(spark, f"{folder}/in", f"{folder}/state", worker)
     last = Q.ledger(spark, f"{folder}/in").groupBy("item_id").agg(F.max("attempt").alias("attempts"), F.max_by("state", "attempt").alias("state"))
     return last.select(F.col("item_id").cast("long").alias("doc_id"), "attempts", "state")
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, source, lang, length(trim(regexp_replace(source || ' - ' || lang, '[ \\t\\n]+', ' ', 'g')))::BIGINT AS size, [source, lang] AS names FROM documents")
+def unwrap_values(spark: SparkSession, d: str) -> DataFrame:
+    """Raw fields as structs with a value, and arrays of them, become plain values of the index."""
+    index = IndexSpec("raw", (FieldSpec("body", "text"), FieldSpec("names", "string", -1)), "doc_id", "source", "lang")
+    text = F.concat("source", F.lit(" - "), "lang")
+    raw = T.table(spark, d, "documents").select("doc_id", "source", "lang", F.struct(text.alias("value"), F.lit("plain").alias("format")).alias("body"), F.array(F.struct(F.col("source").alias("value")), F.struct(F.col("lang").alias("value"))).alias("names"))
+    return I.prepare_items(raw, index).select("doc_id", "source", "lang", F.char_length("body").cast("long").alias("size"), "names")
+
+
+@query("SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 3 <> 1 AND lang = 'en' UNION ALL SELECT doc_id, lang, n_chars + 1 FROM documents WHERE doc_id % 3 = 1 AND doc_id % 2 = 0 AND lang = 'en'")
+def store_changes(spark: SparkSession, d: str) -> DataFrame:
+    """A store after a third of its items were upserted, and half of these deleted: searched by its own state."""
+    path, index = scratch_folder(spark, "store"), T.DOC_SIZES
+    layout = ST.Layout(index, texts=(), files=2)
+    rows = T.table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars")
+    third = rows.where("doc_id % 3 = 1")
+    ST.create(spark, path, layout, rows)
+    ST.upsert(spark, path, layout, third.withColumn("n_chars", F.col("n_chars") + 1))
+    ST.delete(spark, path, layout, third.where("doc_id % 2 = 1").select("doc_id"))
+    return search(ST.open_(spark, path, layout), index, Query(languages=("en",))).rows.select("doc_id", "lang", "n_chars")

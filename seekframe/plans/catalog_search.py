@@ -17,7 +17,7 @@ from seekframe.operators.topk import ranked
 from seekframe.plans import frames as T
 from seekframe.plans import keys as K
 from seekframe.plans.catalog import query
-from seekframe.plans.query import Query, Sort, VectorQuery
+from seekframe.plans.query import Cond, Group, Query, Sort, VectorQuery
 
 TOK = "list_filter(regexp_split_to_array(lower(coalesce({0}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
 D_TOK, P_TOK = TOK.format("text"), TOK.format("p_name")
@@ -202,6 +202,13 @@ def vector_search(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(found.select("doc_id", "lang", "score"), "score")
 
 
+@query(f"SELECT doc_id FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id WHERE lang = 'en' AND ({COS} >= 0.1 OR n_chars < 100)")
+def filter_similar(spark: SparkSession, d: str) -> DataFrame:
+    """Likeness as a condition among others."""
+    where = Group((Cond("lang", "en"), Cond("content_embedding", op="IS NOT NULL"), Group((Cond("content_embedding", (T.VECTOR, 0.1), "SIMILAR"), Cond("n_chars", 100, "<")), "OR")))
+    return _docs(spark, d, where=where).select("doc_id")
+
+
 _HYBRID = f"""SELECT doc_id, has, hit, tf / (tf + 1) AS rank, sim FROM (
   SELECT d.doc_id, e.embedding IS NOT NULL AS has, list_contains({D_TOK}, 'license') AS hit, {_tf('license', D_TOK)} AS tf, {COS} AS sim
   FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id) WHERE hit OR coalesce(sim >= 0.1, false)"""

@@ -23,6 +23,8 @@ PARTS_TEXT = IndexSpec("part", (FieldSpec("p_name", "text", weight="A"), FieldSp
 ORDERS = IndexSpec("orders", (FieldSpec("o_orderstatus", "string"), FieldSpec("o_totalprice", "decimal"), FieldSpec("o_orderdate", "date"), FieldSpec("o_orderpriority", "string"), FieldSpec("o_custkey", "integer")), "o_orderkey", "o_orderpriority", "o_orderstatus")
 #: The embeddings by themselves, as items that have nothing but a vector.
 VECTORS = IndexSpec("embeddings", (FieldSpec("embedding", "vector", dimensions=64),), "vec_id", "label", "label")
+#: Documents without their texts.
+DOC_SIZES = IndexSpec("sizes", (FieldSpec("n_chars", "integer"),), "doc_id", "source", "lang")
 #: The labels by themselves.
 LABELS = IndexSpec("labels", (FieldSpec("quality", "boolean"), FieldSpec("toxic", "boolean")), "doc_id", "quality", "toxic")
 BASKETS = IndexSpec("baskets", (FieldSpec("suppliers", "integer", -1), FieldSpec("flags", "string", -1)), "l_orderkey", "l_orderkey", "l_orderkey")

@@ -9,7 +9,7 @@ from typing import Any
 
 from seekframe.plans.model import SpecError
 
-OPERATORS = frozenset({"=", "<>", "!=", "<", "<=", ">", ">=", "IN", "NOT IN", "BETWEEN", "NOT BETWEEN", "CONTAINS", "STARTS_WITH", "ENDS_WITH", "LIKE", "NOT LIKE", "IS NULL", "IS NOT NULL"})
+OPERATORS = frozenset({"=", "<>", "!=", "<", "<=", ">", ">=", "IN", "NOT IN", "BETWEEN", "NOT BETWEEN", "CONTAINS", "STARTS_WITH", "ENDS_WITH", "LIKE", "NOT LIKE", "IS NULL", "IS NOT NULL", "SIMILAR"})
 #: Text configurations: tokens as they are, their stems in one language, or in that of each item.
 CONFIGS = ("simple", "english", "german", "spanish", "french", "language")
 
@@ -25,6 +25,8 @@ class Cond:
             raise SpecError(f"unknown operator {self.op!r}")
         if self.op in ("BETWEEN", "NOT BETWEEN") and (not isinstance(self.value, (list, tuple)) or len(self.value) != 2):
             raise SpecError(f"{self.op} needs two values")
+        if self.op == "SIMILAR" and (not isinstance(self.value, (list, tuple)) or len(self.value) != 2 or not isinstance(self.value[0], (list, tuple))):
+            raise SpecError("SIMILAR needs a vector and a threshold")
         if self.op in ("IN", "NOT IN") and not isinstance(self.value, (list, tuple, set, frozenset)):
             raise SpecError(f"{self.op} needs a list of values")
 
