@@ -103,7 +103,7 @@ def links(reps: DataFrame, max_distance: int = 3, tile: int = TILE) -> DataFrame
     need, keys = plan(max_distance, reps.count())
     width = len(keys[0])
     byte = lambda p: F.shiftrightunsigned("fp", 8 * (BYTES - 1 - p)).bitwiseAND(F.lit(255))
-    # a key is the number of its positions in the high bits, and their bytes; of more than six bytes a hash of both
+    # a key is the number of its choice of positions, and their bytes side by side
     packed = lambda ps: sum((F.shiftleft(byte(p), 8 * i) for i, p in enumerate(ps)), F.lit(0).cast("long"))
     postings = F.array(*(F.struct(F.lit(k).alias("which"), packed(ps).alias("bytes")) for k, ps in enumerate(keys)))
     posts = reps.select("fp", "rep", F.explode(postings).alias("p")).select("fp", "rep", F.col("p.which").alias("which"), F.col("p.bytes").alias("bytes"))

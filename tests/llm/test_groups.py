@@ -88,6 +88,14 @@ def test_count_filter_comes_before_verification(spark):
     assert len(near) == (np.bitwise_count(differ) <= 3).sum()  # nothing near is lost
 
 
+def test_links_pass_the_count_filter(spark, monkeypatch):
+    """Pairs reach verification through the filter alone: one that refuses all leaves no links."""
+    df = spark.createDataFrame([(5, 1), (7, 2), (1 << 40, 3)], "fp long, rep long")
+    assert S.links(df).count() == 2
+    monkeypatch.setattr(S, "enough_bytes", lambda differ, need: np.zeros(len(differ), bool))
+    assert S.links(df).count() == 0
+
+
 def test_every_near_pair_meets_under_a_key():
     for distance in range(8):
         for prints in (10, 1 << 40):
