@@ -260,7 +260,8 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", langu
     languages, so then only texts without a letter go. Repeated rows, null ids and columns of any name stay. Empty table:
     no rows.
     """
-    where = docs.columns.index(text_col)
+    # by its exact name, or else in any case of letters
+    where = docs.columns.index(text_col) if text_col in docs.columns else [c.lower() for c in docs.columns].index(text_col.lower())
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
