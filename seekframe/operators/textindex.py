@@ -1,15 +1,17 @@
 """The text index: token postings that are written with the items, and searched instead of them.
 
 Postings (token, id, field, tf, level, positions) are made once, when items are indexed: each text's tokens are counted
-where it is read, so nothing but postings is shuffled. They are dealt by ranges of tokens and sorted by token, level
-(the bits of tf, high ones first) and id, so a query's tokens and prefixes prune files and pages, a ranked query can
-stop after the high levels, and a token that every item has fills many files. A row with an empty token stands for each
-text, with its length and number of distinct tokens.
+where it is read, so nothing but postings is shuffled, in blocks of those that a slice of the texts has of one token and
+tf. Blocks are dealt by ranges of tokens and sorted by token, level (the bits of tf, high ones first) and their first id,
+and are written as rows; so a query's tokens and prefixes prune files and pages, a ranked query can stop after the
+high levels, and a token that every item has fills many files. A row with an empty token stands for each text, with its
+length and number of distinct tokens.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -30,7 +32,9 @@ from seekframe.plans.query import CONFIGS
 #: Items, about, in whose texts the bounds of token ranges are found; they steer the balance of files alone.
 SAMPLE = 2000
 #: Tokens that are counted at once, about.
-SLICE = 1 << 20
+SLICE = 1 << 19
+#: Postings of one block, at most, and tokens of one range, about: what a task sorts doesn't grow with the table.
+BLOCK, RANGE = 4096, 1 << 22
 #: Distinct words whose stems a task remembers.
 STEMS = 200_000
 #: Stems by text configuration, and the configuration of each language that the configuration "language" goes by.
@@ -101,8 +105,32 @@ def _fold(toks: pa.ListArray, langs: pa.Array, stem: Callable[[str, str | None],
     return words.take(pa.array(codes[first])), row[first], tf, positions, lengths, np.bincount(row[first], minlength=len(toks))
 
 
-def _postings(tokenised: DataFrame, config: str, bounds: list[tuple[str, int]] | None, files: int) -> DataFrame:
-    """(range, token, id, field, tf, level, positions); a range is the number of bounds that don't follow a token.
+def _blocked(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Postings (range, token, id, field, tf, level, positions) as blocks of one range, token, field and tf, with all positions
+    one after another."""
+    key = rows["range"].to_numpy().astype(np.int64)
+    for codes in (rows[n].dictionary_encode().indices.to_numpy(zero_copy_only=False) for n in ("token", "field", "tf")):
+        key = key * (1 + int(codes.max(initial=0))) + codes
+    order = np.argsort(key, kind="stable")
+    key, rows = key[order], rows.take(pa.array(order))
+    group = np.nonzero(np.append(True, key[1:] != key[:-1]))[0] if len(key) else np.zeros(0, np.int64)
+    within = np.arange(len(key)) - np.repeat(group, np.diff(np.append(group, len(key))))
+    starts = np.nonzero(within % BLOCK == 0)[0]
+    ends, first = np.append(starts, len(key)), rows.select(["range", "token", "field", "tf", "level"]).take(pa.array(starts))
+    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows["id"])
+    places = pa.ListArray.from_arrays(pa.array(rows["positions"].offsets.to_numpy()[ends], pa.int32()), rows["positions"].values)
+    return pa.RecordBatch.from_arrays([*first.columns, ids, places], ["range", "token", "field", "tf", "level", "ids", "places"])
+
+
+def _unblocked(blocks: DataFrame) -> DataFrame:
+    """Blocks as rows (token, id, field, tf, level, positions), in order."""
+    each = F.expr("inline(transform(ids, (id, i) -> struct(id, slice(places, i * (size(places) div size(ids)) + 1, size(places) div size(ids)) AS positions)))")
+    return blocks.select("token", "field", "tf", "level", each).select("token", "id", "field", "tf", "level", "positions")
+
+
+def _postings(tokenised: DataFrame, config: str, bounds: list[tuple[str, int]] | None, files: int, blocks: bool = False) -> DataFrame:
+    """(range, token, id, field, tf, level, positions); a range is the number of bounds that don't follow a token. With
+    ``blocks``: (range, token, field, tf, level, ids, places), a row for each block of postings.
 
     bounds: in order, with the number of ranges that the token of each fills by itself (0: it only begins a range).
     """
@@ -140,16 +168,19 @@ def _postings(tokenised: DataFrame, config: str, bounds: list[tuple[str, int]] |
                 words, row, tf, positions, lengths, different = _fold(toks, part.column(3), stem)
                 take = pa.array(row)
                 everywhere = seen + np.arange(len(toks))
-                yield pa.RecordBatch.from_arrays([
+                rows = pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate([spots(words, everywhere[row]), everywhere % max(1, files)]).astype(np.int32)), pa.concat_arrays([words, pa.array([""] * len(toks), pa.string())]),
                     pa.concat_arrays([part.column(0).take(take), part.column(0)]), pa.concat_arrays([part.column(1).take(take), part.column(1)]),
                     pa.array(np.concatenate([tf, lengths]).astype(np.int32)), pa.array(np.concatenate([np.frexp(tf)[1], np.full(len(toks), 31)]).astype(np.int32)),
                     pa.concat_arrays([positions, pa.ListArray.from_arrays(pa.array(np.arange(len(toks) + 1), pa.int32()), pa.array(different.astype(np.int32)))]),
                 ], ["range", "token", "id", "field", "tf", "level", "positions"])
+                yield _blocked(rows) if blocks else rows
                 seen += len(toks)
                 at = until
 
     kind = tokenised.schema["id"].dataType.simpleString()
+    if blocks:
+        return tokenised.mapInArrow(run, f"range int, token string, field string, tf int, level int, ids array<{kind}>, places array<int>")
     return tokenised.mapInArrow(run, f"range int, token string, id {kind}, field string, tf int, level int, positions array<int>")
 
 
@@ -170,14 +201,16 @@ def build(items: DataFrame, index: IndexSpec, config: str = "simple") -> TextInd
     return _of(_postings(tokenised, config, None, 1), config, tokenised)
 
 
-def _bounds(tokenised: DataFrame, config: str, files: int) -> list[tuple[str, int]]:
-    """Tokens at which ranges begin, from the postings of a sample; (token, ranges that it fills by itself)."""
+def _bounds(tokenised: DataFrame, config: str, files: int) -> tuple[list[tuple[str, int]], int]:
+    """Tokens at which ranges begin, from the postings of a sample; (token, ranges that it fills by itself). And the files to
+    deal postings to: as many as were asked for, or more if ranges would hold over RANGE tokens."""
     if files < 2:
-        return []
+        return [], files
     share = min(1.0, SAMPLE / max(1, tokenised.count()))
     drawn = tokenised.where(F.pmod(F.xxhash64("id", F.lit(29)), F.lit(1 << 30)) < share * (1 << 30))
-    counts = _postings(drawn, config, None, 1).where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    found = sorted((r.token, r.n) for r in counts.collect())  # the words of a bounded sample
+    counts = _postings(drawn, config, None, 1).where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("tf").alias("tf")).collect()  # the words of a bounded sample
+    found = sorted((r.token, r.n) for r in counts)
+    files = max(files, math.ceil(sum(r.tf for r in counts) / share / RANGE))
     most, held, out = max(1, sum(n for _, n in found) / files), 0.0, []
     for token, n in found:
         if n > most:
@@ -188,7 +221,7 @@ def _bounds(tokenised: DataFrame, config: str, files: int) -> list[tuple[str, in
                 out.append((token, 0))
                 held = 0.0
             held += n
-    return out
+    return out, files
 
 
 def write(built: TextIndex, path: str, files: int) -> None:
@@ -196,14 +229,16 @@ def write(built: TextIndex, path: str, files: int) -> None:
     once for a sample of them."""
     spark = built.postings.sparkSession
     if built.tokenised is not None:
-        bounds = _bounds(built.tokenised, built.config, files)
-        rows = _postings(built.tokenised, built.config, bounds, files)
+        bounds, files = _bounds(built.tokenised, built.config, files)
+        rows = _postings(built.tokenised, built.config, bounds, files, blocks=True)
         ranges = 1 + sum(1 + fills for _, fills in bounds)
-        dealt = rows.repartitionById(max(ranges, files), F.col("range")).drop("range")
+        dealt = rows.repartitionById(max(ranges, files), F.col("range"))
+        dealt = _unblocked(dealt.sortWithinPartitions(F.col("token"), F.col("level").desc(), F.get("ids", F.lit(0))))
     else:
         texts = built.lengths.select(F.lit("").alias("token"), "id", "field", F.col("length").alias("tf"), F.lit(31).alias("level"), F.array(F.col("distinct")).alias("positions"))
         dealt = built.postings.unionByName(texts).repartitionByRange(files, "token", "id")
-    dealt.sortWithinPartitions(F.col("token"), F.col("level").desc(), F.col("id")).write.mode("overwrite").parquet(f"{path}/postings")
+        dealt = dealt.sortWithinPartitions(F.col("token"), F.col("level").desc(), F.col("id"))
+    dealt.write.mode("overwrite").parquet(f"{path}/postings")
     spark.createDataFrame([(json.dumps({"config": built.config}),)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
 
