@@ -288,6 +288,12 @@ def _phrase_count(places: list[Column]) -> Column:
     return F.aggregate(F.array_sort(starts), F.struct(F.lit(0).alias("n"), F.lit(0).alias("free")), step, lambda acc: acc["n"])
 
 
+def by_id(rows: DataFrame) -> DataFrame:
+    """Rows dealt by their ids to all shuffle partitions. Those of a plain shuffle are joined by their compressed size, which
+    ids and small counts make tiny: one task would hold all that is found, many times larger in memory."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("id"))
+
+
 def find(built: TextIndex, index: IndexSpec, node: K.Node, fields: list[str] | None = None, constant: bool = False) -> DataFrame:
     """(id, text_rank) of the items that satisfy a key tree; the rank is that of functions.text, or 1 if ``constant``.
 
@@ -310,7 +316,7 @@ def find(built: TextIndex, index: IndexSpec, node: K.Node, fields: list[str] | N
                 hit = F.col("token").startswith(leaf.token) if isinstance(leaf, K.Prefix) else F.col("token") == leaf.token
                 counts.append(F.coalesce(F.sum(F.when(here & hit, F.col("tf"))), F.lit(0)).alias(f"{n} {f}"))
     names = {key: f"p{k}" for k, key in enumerate(phrases)}
-    grouped = mine.groupBy("id").agg(*counts, *(c.alias(names[key]) for key, c in phrases.items()))
+    grouped = by_id(mine).groupBy("id").agg(*counts, *(c.alias(names[key]) for key, c in phrases.items()))
     for n, leaf in enumerate(leaves):
         if isinstance(leaf, K.Phrase):
             for f in fields:

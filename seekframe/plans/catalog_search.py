@@ -12,7 +12,7 @@ from seekframe.functions import vectors as V
 from seekframe.operators import gramindex as GR
 from seekframe.operators import vectorindex as VI
 from seekframe.operators.search import page, search
-from seekframe.operators.textindex import find, vocabulary
+from seekframe.operators.textindex import by_id, find, vocabulary
 from seekframe.operators.topk import ranked
 from seekframe.plans import frames as T
 from seekframe.plans import keys as K
@@ -104,7 +104,7 @@ def fts_multi_field(spark: SparkSession, d: str) -> DataFrame:
     """A row matches if any text field does by itself: each with keys of its own."""
     built = T.text_index(spark, d, "part", T.PARTS_TEXT)
     name, kind = (find(built, T.PARTS_TEXT, K.parse(keys), [field]) for keys, field in (("red", "p_name"), ("economy", "p_type")))
-    return name.union(kind).select(F.col("id").alias("p_partkey")).distinct()
+    return by_id(name.union(kind).select("id")).distinct().select(F.col("id").alias("p_partkey"))
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%WIDG%'")
