@@ -145,7 +145,8 @@ def process(spark: SparkSession, source: str, checkpoint: str, work: Callable[[D
         columns = [c for c in df.columns if c not in ("operation", "index_id", "item_id")]
         newest = good.groupBy("operation", "index_id", "item_id").agg(F.max_by(F.struct(*columns), F.struct(F.coalesce("created", F.lit(0)), F.coalesce("attempt", F.lit(0)))).alias("r"))
         newest = newest.select("operation", "index_id", "item_id", "r.*").select(*df.columns)
-        work(newest.orderBy(F.coalesce("priority", F.lit(PRIORITIES["normal"])), "created"), number)
+        # items come last, as tasks of one priority and moment would all be in one range, and one task
+        work(newest.orderBy(F.coalesce("priority", F.lit(PRIORITIES["normal"])), "created", "index_id", "item_id"), number)
         bad = df.where(~is_valid())
         if rejected is not None or not bad.isEmpty():
             refused(bad, number)
