@@ -35,10 +35,10 @@ SAMPLE = 2000
 SLICE = 1 << 19
 #: Postings of one block, at most, and tokens of one range, about: what a task sorts doesn't grow with the table.
 BLOCK, RANGE = 4096, 1 << 22
-#: Distinct words whose stems a task remembers.
-STEMS = 200_000
+#: Distinct words whose stems a task remembers; nothing else remembers them there.
+STEMS = 1 << 16
 #: Stems by text configuration, and the configuration of each language that the configuration "language" goes by.
-STEMS_OF: dict[str, Callable[[str], str]] = {"english": porter, **STEMMERS}
+STEMS_OF: dict[str, Callable[[str], str]] = {"english": porter.__wrapped__, **STEMMERS}
 OF_LANGUAGE = {"en": "english", "de": "german", "es": "spanish", "fr": "french"}
 
 
