@@ -1,7 +1,8 @@
 """Cross-tokenizer alignment: a transducer over dangling suffixes cuts two token sequences of one text into groups.
 
 Neither tokenizer's tokens reach across a single space that stands between two visible characters, so a text falls into
-parts there, between which the residual is empty; a worker remembers the groups of parts that it has seen.
+parts there, between which the residual is empty; a worker remembers the groups of parts that it has seen, and reads the new
+ones side by side: one step of the transducer takes the next token of every part.
 """
 
 from __future__ import annotations
@@ -10,13 +11,14 @@ import gc
 import hashlib
 import json
 import os
-import re
+import sys
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-from itertools import count
+from itertools import chain, count
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ CACHE = 2_000_000
 PARTS, PART_CHARS = 150_000, 64
 #: Fixed value: the character that stands for a space inside pieces (U+2581).
 SPACE = "▁"
+#: In arrays of states: not looked up yet; and that bytes differ.
+UNKNOWN, DIFFER = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 
 
 class Transducer:
@@ -50,6 +54,9 @@ class Transducer:
         self.begin: dict[int, int] = {}  # first token of a group -> state
         self.step: dict[int, int | None] = {}  # state and token -> state; None where bytes differ
         self.numbers = count(1)
+        # the same for arrays: states by first token, and by sorted state * width + token
+        self.begins = np.full(len(self.bytes[1]), UNKNOWN)
+        self.keys, self.next = np.array([UNKNOWN]), np.array([DIFFER])  # a key that no state has, so that neither is empty
 
     def state(self, side: int, residual: bytes) -> int:
         if not residual:
@@ -100,23 +107,90 @@ class Transducer:
             ends.append((i, j))
         return ends if j == m else None
 
+    def starts(self, tokens: np.ndarray) -> np.ndarray:
+        """The states after each first token of a group."""
+        state = self.begins[tokens]
+        if (new := state == UNKNOWN).any():
+            for x in np.unique(tokens[new]).tolist():
+                self.begins[x] = self.state(1, self.bytes[1][x])
+            state = self.begins[tokens]
+        return state
+
+    def steps(self, keys: np.ndarray, width: int) -> np.ndarray:
+        """The states after each state * width + token; DIFFER where bytes differ."""
+        at = np.searchsorted(self.keys, keys)
+        missing = self.keys[np.minimum(at, len(self.keys) - 1)] != keys
+        if missing.any():
+            new = np.unique(keys[missing])
+            follow = (self.follow(k // width, k % width) for k in new.tolist())
+            into = np.searchsorted(self.keys, new)
+            self.next = np.insert(self.next, into, [DIFFER if n is None else n for n in follow])
+            self.keys = np.insert(self.keys, into, new)
+            at = np.searchsorted(self.keys, keys)
+        return self.next[at]
+
+    def align_many(self, a: np.ndarray, b: np.ndarray, a_stop: np.ndarray, b_stop: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """align() of many sequences side by side, which follow one another in a and b up to a_stop and b_stop each.
+
+        Which tokens of a and of b end a group, and the links in the order of sequences. None if any bytes differ.
+        """
+        if len(self.keys) > CACHE:
+            self.clear()
+        ends_a, ends_b, links = np.zeros(len(a), bool), np.zeros(len(b), bool), np.full(len(a) + len(b), -1)
+        if not len(a_stop):
+            return ends_a, ends_b, links
+        i, j = a_stop - np.diff(a_stop, prepend=0), b_stop - np.diff(b_stop, prepend=0)
+        at, x, y, state = i + j, a[:1].repeat(len(i)), b[:1].repeat(len(i)), np.zeros(len(i), np.int64)
+        if (i == a_stop).any() or (j == b_stop).any():
+            return None
+        while len(i):
+            if len(first := np.nonzero(state == 0)[0]):
+                x[first] = a[i[first]]
+                i[first] += 1
+                state[first] = self.starts(x[first])
+                if not state[first].all():
+                    return None
+            leads = state > 0
+            if (np.where(leads, j, i) == np.where(leads, b_stop, a_stop)).any():
+                return None
+            behind, ahead = np.nonzero(leads)[0], np.nonzero(~leads)[0]
+            token = np.empty(len(i), np.int64)
+            token[behind] = y[behind] = b[j[behind]]
+            token[ahead] = x[ahead] = a[i[ahead]]
+            j[behind] += 1
+            i[ahead] += 1
+            links[at] = x * width + y
+            at += 1
+            state = self.steps(state * width + token, width)
+            if len(closed := np.nonzero(state == 0)[0]):
+                ends_a[i[closed] - 1] = ends_b[j[closed] - 1] = True
+                done = (state == 0) & (i == a_stop)
+                if (j[done] != b_stop[done]).any():
+                    return None
+                if done.any():
+                    i, j, at, x, y, state, a_stop, b_stop = (v[~done] for v in (i, j, at, x, y, state, a_stop, b_stop))
+            if (state == DIFFER).any():
+                return None
+        return ends_a, ends_b, links[links >= 0]
+
 
-@dataclass(eq=False, slots=True)
-class Aligned:
-    """Numbers of both sides' tokens and of groups, links as a * width + b, and the groups as text."""
+class Aligned(NamedTuple):
+    """Numbers of the first side's tokens and of groups, links (a * width + b, as bytes of 64-bit integers), and the groups as text."""
 
     n_a: int
-    n_b: int
     n_groups: int
-    links: np.ndarray
+    links: bytes
     text: str
 
     def groups(self) -> list[tuple[list[int], list[int]]]:
         return [tuple(list(map(int, side.split(","))) for side in g.split("|")) for g in self.text.split(";")]
 
 
-#: A space that has white space beside it.
-_IRREGULAR = re.compile(r"\s | \s")
+#: In place of the groups of a part whose tokens don't spell it.
+NOTHING = Aligned(0, 0, b"", "")
+#: Texts that have a space beside white space or at an end, or that are empty: not all their spaces divide them.
+WHITE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
+IRREGULAR = f"[{WHITE}] | [{WHITE}]|^[{WHITE}]|[{WHITE}]$|^$"
 
 
 class Pair:
@@ -142,104 +216,136 @@ class Pair:
         b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.width = max(len(a_bytes), len(b_bytes), 1 << 17)
         self.transducer = Transducer(a_bytes, b_bytes)
-        self.a_bytes, self.a_sizes = a_bytes, np.array([len(x) for x in a_bytes])
-        self.shown = [str(i) for i in range(self.width)]
+        self.a_bytes, self.a_sizes, self.b_sizes = a_bytes, *(np.array([len(x) for x in side]) for side in (a_bytes, b_bytes))
+        # each id as text, with what may follow it: another of its side, the other side, the next group
+        self.each = max(len(a_bytes), len(b_bytes))
+        self.shown = [f"{i}{after}" for after in ",|;" for i in range(self.each)]
+        self.shown_sizes = np.array([len(x) for x in self.shown])
         if any(SPACE in p[1:] and p.strip(SPACE) for p in pieces):
             raise ValueError(f"{b_path}: a piece has a space inside")
-        self.known: dict[str, Aligned | None] = {}
-        self.before: dict[str, Aligned | None] = {}
-
-    def parts(self, text: str) -> list[str]:
-        """The parts of a text, each without the space in front of it."""
-        cut = text.split(" ")
-        if not _IRREGULAR.search(text) and cut[0] and cut[-1]:
-            return cut
+        self.known: dict[str, Aligned] = {}
+        self.before: dict[str, Aligned] = {}
+
+    def parts(self, cut: list[str]) -> list[str]:
+        """The parts of a text that was split at every space: one that isn't between visible characters divides nothing."""
         out: list[str] = []
-        for p in cut:  # a space that isn't between visible characters divides nothing
+        for p in cut:
             if out and (not p or p[0].isspace() or not out[-1] or out[-1][-1].isspace()):
                 out[-1] = f"{out[-1]} {p}"
             else:
                 out.append(p)
         return out
 
-    def encoded(self, texts: list[str]) -> tuple[list[int], list[int]]:
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of both sides, of all these texts one after another, each with a space in front."""
         a = self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
-        return [i for x in a for i in x.ids], [i for ids in self.b.encode(texts, num_threads=1) for i in ids]
+        b = self.b.encode(texts, num_threads=1)
+        return np.array(list(chain.from_iterable([x.ids for x in a])), np.int64), np.array(list(chain.from_iterable(b)), np.int64)
 
-    def together(self, parts: list[str], a: list[int], b: list[int]) -> list[Aligned] | None:
+    def together(self, parts: list[str], a: np.ndarray, b: np.ndarray, many: bool = False) -> list[Aligned] | None:
         """The groups of each of several parts whose tokens follow one another; None if the bytes of tokens differ from them.
 
-        Residuals are empty between parts, so the transducer reads all of them as one sequence.
+        Residuals are empty between parts, so the transducer reads all of them as one sequence; or, of many short parts, all side by side.
         """
-        if b"".join(map(self.a_bytes.__getitem__, a)) != "".join([f" {p}" for p in parts]).encode():
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != "".join([f" {p}" for p in parts]).encode():
             return None
-        links: list[int] = []
-        ends = self.transducer.align(a, b, links, self.width)  # both sides' bytes agree, or it is None
-        if ends is None:
+        # where parts end, in bytes and in tokens of both sides
+        stop = np.cumsum([len(p) + 1 if p.isascii() else len(p.encode()) + 1 for p in parts])
+        a_at, b_at = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        a_stop, b_stop = np.searchsorted(a_at, stop) + 1, np.searchsorted(b_at, stop) + 1
+        if not len(b) or b_at[-1] != stop[-1] or (a_at[a_stop - 1] != stop).any() or (b_at[b_stop - 1] != stop).any():
             return None
-        shown, every = self.written(a, b, ends), np.array(links, np.int64)
-        # where parts end, in bytes, in tokens of both sides, in groups and in links
-        stop = np.cumsum([len(p.encode()) + 1 for p in parts])
-        i = np.searchsorted(np.cumsum(self.a_sizes[a]), stop) + 1
-        g = np.searchsorted(np.array([e[0] for e in ends]), i) + 1
-        j = np.array([e[1] for e in ends])[g - 1]
-        i, j, g = (np.diff(x, prepend=0).tolist() for x in (i, j, g))
-        out, group, link = [], 0, 0
-        for n_a, n_b, n in zip(i, j, g):
-            more = n_a + n_b - n
-            out.append(Aligned(n_a, n_b, n, every[link : link + more], ";".join(shown[group : group + n])))
-            group += n
-            link += more
-        return out
-
-    def learn(self, parts: Iterable[str]) -> dict[str, Aligned | None]:
-        """The groups of each part; parts that a space divides are encoded together, in texts of some thousand characters."""
-        clean, rest = [], []
+        if many:
+            read = self.transducer.align_many(a, b, a_stop, b_stop, self.width)
+            if read is None:
+                return None
+            ends_a, ends_b, links = read
+        else:
+            found: list[int] = []
+            ends = self.transducer.align(a.tolist(), b.tolist(), found, self.width)  # both sides' bytes agree, or it is None
+            if ends is None:
+                return None
+            ends_a, ends_b, links = np.zeros(len(a), bool), np.zeros(len(b), bool), np.array(found, np.int64)
+            i, j = np.array(ends).T
+            ends_a[i - 1] = ends_b[j - 1] = True
+        text, chars = self.written(a, b, ends_a, ends_b)
+        char = chars[a_stop + b_stop - 1].tolist()
+        # a token that ends no group is one link more than its group has tokens of the other side
+        group = np.cumsum(ends_a)[a_stop - 1]
+        link = (8 * (a_stop + b_stop - group)).tolist()
+        held, n_a, n_groups = links.tobytes(), np.diff(a_stop, prepend=0).tolist(), np.diff(group, prepend=0).tolist()
+        return [Aligned(n, g, held[k:m], text[c : d - 1]) for n, g, k, m, c, d in zip(n_a, n_groups, [0, *link], link, [0, *char], char)]
+
+    def learn(self, parts: Iterable[str]) -> dict[str, Aligned]:
+        """The groups of each part, or NOTHING where its tokens don't spell it; parts that a space divides are encoded together, in texts of some thousand characters."""
+        short, long, rest = [], [], []
         for p in parts:
-            (clean if p and not p[0].isspace() and not p[-1].isspace() and SPACE not in p else rest).append(p)
-        found = self.together(clean, *self.encoded([" ".join(clean[k : k + 1000]) for k in range(0, len(clean), 1000)])) if clean else []
-        if found is None:
-            clean, found, rest = [], [], clean + rest
-        out: dict[str, Aligned | None] = dict(zip(clean, found))
+            if not p or p[0].isspace() or p[-1].isspace() or SPACE in p:
+                rest.append(p)
+            else:
+                (short if len(p) <= PART_CHARS else long).append(p)
+        out: dict[str, Aligned] = {}
+        for clean in (short, long):
+            if clean:
+                a, b = self.encoded([" ".join(clean[k : k + 1000]) for k in range(0, len(clean), 1000)])
+                found = self.together(clean, a, b, clean is short)
+                if found is None:
+                    rest += clean
+                else:
+                    out.update(zip(clean, found))
         for p in rest:
             one = self.together([p], *self.encoded([p]))
-            out[p] = None if one is None else one[0]
+            out[p] = NOTHING if one is None else one[0]
         return out
 
-    def groups(self, texts: list[str | None]) -> Iterator[list[Aligned] | None]:
-        """The parts of each text with their groups, or None where it has no tokens."""
-        cut = [self.parts(t) if t else [] for t in texts]
-        wanted = set().union(*cut)
-        found, missing = {}, []
-        for p in wanted:
-            if p in self.known:
-                found[p] = self.known[p]
-            elif p in self.before:
-                found[p] = self.known[p] = self.before[p]
+    def cut(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The different parts of all texts, their numbers in the order of texts, and how many each text has."""
+        column = pa.array([t or "" for t in texts], pa.string())
+        lists, irregular = pc.split_pattern(column, " "), pc.match_substring_regex(column, IRREGULAR).to_numpy(zero_copy_only=False)
+        odd = np.nonzero(irregular)[0]
+        if len(odd):
+            again = pa.array([self.parts(texts[k].split(" ")) if texts[k] else [] for k in odd.tolist()], lists.type)
+            lists = pa.concat_arrays([lists.filter(pa.array(~irregular)), again])
+        each = lists.flatten().dictionary_encode()
+        codes, sizes = each.indices.to_numpy(), pc.list_value_length(lists).to_numpy()
+        if len(odd):
+            order = np.concatenate([np.nonzero(~irregular)[0], odd])
+            codes, sizes = codes[np.argsort(np.repeat(order, sizes), kind="stable")], sizes[np.argsort(order)]
+        return each.dictionary.to_numpy(zero_copy_only=False).tolist(), codes, sizes
+
+    def groups(self, texts: list[str | None]) -> tuple[list[Aligned], np.ndarray, np.ndarray]:
+        """The groups of all different parts, the numbers of parts in the order of texts, and how many each text has.
+
+        A text without tokens has no parts, or one that is NOTHING.
+        """
+        parts, codes, sizes = self.cut(texts)
+        if len(self.known) > PARTS:  # what isn't asked for again is forgotten with the generation before
+            self.before, self.known = self.known, {}
+        each = list(map(self.known.get, parts))
+        missing = []
+        for k in [k for k, x in enumerate(each) if x is None]:
+            each[k] = x = self.before.get(p := parts[k])
+            if x is None:
+                missing.append(k)
             else:
-                missing.append(p)
+                self.known[p] = x
         gc.disable()  # no cycles arise here, and looking for them among so many parts takes a tenth of the time
         try:
-            new = self.learn(missing)
+            new = self.learn([parts[k] for k in missing])
         finally:
             gc.enable()
-        found |= new
-        if len(self.known) + len(new) > PARTS:  # what isn't asked for again is forgotten with the generation before
-            self.before, self.known = self.known, {}
-        self.known.update((p, x) for p, x in new.items() if len(p) <= PART_CHARS)
-        for parts in cut:
-            each = list(map(found.__getitem__, parts))
-            yield None if not each or None in each else each
-
-    def written(self, a: list[int], b: list[int], ends: list[tuple[int, int]]) -> list[str]:
-        """Each group as decimal ids: a1,a2|b1."""
-        x, y = list(map(self.shown.__getitem__, a)), list(map(self.shown.__getitem__, b))
-        out, i, j = [], 0, 0
-        for k, m in ends:
-            out.append(f"{x[i]}|{y[j]}" if k - i == 1 == m - j else f"{','.join(x[i:k])}|{','.join(y[j:m])}")
-            i, j = k, m
-        return out
+        for k in missing:
+            each[k] = new[parts[k]]
+        self.known.update(new if max(map(len, new), default=0) <= PART_CHARS else {p: x for p, x in new.items() if len(p) <= PART_CHARS})
+        return each, codes, sizes
+
+    def written(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[str, np.ndarray]:
+        """All groups as decimal ids, a1,a2|b1; each with a mark behind it, and where in that text each token ends."""
+        i, j = np.nonzero(ends_a)[0] + 1, np.nonzero(ends_b)[0] + 1  # tokens of both sides up to the end of each group
+        tokens = np.empty(len(a) + len(b), np.int64)
+        tokens[np.arange(len(a)) + np.concatenate([[0], j])[np.cumsum(ends_a) - ends_a]] = a + self.each * ends_a
+        tokens[np.arange(len(b)) + i[np.cumsum(ends_b) - ends_b]] = b + 2 * self.each * ends_b
+        return "".join(map(self.shown.__getitem__, tokens.tolist())), np.cumsum(self.shown_sizes[tokens])
 
 
 _loaded: dict[tuple[str, str], Pair] = {}
@@ -262,9 +368,11 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
             at = 0
             for texts in slices(batch.column(1)):
                 out = []
-                for parts in both.groups(texts):
+                each, codes, sizes = both.groups(texts)
+                for numbers in np.split(codes, np.cumsum(sizes)[:-1]):
+                    parts = [each[k] for k in numbers.tolist()]
                     a, b, a_ends, b_ends = [], [], [], []
-                    for x, y in (g for p in parts or [] for g in p.groups()):
+                    for x, y in (g for p in parts for g in p.groups()) if NOTHING not in parts else ():
                         a += x
                         b += y
                         a_ends.append(len(a))
@@ -283,25 +391,41 @@ def _rows(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(a_path, b_path)
-        nothing = np.zeros(0, np.int64)
 
-        def one(parts: list[Aligned] | None) -> tuple:
-            if parts is None:
-                return 0, 0, 0, 0, "", nothing, nothing
-            links = np.concatenate([p.links for p in parts])
-            pairs, times = np.unique(links, return_counts=True)
-            digest = hashlib.sha256(";".join([p.text for p in parts]).encode()).hexdigest()
-            return sum([p.n_a for p in parts]), sum([p.n_b for p in parts]), sum([p.n_groups for p in parts]), len(links), digest, pairs, times
+        def rows(texts: list[str | None]) -> list[pa.Array]:
+            each, codes, sizes = both.groups(texts)
+            none = np.array([not p.n_a for p in each], bool)
+            n = len(texts)
+            if none.any():
+                of = np.repeat(np.arange(n), sizes)
+                lost = np.bincount(of, none[codes], n) > 0
+                codes, sizes = codes[~lost[of]], np.where(lost, 0, sizes)
+            n_a, n_groups, links, shown = zip(*each) if each else ((),) * 4
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[codes])])[ends])
+            n_links = np.fromiter(map(len, links), np.int64, len(links)) // 8
+            n_a, n_groups, of_text = total(np.array(n_a, np.int64)), total(np.array(n_groups, np.int64)), total(n_links)
+            # all links of all texts, sorted by text and pair
+            times = n_links[codes]
+            at = np.repeat((np.cumsum(n_links) - n_links)[codes] - (np.cumsum(times) - times), times)
+            at += np.arange(len(at))
+            keys = np.frombuffer(b"".join(links), np.int64)[at]
+            keys += np.repeat(np.arange(n) * both.width**2, of_text)
+            keys.sort()
+            first = np.nonzero(np.diff(keys, prepend=-1))[0]
+            text, pairs = np.divmod(keys[first], both.width**2)
+            offsets = pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32())
+            times = np.diff(first, append=len(keys))
+            every = pa.array(shown, pa.large_string()).take(pa.array(codes))
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends), every), pa.scalar(";", pa.large_string())).cast(pa.large_binary())
+            digests = [hashlib.sha256(x.as_buffer()).hexdigest() if m else "" for x, m in zip(joined, sizes.tolist())]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, kind)) for x, kind in ((pairs, pa.int64()), (times, pa.int32()))]
+            return [*(pa.array(x, pa.int64()) for x in (n_a, of_text + n_groups - n_a, n_groups, of_text)), pa.array(digests, pa.string()), *lists]
 
         for batch in batches:
             at = 0
             for texts in slices(batch.column(1)):
-                out = list(map(one, both.groups(texts)))
-                *plain, pairs, times = zip(*out)
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in pairs])]), pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x), kind)) for x, kind in ((pairs, pa.int64()), (times, pa.int32()))]
-                kinds = [pa.int64()] * 4 + [pa.string()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *map(pa.array, plain, kinds), *lists], names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *rows(texts)], names)
                 at += len(texts)
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
